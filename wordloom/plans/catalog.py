@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
 from ..operators import ngram as ng
+from ..operators import scoring as sc
 from ..session import ensure_checkpoint_dir
 from . import inputs
 
@@ -156,3 +157,41 @@ def q_ngram_roundtrip(spark, sf_dir):
     model.save(path)
     loaded = ng.NgramModel.load(spark, path)
     return loaded.top1().join(loaded.vocab.select(F.col("word").alias("context")), "context", "left_semi")
+
+
+# ---------------------------------------------------------------------------
+# C. scoring
+# ---------------------------------------------------------------------------
+
+def _scored(spark, sf_dir):
+    return sc.score_lines(inputs.grading_lines(spark, sf_dir))
+
+
+@register("response_content")
+def q_response_content(spark, sf_dir):
+    return _scored(spark, sf_dir).where(F.col("content").isNotNull()).select("model", "line_no", "content")
+
+
+@register("verdict_clean")
+def q_verdict_clean(spark, sf_dir):
+    return _scored(spark, sf_dir).where(F.col("cleaned").isNotNull()).select("model", "line_no", "cleaned")
+
+
+@register("verdict_score")
+def q_verdict_score(spark, sf_dir):
+    return _scored(spark, sf_dir).select("model", "line_no", "outcome")
+
+
+@register("score_outcomes")
+def q_score_outcomes(spark, sf_dir):
+    return sc.outcome_counts(_scored(spark, sf_dir), ["model"])
+
+
+@register("qa_accuracy")
+def q_qa_accuracy(spark, sf_dir):
+    return sc.accuracy(_scored(spark, sf_dir))
+
+
+@register("qa_accuracy_by_model")
+def q_qa_accuracy_by_model(spark, sf_dir):
+    return sc.accuracy(_scored(spark, sf_dir), ["model"])

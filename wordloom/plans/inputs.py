@@ -48,3 +48,76 @@ def prompts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
         .select((F.col("item_id") * PROMPT_STRIDE + F.col("pos") + 1).alias("prompt_id"), "text")
     )
     return whole.unionByName(windows)
+
+
+# ---------------------------------------------------------------------------
+# Grading results (input of the scoring job)
+# ---------------------------------------------------------------------------
+
+# Number of verdict / line shapes; shape = doc_id % GRADE_SHAPES (every row kept).
+GRADE_SHAPES = 13
+# The two graded "models" and the label each one's verdict follows.
+GRADE_MODELS = (("model_a", "quality"), ("model_b", "toxic"))
+
+
+def _json_string(c):
+    """A JSON string literal of ``c`` (``to_json`` needs a container; strip the brackets)."""
+    arr = F.to_json(F.array(c))
+    return F.substring(arr, 2, F.length(arr) - 2)
+
+
+def grading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-result lines, one per (label row, model): ``model, line_no, line``.
+
+    The verdict text takes one of the shapes the scorer must handle (plain,
+    fenced, bad escapes, string score, blank, unparsable, missing score ...),
+    the score follows the label. Some lines are not JSON, lack the response or
+    have no choices.
+    """
+    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    base = labels.join(docs, "doc_id")
+    parts = []
+    for k, (model, label) in enumerate(GRADE_MODELS):
+        parts.append(
+            base.select(
+                F.lit(model).alias("model"),
+                (F.col("doc_id") * len(GRADE_MODELS) + k).alias("line_no"),
+                "doc_id",
+                F.when(F.col(label) == 1, F.lit("true")).otherwise(F.lit("false")).alias("b"),
+                F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(" ("), F.col("lang"), F.lit(")")).alias("e"),
+            )
+        )
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    b, e = F.col("b"), F.col("e")
+    plain = F.concat(F.lit('{"explanation": "'), e, F.lit('", "score": '), b, F.lit("}"))
+    shape = F.col("doc_id") % GRADE_SHAPES
+    content = (
+        F.when(shape == 0, plain)
+        .when(shape == 1, F.concat(F.lit("```json\n"), plain, F.lit("\n```")))
+        .when(shape == 2, F.concat(F.lit("```\n"), plain, F.lit("\n```")))
+        .when(shape == 3, F.concat(F.lit('{"explanation": "see \\q in '), e, F.lit('", "score": '), b, F.lit("}")))
+        .when(shape == 4, F.concat(F.lit('{"explanation": "'), e, F.lit('", "score": "'), b, F.lit('"}')))
+        .when(shape == 5, F.lit(" \t "))
+        .when(shape == 9, F.concat(F.lit('{"score": '), b, F.lit("} trailing")))
+        .when(shape == 10, F.concat(F.lit("{'score': "), b, F.lit("}")))
+        .when(shape == 11, F.concat(F.lit('{"explanation": "'), e, F.lit('"}')))
+        .when(shape == 12, F.concat(F.lit('```json\n{"score": '), b, F.lit("}\n```\n")))
+        .otherwise(plain)
+    )
+    cid = F.concat(F.lit('{"custom_id": "doc-'), F.col("doc_id").cast("string"), F.lit('"'))
+    good = F.concat(
+        cid,
+        F.lit(', "response": {"status_code": 200, "body": {"choices": [{"message": {"role": "assistant", "content": '),
+        _json_string(content),
+        F.lit("}}]}}}"),
+    )
+    line = (
+        F.when(shape == 6, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
+        .when(shape == 7, F.concat(cid, F.lit(', "error": {"message": "failed"}}')))
+        .when(shape == 8, F.concat(cid, F.lit(', "response": {"status_code": 200, "body": {"choices": []}}}')))
+        .otherwise(good)
+    )
+    return rows.select("model", "line_no", line.alias("line"))

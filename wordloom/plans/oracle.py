@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ..functions.text import SPACE_CLASS, WORD_CLASS, WORD_PATTERN
 from . import catalog as C
-from .inputs import PROMPT_STRIDE
+from .inputs import GRADE_MODELS, GRADE_SHAPES, PROMPT_STRIDE
 
 WS = "[" + SPACE_CLASS + "]"
 
@@ -192,3 +192,109 @@ SELECT context, word, CAST(sum(cnt) AS BIGINT) AS cnt,
        arg_min(first_doc, (first_batch, first_doc, first_pos)) AS first_doc,
        CAST(arg_min(first_pos, (first_batch, first_doc, first_pos)) AS INTEGER) AS first_pos
 FROM allc GROUP BY context, word"""
+
+
+# ---------------------------------------------------------------------------
+# C. scoring
+# ---------------------------------------------------------------------------
+
+def _models_sql() -> str:
+    parts = []
+    for k, (model, label) in enumerate(GRADE_MODELS):
+        parts.append(
+            f"""SELECT '{model}' AS model, l.doc_id * {len(GRADE_MODELS)} + {k} AS line_no, l.doc_id,
+         CASE WHEN l.{label} = 1 THEN 'true' ELSE 'false' END AS b,
+         'doc ' || CAST(l.doc_id AS VARCHAR) || ' (' || d.lang || ')' AS e
+  FROM labels l JOIN documents d USING (doc_id)"""
+        )
+    return "\n  UNION ALL\n  ".join(parts)
+
+
+def cte_grading_lines(name: str = "glines") -> str:
+    plain = """'{"explanation": "' || e || '", "score": ' || b || '}'"""
+    s = f"(doc_id % {GRADE_SHAPES})"
+    content = f"""CASE
+    WHEN {s} = 0 THEN {plain}
+    WHEN {s} = 1 THEN '```json' || chr(10) || {plain} || chr(10) || '```'
+    WHEN {s} = 2 THEN '```' || chr(10) || {plain} || chr(10) || '```'
+    WHEN {s} = 3 THEN '{{"explanation": "see \\q in ' || e || '", "score": ' || b || '}}'
+    WHEN {s} = 4 THEN '{{"explanation": "' || e || '", "score": "' || b || '"}}'
+    WHEN {s} = 5 THEN ' ' || chr(9) || ' '
+    WHEN {s} = 9 THEN '{{"score": ' || b || '}} trailing'
+    WHEN {s} = 10 THEN '{{''score'': ' || b || '}}'
+    WHEN {s} = 11 THEN '{{"explanation": "' || e || '"}}'
+    WHEN {s} = 12 THEN '```json' || chr(10) || '{{"score": ' || b || '}}' || chr(10) || '```' || chr(10)
+    ELSE {plain} END"""
+    cid = """'{"custom_id": "doc-' || CAST(doc_id AS VARCHAR) || '"'"""
+    return f"""graw AS ({_models_sql()}),
+gcontent AS (SELECT *, {content} AS content0 FROM graw),
+{name} AS (
+  SELECT model, line_no, CASE
+    WHEN {s} = 6 THEN 'not json ' || CAST(doc_id AS VARCHAR)
+    WHEN {s} = 7 THEN {cid} || ', "error": {{"message": "failed"}}}}'
+    WHEN {s} = 8 THEN {cid} || ', "response": {{"status_code": 200, "body": {{"choices": []}}}}}}'
+    ELSE {cid} || ', "response": {{"status_code": 200, "body": {{"choices": [{{"message": {{"role": "assistant", "content": '
+         || to_json(content0) || '}}}}]}}}}}}' END AS line
+  FROM gcontent)"""
+
+
+def cte_scored(lines: str = "glines", name: str = "scored") -> str:
+    ln = strip_sql("line")
+    c0 = "content"
+    c1 = f"(CASE WHEN starts_with({c0}, '```json') THEN {strip_sql(f"replace({c0}, '```json', '')")} ELSE {c0} END)"
+    c2 = f"(CASE WHEN suffix(c1, '```') THEN {strip_sql("replace(c1, '```', '')")} ELSE c1 END)"
+    c3 = r"""regexp_replace(c2, '\\([^"\\/bfnrt]|$)', '\\\\\1', 'g')"""
+    return f"""sl AS (
+  SELECT model, line_no, {ln} AS l FROM {lines}),
+sp AS (
+  SELECT model, line_no,
+         CASE WHEN json_valid(l) THEN json_type(l) = 'OBJECT' ELSE false END AS ok,
+         CASE WHEN (CASE WHEN json_valid(l) THEN json_type(l) = 'OBJECT' ELSE false END)
+              THEN json_extract_string(l, '$.response.body.choices[0].message.content') END AS content
+  FROM sl),
+s1 AS (SELECT *, {c1} AS c1 FROM sp),
+s2 AS (SELECT *, CASE WHEN content IS NOT NULL AND {strip_sql('content')} <> '' THEN {c2} END AS c2 FROM s1),
+s3 AS (SELECT *, {c3} AS cleaned FROM s2),
+{name} AS (
+  SELECT model, line_no, content, cleaned, CASE
+    WHEN NOT ok THEN 'bad_line'
+    WHEN content IS NULL THEN 'no_content'
+    WHEN {strip_sql('content')} = '' THEN 'empty'
+    WHEN NOT obj THEN 'bad_json'
+    WHEN score_type = 'BOOLEAN' AND CAST(json_extract(cleaned, '$.score') AS VARCHAR) = 'true' THEN 'correct'
+    ELSE 'incorrect' END AS outcome
+  FROM (SELECT *, CASE WHEN obj THEN json_type(cleaned, '$.score') END AS score_type
+        FROM (SELECT *, CASE WHEN json_valid(cleaned) THEN json_type(cleaned) = 'OBJECT' ELSE false END AS obj FROM s3)))"""
+
+
+_SCORED = f"WITH {cte_grading_lines()}, {cte_scored()}"
+
+SQL["response_content"] = f"""{_SCORED}
+SELECT model, line_no, content FROM scored WHERE content IS NOT NULL"""
+
+SQL["verdict_clean"] = f"""{_SCORED}
+SELECT model, line_no, cleaned FROM scored WHERE cleaned IS NOT NULL"""
+
+SQL["verdict_score"] = f"""{_SCORED}
+SELECT model, line_no, outcome FROM scored"""
+
+SQL["score_outcomes"] = f"""{_SCORED}
+SELECT model, outcome, count(*) AS n FROM scored GROUP BY model, outcome"""
+
+
+def _accuracy_sql(by: str) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""{_SCORED},
+acc AS (
+  SELECT {sel}count(*) FILTER (WHERE outcome = 'correct') AS correct,
+         count(*) FILTER (WHERE outcome IN ('correct', 'incorrect')) AS answered
+  FROM scored {grp})
+SELECT {sel}correct, answered,
+       CASE WHEN answered > 0 THEN CAST(correct AS DOUBLE) / CAST(answered AS DOUBLE) END AS accuracy,
+       CASE WHEN answered > 0 THEN printf('%.2f%%', CAST(correct AS DOUBLE) / CAST(answered AS DOUBLE) * 100.0) END AS percent
+FROM acc"""
+
+
+SQL["qa_accuracy"] = _accuracy_sql("")
+SQL["qa_accuracy_by_model"] = _accuracy_sql("model")
