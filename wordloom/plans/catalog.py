@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
 from ..operators import ngram as ng
+from ..operators import qa
 from ..operators import scoring as sc
 from ..session import ensure_checkpoint_dir
 from . import inputs
@@ -195,3 +196,120 @@ def q_qa_accuracy(spark, sf_dir):
 @register("qa_accuracy_by_model")
 def q_qa_accuracy_by_model(spark, sf_dir):
     return sc.accuracy(_scored(spark, sf_dir), ["model"])
+
+
+# ---------------------------------------------------------------------------
+# C. questions, requests, alignment, grading requests
+# ---------------------------------------------------------------------------
+
+def _questions(spark, sf_dir):
+    return qa.flatten_qa(inputs.qa_files(spark, sf_dir))
+
+
+def _flat_request(df):
+    req = F.col("request")
+    return df.select(
+        "idx", "custom_id",
+        req["body"]["model"].alias("model"),
+        req["body"]["temperature"].alias("temperature"),
+        F.get(req["body"]["messages"], 0)["content"].alias("system"),
+        F.get(req["body"]["messages"], 1)["content"].alias("user"),
+        "line",
+    )
+
+
+@register("qa_flatten")
+def q_qa_flatten(spark, sf_dir):
+    return _questions(spark, sf_dir).select("file_id", "a", "p", "q", "question", F.size("answers").alias("n_answers"))
+
+
+@register("qa_gold")
+def q_qa_gold(spark, sf_dir):
+    return qa.gold_table(_questions(spark, sf_dir))
+
+
+@register("qa_answerable")
+def q_qa_answerable(spark, sf_dir):
+    return qa.answerable(qa.gold_table(_questions(spark, sf_dir))).select("idx", "gold")
+
+
+@register("qa_limit")
+def q_qa_limit(spark, sf_dir):
+    numbered = qa.number_questions(_questions(spark, sf_dir), qa.QUESTION_CAP)
+    return numbered.select("idx", "file_id", "a", "p", "q", "question")
+
+
+@register("qa_requests")
+def q_qa_requests(spark, sf_dir):
+    numbered = qa.number_questions(_questions(spark, sf_dir))
+    return _flat_request(qa.answer_requests(numbered))
+
+
+@register("qa_requests_raw")
+def q_qa_requests_raw(spark, sf_dir):
+    numbered = qa.number_questions(_questions(spark, sf_dir))
+    return _flat_request(qa.raw_answer_requests(numbered))
+
+
+def _model1_responses(spark, sf_dir):
+    res = qa.batch_responses(inputs.answer_batch_lines(spark, sf_dir))
+    return res.select("idx", F.col("custom_id").alias("question"), "response")
+
+
+def _model2_rows(spark, sf_dir):
+    pairs = inputs.conversation_pairs(spark, sf_dir)
+    return pairs.select(
+        "conv_id", "turn", "question", "response",
+        F.size(word_tokens("question")).cast("bigint").alias("input_tokens"),
+        F.size(word_tokens("response")).cast("bigint").alias("output_tokens"),
+    )
+
+
+@register("response_usage")
+def q_response_usage(spark, sf_dir):
+    rows = _model2_rows(spark, sf_dir)
+    return rows.select("conv_id", "turn", *qa.response_rows(rows).columns)
+
+
+@register("qa_align_id")
+def q_qa_align_id(spark, sf_dir):
+    gold = qa.gold_table(_questions(spark, sf_dir))
+    return qa.align_by_id(gold, _model1_responses(spark, sf_dir))
+
+
+@register("qa_align_pos")
+def q_qa_align_pos(spark, sf_dir):
+    gold = qa.gold_table(_questions(spark, sf_dir))
+    return qa.align_by_position(gold, _model2_rows(spark, sf_dir), ["conv_id", "turn"])
+
+
+@register("grade_requests")
+def q_grade_requests(spark, sf_dir):
+    gold = qa.gold_table(_questions(spark, sf_dir))
+    aligned = qa.align_by_id(gold, _model1_responses(spark, sf_dir))
+    return _flat_request(qa.grade_requests(aligned, strict=True))
+
+
+@register("grade_requests_lenient")
+def q_grade_requests_lenient(spark, sf_dir):
+    gold = qa.gold_table(_questions(spark, sf_dir))
+    aligned = qa.align_by_position(gold, _model2_rows(spark, sf_dir), ["conv_id", "turn"])
+    return _flat_request(qa.grade_requests(aligned, strict=False))
+
+
+def echo_model(questions):
+    """A deterministic local stand-in for a chat model (U1 test function)."""
+    import pandas as pd
+
+    responses = "echo: " + questions.astype(str)
+    return pd.DataFrame({
+        "response": responses,
+        "input_tokens": questions.astype(str).str.split().str.len(),
+        "output_tokens": responses.str.split().str.len(),
+    })
+
+
+@register("qa_answer_fn")
+def q_qa_answer_fn(spark, sf_dir):
+    numbered = qa.number_questions(_questions(spark, sf_dir)).select("idx", "question")
+    return qa.answer_with(numbered, echo_model)

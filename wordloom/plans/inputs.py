@@ -121,3 +121,71 @@ def grading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(good)
     )
     return rows.select("model", "line_no", line.alias("line"))
+
+
+# ---------------------------------------------------------------------------
+# QA files and responses (inputs of the request / grading jobs)
+# ---------------------------------------------------------------------------
+
+# How a document becomes a QA file.
+SENTENCE_PATTERN = r"[^.!?]+[.!?]*"
+ANSWER_TEXT = (("quality", "Yes", "No"), ("toxic", "Toxic", "Clean"))
+
+
+def qa_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One QA file per document: a single article whose paragraphs are the
+    document's lines and whose questions are each line's sentences. Labelled
+    documents answer every question with two answers; unlabelled ones have
+    none (unanswerable). Built per row, no grouping."""
+    from ..functions.text import ustrip
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    src = docs.join(labels, "doc_id", "left")
+    answers = F.when(
+        F.col("quality").isNotNull(),
+        F.array(*[
+            F.struct(F.when(F.col(lab) == 1, F.lit(yes)).otherwise(F.lit(no)).alias("text"))
+            for lab, yes, no in ANSWER_TEXT
+        ]),
+    ).otherwise(F.array().cast("array<struct<text:string>>"))
+    paragraphs = F.transform(
+        F.split(F.col("text"), "\n"),
+        lambda par: F.struct(
+            F.transform(
+                F.filter(
+                    F.transform(F.regexp_extract_all(par, F.lit(SENTENCE_PATTERN), 0), lambda s: ustrip(s)),
+                    lambda s: s != "",
+                ),
+                lambda s: F.struct(s.alias("question"), answers.alias("answers")),
+            ).alias("qas")
+        ),
+    )
+    return src.select(F.col("doc_id").alias("file_id"), F.array(F.struct(paragraphs.alias("paragraphs"))).alias("data"))
+
+
+def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user turn and the assistant turn right after it: ``conv_id, turn, question, response``."""
+    conv = table(spark, sf_dir, "conversations")
+    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    )
+    return u.join(a, ["conv_id", "turn"])
+
+
+def answer_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-result lines of the first model: ``custom_id`` is ``"{idx}. {question}"``."""
+    from ..operators.ordering import dense_index
+
+    pairs = dense_index(conversation_pairs(spark, sf_dir), ["conv_id", "turn"], "idx")
+    cid = F.concat(F.col("idx").cast("string"), F.lit(". "), F.col("question"))
+    rec = F.struct(
+        cid.alias("custom_id"),
+        F.struct(
+            F.struct(
+                F.array(F.struct(F.struct(F.lit("assistant").alias("role"), F.col("response").alias("content")).alias("message"))).alias("choices")
+            ).alias("body")
+        ).alias("response"),
+    )
+    return pairs.select(F.to_json(rec).alias("line"))

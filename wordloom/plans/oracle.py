@@ -8,9 +8,12 @@ DuckDB's RE2 has no look-around, so those regexes are restated without it.
 
 from __future__ import annotations
 
+import string
+
 from ..functions.text import SPACE_CLASS, WORD_CLASS, WORD_PATTERN
 from . import catalog as C
-from .inputs import GRADE_MODELS, GRADE_SHAPES, PROMPT_STRIDE
+from ..operators import qa as QA
+from .inputs import ANSWER_TEXT, GRADE_MODELS, GRADE_SHAPES, PROMPT_STRIDE, SENTENCE_PATTERN
 
 WS = "[" + SPACE_CLASS + "]"
 
@@ -298,3 +301,120 @@ FROM acc"""
 
 SQL["qa_accuracy"] = _accuracy_sql("")
 SQL["qa_accuracy_by_model"] = _accuracy_sql("model")
+
+
+# ---------------------------------------------------------------------------
+# C. questions, requests, alignment
+# ---------------------------------------------------------------------------
+
+def sql_literal(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_template(template: str, **exprs: str) -> str:
+    """``str.format`` rendered as a SQL concatenation."""
+    parts = []
+    for literal, field, _spec, _conv in string.Formatter().parse(template):
+        if literal:
+            parts.append(sql_literal(literal))
+        if field is not None:
+            parts.append(f"CAST({exprs[field]} AS VARCHAR)")
+    return "(" + " || ".join(parts) + ")"
+
+
+def cte_questions(name: str = "questions") -> str:
+    (q_lab, q_yes, q_no) = ANSWER_TEXT[0]
+    return f"""qdocs AS (SELECT d.doc_id AS file_id, d.text, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)),
+qpar AS (SELECT file_id, quality, toxic, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS p,
+                unnest(string_split(text, chr(10))) AS par FROM qdocs),
+qsent AS (SELECT file_id, quality, toxic, p,
+                 list_filter(list_transform(regexp_extract_all(par, '{SENTENCE_PATTERN}'), lambda s: {strip_sql('s')}),
+                             lambda s: s <> '') AS sents FROM qpar),
+{name} AS (
+  SELECT file_id, CAST(0 AS INTEGER) AS a, p, CAST(generate_subscripts(sents, 1) - 1 AS INTEGER) AS q,
+         unnest(sents) AS question,
+         CASE WHEN quality IS NOT NULL THEN 2 ELSE 0 END AS n_answers,
+         CASE WHEN quality IS NOT NULL THEN lower(CASE WHEN {q_lab} = 1 THEN '{q_yes}' ELSE '{q_no}' END) END AS gold
+  FROM qsent),
+numbered AS (SELECT row_number() OVER (ORDER BY file_id, a, p, q) AS idx, * FROM {name})"""
+
+
+def cte_pairs(name: str = "pairs") -> str:
+    return f"""{name} AS (
+  SELECT u.conv_id, u.turn, u.text AS question, a.text AS response,
+         row_number() OVER (ORDER BY u.conv_id, u.turn) AS idx
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user')"""
+
+
+def request_select(cid: str, model: str, system: str, user: str, temperature: float | None) -> str:
+    temp = f"CAST({temperature} AS DOUBLE)" if temperature is not None else "CAST(NULL AS DOUBLE)"
+    body_temp = f"'temperature': {temp}, " if temperature is not None else ""
+    return f"""{cid} AS custom_id, '{model}' AS model, {temp} AS temperature,
+       {sql_literal(system)} AS system, {user} AS "user",
+       to_json({{'custom_id': {cid}, 'method': '{QA.REQUEST_METHOD}', 'url': '{QA.REQUEST_URL}',
+                'body': {{'model': '{model}', {body_temp}'messages': [
+                   {{'role': 'system', 'content': {sql_literal(system)}}},
+                   {{'role': 'user', 'content': {user}}}]}}}})::VARCHAR AS line"""
+
+
+_Q = f"WITH {cte_questions()}"
+
+SQL["qa_flatten"] = f"""{_Q}
+SELECT file_id, a, p, q, question, n_answers FROM questions"""
+
+SQL["qa_gold"] = f"""{_Q}
+SELECT idx, question, gold FROM numbered"""
+
+SQL["qa_answerable"] = f"""{_Q}
+SELECT idx, gold FROM numbered WHERE gold IS NOT NULL"""
+
+SQL["qa_limit"] = f"""{_Q}
+SELECT idx, file_id, a, p, q, question FROM numbered WHERE idx <= {QA.QUESTION_CAP}"""
+
+_CID = "(CAST(idx AS VARCHAR) || '. ' || question)"
+
+SQL["qa_requests"] = f"""{_Q}
+SELECT idx, {request_select(_CID, QA.ANSWER_MODEL, QA.ANSWER_SYSTEM, sql_template(QA.ANSWER_USER, question='question'), QA.TEMPERATURE)}
+FROM numbered"""
+
+SQL["qa_requests_raw"] = f"""{_Q}
+SELECT idx, {request_select(_CID, QA.ANSWER_MODEL, QA.ANSWER_SYSTEM, sql_template(QA.RAW_USER, question='question'), None)}
+FROM numbered"""
+
+SQL["response_usage"] = f"""WITH {cte_pairs()}
+SELECT conv_id, turn, question, response,
+       CAST(len({tokens_sql('question')}) AS BIGINT) AS input_tokens,
+       CAST(len({tokens_sql('response')}) AS BIGINT) AS output_tokens
+FROM pairs"""
+
+# First model: responses carry the numbered custom id as their question.
+_M1 = f"""{cte_pairs()},
+m1 AS (SELECT idx, CAST(idx AS VARCHAR) || '. ' || question AS question, response FROM pairs)"""
+_M2 = f"""{cte_pairs()},
+m2 AS (SELECT idx, question, response FROM pairs)"""
+
+SQL["qa_align_id"] = f"""{_Q}, {_M1}
+SELECT n.idx, n.gold, m.question, m.response FROM numbered n JOIN m1 m USING (idx)"""
+
+SQL["qa_align_pos"] = f"""{_Q}, {_M2}
+SELECT n.idx, n.gold, m.question, m.response FROM numbered n JOIN m2 m USING (idx)"""
+
+
+def _grade_sql(models_cte: str, m: str, strict: bool) -> str:
+    system = QA.GRADE_SYSTEM_STRICT if strict else QA.GRADE_SYSTEM_LENIENT
+    user = sql_template(QA.GRADE_USER, question="m.question", student_response="m.response", correct_answers="n.gold")
+    cid = "(CAST(n.idx AS VARCHAR) || '. ' || m.question)"
+    return f"""{_Q}, {models_cte}
+SELECT n.idx, {request_select(cid, QA.GRADER_MODEL, system, user, QA.TEMPERATURE)}
+FROM numbered n JOIN {m} m USING (idx) WHERE n.gold IS NOT NULL"""
+
+
+SQL["grade_requests"] = _grade_sql(_M1, "m1", True)
+SQL["grade_requests_lenient"] = _grade_sql(_M2, "m2", False)
+
+SQL["qa_answer_fn"] = f"""{_Q}
+SELECT idx, question, 'echo: ' || question AS response,
+       CAST(len({split_ws_sql('question')}) AS BIGINT) AS input_tokens,
+       CAST(len({split_ws_sql("'echo: ' || question")}) AS BIGINT) AS output_tokens
+FROM numbered"""
