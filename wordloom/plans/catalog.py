@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import word_tokens
+from ..functions.text import word_symbols, word_tokens
+from ..operators import bpe as bp
 from ..operators import ngram as ng
 from ..operators import qa
 from ..operators import scoring as sc
@@ -313,3 +314,113 @@ def echo_model(questions):
 def q_qa_answer_fn(spark, sf_dir):
     numbered = qa.number_questions(_questions(spark, sf_dir)).select("idx", "question")
     return qa.answer_with(numbered, echo_model)
+
+
+# ---------------------------------------------------------------------------
+# B. byte-pair encoding
+# ---------------------------------------------------------------------------
+
+K_MERGES = 8  # merges learned by the registered BPE queries
+
+
+def _bpe_docs(spark, sf_dir):
+    return inputs.documents(spark, sf_dir)
+
+
+def _bench_docs(spark, sf_dir):
+    return inputs.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+
+
+def _types(spark, sf_dir):
+    return bp.with_symbols(bp.word_types(_bpe_docs(spark, sf_dir)))
+
+
+def _first_cols(df, col="first"):
+    return df.withColumn("first_doc", F.col(f"{col}.doc_id")).withColumn("first_pos", F.col(f"{col}.pos")).drop(col)
+
+
+@register("bpe_pretokens")
+def q_bpe_pretokens(spark, sf_dir):
+    return bp.pretokens(_bpe_docs(spark, sf_dir)).withColumnRenamed("word", "token")
+
+
+@register("bpe_word_freqs")
+def q_bpe_word_freqs(spark, sf_dir):
+    return _first_cols(bp.word_types(_bpe_docs(spark, sf_dir)))
+
+
+@register("bpe_symbols")
+def q_bpe_symbols(spark, sf_dir):
+    types = bp.word_types(_bpe_docs(spark, sf_dir))
+    return types.select("word", F.array_join(word_symbols(F.col("word")), " ").alias("symbols"))
+
+
+@register("bpe_pair_stats")
+def q_bpe_pair_stats(spark, sf_dir):
+    stats = bp.pair_stats(_types(spark, sf_dir))
+    return stats.select(
+        "l", "r", "cnt",
+        F.col("first.t.doc_id").alias("first_doc"), F.col("first.t.pos").alias("first_pos"),
+        F.col("first.i").alias("first_i"),
+    )
+
+
+@register("bpe_best_pair")
+def q_bpe_best_pair(spark, sf_dir):
+    stats = bp.pair_stats(_types(spark, sf_dir))
+    return stats.orderBy(F.desc("cnt"), F.asc("first")).limit(1).select("l", "r", "cnt")
+
+
+@register("bpe_merge_once")
+def q_bpe_merge_once(spark, sf_dir):
+    seg = bp.segment_types(_bpe_docs(spark, sf_dir), 1)
+    return seg.select("word", F.array_join("symbols", " ").alias("symbols"))
+
+
+def _model(spark, sf_dir):
+    return bp.train_bpe(_bpe_docs(spark, sf_dir), K_MERGES)
+
+
+@register("bpe_train")
+def q_bpe_train(spark, sf_dir):
+    return _model(spark, sf_dir).merges
+
+
+@register("bpe_vocab")
+def q_bpe_vocab(spark, sf_dir):
+    return _model(spark, sf_dir).vocab
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf_dir):
+    model = _model(spark, sf_dir)
+    words = bp.pretokens(_bpe_docs(spark, sf_dir)).select("word")
+    enc = bp.encode_words(words, model.vocab)
+    return enc.select("word", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n_tokens"))
+
+
+@register("bpe_ids")
+def q_bpe_ids(spark, sf_dir):
+    model = _model(spark, sf_dir)
+    words = bp.pretokens(_bpe_docs(spark, sf_dir)).select("word")
+    toks = bp.encode_words(words, model.vocab).select(F.explode("tokens").alias("token")).distinct()
+    return bp.token_ids(toks, model.vocab).select("token", "id")
+
+
+@register("bpe_tokenize")
+def q_bpe_tokenize(spark, sf_dir):
+    return bp.tokenize(_bench_docs(spark, sf_dir), _model(spark, sf_dir))
+
+
+@register("bpe_decode")
+def q_bpe_decode(spark, sf_dir):
+    model = _model(spark, sf_dir)
+    ids = bp.tokenize(_bench_docs(spark, sf_dir), model).select("doc_id", "pos", "tpos", "id")
+    return bp.decode(ids, model.vocab).select("doc_id", "pos", "tpos", "id", "token")
+
+
+@register("bpe_roundtrip")
+def q_bpe_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "bpe-model")
+    _model(spark, sf_dir).save(path)
+    return bp.BpeModel.load(spark, path).vocab

@@ -418,3 +418,148 @@ SELECT idx, question, 'echo: ' || question AS response,
        CAST(len({split_ws_sql('question')}) AS BIGINT) AS input_tokens,
        CAST(len({split_ws_sql("'echo: ' || question")}) AS BIGINT) AS output_tokens
 FROM numbered"""
+
+
+# ---------------------------------------------------------------------------
+# B. byte-pair encoding (merges unrolled into chained CTEs)
+# ---------------------------------------------------------------------------
+
+_W = "[" + WORD_CLASS + "]"
+_NW = "[^" + WORD_CLASS + "]"
+_PRE_MATCH = _W + "+" + "[^" + WORD_CLASS + SPACE_CLASS + "]?"
+
+
+def cte_pretokens(src: str = "documents", id_col: str = "doc_id", name: str = "pt") -> str:
+    """F2 without look-behind: match word + optional attached punctuation, then split it off."""
+    return f"""{name}_m AS (SELECT {id_col} AS doc_id, regexp_extract_all(lower(text), '{_PRE_MATCH}') AS ms FROM {src}),
+{name}_0 AS (SELECT doc_id, generate_subscripts(ms, 1) AS mi, unnest(ms) AS m FROM {name}_m),
+{name}_1 AS (SELECT doc_id, mi, regexp_extract(m, '^{_W}+') AS w, regexp_extract(m, '{_NW}$') AS pch FROM {name}_0),
+{name} AS (
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY mi, part) - 1 AS INTEGER) AS pos, word
+  FROM (SELECT doc_id, mi, 0 AS part, w AS word FROM {name}_1
+        UNION ALL SELECT doc_id, mi, 1 AS part, pch AS word FROM {name}_1 WHERE pch <> ''))"""
+
+
+def wrap_sql(word: str) -> str:
+    return f"(chr(9) || array_to_string(list_append(string_split({word}, ''), '</w>'), ' ' || chr(9)) || ' ')"
+
+
+def unwrap_sql(sym: str) -> str:
+    return f"string_split(substr({sym}, 2, length({sym}) - 2), ' ' || chr(9))"
+
+
+def cte_bpe_types(pt: str = "pt", name: str = "bt0") -> str:
+    return f"""{name} AS (
+  SELECT word, count(*) AS freq, arg_min(doc_id, (doc_id, pos)) AS first_doc, arg_min(pos, (doc_id, pos)) AS first_pos,
+         {wrap_sql('word')} AS sym
+  FROM {pt} GROUP BY word)"""
+
+
+def cte_pair_stats(types: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT l, r, CAST(sum(freq) AS BIGINT) AS cnt,
+         arg_min(first_doc, (first_doc, first_pos, i)) AS fd,
+         arg_min(first_pos, (first_doc, first_pos, i)) AS fp,
+         arg_min(i, (first_doc, first_pos, i)) AS fi
+  FROM (SELECT freq, first_doc, first_pos, i, s[i] AS l, s[i + 1] AS r
+        FROM (SELECT *, unnest(range(1, len(s))) AS i FROM (SELECT *, {unwrap_sql('sym')} AS s FROM {types})))
+  GROUP BY l, r)"""
+
+
+def bpe_merge_ctes(k: int, types0: str = "bt0") -> str:
+    """``k`` rounds: pair stats -> best (count desc, first met) -> rewrite the types."""
+    out = []
+    prev = types0
+    for j in range(1, k + 1):
+        out.append(cte_pair_stats(prev, f"bp{j}"))
+        out.append(f"bb{j} AS (SELECT {j} AS rank, l, r, cnt FROM bp{j} ORDER BY cnt DESC, fd, fp, fi LIMIT 1)")
+        out.append(
+            f"""bt{j} AS (
+  SELECT word, freq, first_doc, first_pos,
+         CASE WHEN b.l IS NULL THEN sym
+              ELSE replace(sym, chr(9) || b.l || ' ' || chr(9) || b.r || ' ', chr(9) || b.l || b.r || ' ') END AS sym
+  FROM {prev} LEFT JOIN bb{j} b ON true)"""
+        )
+        prev = f"bt{j}"
+    return ",\n".join(out)
+
+
+def cte_bpe_model(k: int) -> str:
+    merges = " UNION ALL ".join(f"SELECT * FROM bb{j}" for j in range(1, k + 1)) or "SELECT 0 AS rank, '' AS l, '' AS r, 0 AS cnt WHERE false"
+    return f"""{cte_pretokens()},
+{cte_bpe_types()},
+{bpe_merge_ctes(k)},
+bmerges AS ({merges}),
+bvocab AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id
+           FROM (SELECT DISTINCT unnest({unwrap_sql('sym')}) AS token FROM bt{k}))"""
+
+
+def cte_encode(words: str, name: str = "enc") -> str:
+    """B9 as a recursive CTE: leftmost in-vocabulary pair, merged everywhere, until none."""
+    return f"""vl AS (SELECT list(token) AS v FROM bvocab),
+{name}_r AS (
+  WITH RECURSIVE e(word, sym, done) AS (
+    SELECT word, {wrap_sql('word')}, false FROM {words}
+    UNION ALL
+    SELECT word,
+           CASE WHEN ci IS NULL THEN sym
+                ELSE replace(sym, chr(9) || s[ci] || ' ' || chr(9) || s[ci + 1] || ' ', chr(9) || s[ci] || s[ci + 1] || ' ') END,
+           ci IS NULL
+    FROM (SELECT word, sym, s, list_filter(range(1, len(s)), lambda i: list_contains(v, s[i] || s[i + 1]))[1] AS ci
+          FROM (SELECT e.word, e.sym, {unwrap_sql('e.sym')} AS s, vl.v FROM e, vl WHERE NOT e.done)))
+  SELECT word, sym FROM e WHERE done),
+{name} AS (
+  SELECT word, CASE WHEN len(s) > 0 AND s[len(s)] = '</w>' THEN s[1 : len(s) - 1] ELSE s END AS tokens
+  FROM (SELECT word, {unwrap_sql('sym')} AS s FROM {name}_r))"""
+
+
+K = C.K_MERGES
+_BPE = f"WITH {cte_bpe_model(K)}"
+
+SQL["bpe_pretokens"] = f"""WITH {cte_pretokens()}
+SELECT doc_id, pos, word AS token FROM pt"""
+
+SQL["bpe_word_freqs"] = f"""WITH {cte_pretokens()}, {cte_bpe_types()}
+SELECT word, freq, first_doc, first_pos FROM bt0"""
+
+SQL["bpe_symbols"] = f"""WITH {cte_pretokens()}, {cte_bpe_types()}
+SELECT word, array_to_string(list_append(string_split(word, ''), '</w>'), ' ') AS symbols FROM bt0"""
+
+SQL["bpe_pair_stats"] = f"""WITH {cte_pretokens()}, {cte_bpe_types()}, {cte_pair_stats('bt0', 'bp1')}
+SELECT l, r, cnt, fd AS first_doc, fp AS first_pos, CAST(fi - 1 AS INTEGER) AS first_i FROM bp1"""
+
+SQL["bpe_best_pair"] = f"""WITH {cte_pretokens()}, {cte_bpe_types()}, {cte_pair_stats('bt0', 'bp1')}
+SELECT l, r, cnt FROM bp1 ORDER BY cnt DESC, fd, fp, fi LIMIT 1"""
+
+SQL["bpe_merge_once"] = f"""WITH {cte_pretokens()}, {cte_bpe_types()}, {bpe_merge_ctes(1)}
+SELECT word, array_to_string({unwrap_sql('sym')}, ' ') AS symbols FROM bt1"""
+
+SQL["bpe_train"] = f"""{_BPE}
+SELECT CAST(rank AS INTEGER) AS rank, l, r, cnt FROM bmerges"""
+
+SQL["bpe_vocab"] = f"""{_BPE}
+SELECT token, id FROM bvocab"""
+
+SQL["bpe_roundtrip"] = SQL["bpe_vocab"]
+
+_ENC_DOCS = f"""{_BPE}, ew AS (SELECT DISTINCT word FROM pt), {cte_encode('ew')}"""
+
+SQL["bpe_encode"] = f"""{_ENC_DOCS}
+SELECT word, array_to_string(tokens, ' ') AS tokens, CAST(len(tokens) AS INTEGER) AS n_tokens FROM enc"""
+
+SQL["bpe_ids"] = f"""{_ENC_DOCS}
+SELECT t.token, COALESCE(v.id, -1) AS id
+FROM (SELECT DISTINCT unnest(tokens) AS token FROM enc) t LEFT JOIN bvocab v USING (token)"""
+
+_TOK_BENCH = f"""{_BPE}, {cte_pretokens('benchmark', 'item_id', 'qt')},
+ew AS (SELECT DISTINCT word FROM qt), {cte_encode('ew')},
+toks AS (
+  SELECT q.doc_id, q.pos, CAST(generate_subscripts(e.tokens, 1) - 1 AS INTEGER) AS tpos, unnest(e.tokens) AS token
+  FROM qt q JOIN enc e USING (word)),
+tid AS (SELECT t.*, COALESCE(v.id, -1) AS id FROM toks t LEFT JOIN bvocab v USING (token))"""
+
+SQL["bpe_tokenize"] = f"""{_TOK_BENCH}
+SELECT doc_id, pos, tpos, token, id FROM tid"""
+
+SQL["bpe_decode"] = f"""{_TOK_BENCH}
+SELECT t.doc_id, t.pos, t.tpos, t.id, v.token FROM tid t JOIN bvocab v ON v.id = t.id"""
