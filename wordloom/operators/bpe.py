@@ -129,15 +129,23 @@ def _best_pair(pairs: DataFrame, types: DataFrame):
 
 
 def _merge_loop(types: DataFrame, k: int):
-    """Run up to ``k`` merges over checkpointed ``types``; return final types and merges."""
-    pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt")))
+    """Run up to ``k`` merges over ``types``; return final types and merges.
+
+    Per round: one small job picks the best pair (one row to the driver); the
+    affected types' old pairs (negative) and new pairs (positive) are folded
+    into the pair table by a single aggregation. The types and pair tables are
+    checkpointed every few rounds (reliable, bounded lineage) and kept in
+    memory in between.
+    """
+    types = cut_lineage(types).persist()
+    pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
     merges: list[tuple[int, str, str, int]] = []
-    stale = None  # the previous round's pair table, released once its successor is materialised
+    released: list[DataFrame] = []
     for rank in range(1, max(k, 0) + 1):
         best = _best_pair(pairs, types)
-        if stale is not None:
-            stale.unpersist()
-            stale = None
+        for df in released:
+            df.unpersist()
+        released = []
         if best is None:
             break
         left, right, cnt = best
@@ -145,21 +153,18 @@ def _merge_loop(types: DataFrame, k: int):
         hit = F.col("sym").contains(f"\t{left} \t{right} ")
         affected = types.where(hit)
         merged = affected.withColumn("sym", merge_column(F.col("sym"), left, right))
-        delta = type_pairs(affected, -F.col("freq")).unionByName(type_pairs(merged))
-        delta = delta.groupBy("l", "r").agg(F.sum("w").alias("cnt"))
-        new_pairs = (
-            pairs.unionByName(delta).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
-        )
+        signed = type_pairs(affected, -F.col("freq")).unionByName(type_pairs(merged)).select("l", "r", F.col("w").alias("cnt"))
+        new_pairs = pairs.unionByName(signed).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
         # ``replace`` leaves strings without the pair unchanged; one reference to
         # ``sym`` per round keeps the collapsed projection linear in the rounds.
-        types = types.withColumn("sym", merge_column(F.col("sym"), left, right))
+        new_types = types.withColumn("sym", merge_column(F.col("sym"), left, right))
+        released.append(pairs)
         if rank % _CHECKPOINT_EVERY == 0:
-            types = cut_lineage(types)
+            released.append(types)
+            new_types = cut_lineage(new_types).persist()
             new_pairs = cut_lineage(new_pairs)
-        else:
-            new_pairs = new_pairs.persist()
-        stale = pairs
-        pairs = new_pairs
+        pairs = new_pairs.persist()
+        types = new_types
     return types, merges
 
 
@@ -170,8 +175,7 @@ def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: s
     corpus' word types, numbered from 0 in code-point order (W5, G7).
     """
     spark = docs.sparkSession
-    types = cut_lineage(with_symbols(word_types(docs, id_col, text_col)))
-    types, merges = _merge_loop(types, k)
+    types, merges = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
     vocab = types.select(F.explode(unwrap_symbols(F.col("sym"))).alias("token")).distinct()
     vocab = dense_index(vocab, ["token"], "id", start=0).select("token", "id")
     merges_df = spark.createDataFrame(merges, "rank int, l string, r string, cnt bigint")
@@ -180,8 +184,7 @@ def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: s
 
 def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The training types after ``k`` merges: ``word, freq, first, symbols``."""
-    types = cut_lineage(with_symbols(word_types(docs, id_col, text_col)))
-    types, _ = _merge_loop(types, k)
+    types, _ = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
     return types.select("word", "freq", "first", unwrap_symbols(F.col("sym")).alias("symbols"))
 
 

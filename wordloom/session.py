@@ -54,6 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder and return a
-    DataFrame that reads it back (survives executor loss; bounded lineage)."""
+    DataFrame that reads it back (survives executor loss; bounded lineage).
+
+    The plan is cached for the duration of the write: the checkpoint write is
+    a second job over the same data and would otherwise recompute the plan.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
