@@ -19,6 +19,8 @@ from ..operators import ngram as ng
 from ..operators import qa
 from ..operators import scoring as sc
 from ..session import ensure_checkpoint_dir
+from ..sources import files as fs
+from ..streaming import ngram_stream as stream
 from . import inputs
 
 # Fixed parameters of the registered queries (also baked into the oracle SQL).
@@ -424,3 +426,59 @@ def q_bpe_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "bpe-model")
     _model(spark, sf_dir).save(path)
     return bp.BpeModel.load(spark, path).vocab
+
+
+# ---------------------------------------------------------------------------
+# Sources / sinks and streaming, each through files under the shared folder
+# ---------------------------------------------------------------------------
+
+@register("qa_file_roundtrip")
+def q_qa_file_roundtrip(spark, sf_dir):
+    """QA documents written as JSON Lines, read back with the QA schema, flattened."""
+    path = scratch_path(spark, "qa-files")
+    files = inputs.qa_files(spark, sf_dir)
+    files.select(F.to_json(F.struct("data")).alias("value")).write.text(path)
+    back = fs.read_qa(spark, path, multiline=False)
+    qs = qa.flatten_qa(back)
+    return qs.select("question", F.size("answers").alias("n_answers"))
+
+
+@register("score_from_files")
+def q_score_from_files(spark, sf_dir):
+    """S9 + S3: result lines written unchanged, read back as lines and scored."""
+    path = scratch_path(spark, "grading-results")
+    fs.write_lines(inputs.grading_lines(spark, sf_dir), "line", path)
+    scored = sc.score_lines(fs.read_lines(spark, path))
+    return sc.outcome_counts(scored)
+
+
+@register("requests_sink")
+def q_requests_sink(spark, sf_dir):
+    """Requests written as JSON Lines and read back."""
+    path = scratch_path(spark, "requests")
+    numbered = qa.number_questions(_questions(spark, sf_dir))
+    fs.write_jsonl(qa.answer_requests(numbered), "request", path)
+    back = spark.read.schema("custom_id string, method string, url string, body struct<model: string, temperature: double>").json(path)
+    return back.select("custom_id", "method", "url", F.col("body.model").alias("model"), F.col("body.temperature").alias("temperature"))
+
+
+@register("response_rows_roundtrip")
+def q_response_rows_roundtrip(spark, sf_dir):
+    """S6 + S4: response rows appended as JSON Lines, read back in file order, aligned by position."""
+    path = scratch_path(spark, "responses")
+    rows = _model2_rows(spark, sf_dir).orderBy("conv_id", "turn").coalesce(1)
+    fs.append_response_rows(rows, path)
+    back = fs.read_response_rows(spark, path)
+    gold = qa.gold_table(_questions(spark, sf_dir))
+    return qa.align_by_position(gold, back, ["file", "block", "row"])
+
+
+@register("ngram_stream_counts")
+def q_ngram_stream_counts(spark, sf_dir):
+    """Streaming counterpart of ``ngram_counts``: documents read as a stream, counts kept as state."""
+    base = scratch_path(spark, "ngram-stream")
+    # A glob (one-letter class) so the file source keeps ``basePath`` = the table folder.
+    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir)
+    q = stream.start_ngram_counts(docs, N_COUNTS, f"{base}/table", f"{base}/checkpoint")
+    q.awaitTermination()
+    return _flat_first(stream.current_counts(spark, f"{base}/table"))

@@ -563,3 +563,23 @@ SELECT doc_id, pos, tpos, token, id FROM tid"""
 
 SQL["bpe_decode"] = f"""{_TOK_BENCH}
 SELECT t.doc_id, t.pos, t.tpos, t.id, v.token FROM tid t JOIN bvocab v ON v.id = t.id"""
+
+
+# ---------------------------------------------------------------------------
+# Sources / sinks and streaming
+# ---------------------------------------------------------------------------
+
+SQL["qa_file_roundtrip"] = f"""{_Q}
+SELECT question, n_answers FROM questions"""
+
+SQL["score_from_files"] = f"""{_SCORED}
+SELECT outcome, count(*) AS n FROM scored GROUP BY outcome"""
+
+SQL["requests_sink"] = f"""{_Q}
+SELECT {_CID} AS custom_id, '{QA.REQUEST_METHOD}' AS method, '{QA.REQUEST_URL}' AS url,
+       '{QA.ANSWER_MODEL}' AS model, CAST({QA.TEMPERATURE} AS DOUBLE) AS temperature
+FROM numbered"""
+
+SQL["response_rows_roundtrip"] = SQL["qa_align_pos"]
+
+SQL["ngram_stream_counts"] = SQL["ngram_counts"]
