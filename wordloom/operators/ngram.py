@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_parallel
 
 FIRST_TYPE = "struct<batch:int,doc_id:bigint,i:int>"
 
@@ -38,6 +38,7 @@ STATUS_BAD_ARITY = "bad_arity"
 
 
 def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    docs = ensure_parallel(docs.select(id_col, text_col), id_col)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), word_tokens(text_col).alias("t"))
 
 
@@ -265,18 +266,24 @@ def generate(
     least one word was generated (the reference prints nothing otherwise).
     """
     n = model.n
-    checked = _check_prompts(model, normalize_prompts(prompts))
+    spark = prompts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Materialised once: used to seed the loop and again for the final result.
+    checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
+    # Lookup tables are hash-partitioned on ``context`` before they are
+    # checkpointed, so every step's join shuffles only the active prompts.
     if mode == "top1":
-        top1 = model.top1().select("context", "word")
-        top1 = cut_lineage(top1)
-        lookups = dict(top1=top1)
+        top1 = model.top1().select("context", "word").repartition(parts, "context")
+        lookups = dict(top1=cut_lineage(top1))
     else:
-        lookups = dict(intervals=cut_lineage(model.intervals()), totals=cut_lineage(model.totals()))
+        lookups = dict(
+            intervals=cut_lineage(model.intervals().repartition(parts, "context")),
+            totals=cut_lineage(model.totals().repartition(parts, "context")),
+        )
 
     active = checked.where(F.col("status").isNull()).select(
         "prompt_id", F.col("words").alias("ctx")
     )
-    active = cut_lineage(active)
     produced = []
     stopped = []
     for step in range(nwords):
@@ -288,7 +295,6 @@ def generate(
         active = res.where(F.col("next_word").isNotNull()).select(
             "prompt_id", F.concat(F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>"), F.array("next_word")).alias("ctx")
         )
-    spark = prompts.sparkSession
     if produced:
         gen = produced[0]
         for p in produced[1:]:

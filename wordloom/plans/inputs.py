@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace
+from ..session import ensure_parallel
 
 # Prompt ids: item_id * PROMPT_STRIDE is the whole benchmark text as one prompt;
 # item_id * PROMPT_STRIDE + pos + 1 is the n-word window starting at word ``pos``.
@@ -139,7 +140,7 @@ def qa_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     none (unanswerable). Built per row, no grouping."""
     from ..functions.text import ustrip
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     labels = table(spark, sf_dir, "labels")
     src = docs.join(labels, "doc_id", "left")
     answers = F.when(

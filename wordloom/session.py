@@ -64,3 +64,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a CPU-heavy input over the cluster when its scan gives too few tasks.
+
+    A large scan already has many splits and is left alone (no shuffle); a
+    file with a single row group would otherwise run all tokenization in one
+    task. The check is plan-time only (partition count), no job runs. Hash
+    partitioning on a unique key keeps retries deterministic without the sort
+    a round-robin repartition needs.
+    """
+    if df.isStreaming:
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
