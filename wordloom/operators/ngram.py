@@ -9,8 +9,11 @@ Model tables
 ------------
 ``counts``: ``context STRING`` (context tokens joined by one space -- tokens
 never contain whitespace), ``word STRING``, ``cnt BIGINT`` and
-``first STRUCT<batch INT, doc_id BIGINT, i INT>``: the earliest occurrence of
-the (context, word) pair, which is the reference's "seen first" tie order.
+``first DECIMAL(38,0)``: the earliest occurrence of the (context, word) pair,
+which is the reference's "seen first" tie order. ``first`` packs
+``(batch, doc_id, i)`` into one exact number (:func:`first_key`) so the
+counting aggregate keeps a fixed-width buffer and runs as a hash aggregate
+(a struct minimum would force a sort-based aggregate over every occurrence).
 
 ``vocab``: ``word STRING``.
 
@@ -28,7 +31,39 @@ from pyspark.sql import functions as F
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_parallel
 
-FIRST_TYPE = "struct<batch:int,doc_id:bigint,i:int>"
+_DEC = "decimal(38,0)"
+
+
+def _d(v: int) -> Column:
+    return F.lit(str(v)).cast(_DEC)
+
+
+_POS_SPAN = 10**12  # positions within a document
+_DOC_SPAN = 10**20  # shifted doc ids: doc_id + 2^63 < 10^20
+_DOC_SHIFT = 2**63
+
+
+def first_key(batch: Column, doc_id: Column, i: Column) -> Column:
+    """``(batch, doc_id, i)`` as one order-preserving DECIMAL(38,0)."""
+    shifted = doc_id.cast(_DEC) + _d(_DOC_SHIFT)
+    return ((batch.cast(_DEC) * _d(_DOC_SPAN) + shifted) * _d(_POS_SPAN) + i.cast(_DEC)).cast(_DEC)
+
+
+def key_pos(key: Column) -> Column:
+    return (key % _d(_POS_SPAN)).cast("int")
+
+
+def _key_high(key: Column) -> Column:
+    return ((key - key % _d(_POS_SPAN)) / _d(_POS_SPAN)).cast(_DEC)
+
+
+def key_doc(key: Column) -> Column:
+    return (_key_high(key) % _d(_DOC_SPAN) - _d(_DOC_SHIFT)).cast("bigint")
+
+
+def key_batch(key: Column) -> Column:
+    high = _key_high(key)
+    return ((high - high % _d(_DOC_SPAN)) / _d(_DOC_SPAN)).cast("int")
 
 # Statuses of a prediction / generation row.
 STATUS_OK = "ok"
@@ -54,7 +89,7 @@ def ngram_events(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str
         F.sequence(F.lit(n), F.size(t) - 1),
         lambda i: F.struct(
             i.cast("int").alias("i"),
-            F.array_join(F.slice(t, i - n + 1, n), " ").alias("context"),
+            F.concat_ws(" ", *[F.element_at(t, i - n + 1 + k) for k in range(n)]).alias("context"),
             F.element_at(t, i + 1).alias("word"),
         ),
     )
@@ -65,7 +100,7 @@ def count_events(events: DataFrame, batch: int = 0) -> DataFrame:
     """Counts per (context, word) with the first occurrence."""
     return events.groupBy("context", "word").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.min(F.struct(F.lit(batch).cast("int").alias("batch"), F.col("doc_id"), F.col("i"))).alias("first"),
+        F.min(first_key(F.lit(batch), F.col("doc_id"), F.col("i"))).alias("first"),
     )
 
 

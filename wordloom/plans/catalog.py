@@ -42,7 +42,7 @@ def register(name: str):
 
 
 def _flat_first(df: DataFrame) -> DataFrame:
-    return df.withColumn("first_doc", F.col("first.doc_id")).withColumn("first_pos", F.col("first.i")).drop("first")
+    return df.withColumn("first_doc", ng.key_doc(F.col("first"))).withColumn("first_pos", ng.key_pos(F.col("first"))).drop("first")
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
@@ -149,8 +149,8 @@ def q_ngram_incremental(spark, sf_dir):
     model = model.update(bench, batch=1)
     return model.counts.select(
         "context", "word", "cnt",
-        F.col("first.batch").alias("first_batch"), F.col("first.doc_id").alias("first_doc"),
-        F.col("first.i").alias("first_pos"),
+        ng.key_batch(F.col("first")).alias("first_batch"), ng.key_doc(F.col("first")).alias("first_doc"),
+        ng.key_pos(F.col("first")).alias("first_pos"),
     )
 
 

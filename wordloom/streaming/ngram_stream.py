@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ngram import ngram_events
+from ..operators.ngram import count_events, ngram_events
 
 DOC_SCHEMA = "doc_id bigint, text string"
 
@@ -34,11 +34,7 @@ def start_ngram_counts(
     docs: DataFrame, n: int, table_path: str, checkpoint_path: str, available_now: bool = True
 ) -> StreamingQuery:
     """Start the counting query; every batch appends ``batch_id, context, word, cnt, first``."""
-    events = ngram_events(docs.select("doc_id", "text"), n)
-    counts = events.groupBy("context", "word").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min(F.struct(F.lit(0).alias("batch"), F.col("doc_id"), F.col("i"))).alias("first"),
-    )
+    counts = count_events(ngram_events(docs.select("doc_id", "text"), n))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(table_path)
