@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols, wrapped_pair
 from ..session import cut_lineage, ensure_parallel
-from .ordering import dense_index
+from .ordering import dense_index, first_key
 
 # How many leading pairs are fetched per round to see whether the maximum is tied.
 _TIE_PROBE = 32
@@ -45,9 +45,10 @@ def pretokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def word_types(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``word, freq, first`` with ``first`` the earliest ``(doc_id, pos)``."""
+    """``word, freq, first`` with ``first`` the earliest ``(doc_id, pos)``
+    packed by :func:`first_key` (hash-aggregatable)."""
     return pretokens(docs, id_col, text_col).groupBy("word").agg(
-        F.count(F.lit(1)).alias("freq"), F.min(F.struct("doc_id", "pos")).alias("first")
+        F.count(F.lit(1)).alias("freq"), F.min(first_key(F.lit(0), F.col("doc_id"), F.col("pos"))).alias("first")
     )
 
 
@@ -193,11 +194,12 @@ def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str
 # Encoding (B9) and tokenization
 # ---------------------------------------------------------------------------
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    """The vocabulary, broadcast only when its row count is below the bound."""
+def _vocab_side(vocab: DataFrame) -> tuple[DataFrame, bool]:
+    """The vocabulary tokens and whether they are small enough to broadcast
+    (row count checked against :data:`BROADCAST_VOCAB_ROWS`)."""
     tokens = vocab.select("token")
-    n = tokens.count()
-    return F.broadcast(tokens) if n <= BROADCAST_VOCAB_ROWS else tokens
+    small = tokens.count() <= BROADCAST_VOCAB_ROWS
+    return (F.broadcast(tokens) if small else tokens), small
 
 
 def _encode_python(words: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -247,11 +249,20 @@ def encode_words(words: DataFrame, vocab: DataFrame, spark_rounds: int = 24) ->
     every occurrence of it. Words without a candidate leave the loop. Words
     still active after ``spark_rounds`` rounds (very long tokens) are finished
     by the same rule in a per-word helper, so the number of jobs stays bounded.
+    The helper needs the vocabulary as a broadcast set, so it is used only
+    when the vocabulary passed the size check; otherwise the rounds continue
+    until every word is done.
     """
-    vocab_tokens = _vocab_side(vocab)
+    vocab_tokens, small = _vocab_side(vocab)
     active = cut_lineage(words.select("word").distinct().withColumn("sym", wrap_symbols(word_symbols(F.col("word")))))
     finished = []
-    for _ in range(spark_rounds):
+    rounds = 0
+    while True:
+        if small and rounds >= spark_rounds:
+            if not active.isEmpty():
+                finished.append(_encode_python(active, vocab))
+            break
+        rounds += 1
         s = unwrap_symbols(F.col("sym"))
         cands = (
             active.select("word", s.alias("_s"))
@@ -282,9 +293,8 @@ def encode_words(words: DataFrame, vocab: DataFrame, spark_rounds: int = 24) ->
         active = step.where(F.col("_changed")).select("word", "sym")
         if active.isEmpty():
             break
-    else:
-        if not active.isEmpty():
-            finished.append(_encode_python(active, vocab))
+    if not finished:
+        finished.append(active.limit(0))
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)

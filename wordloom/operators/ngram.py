@@ -30,40 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_parallel
-
-_DEC = "decimal(38,0)"
-
-
-def _d(v: int) -> Column:
-    return F.lit(str(v)).cast(_DEC)
-
-
-_POS_SPAN = 10**12  # positions within a document
-_DOC_SPAN = 10**20  # shifted doc ids: doc_id + 2^63 < 10^20
-_DOC_SHIFT = 2**63
-
-
-def first_key(batch: Column, doc_id: Column, i: Column) -> Column:
-    """``(batch, doc_id, i)`` as one order-preserving DECIMAL(38,0)."""
-    shifted = doc_id.cast(_DEC) + _d(_DOC_SHIFT)
-    return ((batch.cast(_DEC) * _d(_DOC_SPAN) + shifted) * _d(_POS_SPAN) + i.cast(_DEC)).cast(_DEC)
-
-
-def key_pos(key: Column) -> Column:
-    return (key % _d(_POS_SPAN)).cast("int")
-
-
-def _key_high(key: Column) -> Column:
-    return ((key - key % _d(_POS_SPAN)) / _d(_POS_SPAN)).cast(_DEC)
-
-
-def key_doc(key: Column) -> Column:
-    return (_key_high(key) % _d(_DOC_SPAN) - _d(_DOC_SHIFT)).cast("bigint")
-
-
-def key_batch(key: Column) -> Column:
-    high = _key_high(key)
-    return ((high - high % _d(_DOC_SPAN)) / _d(_DOC_SPAN)).cast("int")
+from .ordering import first_key, key_batch, key_doc, key_pos  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
 STATUS_OK = "ok"
@@ -141,10 +108,14 @@ class NgramModel:
         )
 
     def intervals(self) -> DataFrame:
-        """A8 support: each word's ``[lo, hi)`` slice of ``[0, total)`` in first-seen order."""
-        w = Window.partitionBy("context").orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+        """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
+        first-seen order, with the context ``total`` (one window pass)."""
+        ctx = Window.partitionBy("context")
+        w = ctx.orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
         return self.counts.select(
-            "context", "word", "cnt", (F.sum("cnt").over(w) - F.col("cnt")).alias("lo")
+            "context", "word", "cnt",
+            (F.sum("cnt").over(w) - F.col("cnt")).alias("lo"),
+            F.sum("cnt").over(ctx).alias("total"),
         )
 
     # ---- training -------------------------------------------------------
@@ -225,7 +196,7 @@ def uniform_draw(seed: int, prompt_id: Column, step: Column, total: Column) -> C
     return F.shiftright(hi * t + F.shiftright(lo * t, 16), 16)
 
 
-def _sample_next(model: NgramModel, queries: DataFrame, intervals: DataFrame, totals: DataFrame, seed: int) -> DataFrame:
+def _sample_next(model: NgramModel, queries: DataFrame, intervals: DataFrame, seed: int) -> DataFrame:
     """Weighted draw of the next word for ``queries(prompt_id, step, context)``.
 
     Instead of a range join (which compares each query with every word of its
@@ -233,6 +204,8 @@ def _sample_next(model: NgramModel, queries: DataFrame, intervals: DataFrame, to
     containing interval is the last start at or before the draw: one sort per
     context, linear work.
     """
+    # The first interval of a context (lo = 0) carries its total: one row per context.
+    totals = intervals.where(F.col("lo") == 0).select("context", "total")
     q = queries.join(totals, "context").withColumn(
         "r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))
     )
@@ -251,14 +224,13 @@ def _sample_next(model: NgramModel, queries: DataFrame, intervals: DataFrame, to
     return picked.select("prompt_id", "step", "context", F.col("pick").alias("next_word"))
 
 
-def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top1=None, intervals=None, totals=None):
+def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top1=None, intervals=None):
     if mode == "top1":
         t1 = top1 if top1 is not None else model.top1()
         return queries.join(t1.select("context", F.col("word").alias("next_word")), "context", "left")
     if mode == "sample":
         iv = intervals if intervals is not None else model.intervals()
-        tt = totals if totals is not None else model.totals()
-        drawn = _sample_next(model, queries, iv, tt, seed)
+        drawn = _sample_next(model, queries, iv, seed)
         return queries.join(drawn.select("prompt_id", "step", "next_word"), ["prompt_id", "step"], "left")
     raise ValueError(f"unknown mode {mode!r}")
 
@@ -311,10 +283,7 @@ def generate(
         top1 = model.top1().select("context", "word").repartition(parts, "context")
         lookups = dict(top1=cut_lineage(top1))
     else:
-        lookups = dict(
-            intervals=cut_lineage(model.intervals().repartition(parts, "context")),
-            totals=cut_lineage(model.totals().repartition(parts, "context")),
-        )
+        lookups = dict(intervals=cut_lineage(model.intervals().repartition(parts, "context")))
 
     active = checked.where(F.col("status").isNull()).select(
         "prompt_id", F.col("words").alias("ctx")

@@ -15,6 +15,48 @@ from ..session import cut_lineage
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row-in-partition
 
+# ---------------------------------------------------------------------------
+# First-seen order keys
+# ---------------------------------------------------------------------------
+# "Seen first" ties need the earliest (batch, doc_id, position) of a group. A
+# struct minimum has a variable-width buffer, which forces a sort-based
+# aggregate over every occurrence; packing the triple into one exact
+# DECIMAL(38,0) keeps the buffer fixed-width, so the aggregate is a hash
+# aggregate with map-side combine.
+_DEC = "decimal(38,0)"
+
+
+def _d(v: int) -> Column:
+    return F.lit(str(v)).cast(_DEC)
+
+
+_POS_SPAN = 10**12  # positions within a document
+_DOC_SPAN = 10**20  # shifted doc ids: doc_id + 2^63 < 10^20
+_DOC_SHIFT = 2**63
+
+
+def first_key(batch: Column, doc_id: Column, i: Column) -> Column:
+    """``(batch, doc_id, i)`` as one order-preserving DECIMAL(38,0)."""
+    shifted = doc_id.cast(_DEC) + _d(_DOC_SHIFT)
+    return ((batch.cast(_DEC) * _d(_DOC_SPAN) + shifted) * _d(_POS_SPAN) + i.cast(_DEC)).cast(_DEC)
+
+
+def key_pos(key: Column) -> Column:
+    return (key % _d(_POS_SPAN)).cast("int")
+
+
+def _key_high(key: Column) -> Column:
+    return ((key - key % _d(_POS_SPAN)) / _d(_POS_SPAN)).cast(_DEC)
+
+
+def key_doc(key: Column) -> Column:
+    return (_key_high(key) % _d(_DOC_SPAN) - _d(_DOC_SHIFT)).cast("bigint")
+
+
+def key_batch(key: Column) -> Column:
+    high = _key_high(key)
+    return ((high - high % _d(_DOC_SPAN)) / _d(_DOC_SPAN)).cast("int")
+
 
 def dense_index(
     df: DataFrame,

@@ -338,7 +338,7 @@ def _types(spark, sf_dir):
 
 
 def _first_cols(df, col="first"):
-    return df.withColumn("first_doc", F.col(f"{col}.doc_id")).withColumn("first_pos", F.col(f"{col}.pos")).drop(col)
+    return df.withColumn("first_doc", ng.key_doc(F.col(col))).withColumn("first_pos", ng.key_pos(F.col(col))).drop(col)
 
 
 @register("bpe_pretokens")
@@ -362,7 +362,7 @@ def q_bpe_pair_stats(spark, sf_dir):
     stats = bp.pair_stats(_types(spark, sf_dir))
     return stats.select(
         "l", "r", "cnt",
-        F.col("first.t.doc_id").alias("first_doc"), F.col("first.t.pos").alias("first_pos"),
+        ng.key_doc(F.col("first.t")).alias("first_doc"), ng.key_pos(F.col("first.t")).alias("first_pos"),
         F.col("first.i").alias("first_i"),
     )
 
