@@ -99,3 +99,29 @@ def test_save_load_roundtrip(spark, docs, tmp_path):
     back = ng.NgramModel.load(spark, str(tmp_path / "m"))
     assert back.n == 1
     assert sorted(back.counts.collect()) == sorted(m.counts.collect())
+
+
+def test_sampling_equals_brute_force(spark, docs):
+    import hashlib
+
+    texts = ["the cat sat on the mat the cat ran", "the dog sat the cat sat the end", "a cat and the dog"]
+    m = ng.train_ngram(docs(*texts), 1)
+    prompts = _prompts(spark, *(["the", "cat", "sat"] * 20))
+    got = {r["prompt_id"]: r["next_word"] for r in ng.predict(m, prompts, mode="sample", seed=11).collect()}
+    # brute force: intervals in first-seen order, r = (u32 * total) >> 32
+    seen = {}
+    for d, text in enumerate(texts):
+        toks = text.split()
+        for i in range(1, len(toks)):
+            seen.setdefault(toks[i - 1], {}).setdefault(toks[i], [0, (d, i)])[0] += 1
+    for pid, ctx in enumerate(["the", "cat", "sat"] * 20):
+        followers = sorted(seen[ctx].items(), key=lambda kv: kv[1][1])
+        total = sum(c for _, (c, _f) in followers)
+        u = int(hashlib.md5(f"11:{pid}:0".encode()).hexdigest()[:8], 16)
+        r = (u * total) >> 32
+        lo = 0
+        for word, (c, _f) in followers:
+            if lo <= r < lo + c:
+                assert got[pid] == word
+                break
+            lo += c

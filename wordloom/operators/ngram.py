@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_parallel
-from .ordering import first_key, key_batch, key_doc, key_pos  # noqa: F401  (re-exported)
+from .ordering import first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
 STATUS_OK = "ok"
@@ -89,11 +89,15 @@ class NgramModel:
         return self.counts.groupBy("context").agg(F.sum("cnt").alias("total"))
 
     def probabilities(self) -> DataFrame:
-        """``cnt / total`` per (context, word)."""
-        w = Window.partitionBy("context")
-        return self.counts.select(
-            "context", "word", "cnt", "first", F.sum("cnt").over(w).alias("total")
-        ).withColumn("prob", F.col("cnt") / F.col("total"))
+        """``cnt / total`` per (context, word).
+
+        Totals come from a partial aggregate joined back on ``context`` (not a
+        window, which would hold a hot context in one task; AQE can split a
+        skewed join partition, and broadcasts the totals when they are small).
+        """
+        return self.counts.join(self.totals(), "context").select(
+            "context", "word", "cnt", "first", "total", (F.col("cnt") / F.col("total")).alias("prob")
+        )
 
     def top1(self) -> DataFrame:
         """Most frequent next word per context, first-seen on ties.
@@ -109,14 +113,10 @@ class NgramModel:
 
     def intervals(self) -> DataFrame:
         """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
-        first-seen order, with the context ``total`` (one window pass)."""
-        ctx = Window.partitionBy("context")
-        w = ctx.orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
-        return self.counts.select(
-            "context", "word", "cnt",
-            (F.sum("cnt").over(w) - F.col("cnt")).alias("lo"),
-            F.sum("cnt").over(ctx).alias("total"),
-        )
+        first-seen order, with the context's ``total`` and word count ``nwords``.
+        Computed by :func:`running_sum`, so a hot context is split over tasks."""
+        iv = running_sum(self.counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
+        return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
 
     # ---- training -------------------------------------------------------
     def update(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> "NgramModel":
@@ -196,41 +196,58 @@ def uniform_draw(seed: int, prompt_id: Column, step: Column, total: Column) -> C
     return F.shiftright(hi * t + F.shiftright(lo * t, 16), 16)
 
 
-def _sample_next(model: NgramModel, queries: DataFrame, intervals: DataFrame, seed: int) -> DataFrame:
-    """Weighted draw of the next word for ``queries(prompt_id, step, context)``.
+def _width() -> Column:
+    """Bucket width of a context: ceil(total / nwords), exact integer arithmetic."""
+    return F.expr("(total + nwords - 1) div nwords")
+
 
-    Instead of a range join (which compares each query with every word of its
-    context), query rows are merged into the context's interval starts and the
-    containing interval is the last start at or before the draw: one sort per
-    context, linear work.
+def bucketed_intervals(intervals: DataFrame) -> DataFrame:
+    """Intervals keyed by ``(context, bucket)`` for an equi-join lookup of a draw.
+
+    A context's mass ``[0, total)`` is cut into ``nwords`` buckets of width
+    ``w = ceil(total / nwords)``; each interval is copied to every bucket it
+    overlaps (at most ``3 * nwords`` copies per context in all). A draw ``r``
+    joins bucket ``r div w`` only, so a hot context is spread over as many
+    join keys as it has words, and each draw meets at most ``w + 2`` intervals.
     """
-    # The first interval of a context (lo = 0) carries its total: one row per context.
-    totals = intervals.where(F.col("lo") == 0).select("context", "total")
+    return intervals.withColumn("w", _width()).select(
+        "context", "word", "lo", "cnt", "w",
+        F.explode(F.sequence(F.expr("lo div w"), F.expr("(lo + cnt - 1) div w"))).alias("bucket"),
+    )
+
+
+def _sample_next(queries: DataFrame, buckets: DataFrame, totals: DataFrame, seed: int) -> DataFrame:
+    """Weighted draw of the next word for ``queries(prompt_id, step, context)``."""
     q = queries.join(totals, "context").withColumn(
         "r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))
+    ).withColumn("bucket", F.expr("r div w"))
+    hit = q.join(buckets.select("context", "bucket", "word", "lo", "cnt"), ["context", "bucket"]).where(
+        (F.col("lo") <= F.col("r")) & (F.col("r") < F.col("lo") + F.col("cnt"))
     )
-    needed = intervals.join(q.select("context").distinct(), "context", "left_semi")
-    merged = needed.select(
-        "context", F.col("lo").alias("key"), F.lit(0).alias("kind"), "word",
-        F.lit(None).cast("bigint").alias("prompt_id"), F.lit(None).cast("int").alias("step"),
-    ).unionByName(
-        q.select(
-            "context", F.col("r").alias("key"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("word"),
-            "prompt_id", F.col("step").cast("int").alias("step"),
-        )
+    return hit.select("prompt_id", "step", "context", F.col("word").alias("next_word"))
+
+
+def sampling_tables(model: NgramModel, partitions: int | None = None) -> dict[str, DataFrame]:
+    """The lookup tables of weighted sampling, checkpointed and hash-partitioned for the joins."""
+    spark = model.counts.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    iv = cut_lineage(model.intervals())
+    totals = iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w"))
+    return dict(
+        buckets=cut_lineage(bucketed_intervals(iv).repartition(parts, "context", "bucket")),
+        totals=cut_lineage(totals.repartition(parts, "context")),
     )
-    w = Window.partitionBy("context").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    picked = merged.withColumn("pick", F.last("word", ignorenulls=True).over(w)).where(F.col("kind") == 1)
-    return picked.select("prompt_id", "step", "context", F.col("pick").alias("next_word"))
 
 
-def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top1=None, intervals=None):
+def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top1=None, buckets=None, totals=None):
     if mode == "top1":
         t1 = top1 if top1 is not None else model.top1()
         return queries.join(t1.select("context", F.col("word").alias("next_word")), "context", "left")
     if mode == "sample":
-        iv = intervals if intervals is not None else model.intervals()
-        drawn = _sample_next(model, queries, iv, seed)
+        if buckets is None or totals is None:
+            tables = sampling_tables(model)
+            buckets, totals = tables["buckets"], tables["totals"]
+        drawn = _sample_next(queries, buckets, totals, seed)
         return queries.join(drawn.select("prompt_id", "step", "next_word"), ["prompt_id", "step"], "left")
     raise ValueError(f"unknown mode {mode!r}")
 
@@ -283,7 +300,7 @@ def generate(
         top1 = model.top1().select("context", "word").repartition(parts, "context")
         lookups = dict(top1=cut_lineage(top1))
     else:
-        lookups = dict(intervals=cut_lineage(model.intervals().repartition(parts, "context")))
+        lookups = sampling_tables(model, parts)
 
     active = checked.where(F.col("status").isNull()).select(
         "prompt_id", F.col("words").alias("ctx")

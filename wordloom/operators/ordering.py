@@ -103,3 +103,42 @@ def small_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
     """Numbering for a result already bounded by a limit (e.g. the question cap)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)) + F.lit(start - 1))
+
+
+def running_sum(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    name: str = "before",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Per ``key``, the sum of ``value`` over the rows before each row in
+    ``order`` (exclusive prefix sum), plus the key's ``{name}_total`` and
+    ``{name}_rows``, without a whole key in one task.
+
+    Rows are range-partitioned on ``(key, *order)``, so a key holding a large
+    share of the rows is split into several chunks. Per (key, chunk) sums --
+    at most ``partitions`` rows per key -- give each chunk's offset; running
+    sums are taken inside each chunk. ``(key, *order)`` must be unique. The
+    chunked table is checkpointed so chunk ids are fixed across retries.
+    """
+    spark = df.sparkSession
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, key, *order).withColumn("_chunk", F.spark_partition_id())
+    ranged = cut_lineage(ranged)
+    chunks = ranged.groupBy(key, "_chunk").agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    per_key = Window.partitionBy(key)
+    offsets = chunks.select(
+        key, "_chunk",
+        F.coalesce(
+            F.sum("_s").over(per_key.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_off"),
+        F.sum("_s").over(per_key).alias(f"{name}_total"),
+        F.sum("_n").over(per_key).alias(f"{name}_rows"),
+    )
+    local = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumn("_loc", F.coalesce(F.sum(value).over(local), F.lit(0)))
+    out = out.join(offsets, [key, "_chunk"]).withColumn(name, F.col("_off") + F.col("_loc"))
+    return out.drop("_chunk", "_off", "_loc")
