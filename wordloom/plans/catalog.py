@@ -126,9 +126,9 @@ def q_ngram_sample(spark, sf_dir):
     return _predict(spark, sf_dir, "sample")
 
 
-def _generate(spark, sf_dir, mode):
-    model = ng.train_ngram(inputs.documents(spark, sf_dir), N_PREDICT)
-    res = ng.generate(model, inputs.prompts(spark, sf_dir, N_PREDICT), GENERATE_WORDS, mode=mode, seed=SAMPLE_SEED)
+def _generate(spark, sf_dir, mode, n=N_PREDICT):
+    model = ng.train_ngram(inputs.documents(spark, sf_dir), n)
+    res = ng.generate(model, inputs.prompts(spark, sf_dir, n), GENERATE_WORDS, mode=mode, seed=SAMPLE_SEED)
     return res.select("prompt_id", "status", "n_generated", "output")
 
 
@@ -142,6 +142,12 @@ def q_ngram_generate_sample(spark, sf_dir):
     return _generate(spark, sf_dir, "sample")
 
 
+@register("ngram_generate_n2")
+def q_ngram_generate_n2(spark, sf_dir):
+    """Two-word contexts: the context slides as (second word, generated word)."""
+    return _generate(spark, sf_dir, "top1", n=2)
+
+
 @register("ngram_incremental")
 def q_ngram_incremental(spark, sf_dir):
     model = ng.train_ngram(inputs.documents(spark, sf_dir), N_PREDICT)

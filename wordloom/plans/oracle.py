@@ -152,7 +152,7 @@ SELECT c.prompt_id, COALESCE(c.status, CASE WHEN d.word IS NULL THEN 'unseen_con
 FROM checked c LEFT JOIN drawn d USING (prompt_id)"""
 
 
-def _generate_sql(mode: str) -> str:
+def _generate_sql(mode: str, n: int = C.N_PREDICT) -> str:
     if mode == "top1":
         pick = f"""{cte_top1()},
 step_fn AS (SELECT context, word AS next_word FROM top1)"""
@@ -165,13 +165,14 @@ tt AS (SELECT DISTINCT context, total FROM iv)"""
         nxt = f"""LEFT JOIN tt ON tt.context = g.ctx
   LEFT JOIN iv s ON s.context = g.ctx AND s.lo <= {r} AND {r} < s.lo + s.cnt"""
         nxt_word = "s.word"
-    return f"""{_CHECKED}, {pick},
+    checked = f"""WITH {model_ctes(n)}, {cte_prompts(n)}, {cte_checked(n)}"""
+    return f"""{checked}, {pick},
 gen AS (
   WITH RECURSIVE g(prompt_id, step, ctx, words, done) AS (
     SELECT prompt_id, 0, array_to_string(words, ' '), words, false FROM checked WHERE status IS NULL
     UNION ALL
     SELECT g.prompt_id, g.step + 1,
-           CASE WHEN {nxt_word} IS NULL THEN g.ctx ELSE array_to_string(list_append(g.words, {nxt_word})[-{C.N_PREDICT}:], ' ') END,
+           CASE WHEN {nxt_word} IS NULL THEN g.ctx ELSE array_to_string(list_append(g.words, {nxt_word})[-{n}:], ' ') END,
            CASE WHEN {nxt_word} IS NULL THEN g.words ELSE list_append(g.words, {nxt_word}) END,
            {nxt_word} IS NULL
     FROM g {nxt}
@@ -186,6 +187,7 @@ FROM checked c LEFT JOIN gen g USING (prompt_id)"""
 
 SQL["ngram_generate"] = _generate_sql("top1")
 SQL["ngram_generate_sample"] = _generate_sql("sample")
+SQL["ngram_generate_n2"] = _generate_sql("top1", 2)
 
 SQL["ngram_incremental"] = f"""WITH {cte_tokens()}, {cte_events(C.N_PREDICT)}, {cte_counts()},
 {cte_tokens('benchmark', 'item_id', 'tok2')}, {cte_events(C.N_PREDICT, 'tok2', 'ev2')}, {cte_counts('ev2', 'cnts2', 1)},
