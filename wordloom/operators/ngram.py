@@ -60,7 +60,11 @@ def ngram_events(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str
             F.element_at(t, i + 1).alias("word"),
         ),
     )
-    return toks.where(F.size(t) > n).select("doc_id", F.inline(windows))
+    # Guarded inside the generator, not by a Filter: a filter on the token
+    # array would be pushed below the fan-out repartition and run the regex
+    # twice, once in the scan task.
+    none = F.array().cast("array<struct<i:int,context:string,word:string>>")
+    return toks.select("doc_id", F.inline(F.when(F.size(t) > n, windows).otherwise(none)))
 
 
 def count_events(events: DataFrame, batch: int = 0) -> DataFrame:
@@ -258,7 +262,8 @@ def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int
     ``prompts(prompt_id, text)``; result ``prompt_id, words, status, oov_word,
     next_word``.
     """
-    checked = _check_prompts(model, normalize_prompts(prompts))
+    # Materialised once: feeds the prediction and the final join.
+    checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
     usable = checked.where(F.col("status").isNull()).select(
         "prompt_id", F.array_join("words", " ").alias("context"), F.lit(0).alias("step")
     )
