@@ -125,3 +125,9 @@ def test_sampling_equals_brute_force(spark, docs):
                 assert got[pid] == word
                 break
             lo += c
+
+
+def test_generate_without_valid_prompts(spark, docs):
+    m = ng.train_ngram(docs("a b a c a b d"), 1)
+    rows = {r["prompt_id"]: r["status"] for r in ng.generate(m, _prompts(spark, "zz", "a b"), 3).collect()}
+    assert rows == {0: "oov", 1: "bad_arity"}

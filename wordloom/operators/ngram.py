@@ -23,13 +23,14 @@ aggregations (partial aggregation before each exchange absorbs hot contexts).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
-from ..session import cut_lineage, ensure_parallel
+from ..session import cut_lineage, ensure_checkpoint_dir, ensure_parallel
 from .ordering import first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
@@ -281,14 +282,16 @@ def generate(
     nwords: int,
     mode: str = "top1",
     seed: int = 0,
-    checkpoint_every: int = 4,
 ) -> DataFrame:
     """A10 + A11: generate up to ``nwords`` words per prompt, sliding the context.
 
     A driver loop of ``nwords`` steps; each step is one distributed join of the
-    still-active prompts with the model (finished prompts leave the loop).
-    The generated words are a long table ``(prompt_id, step, word)``, so no
-    row grows with ``nwords``. Lineage is cut by reliable checkpoints.
+    still-active prompts with the model (finished prompts leave the loop). Every
+    step's rows ``(prompt_id, ctx, next_word)`` are written as partition
+    ``step=s`` of a table in the shared checkpoint folder and the next step
+    reads its active prompts back from it, so lineage and plan size stay
+    constant however many steps run, and a lost executor only re-runs the
+    current step.
 
     Result: ``prompt_id, words (prompt + generated), n_generated, status,
     oov_word, output`` where ``output`` is the space-joined text only when at
@@ -299,46 +302,45 @@ def generate(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Materialised once: used to seed the loop and again for the final result.
     checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
-    # Lookup tables are hash-partitioned on ``context`` before they are
-    # checkpointed, so every step's join shuffles only the active prompts.
+    # Lookup tables are hash-partitioned before they are checkpointed, so every
+    # step's join shuffles only the active prompts.
     if mode == "top1":
         top1 = model.top1().select("context", "word").repartition(parts, "context")
         lookups = dict(top1=cut_lineage(top1))
     else:
         lookups = sampling_tables(model, parts)
 
-    active = checked.where(F.col("status").isNull()).select(
-        "prompt_id", F.col("words").alias("ctx")
-    )
-    produced = []
-    stopped = []
+    table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/generate-{uuid.uuid4().hex}"
+    active = checked.where(F.col("status").isNull()).select("prompt_id", F.col("words").alias("ctx"))
     for step in range(nwords):
         queries = active.select("prompt_id", F.array_join("ctx", " ").alias("context"), F.lit(step).alias("step"), "ctx")
-        res = _predict_ok(model, queries, mode, seed, **lookups)
-        res = cut_lineage(res) if (step + 1) % checkpoint_every == 0 or step == nwords - 1 else res.persist()
-        produced.append(res.where(F.col("next_word").isNotNull()).select("prompt_id", "step", F.col("next_word").alias("word")))
-        stopped.append(res.where(F.col("next_word").isNull()).select("prompt_id", F.lit(STATUS_UNSEEN).alias("gen_status")))
-        active = res.where(F.col("next_word").isNotNull()).select(
-            "prompt_id", F.concat(F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>"), F.array("next_word")).alias("ctx")
+        res = _predict_ok(model, queries, mode, seed, **lookups).select("prompt_id", "ctx", "next_word")
+        res.write.mode("overwrite").parquet(f"{table}/step={step}")
+        done = spark.read.parquet(f"{table}/step={step}")
+        tail = F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>")
+        active = done.where(F.col("next_word").isNotNull()).select(
+            "prompt_id", F.concat(tail, F.array("next_word")).alias("ctx")
         )
-    if produced:
-        gen = produced[0]
-        for p in produced[1:]:
-            gen = gen.unionByName(p)
-        halted = stopped[0]
-        for s in stopped[1:]:
-            halted = halted.unionByName(s)
+        if active.isEmpty():
+            break
+    if nwords > 0:
+        steps = spark.read.parquet(table).select("prompt_id", F.col("step").cast("int").alias("step"), "next_word")
     else:
-        gen = spark.createDataFrame([], "prompt_id bigint, step int, word string")
-        halted = spark.createDataFrame([], "prompt_id bigint, gen_status string")
+        steps = spark.createDataFrame([], "prompt_id bigint, step int, next_word string")
     # Per prompt at most nwords rows: bounded by the parameter, not the data.
-    gathered = gen.groupBy("prompt_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("step", "word"))), lambda s: s["word"]).alias("generated")
+    gathered = steps.groupBy("prompt_id").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("next_word").isNotNull(), F.struct("step", "next_word")))),
+            lambda x: x["next_word"],
+        ).alias("generated"),
+        F.max(F.col("next_word").isNull().cast("int")).alias("halted"),
     )
-    out = checked.join(gathered, "prompt_id", "left").join(halted, "prompt_id", "left")
+    out = checked.join(gathered, "prompt_id", "left")
     generated = F.coalesce(F.col("generated"), F.array().cast("array<string>"))
     words = F.concat(F.col("words"), generated)
-    status = F.coalesce(F.col("status"), F.col("gen_status"), F.lit(STATUS_OK))
+    status = F.coalesce(
+        F.col("status"), F.when(F.col("halted") == 1, F.lit(STATUS_UNSEEN)), F.lit(STATUS_OK)
+    )
     return out.select(
         "prompt_id",
         words.alias("words"),
