@@ -17,13 +17,14 @@ driver per merge.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols, wrapped_pair
-from ..session import cut_lineage, ensure_parallel
+from ..session import cut_lineage, ensure_checkpoint_dir, ensure_parallel
 from .ordering import dense_index, first_key
 
 # How many leading pairs are fetched per round to see whether the maximum is tied.
@@ -246,35 +247,35 @@ def encode_words(words: DataFrame, vocab: DataFrame, spark_rounds: int = 24) ->
 
     Each round, for every still-active word: adjacent pairs whose
     concatenation is in the vocabulary (semi join) -> the leftmost one -> merge
-    every occurrence of it. Words without a candidate leave the loop. Words
-    still active after ``spark_rounds`` rounds (very long tokens) are finished
-    by the same rule in a per-word helper, so the number of jobs stays bounded.
-    The helper needs the vocabulary as a broadcast set, so it is used only
-    when the vocabulary passed the size check; otherwise the rounds continue
-    until every word is done.
+    every occurrence of it. Words without a candidate leave the loop. Each
+    round's rows are written as partition ``round=r`` of a table in the shared
+    checkpoint folder and the next round reads the active words back from it
+    (constant lineage). Words still active after ``spark_rounds`` rounds (very
+    long tokens) are finished by the same rule in a per-word helper, so the
+    number of jobs stays bounded. The helper needs the vocabulary as a
+    broadcast set, so it is used only when the vocabulary passed the size
+    check; otherwise the rounds continue until every word is done.
     """
+    spark = words.sparkSession
     vocab_tokens, small = _vocab_side(vocab)
-    active = cut_lineage(words.select("word").distinct().withColumn("sym", wrap_symbols(word_symbols(F.col("word")))))
-    finished = []
-    rounds = 0
+    table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/encode-{uuid.uuid4().hex}"
+    active = words.select("word").distinct().withColumn("sym", wrap_symbols(word_symbols(F.col("word"))))
+    rnd = 0
     while True:
-        if small and rounds >= spark_rounds:
-            if not active.isEmpty():
-                finished.append(_encode_python(active, vocab))
+        if small and rnd >= spark_rounds:
+            _encode_python(active, vocab).withColumn("_changed", F.lit(False)).write.parquet(f"{table}/round={rnd}")
             break
-        rounds += 1
         s = unwrap_symbols(F.col("sym"))
         cands = (
             active.select("word", s.alias("_s"))
-            .where(F.size("_s") >= 2)
             .select(
                 "word",
-                F.inline(F.transform(
+                F.inline(F.when(F.size("_s") >= 2, F.transform(
                     F.sequence(F.lit(0), F.size("_s") - 2),
                     lambda i: F.struct(
                         i.alias("i"), F.get(F.col("_s"), i).alias("l"), F.get(F.col("_s"), i + 1).alias("r")
                     ),
-                )),
+                )).otherwise(F.array().cast("array<struct<i:int,l:string,r:string>>"))),
             )
             .withColumn("token", F.concat("l", "r"))
             .join(vocab_tokens, "token", "left_semi")
@@ -288,16 +289,12 @@ def encode_words(words: DataFrame, vocab: DataFrame, spark_rounds: int = 24) ->
             F.when(F.col("p").isNull(), F.col("sym")).otherwise(F.replace(F.col("sym"), pat, rep)).alias("sym"),
             F.col("p").isNotNull().alias("_changed"),
         )
-        step = cut_lineage(step)
-        finished.append(step.where(~F.col("_changed")).select("word", "sym"))
-        active = step.where(F.col("_changed")).select("word", "sym")
+        step.write.parquet(f"{table}/round={rnd}")
+        active = spark.read.parquet(f"{table}/round={rnd}").where(F.col("_changed")).select("word", "sym")
+        rnd += 1
         if active.isEmpty():
             break
-    if not finished:
-        finished.append(active.limit(0))
-    out = finished[0]
-    for f in finished[1:]:
-        out = out.unionByName(f)
+    out = spark.read.parquet(table).where(~F.col("_changed")).select("word", "sym")
     toks = unwrap_symbols(F.col("sym"))
     last = F.try_element_at(toks, F.lit(-1))
     toks = F.when((F.size(toks) > 0) & (last == END_OF_WORD), F.slice(toks, 1, F.size(toks) - 1)).otherwise(toks)
