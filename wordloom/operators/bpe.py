@@ -142,6 +142,7 @@ def _merge_loop(types: DataFrame, k: int):
     """
     types = cut_lineage(types).persist()
     pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
+    base_types = types
     merges: list[tuple[int, str, str, int]] = []
     released: list[DataFrame] = []
     for rank in range(1, max(k, 0) + 1):
@@ -163,12 +164,14 @@ def _merge_loop(types: DataFrame, k: int):
         new_types = types.withColumn("sym", merge_column(F.col("sym"), left, right))
         released.append(pairs)
         if rank % _CHECKPOINT_EVERY == 0:
-            released.append(types)
+            released.append(base_types)
             new_types = cut_lineage(new_types).persist()
+            base_types = new_types
             new_pairs = cut_lineage(new_pairs)
         pairs = new_pairs.persist()
         types = new_types
-    return types, merges
+    # Cached state still held: the caller releases it once its result is materialised.
+    return types, merges, released + [base_types, pairs]
 
 
 def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: str = "text") -> BpeModel:
@@ -178,17 +181,22 @@ def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: s
     corpus' word types, numbered from 0 in code-point order (W5, G7).
     """
     spark = docs.sparkSession
-    types, merges = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
+    types, merges, cached = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
     vocab = types.select(F.explode(unwrap_symbols(F.col("sym"))).alias("token")).distinct()
-    vocab = dense_index(vocab, ["token"], "id", start=0).select("token", "id")
+    vocab = dense_index(vocab, ["token"], "id", start=0).select("token", "id")  # checkpointed
+    for df in cached:
+        df.unpersist()
     merges_df = spark.createDataFrame(merges, "rank int, l string, r string, cnt bigint")
     return BpeModel(vocab, merges_df)
 
 
 def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The training types after ``k`` merges: ``word, freq, first, symbols``."""
-    types, _ = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
-    return types.select("word", "freq", "first", unwrap_symbols(F.col("sym")).alias("symbols"))
+    types, _, cached = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
+    out = cut_lineage(types.select("word", "freq", "first", unwrap_symbols(F.col("sym")).alias("symbols")))
+    for df in cached:
+        df.unpersist()
+    return out
 
 
 # ---------------------------------------------------------------------------
