@@ -131,3 +131,13 @@ def test_generate_without_valid_prompts(spark, docs):
     m = ng.train_ngram(docs("a b a c a b d"), 1)
     rows = {r["prompt_id"]: r["status"] for r in ng.generate(m, _prompts(spark, "zz", "a b"), 3).collect()}
     assert rows == {0: "oov", 1: "bad_arity"}
+
+
+def test_model_arity_must_match(spark, docs):
+    import pytest
+
+    m = ng.train_ngram(docs("a b a c a b d"), 2)
+    with pytest.raises(ValueError):
+        ng.generate(m, _prompts(spark, "a b"), 3, expect_n=1)
+    out = ng.generate(m, _prompts(spark, "a b"), 2, expect_n=2).first()
+    assert out["output"] == "a b a c"

@@ -257,12 +257,20 @@ def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int = 0) -> DataFrame:
+def _require_n(model: NgramModel, expect_n: int | None) -> None:
+    """A model trained with one context length cannot serve another."""
+    if expect_n is not None and expect_n != model.n:
+        raise ValueError(f"model has context length n={model.n}, not n={expect_n}")
+
+
+def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int = 0,
+            expect_n: int | None = None) -> DataFrame:
     """One next word per prompt, with a status.
 
     ``prompts(prompt_id, text)``; result ``prompt_id, words, status, oov_word,
-    next_word``.
+    next_word``. ``expect_n`` (optional) rejects a model of another context length.
     """
+    _require_n(model, expect_n)
     # Materialised once: feeds the prediction and the final join.
     checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
     usable = checked.where(F.col("status").isNull()).select(
@@ -282,6 +290,7 @@ def generate(
     nwords: int,
     mode: str = "top1",
     seed: int = 0,
+    expect_n: int | None = None,
 ) -> DataFrame:
     """A10 + A11: generate up to ``nwords`` words per prompt, sliding the context.
 
@@ -297,6 +306,7 @@ def generate(
     oov_word, output`` where ``output`` is the space-joined text only when at
     least one word was generated (the reference prints nothing otherwise).
     """
+    _require_n(model, expect_n)
     n = model.n
     spark = prompts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
