@@ -126,13 +126,13 @@ class NgramModel:
     # ---- training -------------------------------------------------------
     def update(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> "NgramModel":
         """Add a further training batch (no bridge between batches)."""
-        delta = count_events(ngram_events(docs, self.n, id_col, text_col), batch)
+        delta = train_ngram(docs, self.n, id_col, text_col, batch)
         counts = (
-            self.counts.unionByName(delta)
+            self.counts.unionByName(delta.counts)
             .groupBy("context", "word")
             .agg(F.sum("cnt").alias("cnt"), F.min("first").alias("first"))
         )
-        vocab = self.vocab.unionByName(vocabulary(docs, id_col, text_col)).distinct()
+        vocab = self.vocab.unionByName(delta.vocab).distinct()
         return NgramModel(self.n, counts, vocab)
 
     # ---- persistence (S7) ----------------------------------------------
@@ -151,12 +151,48 @@ class NgramModel:
         return NgramModel(self.n, self.counts.persist(), self.vocab.persist())
 
 
+def _model_table(docs: DataFrame, n: int, id_col: str, text_col: str, batch: int) -> DataFrame:
+    """Counts and vocabulary from one pass over the corpus.
+
+    Every token position yields ``(i, context, word)`` with a NULL context for
+    the first ``n`` positions (they only feed the vocabulary); one aggregation
+    with the grouping sets ``(context, word)`` and ``(word)`` produces both
+    tables, so the corpus is scanned and tokenised once.
+    """
+    toks = _tokens(docs, id_col, text_col)
+    t = F.col("t")
+    per_position = F.transform(
+        F.sequence(F.lit(0), F.size(t) - 1),
+        lambda i: F.struct(
+            i.cast("int").alias("i"),
+            F.when(i >= n, F.concat_ws(" ", *[F.element_at(t, i - n + 1 + k) for k in range(n)])).alias("context"),
+            F.element_at(t, i + 1).alias("word"),
+        ),
+    )
+    none = F.array().cast("array<struct<i:int,context:string,word:string>>")
+    rows = toks.select("doc_id", F.inline(F.when(F.size(t) > 0, per_position).otherwise(none)))
+    return rows.groupingSets([["context", "word"], ["word"]], "context", "word").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.min(first_key(F.lit(batch), F.col("doc_id"), F.col("i"))).alias("first"),
+        F.grouping("context").alias("_word_only"),
+    )
+
+
 def train_ngram(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", batch: int = 0) -> NgramModel:
-    """Train on a table of documents; each document is one sequence."""
+    """Train on a table of documents; each document is one sequence.
+
+    Training is an action: counts and vocabulary come from one pass
+    (:func:`_model_table`) written once to the checkpoint folder, and the
+    model's tables read that result.
+    """
     if n < 1:
         raise ValueError("n must be >= 1")
-    counts = count_events(ngram_events(docs, n, id_col, text_col), batch)
-    return NgramModel(n, counts, vocabulary(docs, id_col, text_col))
+    table = cut_lineage(_model_table(docs, n, id_col, text_col, batch))
+    counts = table.where((F.col("_word_only") == 0) & F.col("context").isNotNull()).select(
+        "context", "word", "cnt", "first"
+    )
+    vocab = table.where(F.col("_word_only") == 1).select("word")
+    return NgramModel(n, counts, vocab)
 
 
 # ---------------------------------------------------------------------------
