@@ -17,8 +17,10 @@ counting aggregate keeps a fixed-width buffer and runs as a hash aggregate
 
 ``vocab``: ``word STRING``.
 
-All steps are built-in expressions; the only shuffles are the two
-aggregations (partial aggregation before each exchange absorbs hot contexts).
+All steps are built-in expressions. Training is one pass over the corpus: a
+single aggregation with the grouping sets ``(context, word)`` and ``(word)``
+(partial aggregation before the exchange absorbs hot contexts) yields both
+tables and is checkpointed once.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
