@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols, wrapped_pair
-from ..session import cut_lineage, ensure_checkpoint_dir, ensure_parallel
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .ordering import dense_index, first_key
 
 # How many leading pairs are fetched per round to see whether the maximum is tied.
@@ -41,7 +41,6 @@ BROADCAST_VOCAB_ROWS = 2_000_000
 
 def pretokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """F2 occurrences: ``doc_id, pos, word``."""
-    docs = ensure_parallel(docs.select(id_col, text_col), id_col)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.posexplode(bpe_pretokens(text_col)).alias("pos", "word"))
 
 

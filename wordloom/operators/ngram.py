@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
-from ..session import cut_lineage, ensure_checkpoint_dir, ensure_parallel
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .ordering import first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
@@ -43,7 +43,6 @@ STATUS_BAD_ARITY = "bad_arity"
 
 
 def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    docs = ensure_parallel(docs.select(id_col, text_col), id_col)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), word_tokens(text_col).alias("t"))
 
 

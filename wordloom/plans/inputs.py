@@ -23,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """The corpus scan, fanned out when the file gives fewer splits than the
+    cluster has cores (CPU-heavy tokenisation follows)."""
+    return ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def prompts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:

@@ -73,9 +73,12 @@ def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
 
     A large scan already has many splits and is left alone (no shuffle); a
     file with a single row group would otherwise run all tokenization in one
-    task. The check is plan-time only (partition count), no job runs. Hash
-    partitioning on a unique key keeps retries deterministic without the sort
-    a round-robin repartition needs.
+    task. Hash partitioning on a unique key keeps retries deterministic
+    without the sort a round-robin repartition needs.
+
+    Meant for file scans, where counting partitions is planning only; on a
+    plan that already contains a shuffle, adaptive execution would run the
+    upstream stages to answer, so callers apply it right after the read.
     """
     if df.isStreaming:
         return df
