@@ -65,6 +65,32 @@ def main() -> None:
         for s in scans:
             out.append(f"* scan: {s}")
         out.append("")
+    out.append("## Inner passes (before their checkpoints)")
+    out.append("")
+    from wordloom.operators import bpe, ngram
+    from wordloom.plans import inputs
+
+    docs = inputs.documents(spark, sf)
+    model = ngram.train_ngram(docs, 1)
+    inner = {
+        "n-gram training pass (grouping sets)": ngram._model_table(docs, 2, "doc_id", "text", 0),
+        "n-gram top-1 from the model": model.top1(),
+        "BPE word types": bpe.word_types(docs),
+        "BPE initial pair statistics": bpe.type_pairs(bpe.with_symbols(bpe.word_types(docs))).groupBy("l", "r").sum("w"),
+        "sampling step (bucketed equi-join)": ngram._predict_ok(
+            model,
+            model.counts.select("context").distinct().selectExpr("xxhash64(context) AS prompt_id", "context", "0 AS step"),
+            "sample", 7,
+        ),
+    }
+    for label, df in inner.items():
+        counts, scans = summarise(explain(spark, df))
+        out.append(f"### {label}")
+        out.append("")
+        out.append("* operators: " + ", ".join(f"{k} ×{v}" for k, v in counts.items() if v))
+        for s_ in scans:
+            out.append(f"* scan: {s_}")
+        out.append("")
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w", encoding="utf-8") as f:
         f.write("\n".join(out))

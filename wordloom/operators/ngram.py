@@ -290,7 +290,8 @@ def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top
             tables = sampling_tables(model)
             buckets, totals = tables["buckets"], tables["totals"]
         drawn = _sample_next(queries, buckets, totals, seed)
-        return queries.join(drawn.select("prompt_id", "step", "next_word"), ["prompt_id", "step"], "left")
+        # One query per prompt within a step: the prompt id alone is the key.
+        return queries.join(drawn.select("prompt_id", "next_word"), "prompt_id", "left")
     raise ValueError(f"unknown mode {mode!r}")
 
 
