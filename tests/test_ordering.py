@@ -29,3 +29,16 @@ def test_running_sum_matches_window_on_skewed_key(spark):
         F.count(F.lit(1)).over(Window.partitionBy("k")).alias("lo_rows"),
     )
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_fan_out_only_when_too_few_splits(spark, tmp_path):
+    from wordloom.session import ensure_parallel
+
+    want = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    scan = spark.read.parquet(str(tmp_path / "one"))
+    assert scan.rdd.getNumPartitions() == 1
+    assert ensure_parallel(scan, "id").rdd.getNumPartitions() == want
+    wide = spark.range(0, 100, numPartitions=want)
+    assert ensure_parallel(wide, "id") is wide
