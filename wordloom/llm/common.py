@@ -88,10 +88,12 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POW: list[np.ndarray] = []
 
 
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    if not _POW:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers (at least a segment's) of the base and of its inverse, modulo 2**64."""
+    if not _POW or len(_POW[0]) < n:
+        _POW.clear()
         for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(_SEG, b, np.uint64)
+            p = np.full(max(n, _SEG), b, np.uint64)
             p[0] = 1
             _POW.append(np.cumprod(p))
     return _POW[0], _POW[1]
@@ -153,22 +155,27 @@ def words(data: np.ndarray, off: np.ndarray, classes) -> tuple[np.ndarray, np.nd
     s[edge] = w[edge]
     e[edge - 1] = w[edge - 1]
     start, end = np.flatnonzero(s), np.flatnonzero(e) + 1
+    return span_hashes(data, start, end, value), start, end, np.searchsorted(start, off)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _BYTE) -> np.ndarray:
+    """Hash of each span of bytes; spans are in order and do not overlap."""
     h = np.empty(len(start), np.uint64)
-    powers, inverse = _powers()
+    power, inverse = powers(_SEG)
     i = 0
     while i < len(start):
         a = start[i]
         j = int(np.searchsorted(end, a + _SEG - 1, "right"))
-        if j <= i:  # one word longer than a segment
+        if j <= i:  # one span longer than a segment
             h[i] = int.from_bytes(hashlib.blake2b(value[data[a : end[i]]].tobytes(), digest_size=8).digest(), "little")
             i += 1
             continue
         span = end[j - 1] - a
         p = np.zeros(span + 1, np.uint64)
-        np.cumsum(value[data[a : end[j - 1]]] * powers[:span], out=p[1:])
+        np.cumsum(value[data[a : end[j - 1]]] * power[:span], out=p[1:])
         h[i:j] = (p[end[i:j] - a] - p[start[i:j] - a]) * inverse[start[i:j] - a]
         i = j
-    return mix(h), start, end, np.searchsorted(start, off)
+    return mix(h)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -199,3 +206,31 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         return np.full(len(wanted), -1, np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, at, -1)
+
+
+class HashIndex:
+    """Sorted 64-bit keys with a table of where each leading bit pattern begins."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.table = np.searchsorted((keys >> self.shift).astype(np.int64), np.arange((1 << bits) + 1)).astype(np.int32)
+        self.longest = int(np.diff(self.table).max()) if len(keys) else 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Position of each hash, or len(keys) where it is absent."""
+        n = len(self.keys)
+        out = np.full(len(h), n)
+        if not n:
+            return out
+        top = (h >> self.shift).astype(np.int64)
+        at, end = self.table[top].astype(np.int64), self.table[top + 1]
+        live = np.flatnonzero(at < end)
+        for _ in range(self.longest):
+            hit = self.keys[at[live]] == h[live]
+            out[live[hit]] = at[live[hit]]
+            live = live[~hit]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        return out

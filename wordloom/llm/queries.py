@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import common as C
-from wordloom.llm import decontamination, lm, quality, sharding, tokencount, warc
+from wordloom.llm import decontamination, html_extract, langid, lm, neardup, pieces, quality, sharding, tokencount, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,13 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (C.fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.segment(_documents(spark, sf_dir), path, k=2, seed=7, finish=pieces.digest(path), schema=pieces.DIGEST)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = C.Scratch(spark, "shards").path("out")
     out = sharding.shuffle_to_shards(_documents(spark, sf_dir), folder, shards=40)
@@ -32,6 +39,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_size").alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.classes(_documents(spark, sf_dir))
+    return out.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "path")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = C.Scratch(spark, "warc").path("out")
     warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
@@ -48,6 +65,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    out = langid.identify(docs, C.fold(F.col("doc_id"), 3) != 1)
+    return out.select("doc_id", (C.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,12 +79,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_decontamination": op1_decontamination,
-    "op2_lm_score": op2_lm_score,
-    "op4_sharding": op4_sharding,
-    "op7_warc": op7_warc,
-    "op8_quality": op8_quality,
-    "op10_token_counts": op10_token_counts,
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_lm_score,
+        op3_sentencepiece,
+        op4_sharding,
+        op5_near_duplicates,
+        op6_html_extract,
+        op7_warc,
+        op8_quality,
+        op9_language_id,
+        op10_token_counts,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
