@@ -176,36 +176,60 @@ def decontaminate(
     benchmark hits nothing; items without words and items with a null id give no item (a null id's
     windows still hit words). Other columns of the inputs are not read.
     """
-    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    hit = _hits(rows, "text", bench, item_col, window, block)
+    n_hit = _n_hit()
+    return hit.select(
+        F.col("id").alias(id_col),
+        F.col(_WORDS).alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.coalesce(f"{_FOUND}.items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce(f"{_FOUND}.spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"),
+        _contaminated(n_hit).alias("contaminated"),
+    )
+
+
+def clean_rows(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns; no row is shuffled or joined."""
+    hit = _hits(docs, text_col, bench, item_col, window, block)
+    return hit.where(~_contaminated(_n_hit())).select(*docs.columns)
+
+
+_WORDS, _FOUND = "__dc_words", "__dc_hits"
+
+
+def _n_hit() -> Column:
+    return F.coalesce(F.aggregate(f"{_FOUND}.spans", F.lit(0).cast("bigint"), lambda a, x: a + x["b"] - x["a"]), F.lit(0).cast("bigint"))
+
+
+def _contaminated(n_hit: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= F.col(_WORDS))
+
+
+def _hits(rows: DataFrame, text_col: str, bench: DataFrame, item_col: str, window: int, block: int) -> DataFrame:
+    """Add the number of words, and the items and spans found, to every row."""
+    spark = rows.sparkSession
     C.ship(spark)
     scratch = C.Scratch(spark, "decontamination")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     wins = scratch.table(benchmark_windows(bench, item_col, "text", window), "windows")
     n_blocks = max(1, -(-wins.count() // block))
-    hit = rows.withColumn("n_words", F.lit(0).cast("bigint")).withColumn("hits", F.lit(None).cast(_HITS))
+    texts = rows.select(F.col(text_col).alias("text"))
+    hit = rows.withColumn(_WORDS, F.lit(0).cast("bigint")).withColumn(_FOUND, F.lit(None).cast(_HITS))
     for k in range(n_blocks):
         own = _Block(wins.where(F.pmod(F.xxhash64("win"), F.lit(n_blocks)) == k).collect())  # about BLOCK windows
-        hit = _with_hits(hit, spark.sparkContext.broadcast(own.order(_count(rows, own))))
+        hit = _with_hits(hit, text_col, spark.sparkContext.broadcast(own.order(_count(texts, own))))
     scratch.drop("windows")
-    n_hit = F.coalesce(F.aggregate("hits.spans", F.lit(0).cast("bigint"), lambda a, x: a + x["b"] - x["a"]), F.lit(0).cast("bigint"))
-    return hit.select(
-        F.col("id").alias(id_col),
-        "n_words",
-        n_hit.alias("n_hit"),
-        F.coalesce("hits.items", F.array().cast("array<string>")).alias("items"),
-        F.coalesce("hits.spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
-    )
+    return hit
 
 
-def _with_hits(rows: DataFrame, block) -> DataFrame:
+def _with_hits(rows: DataFrame, text_col: str, block) -> DataFrame:
     """Add one block's items and spans to those found so far."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = block.value
         for batch in batches:
-            for part in C.slices(batch, "text"):
-                data, off = C.text_bytes(part.column("text"))
+            for part in C.slices(batch, text_col):
+                data, off = C.text_bytes(part.column(text_col))
                 h, s, e, b = C.words(data, off, C.ALNUM_LOWER)
                 found: dict[int, tuple[set, set]] = {}
                 for w, at, to in own.occurrences(h, s, e, b, data):
@@ -213,14 +237,15 @@ def _with_hits(rows: DataFrame, block) -> DataFrame:
                     items, spans = found.setdefault(d, (set(), set()))
                     items.update(own.items[w])
                     spans.add((at - int(b[d]), to - int(b[d])))
-                hits = part.column("hits").to_pylist()
+                hits = part.column(_FOUND).to_pylist()
                 for d, (items, spans) in found.items():
                     old = hits[d] or {"items": [], "spans": []}
                     items.update(old["items"])
                     spans.update((x["a"], x["b"]) for x in old["spans"])
                     hits[d] = {"items": sorted(items), "spans": [{"a": a, "b": z} for a, z in merged(spans)]}
-                kind = part.schema.field("hits").type
-                yield pa.record_batch([part.column("id"), part.column("text"), pa.array(np.diff(b)), pa.array(hits, kind)], part.schema.names)
+                last = part.num_columns - 1  # the two columns that were added last
+                cols = [*part.columns[: last - 1], pa.array(np.diff(b)), pa.array(hits, part.schema.field(last).type)]
+                yield pa.record_batch(cols, part.schema.names)
 
     return rows.mapInArrow(scan, rows.schema)
 

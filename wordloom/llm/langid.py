@@ -261,3 +261,24 @@ def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col
         z = (F.col("best") - F.lit(cal["mean"][name])) * F.sqrt("n")
         limits = F.when(F.col("lang_pred") == name, z > F.lit(cal["limit"][name])).otherwise(limits)
     return got.select(F.col("id").alias(id_col), "lang_pred", "score", F.when(some, F.col("best")).alias("cross_entropy"), (~some | limits).alias("rejected"))
+
+
+def filter_rows(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chars: int = SAMPLE_CHARS) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` does not reject, with all their columns; no row is shuffled or joined."""
+    models, cal = fit(docs.where(train_on).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")), chars)
+    if models is None:
+        return docs.where(F.lit(False))
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    mean = np.array([cal["mean"].get(x, np.nan) for x in models.langs])
+    limit = np.array([cal["limit"].get(x, np.inf) for x in models.langs])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value.index()
+        for batch in batches:
+            for part in C.slices(batch, text_col, 12 << 20):
+                h, n = own.entropy(part.column(text_col))
+                best = h.argmin(1)
+                z = (h.min(1) - mean[best]) * np.sqrt(n)
+                yield part.filter(pa.array((n > 0) & ~(z > limit[best])))
+
+    return docs.mapInArrow(scan, docs.schema)
