@@ -1,11 +1,12 @@
 """Strict JSON handling for grading results (Column -> Column).
 
 Spark's ``from_json`` alone accepts trailing junk and several non-standard
-forms. Wrapping the text as ``[ text ]`` and requiring exactly one element
-rejects trailing junk, a second value and blank text, while the JSON options
-below reject single quotes, leading zeros and raw control characters -- the
-same strictness as Python's ``json.loads``. Duplicate keys resolve to the last
-value, as in Python.
+forms: it stops at the first bracket that closes the value. The text is
+therefore parsed as the first element of ``[ text, sentinel ]``, where the
+sentinel carries the md5 of the text: only if exactly these two elements come
+out did the text hold one value and nothing else. The JSON options reject
+single quotes, leading zeros and raw control characters, like Python's
+``json.loads``. Duplicate keys resolve to the last value, as in Python.
 """
 
 from __future__ import annotations
@@ -28,28 +29,44 @@ _STRICT = {
     "allowComments": "false",
 }
 
-LINE_SCHEMA = "array<struct<response: struct<body: struct<choices: array<struct<message: struct<content: string>>>>>>>"
-VERDICT_SCHEMA = "array<struct<score: variant>>"
+#: Fields of the values that are parsed. Content is a variant: only a JSON string counts as content.
+LINE_FIELDS = "response: struct<body: struct<choices: array<struct<message: struct<content: variant>>>>>"
+VERDICT_FIELDS = "score: variant"
 
-# A backslash that does not start a valid JSON escape is doubled.
+# A backslash that does not start a valid JSON escape is doubled.
 _BAD_ESCAPE = r'\\(?!["\\/bfnrt])'
 _DOUBLED = r"\\\\"
 
+_SENTINEL = "__end_of_value__"
+_STRING = r'"(?:[^"\\]|\\.)*+"'
 
-def strict_json(text: Column, schema: str) -> Column:
-    """Parse one JSON value strictly; NULL unless ``text`` is exactly one value of ``schema``."""
-    arr = F.from_json(F.concat(F.lit("["), text, F.lit("]")), schema, _STRICT)
-    return F.when(F.size(arr) == 1, F.get(arr, 0))
+
+def strict_json(text: Column, fields: str) -> Column:
+    """Parse one JSON object strictly; NULL unless ``text`` is exactly one value with these (optional) fields.
+
+    Numbers written ``INF`` or with a plus sign, which Spark takes and Python does not, are rejected too.
+    """
+    mark = F.md5(text)
+    whole = F.concat(F.lit("["), text, F.lit(f', {{"{_SENTINEL}": "'), mark, F.lit('"}]'))
+    arr = F.from_json(whole, f"array<struct<{fields}, {_SENTINEL}: string>>", _STRICT)
+    bare = F.regexp_replace(text, _STRING, "")
+    one = (F.size(arr) == 2) & (F.get(arr, 1)[_SENTINEL] == mark) & ~bare.rlike(r"INF|\+I")
+    return F.when(one, F.get(arr, 0))
+
+
+def string_of(value: Column) -> Column:
+    """A variant's string; NULL for anything that is not a JSON string."""
+    return F.when(F.schema_of_variant(value) == F.lit("STRING"), F.try_variant_get(value, "$", "string"))
 
 
 def line_content(line: Column) -> Column:
-    """``response.body.choices[0].message.content`` of a strictly parsed line."""
-    parsed = strict_json(ustrip(line), LINE_SCHEMA)
-    return F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"]
+    """``response.body.choices[0].message.content`` of a strictly parsed line, if it is a string."""
+    parsed = strict_json(ustrip(line), LINE_FIELDS)
+    return string_of(F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"])
 
 
 def line_is_json(line: Column) -> Column:
-    return strict_json(ustrip(line), LINE_SCHEMA).isNotNull()
+    return strict_json(ustrip(line), LINE_FIELDS).isNotNull()
 
 
 def strip_fences(content: Column) -> Column:
@@ -69,7 +86,7 @@ def clean_verdict(content: Column) -> Column:
 
 def verdict(text: Column) -> Column:
     """F8: the parsed verdict object (NULL when not a single JSON object)."""
-    return strict_json(text, VERDICT_SCHEMA)
+    return strict_json(text, VERDICT_FIELDS)
 
 
 def score_is_true(parsed: Column) -> Column:

@@ -83,6 +83,3 @@ def wrapped_pair(left, right) -> Column:
     """The wrapped text of two adjacent symbols."""
     return F.concat(F.lit("\t"), _col(left), F.lit(" \t"), _col(right), F.lit(" "))
 
-
-def wrapped_symbol(sym) -> Column:
-    return F.concat(F.lit("\t"), _col(sym), F.lit(" "))

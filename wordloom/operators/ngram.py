@@ -148,9 +148,6 @@ class NgramModel:
         n = spark.read.parquet(f"{path}/meta").first()["n"]
         return NgramModel(n, spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/vocab"))
 
-    def persist(self) -> "NgramModel":
-        return NgramModel(self.n, self.counts.persist(), self.vocab.persist())
-
 
 def _model_table(docs: DataFrame, n: int, id_col: str, text_col: str, batch: int) -> DataFrame:
     """Counts and vocabulary from one pass over the corpus.
@@ -215,7 +212,7 @@ def _check_prompts(model: NgramModel, prompts: DataFrame) -> DataFrame:
     )
     checked = prompts.select("prompt_id", "words").join(oov, "prompt_id", "left")
     status = (
-        F.when(F.size("words") != model.n, F.lit(STATUS_BAD_ARITY))
+        F.when(F.col("words").isNull() | (F.size("words") != model.n), F.lit(STATUS_BAD_ARITY))
         .when(F.col("oov_word").isNotNull(), F.lit(STATUS_OOV))
     )
     return checked.withColumn("status", status).withColumn(

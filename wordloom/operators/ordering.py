@@ -33,10 +33,11 @@ def _d(v: int) -> Column:
 _POS_SPAN = 10**12  # positions within a document
 _DOC_SPAN = 10**20  # shifted doc ids: doc_id + 2^63 < 10^20
 _DOC_SHIFT = 2**63
+MAX_BATCH = 10**6 - 1
 
 
 def first_key(batch: Column, doc_id: Column, i: Column) -> Column:
-    """``(batch, doc_id, i)`` as one order-preserving DECIMAL(38,0)."""
+    """``(batch, doc_id, i)`` as one order-preserving DECIMAL(38,0); batches 0 to ``MAX_BATCH`` fit."""
     shifted = doc_id.cast(_DEC) + _d(_DOC_SHIFT)
     return ((batch.cast(_DEC) * _d(_DOC_SPAN) + shifted) * _d(_POS_SPAN) + i.cast(_DEC)).cast(_DEC)
 
@@ -99,6 +100,23 @@ def dense_index(
     return out.drop("_mid", "_part", "_local", "_off")
 
 
+def prefix_sum(df: DataFrame, order: Sequence[str], value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """The sum of ``value`` over all rows before each row in ``order`` (unique), without a single-task sort.
+
+    Rows are range-partitioned and checkpointed; partition sums (one row per
+    partition) give each partition's offset and a window runs inside it.
+    """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id()))
+    offsets = ranged.groupBy("_part").agg(F.sum(value).alias("_s")).select(
+        "_part", F.coalesce(F.sum("_s").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")
+    )
+    local = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumn("_loc", F.coalesce(F.sum(value).over(local), F.lit(0)))
+    return out.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_off") + F.col("_loc")).drop("_part", "_off", "_loc")
+
+
 def small_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx", start: int = 1) -> DataFrame:
     """Numbering for a result already bounded by a limit (e.g. the question cap)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]

@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import strict_json
+from ..functions.jsonx import LINE_FIELDS, strict_json, string_of
 from ..functions.text import ustrip
-from .ordering import dense_index, small_index
+from .ordering import dense_index, prefix_sum, small_index
 
 # ---------------------------------------------------------------------------
 # Request constants and prompt templates (must equal the
@@ -127,6 +127,36 @@ def flatten_qa(files: DataFrame, file_col: str = "file_id") -> DataFrame:
     return qas.select("file_id", "a", "p", "q", F.col("qa.question").alias("question"), F.col("qa.answers").alias("answers"))
 
 
+def flatten_numbered(files: DataFrame, file_col: str = "file_id") -> DataFrame:
+    """P1 + W7: the questions of :func:`flatten_qa` with ``idx`` from 1 in document order.
+
+    Only (file, number of questions) is ordered: a running sum over files gives
+    each file's offset, and a question's index is the offset plus its place in
+    the file. The nested files are joined with the offsets once, before they
+    are flattened; question texts are neither sorted nor range-sampled.
+    ``file_col`` identifies files.
+    """
+    paragraphs = lambda art: art["paragraphs"]
+    count = F.aggregate(
+        F.flatten(F.transform("data", paragraphs)), F.lit(0).cast("bigint"), lambda n, p: n + F.greatest(F.size(p["qas"]), F.lit(0))
+    )
+    sizes = files.select(F.col(file_col).alias("file_id"), F.coalesce(count, F.lit(0).cast("bigint")).alias("n"))
+    offsets = prefix_sum(sizes, ["file_id"], "n", "before")
+    rows = files.select(F.col(file_col).alias("file_id"), "data").join(offsets.select("file_id", "before"), "file_id")
+    per_file = F.flatten(F.transform("data", lambda art, a: F.flatten(F.transform(
+        art["paragraphs"], lambda par, p: F.transform(
+            par["qas"], lambda qa, q: F.struct(a.alias("a"), p.alias("p"), q.alias("q"), qa["question"].alias("question"), qa["answers"].alias("answers"))
+        )
+    ))))
+    flat = rows.select("file_id", "before", F.posexplode(per_file).alias("pos", "x"))
+    return flat.select((F.col("before") + F.col("pos") + 1).alias("idx"), "file_id", "x.*")
+
+
+def gold_of(numbered: DataFrame) -> DataFrame:
+    """``idx, question, gold`` of numbered questions (gold NULL when unanswerable)."""
+    return numbered.select("idx", "question", gold_answer(F.col("answers")).alias("gold"))
+
+
 def gold_answer(answers: Column) -> Column:
     """First answer's text, lower-cased; NULL when there is no answer."""
     return F.lower(F.get(answers, 0)["text"])
@@ -145,8 +175,7 @@ def number_questions(questions: DataFrame, limit: int | None = None) -> DataFram
 
 def gold_table(questions: DataFrame, limit: int | None = None) -> DataFrame:
     """``idx, question, gold`` for every question (gold NULL when unanswerable)."""
-    numbered = number_questions(questions, limit)
-    return numbered.select("idx", "question", gold_answer(F.col("answers")).alias("gold"))
+    return gold_of(number_questions(questions, limit))
 
 
 def answerable(gold: DataFrame) -> DataFrame:
@@ -184,8 +213,8 @@ def batch_responses(lines: DataFrame, line_col: str = "line") -> DataFrame:
     Lines that are not JSON or lack the content are dropped (the reference
     raises on them while building grading requests).
     """
-    parsed = strict_json(ustrip(F.col(line_col)), "array<struct<custom_id: string, response: struct<body: struct<choices: array<struct<message: struct<content: string>>>>>>>")
-    content = F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"]
+    parsed = strict_json(ustrip(F.col(line_col)), f"custom_id: string, {LINE_FIELDS}")
+    content = string_of(F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"])
     out = lines.select(parsed["custom_id"].alias("custom_id"), content.alias("response"))
     out = out.where(F.col("custom_id").isNotNull() & F.col("response").isNotNull())
     return out.withColumn("idx", id_index(F.col("custom_id")))
@@ -208,7 +237,8 @@ def answer_with(questions: DataFrame, fn: Callable[[pd.Series], pd.DataFrame]) -
     ``fn`` gets a pandas Series of questions (one Arrow batch) and returns a
     frame with ``response, input_tokens, output_tokens`` in the same order.
     Runs in ``mapInPandas``: one Python worker per partition, batches of rows,
-    no per-row round trip. Extra key columns of ``questions`` are kept.
+    no per-row round trip. Extra key columns of ``questions`` are kept. A frame
+    with another number of rows than questions is an error.
     """
     keys = [c for c in questions.columns if c != "question"]
     key_types = {f.name: f.dataType.simpleString() for f in questions.schema.fields if f.name in keys}
@@ -217,6 +247,8 @@ def answer_with(questions: DataFrame, fn: Callable[[pd.Series], pd.DataFrame]) -
     def run(batches):
         for pdf in batches:
             res = fn(pdf["question"]).reset_index(drop=True)
+            if len(res) != len(pdf):
+                raise ValueError(f"the answer function returned {len(res)} rows for {len(pdf)} questions")
             out = pdf[keys + ["question"]].reset_index(drop=True)
             out["response"] = res["response"].astype(object)
             out["input_tokens"] = res["input_tokens"].astype("int64")

@@ -15,7 +15,8 @@ so it streams through whole-stage codegen like the reference's line loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import clean_verdict, line_content, line_is_json, score_is_true, verdict
@@ -54,10 +55,21 @@ def outcome_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def percent_text(share: Column) -> Column:
+    """A share as a percentage with two decimals; NULL stays NULL."""
+
+    def text(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if pd.isna(x) else f"{x * 100:.2f}%")
+
+    return F.pandas_udf(text, "string")(share)
+
+
 def accuracy(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Correct / parsed verdicts; NULL when nothing was parsed.
 
-    ``percent`` is the reference's two-decimal percentage text.
+    ``percent`` is the two-decimal percentage text. Python rounds the binary
+    value, which no built-in function does, so the few aggregated rows (one per
+    group) are formatted there.
     """
     correct = F.count_if(F.col("outcome") == CORRECT)
     answered = F.count_if(F.col("outcome").isin(CORRECT, INCORRECT))
@@ -65,5 +77,4 @@ def accuracy(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     out = grouped.agg(correct.alias("correct"), answered.alias("answered"))
     acc = F.try_divide(F.col("correct").cast("double"), F.col("answered").cast("double"))
     out = out.withColumn("accuracy", acc)
-    pct = F.bround(F.col("accuracy") * F.lit(100.0), 2)
-    return out.withColumn("percent", F.when(pct.isNotNull(), F.format_string("%.2f%%", pct)))
+    return out.withColumn("percent", percent_text(F.col("accuracy")))

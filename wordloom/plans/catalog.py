@@ -214,6 +214,17 @@ def _questions(spark, sf_dir):
     return qa.flatten_qa(inputs.qa_files(spark, sf_dir))
 
 
+def _numbered(spark, sf_dir):
+    return qa.flatten_numbered(inputs.qa_files(spark, sf_dir))
+
+
+def _numbered_table(spark, sf_dir):
+    """Numbered questions as a written table, for queries that read them twice."""
+    path = scratch_path(spark, "numbered")
+    _numbered(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _flat_request(df):
     req = F.col("request")
     return df.select(
@@ -233,12 +244,12 @@ def q_qa_flatten(spark, sf_dir):
 
 @register("qa_gold")
 def q_qa_gold(spark, sf_dir):
-    return qa.gold_table(_questions(spark, sf_dir))
+    return qa.gold_of(_numbered(spark, sf_dir))
 
 
 @register("qa_answerable")
 def q_qa_answerable(spark, sf_dir):
-    return qa.answerable(qa.gold_table(_questions(spark, sf_dir))).select("idx", "gold")
+    return qa.answerable(qa.gold_of(_numbered(spark, sf_dir))).select("idx", "gold")
 
 
 @register("qa_limit")
@@ -249,25 +260,24 @@ def q_qa_limit(spark, sf_dir):
 
 @register("qa_requests")
 def q_qa_requests(spark, sf_dir):
-    numbered = qa.number_questions(_questions(spark, sf_dir))
+    numbered = _numbered(spark, sf_dir)
     return _flat_request(qa.answer_requests(numbered))
 
 
 @register("qa_requests_raw")
 def q_qa_requests_raw(spark, sf_dir):
-    numbered = qa.number_questions(_questions(spark, sf_dir))
+    numbered = _numbered(spark, sf_dir)
     return _flat_request(qa.raw_answer_requests(numbered))
 
 
-def _model1_responses(spark, sf_dir):
-    res = qa.batch_responses(inputs.answer_batch_lines(spark, sf_dir))
+def _model1_responses(numbered):
+    res = qa.batch_responses(inputs.answer_batch_lines(numbered))
     return res.select("idx", F.col("custom_id").alias("question"), "response")
 
 
-def _model2_rows(spark, sf_dir):
-    pairs = inputs.conversation_pairs(spark, sf_dir)
+def _model2_rows(pairs):
     return pairs.select(
-        "conv_id", "turn", "question", "response",
+        "*",
         F.size(word_tokens("question")).cast("bigint").alias("input_tokens"),
         F.size(word_tokens("response")).cast("bigint").alias("output_tokens"),
     )
@@ -275,33 +285,35 @@ def _model2_rows(spark, sf_dir):
 
 @register("response_usage")
 def q_response_usage(spark, sf_dir):
-    rows = _model2_rows(spark, sf_dir)
+    rows = _model2_rows(inputs.conversation_pairs(spark, sf_dir))
     return rows.select("conv_id", "turn", *qa.response_rows(rows).columns)
 
 
 @register("qa_align_id")
 def q_qa_align_id(spark, sf_dir):
-    gold = qa.gold_table(_questions(spark, sf_dir))
-    return qa.align_by_id(gold, _model1_responses(spark, sf_dir))
+    numbered = _numbered_table(spark, sf_dir)
+    return qa.align_by_id(qa.gold_of(numbered), _model1_responses(numbered))
 
 
 @register("qa_align_pos")
 def q_qa_align_pos(spark, sf_dir):
-    gold = qa.gold_table(_questions(spark, sf_dir))
-    return qa.align_by_position(gold, _model2_rows(spark, sf_dir), ["conv_id", "turn"])
+    numbered = _numbered_table(spark, sf_dir)
+    rows = inputs.responses(numbered).withColumnRenamed("idx", "place")
+    return qa.align_by_position(qa.gold_of(numbered), rows, ["place"])
 
 
 @register("grade_requests")
 def q_grade_requests(spark, sf_dir):
-    gold = qa.gold_table(_questions(spark, sf_dir))
-    aligned = qa.align_by_id(gold, _model1_responses(spark, sf_dir))
+    numbered = _numbered_table(spark, sf_dir)
+    aligned = qa.align_by_id(qa.gold_of(numbered), _model1_responses(numbered))
     return _flat_request(qa.grade_requests(aligned, strict=True))
 
 
 @register("grade_requests_lenient")
 def q_grade_requests_lenient(spark, sf_dir):
-    gold = qa.gold_table(_questions(spark, sf_dir))
-    aligned = qa.align_by_position(gold, _model2_rows(spark, sf_dir), ["conv_id", "turn"])
+    numbered = _numbered_table(spark, sf_dir)
+    rows = inputs.responses(numbered).withColumnRenamed("idx", "place")
+    aligned = qa.align_by_position(qa.gold_of(numbered), rows, ["place"])
     return _flat_request(qa.grade_requests(aligned, strict=False))
 
 
@@ -319,7 +331,7 @@ def echo_model(questions):
 
 @register("qa_answer_fn")
 def q_qa_answer_fn(spark, sf_dir):
-    numbered = qa.number_questions(_questions(spark, sf_dir)).select("idx", "question")
+    numbered = _numbered(spark, sf_dir).select("idx", "question")
     return qa.answer_with(numbered, echo_model)
 
 
@@ -342,10 +354,6 @@ def _types(spark, sf_dir):
     return bp.with_symbols(bp.word_types(_bpe_docs(spark, sf_dir)))
 
 
-def _first_cols(df, col="first"):
-    return df.withColumn("first_doc", ng.key_doc(F.col(col))).withColumn("first_pos", ng.key_pos(F.col(col))).drop(col)
-
-
 @register("bpe_pretokens")
 def q_bpe_pretokens(spark, sf_dir):
     return bp.pretokens(_bpe_docs(spark, sf_dir)).withColumnRenamed("word", "token")
@@ -353,7 +361,7 @@ def q_bpe_pretokens(spark, sf_dir):
 
 @register("bpe_word_freqs")
 def q_bpe_word_freqs(spark, sf_dir):
-    return _first_cols(bp.word_types(_bpe_docs(spark, sf_dir)))
+    return _flat_first(bp.word_types(_bpe_docs(spark, sf_dir)))
 
 
 @register("bpe_symbols")
@@ -461,21 +469,59 @@ def q_score_from_files(spark, sf_dir):
 def q_requests_sink(spark, sf_dir):
     """Requests written as JSON Lines and read back."""
     path = scratch_path(spark, "requests")
-    numbered = qa.number_questions(_questions(spark, sf_dir))
+    numbered = _numbered(spark, sf_dir)
     fs.write_jsonl(qa.answer_requests(numbered), "request", path)
     back = spark.read.schema("custom_id string, method string, url string, body struct<model: string, temperature: double>").json(path)
     return back.select("custom_id", "method", "url", F.col("body.model").alias("model"), F.col("body.temperature").alias("temperature"))
 
 
+APPENDS = 3
+
+
 @register("response_rows_roundtrip")
 def q_response_rows_roundtrip(spark, sf_dir):
-    """S6 + S4: response rows appended as JSON Lines, read back in file order, aligned by position."""
+    """S6 + S4: response rows of all questions appended in three batches as JSON Lines, read back, aligned by position."""
     path = scratch_path(spark, "responses")
-    rows = _model2_rows(spark, sf_dir).orderBy("conv_id", "turn").coalesce(1)
-    fs.append_response_rows(rows, path)
+    numbered = _numbered_table(spark, sf_dir)
+    rows = _model2_rows(inputs.responses(numbered))
+    share = -(-numbered.count() // APPENDS)
+    for batch in range(APPENDS):
+        part = rows.where((F.col("idx") > batch * share) & (F.col("idx") <= (batch + 1) * share))
+        fs.append_response_rows(part, path, ["idx"], batch)
     back = fs.read_response_rows(spark, path)
-    gold = qa.gold_table(_questions(spark, sf_dir))
-    return qa.align_by_position(gold, back, ["file", "block", "row"])
+    return qa.align_by_position(qa.gold_of(numbered), back, fs.RESPONSE_ORDER)
+
+
+@register("response_array_rows")
+def q_response_array_rows(spark, sf_dir):
+    """S4, array branch: the conversation pairs of each conversation as one JSON array file, read back."""
+    path = scratch_path(spark, "response-arrays")
+    rows = _model2_rows(inputs.conversation_pairs(spark, sf_dir))
+    fields = F.struct("turn", "question", "response", "input_tokens", "output_tokens")
+    lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(fields)).alias("r"))  # one conversation's turns
+    files = lists.select("conv_id", F.to_json(F.transform("r", lambda x: x.dropFields("turn"))).alias("value"))
+    files.write.partitionBy("conv_id").text(path)
+    back = fs.read_response_rows(spark, path, json_array=True)
+    return back.select("question", "response", "input_tokens", "output_tokens")
+
+
+@register("qa_multiline_files")
+def q_qa_multiline_files(spark, sf_dir):
+    """S2, one multi-line JSON document per file: each source's documents as one file, read back, flattened."""
+    path = scratch_path(spark, "qa-multiline")
+    files = inputs.qa_files(spark, sf_dir)
+    files.select("file_id", F.to_json(F.struct("data"), {"pretty": "true"}).alias("value")).write.partitionBy("file_id").text(path)
+    back = qa.flatten_numbered(fs.read_qa(spark, path, multiline=True))
+    return back.select("a", "p", "q", "question", F.size("answers").alias("n_answers"))
+
+
+@register("corpus_files")
+def q_corpus_files(spark, sf_dir):
+    """Every document written as a text file of its own, read back whole, n-grams counted."""
+    path = scratch_path(spark, "corpus")
+    inputs.documents(spark, sf_dir).select("doc_id", F.col("text").alias("value")).write.partitionBy("doc_id").text(path)
+    corpus = fs.read_corpus(spark, path)
+    return ng.train_ngram(corpus, N_COUNTS).counts.select("context", "word", "cnt")
 
 
 @register("ngram_stream_counts")

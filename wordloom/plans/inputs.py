@@ -58,7 +58,7 @@ def prompts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 # Number of verdict / line shapes; shape = doc_id % GRADE_SHAPES (every row kept).
-GRADE_SHAPES = 13
+GRADE_SHAPES = 17
 # The two graded "models" and the label each one's verdict follows.
 GRADE_MODELS = (("model_a", "quality"), ("model_b", "toxic"))
 
@@ -108,14 +108,17 @@ def grading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 10, F.concat(F.lit("{'score': "), b, F.lit("}")))
         .when(shape == 11, F.concat(F.lit('{"explanation": "'), e, F.lit('"}')))
         .when(shape == 12, F.concat(F.lit('```json\n{"score": '), b, F.lit("}\n```\n")))
+        .when(shape == 13, F.concat(F.lit('{"score": '), b, F.lit("}]")))
+        .when(shape == 14, F.concat(F.lit('{"score": '), b, F.lit("}] junk")))
         .otherwise(plain)
     )
     cid = F.concat(F.lit('{"custom_id": "doc-'), F.col("doc_id").cast("string"), F.lit('"'))
     good = F.concat(
         cid,
         F.lit(', "response": {"status_code": 200, "body": {"choices": [{"message": {"role": "assistant", "content": '),
-        _json_string(content),
+        F.when(shape == 16, F.concat(F.lit('{"score": '), b, F.lit("}"))).otherwise(_json_string(content)),
         F.lit("}}]}}}"),
+        F.when(shape == 15, F.lit("]")).otherwise(F.lit("")),
     )
     line = (
         F.when(shape == 6, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
@@ -177,11 +180,20 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.join(a, ["conv_id", "turn"])
 
 
-def answer_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch-result lines of the first model: ``custom_id`` is ``"{idx}. {question}"``."""
-    from ..operators.ordering import dense_index
+# What the two models answer, by question number; every GAP-th answer of the first model is missing.
+RESPONSES = ("Yes", "No", "Toxic", "I do not know.")
+GAP = 11
 
-    pairs = dense_index(conversation_pairs(spark, sf_dir), ["conv_id", "turn"], "idx")
+
+def responses(numbered: DataFrame) -> DataFrame:
+    """One response for every numbered question: ``idx, question, response``."""
+    answer = F.element_at(F.array(*map(F.lit, RESPONSES)), (F.col("idx") % len(RESPONSES) + 1).cast("int"))
+    return numbered.select("idx", "question", answer.alias("response"))
+
+
+def answer_batch_lines(numbered: DataFrame) -> DataFrame:
+    """Batch-result lines of the first model, with gaps: ``custom_id`` is ``"{idx}. {question}"``."""
+    pairs = responses(numbered).where(F.col("idx") % GAP != 0)
     cid = F.concat(F.col("idx").cast("string"), F.lit(". "), F.col("question"))
     rec = F.struct(
         cid.alias("custom_id"),

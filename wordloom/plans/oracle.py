@@ -13,7 +13,7 @@ import string
 from ..functions.text import SPACE_CLASS, WORD_CLASS, WORD_PATTERN
 from . import catalog as C
 from ..operators import qa as QA
-from .inputs import ANSWER_TEXT, GRADE_MODELS, GRADE_SHAPES, PROMPT_STRIDE, SENTENCE_PATTERN
+from .inputs import ANSWER_TEXT, GAP, GRADE_MODELS, GRADE_SHAPES, PROMPT_STRIDE, RESPONSES, SENTENCE_PATTERN
 
 WS = "[" + SPACE_CLASS + "]"
 
@@ -229,6 +229,8 @@ def cte_grading_lines(name: str = "glines") -> str:
     WHEN {s} = 10 THEN '{{''score'': ' || b || '}}'
     WHEN {s} = 11 THEN '{{"explanation": "' || e || '"}}'
     WHEN {s} = 12 THEN '```json' || chr(10) || '{{"score": ' || b || '}}' || chr(10) || '```' || chr(10)
+    WHEN {s} = 13 THEN '{{"score": ' || b || '}}]'
+    WHEN {s} = 14 THEN '{{"score": ' || b || '}}] junk'
     ELSE {plain} END"""
     cid = """'{"custom_id": "doc-' || CAST(doc_id AS VARCHAR) || '"'"""
     return f"""graw AS ({_models_sql()}),
@@ -239,7 +241,8 @@ gcontent AS (SELECT *, {content} AS content0 FROM graw),
     WHEN {s} = 7 THEN {cid} || ', "error": {{"message": "failed"}}}}'
     WHEN {s} = 8 THEN {cid} || ', "response": {{"status_code": 200, "body": {{"choices": []}}}}}}'
     ELSE {cid} || ', "response": {{"status_code": 200, "body": {{"choices": [{{"message": {{"role": "assistant", "content": '
-         || to_json(content0) || '}}}}]}}}}}}' END AS line
+         || CASE WHEN {s} = 16 THEN '{{"score": ' || b || '}}' ELSE to_json(content0) END || '}}}}]}}}}}}'
+         || CASE WHEN {s} = 15 THEN ']' ELSE '' END END AS line
   FROM gcontent)"""
 
 
@@ -255,6 +258,7 @@ sp AS (
   SELECT model, line_no,
          CASE WHEN json_valid(l) THEN json_type(l) = 'OBJECT' ELSE false END AS ok,
          CASE WHEN (CASE WHEN json_valid(l) THEN json_type(l) = 'OBJECT' ELSE false END)
+               AND json_type(l, '$.response.body.choices[0].message.content') = 'VARCHAR'
               THEN json_extract_string(l, '$.response.body.choices[0].message.content') END AS content
   FROM sl),
 s1 AS (SELECT *, {c1} AS c1 FROM sp),
@@ -391,10 +395,10 @@ SELECT conv_id, turn, question, response,
 FROM pairs"""
 
 # First model: responses carry the numbered custom id as their question.
-_M1 = f"""{cte_pairs()},
-m1 AS (SELECT idx, CAST(idx AS VARCHAR) || '. ' || question AS question, response FROM pairs)"""
-_M2 = f"""{cte_pairs()},
-m2 AS (SELECT idx, question, response FROM pairs)"""
+_ANSWER = f"[{', '.join(sql_literal(r) for r in RESPONSES)}][idx % {len(RESPONSES)} + 1]"
+_M1 = f"""m1 AS (SELECT idx, CAST(idx AS VARCHAR) || '. ' || question AS question, {_ANSWER} AS response
+       FROM numbered WHERE idx % {GAP} <> 0)"""
+_M2 = f"""m2 AS (SELECT idx, question, {_ANSWER} AS response FROM numbered)"""
 
 SQL["qa_align_id"] = f"""{_Q}, {_M1}
 SELECT n.idx, n.gold, m.question, m.response FROM numbered n JOIN m1 m USING (idx)"""
@@ -585,3 +589,11 @@ FROM numbered"""
 SQL["response_rows_roundtrip"] = SQL["qa_align_pos"]
 
 SQL["ngram_stream_counts"] = SQL["ngram_counts"]
+
+SQL["response_array_rows"] = f"""SELECT question, response, input_tokens, output_tokens FROM ({SQL['response_usage']})"""
+
+SQL["qa_multiline_files"] = f"""{_Q}
+SELECT a, p, q, question, n_answers FROM questions"""
+
+SQL["corpus_files"] = f"""WITH {model_ctes(C.N_COUNTS)}
+SELECT context, word, cnt FROM cnts"""
