@@ -73,14 +73,14 @@ def main() -> None:
     docs = inputs.documents(spark, sf)
     model = ngram.train_ngram(docs, 1)
     inner = {
-        "n-gram training pass (grouping sets)": ngram._model_table(docs, 2, "doc_id", "text", 0),
+        "n-gram counts": ngram.train_ngram(docs, 2).counts,
         "n-gram top-1 from the model": model.top1(),
         "BPE word types": bpe.word_types(docs),
         "BPE initial pair statistics": bpe.type_pairs(bpe.with_symbols(bpe.word_types(docs))).groupBy("l", "r").sum("w"),
-        "sampling step (bucketed equi-join)": ngram._predict_ok(
-            model,
+        "sampling step (bucketed lookups)": ngram._next_words(
             model.counts.select("context").distinct().selectExpr("xxhash64(context) AS prompt_id", "context", "0 AS step"),
-            "sample", 7,
+            ngram.Lookups(model, "sample"),
+            7,
         ),
     }
     for label, df in inner.items():

@@ -78,14 +78,34 @@ def test_encoder_leftmost(spark):
     assert got == {"the": ["the</w>"], "thth": ["th", "th"], "xer": ["x", "er"], "zz": ["z", "z"]}
 
 
-def test_encoder_python_finisher_agrees(spark):
-    vocab = spark.createDataFrame(
-        [(t, i) for i, t in enumerate(["th", "the", "the</w>", "e</w>", "er", "t", "h", "e", "x"])], "token string, id bigint"
-    )
-    words = spark.createDataFrame([("the",), ("thth",), ("xer",), ("zz",), ("theretherthe",)], "word string")
-    a = {r["word"]: r["tokens"] for r in bp.encode_words(words, vocab).collect()}
-    b = {r["word"]: r["tokens"] for r in bp.encode_words(words, vocab, spark_rounds=0).collect()}
-    assert a == b
+def _plain_encode(word, vocab):
+    s = [*word, "</w>"]
+    while True:
+        at = next((i for i in range(len(s) - 1) if s[i] + s[i + 1] in vocab), None)
+        if at is None:
+            return s[:-1] if s[-1] == "</w>" else s
+        left, right = s[at], s[at + 1]
+        out, i = [], 0
+        while i < len(s):
+            if i + 1 < len(s) and (s[i], s[i + 1]) == (left, right):
+                out.append(left + right)
+                i += 2
+            else:
+                out.append(s[i])
+                i += 1
+        s = out
+
+
+def test_encoder_equals_plain_rule(spark):
+    long = "ab" * 600
+    tokens = ["th", "the", "the</w>", "e</w>", "er", "t", "h", "e", "x", "ab", "aba", "abab", "abababab", long]
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(tokens)], "token string, id bigint")
+    words = ["the", "thth", "xer", "zz", "theretherthe", "hehehethe", "a", long, "x" + long]
+    got = {r["word"]: r for r in bp.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), vocab).collect()}
+    for w in words:
+        want = _plain_encode(w, set(tokens))
+        assert got[w]["tokens"] == want
+        assert got[w]["ids"] == [tokens.index(t) if t in tokens else -1 for t in want]
 
 
 def test_tokenize_roundtrip_property(spark, docs):

@@ -141,3 +141,30 @@ def test_model_arity_must_match(spark, docs):
         ng.generate(m, _prompts(spark, "a b"), 3, expect_n=1)
     out = ng.generate(m, _prompts(spark, "a b"), 2, expect_n=2).first()
     assert out["output"] == "a b a c"
+
+
+def test_hot_context_is_spread_and_tables_are_not_reshuffled(spark, docs):
+    """All prompts at one context: one lookup, many join keys; the bucketed side of a step has no exchange."""
+    model = ng.train_ngram(docs(*(f"the w{i % 3} end" for i in range(30))), 1)
+    prompts = spark.range(400).selectExpr("id as prompt_id", "'the' as text")
+    got = ng.predict(model, prompts, mode="sample", seed=3).groupBy("next_word").count().collect()
+    assert sum(r["count"] for r in got) == 400 and {r["next_word"] for r in got} == {"w0", "w1", "w2"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lookups = ng.Lookups(model, "top1")
+        queries = prompts.selectExpr("prompt_id", "text as context", "0 as step")
+        answer = ng._answer(queries, lookups.table("top1"), ["context"])
+        plan = answer._jdf.queryExecution().executedPlan().toString()
+        scan = plan[: plan.index("FileScan")].splitlines()[-4:]
+        assert "Bucketed: true" in plan and not any("Exchange" in x for x in scan)
+        lookups.drop()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_null_prompt_is_bad_arity(spark, docs):
+    model = ng.train_ngram(docs("a b c"), 1)
+    prompts = spark.createDataFrame([(1, None)], "prompt_id bigint, text string")
+    assert ng.predict(model, prompts).first()["status"] == ng.STATUS_BAD_ARITY

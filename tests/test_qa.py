@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from wordloom.operators import qa
@@ -82,9 +83,13 @@ def test_answer_function_and_response_files(spark, tmp_path):
     out = {r["idx"]: (r["response"], r["input_tokens"]) for r in qa.answer_with(qs, fn).collect()}
     assert out == {1: ("A B C", 5), 2: ("D", 1)}
     path = str(tmp_path / "resp")
-    fs.append_response_rows(qa.answer_with(qs, fn).orderBy("idx").coalesce(1), path)
-    fs.append_response_rows(qa.answer_with(qs, fn).orderBy("idx").coalesce(1), path)
-    assert fs.read_response_rows(spark, path).count() == 4
+    many = spark.range(12).selectExpr("id as idx", "concat('q', id) as question").repartition(3)
+    fs.append_response_rows(qa.answer_with(qs, fn), path, ["idx"], 0)
+    fs.append_response_rows(qa.answer_with(many, fn), path, ["idx"], 1)
+    back = fs.read_response_rows(spark, path).orderBy(*fs.RESPONSE_ORDER).collect()
+    assert [r["question"] for r in back] == ["a b c", "d", *(f"q{i}" for i in range(12))]
+    with pytest.raises(Exception, match="1 rows for"):
+        qa.answer_with(qs.coalesce(1), lambda q: fn(q).head(1)).collect()
 
 
 def test_json_array_response_file(spark, tmp_path):

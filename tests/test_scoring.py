@@ -73,3 +73,34 @@ def test_accuracy(spark):
 def test_strip_fences_order(spark):
     df = spark.createDataFrame([(FENCE + "json\n{}\n" + FENCE + "\n",)], "s string")
     assert df.select(strip_fences(F.col("s")).alias("o")).first()["o"] == "{}"
+
+
+def test_strict_value_and_string_content(spark):
+    """Trailing junk after a closing bracket, non-Python numbers and content that is no string are not scored."""
+    from wordloom.operators import scoring as sc
+
+    def line(content):
+        return '{"response": {"body": {"choices": [{"message": {"content": ' + content + "}}]}}}"
+
+    cases = {
+        line('"{\\"score\\": true}"'): "correct",
+        line('"{\\"score\\": true}]"'): "bad_json",
+        line('"{\\"score\\": true}] junk"'): "bad_json",
+        line('"{\\"score\\": true}][1]"'): "bad_json",
+        line('"{\\"score\\": true, \\"x\\": +INF}"'): "bad_json",
+        line('"{\\"score\\": true, \\"x\\": NaN}"'): "correct",
+        line('"{\\"score\\": true, \\"x\\": \\"+INF\\"}"'): "correct",
+        line('{"score": true}'): "no_content",
+        line('"{\\"score\\": true}"') + "]": "bad_line",
+        line('"{\\"score\\": true}"') + "] junk": "bad_line",
+    }
+    rows = spark.createDataFrame([(x,) for x in cases], "line string")
+    assert {r["line"]: r["outcome"] for r in sc.score_lines(rows).collect()} == cases
+
+
+def test_percent_text_rounds_the_binary_value(spark):
+    from wordloom.operators import scoring as sc
+
+    for right, n in ((1, 4000), (3, 4000), (1, 8), (2, 3)):
+        rows = spark.range(n).selectExpr(f"if(id < {right}, 'correct', 'incorrect') as outcome")
+        assert sc.accuracy(rows).first()["percent"] == f"{right / n * 100:.2f}%"

@@ -77,9 +77,3 @@ def unwrap_symbols(wrapped) -> Column:
     w = _col(wrapped)
     inner = F.substring(w, 2, F.length(w) - 2)
     return F.when(F.length(w) <= 2, F.array().cast("array<string>")).otherwise(F.split(inner, " \t", -1))
-
-
-def wrapped_pair(left, right) -> Column:
-    """The wrapped text of two adjacent symbols."""
-    return F.concat(F.lit("\t"), _col(left), F.lit(" \t"), _col(right), F.lit(" "))
-

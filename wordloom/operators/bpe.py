@@ -7,32 +7,36 @@ never contain whitespace, so merging the pair (l, r) is the literal
 non-overlapping -- the reference's merge rule -- and it stays inside codegen.
 
 Training keeps the word *types* (``word, freq, first``) and the pair counts
-as tables. Each merge touches only the types that contain the pair: their old
-pairs are subtracted and their new pairs added (counts are additive). The
-earliest occurrence of a pair, which breaks ties between equally frequent
-pairs ("met first"), is not subtractable, so it is computed only for the pairs
-tied at the maximum, from the types that contain them. One row reaches the
-driver per merge.
+as tables. A round merges the leading pairs that cannot influence each other
+(see :func:`_leading_pairs`); it reads the types once and touches only those
+that contain one of them: their old pairs are subtracted and their new pairs
+added by one generator (counts are additive). The earliest occurrence of a
+pair, which breaks ties between equally frequent pairs ("met first"), is not
+subtractable, so it is computed for the pairs tied at the maximum, when they
+are tied. At most ``_ROUND`` rows reach the driver per round.
+
+Encoding looks every substring of a distinct word up in the vocabulary once
+and then merges inside the word by a fold; ids travel with the looked-up
+tokens, so no token occurrence is joined.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols, wrapped_pair
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols
+from ..session import cut_lineage
 from .ordering import dense_index, first_key
 
-# How many leading pairs are fetched per round to see whether the maximum is tied.
-_TIE_PROBE = 32
+# Leading counts fetched per round; more merges than this are never made in one round.
+_ROUND = 16
 # Rounds between reliable checkpoints of the loop state.
 _CHECKPOINT_EVERY = 8
-# Vocabulary rows up to which a broadcast of the vocabulary is used.
-BROADCAST_VOCAB_ROWS = 2_000_000
+# Copies of the vocabulary that a per-occurrence decode joins, so that one id is many keys.
+_SALTS = 16
 
 
 # ---------------------------------------------------------------------------
@@ -57,18 +61,20 @@ def with_symbols(types: DataFrame) -> DataFrame:
     return types.withColumn("sym", wrap_symbols(word_symbols(F.col("word"))))
 
 
-def type_pairs(types: DataFrame, weight: Column | None = None) -> DataFrame:
-    """Adjacent symbol pairs of every type: ``first, i, l, r, w`` (``i`` = symbol index)."""
-    s = unwrap_symbols(F.col("sym"))
-    w = F.col("freq") if weight is None else weight
+def _pair_array(symbols: Column, weight: Column) -> Column:
+    """Adjacent pairs of a symbol array as structs ``i, l, r, w``."""
+    none = F.array().cast("array<struct<i:int,l:string,r:string,w:bigint>>")
     pairs = F.transform(
-        F.sequence(F.lit(0), F.size("_s") - 2),
-        lambda i: F.struct(i.alias("i"), F.get(F.col("_s"), i).alias("l"), F.get(F.col("_s"), i + 1).alias("r")),
+        F.sequence(F.lit(0), F.size(symbols) - 2),
+        lambda i: F.struct(i.alias("i"), F.get(symbols, i).alias("l"), F.get(symbols, i + 1).alias("r"), weight.cast("bigint").alias("w")),
     )
-    return (
-        types.select("first", w.alias("w"), s.alias("_s"))
-        .where(F.size("_s") >= 2)
-        .select("first", "w", F.inline(pairs))
+    return F.when(F.size(symbols) >= 2, pairs).otherwise(none)
+
+
+def type_pairs(types: DataFrame) -> DataFrame:
+    """Adjacent symbol pairs of every type: ``first, i, l, r, w`` (``i`` = symbol index)."""
+    return types.select("first", "freq", unwrap_symbols(F.col("sym")).alias("_s")).select(
+        "first", F.inline(_pair_array(F.col("_s"), F.col("freq")))
     )
 
 
@@ -104,65 +110,68 @@ class BpeModel:
         return BpeModel(spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
 
 
-def _best_pair(pairs: DataFrame, types: DataFrame):
-    """The most frequent pair, first met on ties, or None when no pair is left."""
-    top = pairs.orderBy(F.desc("cnt")).limit(_TIE_PROBE).collect()
-    if not top:
-        return None
-    best_cnt = top[0]["cnt"]
-    tied = [row for row in top if row["cnt"] == best_cnt]
-    if len(tied) == 1:
-        return tied[0]["l"], tied[0]["r"], best_cnt
-    if len(tied) < len(top):
-        # All tied pairs are known: look only at the types that contain one of them.
-        cond = None
-        for row in tied:
-            c = F.col("sym").contains(f"\t{row['l']} \t{row['r']} ")
-            cond = c if cond is None else (cond | c)
-        cand = types.where(cond)
-        tied_df = pairs.sparkSession.createDataFrame([(row["l"], row["r"]) for row in tied], "l string, r string")
-    else:
-        tied_df = pairs.where(F.col("cnt") == best_cnt).select("l", "r")
-        cand = types
-    occ = type_pairs(cand).join(tied_df, ["l", "r"], "left_semi")
-    first = occ.groupBy("l", "r").agg(F.min(F.struct("first", "i")).alias("f"))
-    win = first.orderBy("f").limit(1).collect()[0]
-    return win["l"], win["r"], best_cnt
+def _leading_pairs(pairs: DataFrame, types: DataFrame, most: int) -> list[tuple[str, str, int]]:
+    """The next merges in order, as many as one round can make (none when no pair is left).
+
+    Pairs are taken by falling count while each has a count of its own and
+    shares no symbol with those before it. A merge changes only counts of pairs
+    that contain one of its symbols, and a new pair occurs at most as often as
+    a pair it replaces, which is not among those taken and so has a smaller
+    count: merging them one after another would choose the same pairs. If the
+    highest count is tied, the pair met first is the round's only merge.
+    """
+    by_count = pairs.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("l", "r")).alias("p"))
+    top = by_count.orderBy(F.desc("cnt")).limit(min(most, _ROUND)).collect()
+    out: list[tuple[str, str, int]] = []
+    used: set[str] = set()
+    for row in top:
+        left, right = row["p"]
+        if row["n"] > 1 or not used.isdisjoint((left, right)):
+            break
+        used.update((left, right))
+        out.append((left, right, row["cnt"]))
+    if top and not out:
+        tied = pairs.where(F.col("cnt") == top[0]["cnt"]).select("l", "r")
+        first = type_pairs(types).join(tied, ["l", "r"], "left_semi").select("l", "r", F.struct("first", "i").alias("f"))
+        win = first.orderBy("f").limit(1).collect()[0]
+        out.append((win["l"], win["r"], top[0]["cnt"]))
+    return out
 
 
 def _merge_loop(types: DataFrame, k: int):
-    """Run up to ``k`` merges over ``types``; return final types and merges.
+    """Run up to ``k`` merges over ``types``; return final types, merges and the cached state.
 
-    Per round: one small job picks the best pair (one row to the driver); the
-    affected types' old pairs (negative) and new pairs (positive) are folded
-    into the pair table by a single aggregation. The types and pair tables are
-    checkpointed every few rounds (reliable, bounded lineage) and kept in
-    memory in between.
+    The types and pair tables are checkpointed every few rounds (reliable,
+    bounded lineage) and kept in memory in between.
     """
     types = cut_lineage(types).persist()
     pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
     base_types = types
     merges: list[tuple[int, str, str, int]] = []
     released: list[DataFrame] = []
-    for rank in range(1, max(k, 0) + 1):
-        best = _best_pair(pairs, types)
+    rounds = 0
+    while len(merges) < k:
+        best = _leading_pairs(pairs, types, k - len(merges))
         for df in released:
             df.unpersist()
         released = []
-        if best is None:
+        if not best:
             break
-        left, right, cnt = best
-        merges.append((rank, left, right, cnt))
-        hit = F.col("sym").contains(f"\t{left} \t{right} ")
-        affected = types.where(hit)
-        merged = affected.withColumn("sym", merge_column(F.col("sym"), left, right))
-        signed = type_pairs(affected, -F.col("freq")).unionByName(type_pairs(merged)).select("l", "r", F.col("w").alias("cnt"))
-        new_pairs = pairs.unionByName(signed).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
-        # ``replace`` leaves strings without the pair unchanged; one reference to
-        # ``sym`` per round keeps the collapsed projection linear in the rounds.
-        new_types = types.withColumn("sym", merge_column(F.col("sym"), left, right))
+        merges += [(len(merges) + i, *m) for i, m in enumerate(best, 1)]
+        # ``replace`` leaves strings without the pair unchanged; one reference to ``sym`` per merge keeps the
+        # collapsed projection linear in the merges.
+        merged, hit = F.col("sym"), F.lit(False)
+        for left, right, _ in best:
+            hit = hit | F.col("sym").contains(f"\t{left} \t{right} ")
+            merged = merge_column(merged, left, right)
+        old_new = types.where(hit).select("freq", unwrap_symbols(F.col("sym")).alias("_o"), unwrap_symbols(merged).alias("_n"))
+        signed = F.concat(_pair_array(F.col("_o"), -F.col("freq")), _pair_array(F.col("_n"), F.col("freq")))
+        change = old_new.select(F.inline(signed)).groupBy("l", "r").agg(F.sum("w").alias("cnt"))
+        new_pairs = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
+        new_types = types.withColumn("sym", merged)
         released.append(pairs)
-        if rank % _CHECKPOINT_EVERY == 0:
+        rounds += 1
+        if rounds % _CHECKPOINT_EVERY == 0:
             released.append(base_types)
             new_types = cut_lineage(new_types).persist()
             base_types = new_types
@@ -202,127 +211,81 @@ def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str
 # Encoding (B9) and tokenization
 # ---------------------------------------------------------------------------
 
-def _vocab_side(vocab: DataFrame) -> tuple[DataFrame, bool]:
-    """The vocabulary tokens and whether they are small enough to broadcast
-    (row count checked against :data:`BROADCAST_VOCAB_ROWS`)."""
-    tokens = vocab.select("token")
-    small = tokens.count() <= BROADCAST_VOCAB_ROWS
-    return (F.broadcast(tokens) if small else tokens), small
+def _word_hits(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The vocabulary tokens that are substrings of each word (with its end mark): ``word, hits array<token, id>``.
+
+    Every symbol that the encoder can form is such a substring. Substrings are
+    no longer than the longest token, so a word's hits are bounded by its own
+    length times that.
+    """
+    longest = vocab.agg(F.max(F.char_length("token"))).first()[0] or 0
+    spans = F.expr(
+        f"flatten(transform(sequence(0, size(s) - 1), i -> transform(sequence(1, least({max(longest, 1)}, size(s) - i)), "
+        "n -> array_join(slice(s, i + 1, n), ''))))"
+    )
+    each = words.select("word", word_symbols(F.col("word")).alias("s")).select("word", F.explode(F.array_distinct(spans)).alias("token"))
+    return each.join(vocab.select("token", "id"), "token").groupBy("word").agg(F.collect_list(F.struct("token", "id")).alias("hits"))
+
+
+#: One merge inside a word: the leftmost adjacent pair whose concatenation is in ``v``, at all its places.
+_MERGE_STEP = """
+transform(array(split(substring(a.sym, 2, length(a.sym) - 2), ' \t')), s ->
+  transform(array(array_position(zip_with(s, slice(s, 2, size(s)), (l, r) -> coalesce(array_contains(v, concat(l, r)), false)), true)), i ->
+    if(i = 0, named_struct('sym', a.sym, 'done', true),
+       named_struct('sym', replace(a.sym, concat('\t', s[i - 1], ' \t', s[i], ' '), concat('\t', s[i - 1], s[i], ' ')), 'done', false)))[0])[0]
+"""
 
 
-def _encode_python(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Finish encoding in Python for the few words left after the Spark rounds.
+def encode_words(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Encode distinct ``word``s: ``word, tokens, ids`` (arrays), trailing ``</w>`` dropped, -1 for unknown tokens.
 
-    The vocabulary set travels as a broadcast variable (its size was checked
-    by the caller); each task encodes its own words.
+    While an adjacent pair's concatenation is in the vocabulary, the leftmost
+    such pair is merged wherever it occurs. The vocabulary is met once, by a
+    join on the words' substrings (:func:`_word_hits`); the merges are a fold
+    inside the word, which ends after as many steps as the word has symbols.
     """
-    spark = words.sparkSession
-    vocab_set = {r["token"] for r in vocab.select("token").toLocalIterator()}
-    bc = spark.sparkContext.broadcast(vocab_set)
-
-    def run(batches):
-        v = bc.value
-        for pdf in batches:
-            out = []
-            for sym in pdf["sym"]:
-                s = sym[1:-1].split(" \t") if len(sym) > 2 else []
-                while True:
-                    pick = None
-                    for i in range(len(s) - 1):
-                        if s[i] + s[i + 1] in v:
-                            pick = (s[i], s[i + 1])
-                            break
-                    if pick is None:
-                        break
-                    merged, i = [], 0
-                    while i < len(s):
-                        if i < len(s) - 1 and s[i] == pick[0] and s[i + 1] == pick[1]:
-                            merged.append(s[i] + s[i + 1])
-                            i += 2
-                        else:
-                            merged.append(s[i])
-                            i += 1
-                    s = merged
-                out.append("".join(f"\t{x} " for x in s))
-            yield pdf.assign(sym=out)
-
-    return words.mapInPandas(run, words.schema)
-
-
-def encode_words(words: DataFrame, vocab: DataFrame, spark_rounds: int = 24) -> DataFrame:
-    """Encode distinct ``word``s to ``tokens`` (array), trailing ``</w>`` dropped.
-
-    Each round, for every still-active word: adjacent pairs whose
-    concatenation is in the vocabulary (semi join) -> the leftmost one -> merge
-    every occurrence of it. Words without a candidate leave the loop. Each
-    round's rows are written as partition ``round=r`` of a table in the shared
-    checkpoint folder and the next round reads the active words back from it
-    (constant lineage). Words still active after ``spark_rounds`` rounds (very
-    long tokens) are finished by the same rule in a per-word helper, so the
-    number of jobs stays bounded. The helper needs the vocabulary as a
-    broadcast set, so it is used only when the vocabulary passed the size
-    check; otherwise the rounds continue until every word is done.
+    distinct = words.select("word").distinct()
+    hits = _word_hits(distinct, vocab).withColumnRenamed("word", "_hw")
+    known = F.coalesce("hits", F.array().cast("array<struct<token:string,id:bigint>>"))
+    df = distinct.join(hits, F.col("word") == F.col("_hw"), "left").select(
+        "word", known.alias("hits"), wrap_symbols(word_symbols(F.col("word"))).alias("sym"), F.char_length("word").alias("n")
+    )
+    df = df.withColumn("v", F.transform("hits", lambda h: h["token"]))
+    fold = f"aggregate(sequence(1, n + 1), named_struct('sym', sym, 'done', false), (a, x) -> if(a.done, a, {_MERGE_STEP})).sym"
+    toks = unwrap_symbols(F.expr(fold))
+    df = df.select("word", "hits", toks.alias("t"))
+    last = F.try_element_at("t", F.lit(-1))
+    df = df.withColumn("tokens", F.when(last == END_OF_WORD, F.slice("t", 1, F.size("t") - 1)).otherwise(F.col("t")))
+    ids = F.expr("transform(tokens, t -> coalesce(get(filter(hits, h -> h.token = t), 0).id, -1L))")
+    return df.select("word", "tokens", ids.alias("ids"))
+
+
+def tokenize(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """B10 + J2: ``doc_id, pos, tpos, token, id``: every pre-token of every document, in order.
+
+    Distinct words are encoded with their ids; an occurrence is joined once,
+    on its word.
     """
-    spark = words.sparkSession
-    vocab_tokens, small = _vocab_side(vocab)
-    table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/encode-{uuid.uuid4().hex}"
-    active = words.select("word").distinct().withColumn("sym", wrap_symbols(word_symbols(F.col("word"))))
-    rnd = 0
-    while True:
-        if small and rnd >= spark_rounds:
-            _encode_python(active, vocab).withColumn("_changed", F.lit(False)).write.parquet(f"{table}/round={rnd}")
-            break
-        s = unwrap_symbols(F.col("sym"))
-        cands = (
-            active.select("word", s.alias("_s"))
-            .select(
-                "word",
-                F.inline(F.when(F.size("_s") >= 2, F.transform(
-                    F.sequence(F.lit(0), F.size("_s") - 2),
-                    lambda i: F.struct(
-                        i.alias("i"), F.get(F.col("_s"), i).alias("l"), F.get(F.col("_s"), i + 1).alias("r")
-                    ),
-                )).otherwise(F.array().cast("array<struct<i:int,l:string,r:string>>"))),
-            )
-            .withColumn("token", F.concat("l", "r"))
-            .join(vocab_tokens, "token", "left_semi")
-        )
-        pick = cands.groupBy("word").agg(F.min_by(F.struct("l", "r"), F.col("i")).alias("p"))
-        step = active.join(pick, "word", "left")
-        pat = wrapped_pair(F.col("p.l"), F.col("p.r"))
-        rep = F.concat(F.lit("\t"), F.col("p.l"), F.col("p.r"), F.lit(" "))
-        step = step.select(
-            "word",
-            F.when(F.col("p").isNull(), F.col("sym")).otherwise(F.replace(F.col("sym"), pat, rep)).alias("sym"),
-            F.col("p").isNotNull().alias("_changed"),
-        )
-        step.write.parquet(f"{table}/round={rnd}")
-        active = spark.read.parquet(f"{table}/round={rnd}").where(F.col("_changed")).select("word", "sym")
-        rnd += 1
-        if active.isEmpty():
-            break
-    out = spark.read.parquet(table).where(~F.col("_changed")).select("word", "sym")
-    toks = unwrap_symbols(F.col("sym"))
-    last = F.try_element_at(toks, F.lit(-1))
-    toks = F.when((F.size(toks) > 0) & (last == END_OF_WORD), F.slice(toks, 1, F.size(toks) - 1)).otherwise(toks)
-    return out.select("word", toks.alias("tokens"))
+    occ = pretokens(docs, id_col, text_col)
+    encoded = cut_lineage(encode_words(occ.select("word"), model.vocab))
+    pairs = F.posexplode(F.arrays_zip(F.col("tokens").alias("token"), F.col("ids").alias("id")))
+    flat = occ.join(encoded, "word").select("doc_id", "pos", pairs.alias("tpos", "x"))
+    return flat.select("doc_id", "pos", "tpos", F.col("x.token").alias("token"), F.col("x.id").alias("id"))
 
 
 def token_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``id`` of each ``token`` (-1 when unknown)."""
+    """J2 for a table of distinct tokens: ``id`` of each ``token`` (-1 when unknown)."""
     v = vocab.select("token", "id")
     return tokens.join(v, "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(-1).cast("bigint")))
 
 
-def tokenize(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, pos, tpos, token, id``: every pre-token of every document,
-    encoded (distinct words only, joined back), in order."""
-    occ = pretokens(docs, id_col, text_col)
-    encoded = encode_words(occ.select("word"), model.vocab)
-    joined = occ.join(encoded, "word").select("doc_id", "pos", F.posexplode("tokens").alias("tpos", "token"))
-    return token_ids(joined, model.vocab).select("doc_id", "pos", "tpos", "token", "id")
-
+def decode(ids: DataFrame, vocab: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """Id -> token (inner join; unknown ids have no token).
 
-def decode(ids: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Id -> token (inner join; unknown ids have no token)."""
-    return ids.join(vocab.select("token", "id"), "id")
+    A few ids carry most occurrences, so each id is ``_SALTS`` join keys: an
+    occurrence takes one by a hash of its ``key`` columns (all by default), and
+    the vocabulary is copied that many times.
+    """
+    salted = ids.withColumn("_salt", F.pmod(F.xxhash64(*(key or ids.columns)), F.lit(_SALTS)).cast("int"))
+    copies = vocab.select("token", "id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+    return salted.join(copies, ["id", "_salt"]).drop("_salt")

@@ -17,10 +17,10 @@ counting aggregate keeps a fixed-width buffer and runs as a hash aggregate
 
 ``vocab``: ``word STRING``.
 
-All steps are built-in expressions. Training is one pass over the corpus: a
-single aggregation with the grouping sets ``(context, word)`` and ``(word)``
-(partial aggregation before the exchange absorbs hot contexts) yields both
-tables and is checkpointed once.
+All steps are built-in expressions. Training is lazy: counts and vocabulary are
+one aggregation each (partial aggregation before the exchange absorbs hot
+contexts), and a query that needs only one of them computes only that one.
+``NgramModel.materialize`` writes both where a model is used more than once.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_checkpoint_dir
-from .ordering import first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
+from .ordering import MAX_BATCH, first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
 STATUS_OK = "ok"
@@ -124,6 +124,13 @@ class NgramModel:
         iv = running_sum(self.counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
         return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
 
+    def materialize(self) -> "NgramModel":
+        """Both tables written under the shared checkpoint folder and read back."""
+        spark = self.counts.sparkSession
+        path = _scratch(spark, "ngram-model")
+        self.save(path)
+        return NgramModel.load(spark, path)
+
     # ---- training -------------------------------------------------------
     def update(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> "NgramModel":
         """Add a further training batch (no bridge between batches)."""
@@ -149,48 +156,17 @@ class NgramModel:
         return NgramModel(n, spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/vocab"))
 
 
-def _model_table(docs: DataFrame, n: int, id_col: str, text_col: str, batch: int) -> DataFrame:
-    """Counts and vocabulary from one pass over the corpus.
-
-    Every token position yields ``(i, context, word)`` with a NULL context for
-    the first ``n`` positions (they only feed the vocabulary); one aggregation
-    with the grouping sets ``(context, word)`` and ``(word)`` produces both
-    tables, so the corpus is scanned and tokenised once.
-    """
-    toks = _tokens(docs, id_col, text_col)
-    t = F.col("t")
-    per_position = F.transform(
-        F.sequence(F.lit(0), F.size(t) - 1),
-        lambda i: F.struct(
-            i.cast("int").alias("i"),
-            F.when(i >= n, F.concat_ws(" ", *[F.element_at(t, i - n + 1 + k) for k in range(n)])).alias("context"),
-            F.element_at(t, i + 1).alias("word"),
-        ),
-    )
-    none = F.array().cast("array<struct<i:int,context:string,word:string>>")
-    rows = toks.select("doc_id", F.inline(F.when(F.size(t) > 0, per_position).otherwise(none)))
-    return rows.groupingSets([["context", "word"], ["word"]], "context", "word").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min(first_key(F.lit(batch), F.col("doc_id"), F.col("i"))).alias("first"),
-        F.grouping("context").alias("_word_only"),
-    )
-
-
 def train_ngram(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", batch: int = 0) -> NgramModel:
-    """Train on a table of documents; each document is one sequence.
-
-    Training is an action: counts and vocabulary come from one pass
-    (:func:`_model_table`) written once to the checkpoint folder, and the
-    model's tables read that result.
-    """
+    """Train on a table of documents; each document is one sequence. Nothing runs until a table is used."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    table = cut_lineage(_model_table(docs, n, id_col, text_col, batch))
-    counts = table.where((F.col("_word_only") == 0) & F.col("context").isNotNull()).select(
-        "context", "word", "cnt", "first"
-    )
-    vocab = table.where(F.col("_word_only") == 1).select("word")
-    return NgramModel(n, counts, vocab)
+    if not 0 <= batch <= MAX_BATCH:
+        raise ValueError(f"batch must be 0 to {MAX_BATCH}")
+    return NgramModel(n, count_events(ngram_events(docs, n, id_col, text_col), batch), vocabulary(docs, id_col, text_col))
+
+
+def _scratch(spark, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{what}-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------------------
@@ -240,56 +216,96 @@ def _width() -> Column:
     return F.expr("(total + nwords - 1) div nwords")
 
 
+#: Elements of an array that one row may explode into at once.
+_RUN = 1 << 16
+
+
 def bucketed_intervals(intervals: DataFrame) -> DataFrame:
     """Intervals keyed by ``(context, bucket)`` for an equi-join lookup of a draw.
 
     A context's mass ``[0, total)`` is cut into ``nwords`` buckets of width
     ``w = ceil(total / nwords)``; each interval is copied to every bucket it
     overlaps (at most ``3 * nwords`` copies per context in all). A draw ``r``
-    joins bucket ``r div w`` only, so a hot context is spread over as many
-    join keys as it has words, and each draw meets at most ``w + 2`` intervals.
+    joins bucket ``r div w`` only and meets at most ``w + 2`` intervals. An
+    interval over many buckets is unrolled in two steps, so no row holds an
+    array of them all.
     """
-    return intervals.withColumn("w", _width()).select(
-        "context", "word", "lo", "cnt", "w",
-        F.explode(F.sequence(F.expr("lo div w"), F.expr("(lo + cnt - 1) div w"))).alias("bucket"),
+    spans = intervals.withColumn("w", _width()).select(
+        "context", "word", "lo", "cnt", "w", F.expr("lo div w").alias("b0"), F.expr("(lo + cnt - 1) div w").alias("b1")
     )
+    runs = spans.withColumn("s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(b1 - b0) div {_RUN}"))))
+    bucket = F.explode(F.sequence(F.expr(f"b0 + s * {_RUN}"), F.expr(f"least(b1, b0 + (s + 1) * {_RUN} - 1)")))
+    return runs.select("context", "word", "lo", "cnt", "w", bucket.alias("bucket"))
 
 
-def _sample_next(queries: DataFrame, buckets: DataFrame, totals: DataFrame, seed: int) -> DataFrame:
-    """Weighted draw of the next word for ``queries(prompt_id, step, context)``."""
-    q = queries.join(totals, "context").withColumn(
-        "r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))
-    ).withColumn("bucket", F.expr("r div w"))
-    hit = q.join(buckets.select("context", "bucket", "word", "lo", "cnt"), ["context", "bucket"]).where(
-        (F.col("lo") <= F.col("r")) & (F.col("r") < F.col("lo") + F.col("cnt"))
-    )
-    return hit.select("prompt_id", "step", "context", F.col("word").alias("next_word"))
-
-
-def sampling_tables(model: NgramModel, partitions: int | None = None) -> dict[str, DataFrame]:
-    """The lookup tables of weighted sampling, checkpointed and hash-partitioned for the joins."""
-    spark = model.counts.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    iv = cut_lineage(model.intervals())
-    totals = iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w"))
-    return dict(
-        buckets=cut_lineage(bucketed_intervals(iv).repartition(parts, "context", "bucket")),
-        totals=cut_lineage(totals.repartition(parts, "context")),
-    )
+class Lookups:
+    """Lookup tables of one prediction job, bucketed on their join keys under the shared checkpoint folder.
+
+    A table is written once, bucket by bucket; every later join reads it as it
+    lies, so only the (distinct) keys that are asked for are shuffled. ``drop``
+    removes the tables.
+    """
+
+    def __init__(self, model: NgramModel, mode: str) -> None:
+        self.spark = model.counts.sparkSession
+        self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables: dict[str, str] = {}
+        self.mode = mode
+        if mode == "top1":
+            self._write("top1", model.top1().select("context", F.col("word").alias("next_word")), ["context"])
+        elif mode == "sample":
+            iv = cut_lineage(model.intervals())
+            self._write("totals", iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w")), ["context"])
+            self._write("buckets", bucketed_intervals(iv).drop("w"), ["context", "bucket"])
+        else:
+            raise ValueError(f"unknown mode {mode!r}")
+
+    def _write(self, name: str, df: DataFrame, keys: list[str]) -> None:
+        path = _scratch(self.spark, name)
+        table = f"wordloom_{path.rsplit('/', 1)[1].replace('-', '_')}"
+        # the same hash as the bucketing: one task writes one bucket
+        df.repartition(self.parts, *keys).write.bucketBy(self.parts, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+        self.tables[name] = table
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(self.tables[name])
+
+    def drop(self) -> None:
+        jvm = self.spark._jvm
+        for table in self.tables.values():
+            where = self.spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            path = jvm.org.apache.hadoop.fs.Path(where)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Join keys that one context's prompts are spread over.
+SALTS = 16
+
+
+def _answer(queries: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of ``queries(prompt_id, ...)`` with a lookup table on ``keys``.
+
+    The table meets the distinct keys only; what they find is copied
+    ``SALTS`` times, and a prompt takes the copy of its own hash. A context that
+    a third of the prompts are at is one lookup and ``SALTS`` join keys.
+    """
+    found = queries.select(*keys).distinct().join(table, keys)
+    copies = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = queries.withColumn("_salt", F.pmod(F.xxhash64("prompt_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
-def _predict_ok(model: NgramModel, queries: DataFrame, mode: str, seed: int, top1=None, buckets=None, totals=None):
-    if mode == "top1":
-        t1 = top1 if top1 is not None else model.top1()
-        return queries.join(t1.select("context", F.col("word").alias("next_word")), "context", "left")
-    if mode == "sample":
-        if buckets is None or totals is None:
-            tables = sampling_tables(model)
-            buckets, totals = tables["buckets"], tables["totals"]
-        drawn = _sample_next(queries, buckets, totals, seed)
-        # One query per prompt within a step: the prompt id alone is the key.
-        return queries.join(drawn.select("prompt_id", "next_word"), "prompt_id", "left")
-    raise ValueError(f"unknown mode {mode!r}")
+def _next_words(queries: DataFrame, lookups: Lookups, seed: int) -> DataFrame:
+    """``queries(prompt_id, step, context, ...)`` with ``next_word`` (NULL where the context is unseen)."""
+    if lookups.mode == "top1":
+        return _answer(queries, lookups.table("top1"), ["context"])
+    q = _answer(queries, lookups.table("totals"), ["context"]).where(F.col("total").isNotNull())
+    q = q.withColumn("r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))).withColumn("bucket", F.expr("r div w"))
+    hit = _answer(q.select("prompt_id", "context", "bucket", "r"), lookups.table("buckets"), ["context", "bucket"])
+    drawn = hit.where((F.col("lo") <= F.col("r")) & (F.col("r") < F.col("lo") + F.col("cnt")))
+    # One query per prompt within a step: the prompt id alone is the key.
+    return queries.join(drawn.select("prompt_id", F.col("word").alias("next_word")), "prompt_id", "left")
 
 
 def _require_n(model: NgramModel, expect_n: int | None) -> None:
@@ -311,7 +327,9 @@ def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int
     usable = checked.where(F.col("status").isNull()).select(
         "prompt_id", F.array_join("words", " ").alias("context"), F.lit(0).alias("step")
     )
-    pred = _predict_ok(model, usable, mode, seed).select("prompt_id", "next_word")
+    lookups = Lookups(model, mode)
+    pred = cut_lineage(_next_words(usable, lookups, seed).select("prompt_id", "next_word"))
+    lookups.drop()
     out = checked.join(pred, "prompt_id", "left")
     status = F.coalesce(
         F.col("status"), F.when(F.col("next_word").isNull(), F.lit(STATUS_UNSEEN)).otherwise(F.lit(STATUS_OK))
@@ -329,8 +347,9 @@ def generate(
 ) -> DataFrame:
     """A10 + A11: generate up to ``nwords`` words per prompt, sliding the context.
 
-    A driver loop of ``nwords`` steps; each step is one distributed join of the
-    still-active prompts with the model (finished prompts leave the loop). Every
+    A driver loop of ``nwords`` steps; each step looks the distinct contexts of
+    the still-active prompts up in the bucketed model table and hands the
+    answers to the prompts (finished prompts leave the loop). Every
     step's rows ``(prompt_id, ctx, next_word)`` are written as partition
     ``step=s`` of a table in the shared checkpoint folder and the next step
     reads its active prompts back from it, so lineage and plan size stay
@@ -344,22 +363,14 @@ def generate(
     _require_n(model, expect_n)
     n = model.n
     spark = prompts.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Materialised once: used to seed the loop and again for the final result.
     checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
-    # Lookup tables are hash-partitioned before they are checkpointed, so every
-    # step's join shuffles only the active prompts.
-    if mode == "top1":
-        top1 = model.top1().select("context", "word").repartition(parts, "context")
-        lookups = dict(top1=cut_lineage(top1))
-    else:
-        lookups = sampling_tables(model, parts)
-
-    table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/generate-{uuid.uuid4().hex}"
+    lookups = Lookups(model, mode)
+    table = _scratch(spark, "generate")
     active = checked.where(F.col("status").isNull()).select("prompt_id", F.col("words").alias("ctx"))
     for step in range(nwords):
         queries = active.select("prompt_id", F.array_join("ctx", " ").alias("context"), F.lit(step).alias("step"), "ctx")
-        res = _predict_ok(model, queries, mode, seed, **lookups).select("prompt_id", "ctx", "next_word")
+        res = _next_words(queries, lookups, seed).select("prompt_id", "ctx", "next_word")
         res.write.mode("overwrite").parquet(f"{table}/step={step}")
         done = spark.read.parquet(f"{table}/step={step}")
         tail = F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>")
@@ -386,11 +397,15 @@ def generate(
     status = F.coalesce(
         F.col("status"), F.when(F.col("halted") == 1, F.lit(STATUS_UNSEEN)), F.lit(STATUS_OK)
     )
-    return out.select(
+    result = cut_lineage(out.select(
         "prompt_id",
         words.alias("words"),
         F.size(generated).alias("n_generated"),
         status.alias("status"),
         "oov_word",
         F.when(F.size(generated) > 0, F.array_join(words, " ")).alias("output"),
-    )
+    ))
+    lookups.drop()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return result

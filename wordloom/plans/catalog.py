@@ -339,17 +339,13 @@ def q_qa_answer_fn(spark, sf_dir):
 # B. byte-pair encoding
 # ---------------------------------------------------------------------------
 
-K_MERGES = 8  # merges learned by the registered BPE queries
+K_MERGES = 50  # merges learned by the registered BPE queries
 
 
 def _bpe_docs(spark, sf_dir):
     return inputs.documents(spark, sf_dir)
 
 
-def _bench_docs(spark, sf_dir):
-    return inputs.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-
-
 def _types(spark, sf_dir):
     return bp.with_symbols(bp.word_types(_bpe_docs(spark, sf_dir)))
 
@@ -418,19 +414,19 @@ def q_bpe_encode(spark, sf_dir):
 def q_bpe_ids(spark, sf_dir):
     model = _model(spark, sf_dir)
     words = bp.pretokens(_bpe_docs(spark, sf_dir)).select("word")
-    toks = bp.encode_words(words, model.vocab).select(F.explode("tokens").alias("token")).distinct()
-    return bp.token_ids(toks, model.vocab).select("token", "id")
+    encoded = bp.encode_words(words, model.vocab)
+    return encoded.select(F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("ids").alias("id")))).distinct()
 
 
 @register("bpe_tokenize")
 def q_bpe_tokenize(spark, sf_dir):
-    return bp.tokenize(_bench_docs(spark, sf_dir), _model(spark, sf_dir))
+    return bp.tokenize(_bpe_docs(spark, sf_dir), _model(spark, sf_dir))
 
 
 @register("bpe_decode")
 def q_bpe_decode(spark, sf_dir):
     model = _model(spark, sf_dir)
-    ids = bp.tokenize(_bench_docs(spark, sf_dir), model).select("doc_id", "pos", "tpos", "id")
+    ids = bp.tokenize(_bpe_docs(spark, sf_dir), model).select("doc_id", "pos", "tpos", "id")
     return bp.decode(ids, model.vocab).select("doc_id", "pos", "tpos", "id", "token")
 
 

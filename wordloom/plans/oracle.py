@@ -440,7 +440,7 @@ def cte_pretokens(src: str = "documents", id_col: str = "doc_id", name: str = "p
     return f"""{name}_m AS (SELECT {id_col} AS doc_id, regexp_extract_all(lower(text), '{_PRE_MATCH}') AS ms FROM {src}),
 {name}_0 AS (SELECT doc_id, generate_subscripts(ms, 1) AS mi, unnest(ms) AS m FROM {name}_m),
 {name}_1 AS (SELECT doc_id, mi, regexp_extract(m, '^{_W}+') AS w, regexp_extract(m, '{_NW}$') AS pch FROM {name}_0),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY mi, part) - 1 AS INTEGER) AS pos, word
   FROM (SELECT doc_id, mi, 0 AS part, w AS word FROM {name}_1
         UNION ALL SELECT doc_id, mi, 1 AS part, pch AS word FROM {name}_1 WHERE pch <> ''))"""
@@ -455,14 +455,14 @@ def unwrap_sql(sym: str) -> str:
 
 
 def cte_bpe_types(pt: str = "pt", name: str = "bt0") -> str:
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT word, count(*) AS freq, arg_min(doc_id, (doc_id, pos)) AS first_doc, arg_min(pos, (doc_id, pos)) AS first_pos,
          {wrap_sql('word')} AS sym
   FROM {pt} GROUP BY word)"""
 
 
 def cte_pair_stats(types: str, name: str) -> str:
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT l, r, CAST(sum(freq) AS BIGINT) AS cnt,
          arg_min(first_doc, (first_doc, first_pos, i)) AS fd,
          arg_min(first_pos, (first_doc, first_pos, i)) AS fp,
@@ -478,9 +478,9 @@ def bpe_merge_ctes(k: int, types0: str = "bt0") -> str:
     prev = types0
     for j in range(1, k + 1):
         out.append(cte_pair_stats(prev, f"bp{j}"))
-        out.append(f"bb{j} AS (SELECT {j} AS rank, l, r, cnt FROM bp{j} ORDER BY cnt DESC, fd, fp, fi LIMIT 1)")
+        out.append(f"bb{j} AS MATERIALIZED (SELECT {j} AS rank, l, r, cnt FROM bp{j} ORDER BY cnt DESC, fd, fp, fi LIMIT 1)")
         out.append(
-            f"""bt{j} AS (
+            f"""bt{j} AS MATERIALIZED (
   SELECT word, freq, first_doc, first_pos,
          CASE WHEN b.l IS NULL THEN sym
               ELSE replace(sym, chr(9) || b.l || ' ' || chr(9) || b.r || ' ', chr(9) || b.l || b.r || ' ') END AS sym
@@ -496,7 +496,7 @@ def cte_bpe_model(k: int) -> str:
 {cte_bpe_types()},
 {bpe_merge_ctes(k)},
 bmerges AS ({merges}),
-bvocab AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id
+bvocab AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id
            FROM (SELECT DISTINCT unnest({unwrap_sql('sym')}) AS token FROM bt{k}))"""
 
 
@@ -557,17 +557,16 @@ SQL["bpe_ids"] = f"""{_ENC_DOCS}
 SELECT t.token, COALESCE(v.id, -1) AS id
 FROM (SELECT DISTINCT unnest(tokens) AS token FROM enc) t LEFT JOIN bvocab v USING (token)"""
 
-_TOK_BENCH = f"""{_BPE}, {cte_pretokens('benchmark', 'item_id', 'qt')},
-ew AS (SELECT DISTINCT word FROM qt), {cte_encode('ew')},
+_TOK = f"""{_ENC_DOCS},
 toks AS (
   SELECT q.doc_id, q.pos, CAST(generate_subscripts(e.tokens, 1) - 1 AS INTEGER) AS tpos, unnest(e.tokens) AS token
-  FROM qt q JOIN enc e USING (word)),
+  FROM pt q JOIN enc e USING (word)),
 tid AS (SELECT t.*, COALESCE(v.id, -1) AS id FROM toks t LEFT JOIN bvocab v USING (token))"""
 
-SQL["bpe_tokenize"] = f"""{_TOK_BENCH}
+SQL["bpe_tokenize"] = f"""{_TOK}
 SELECT doc_id, pos, tpos, token, id FROM tid"""
 
-SQL["bpe_decode"] = f"""{_TOK_BENCH}
+SQL["bpe_decode"] = f"""{_TOK}
 SELECT t.doc_id, t.pos, t.tpos, t.id, v.token FROM tid t JOIN bvocab v ON v.id = t.id"""
 
 
