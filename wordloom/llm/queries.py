@@ -94,4 +94,72 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# ---------------------------------------------------------------------------
+# DuckDB SQL of the queries that SQL can express
+# ---------------------------------------------------------------------------
+
+_ASCII = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_ASCII}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP1 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 12], ' ') AS t, least(len(w), 13) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS t
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT p.doc_id, p.i, p.n, win.item_id FROM places p JOIN win ON win.n = p.n AND win.t = p.t),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.list, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)"""
+
+_OP5 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+g AS (
+  SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS g, count(*) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0) GROUP BY ALL),
+total AS (SELECT doc_id, sum(n) AS n FROM g GROUP BY doc_id),
+low AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS n FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (
+  SELECT low.a, low.b FROM low JOIN total x ON x.doc_id = low.a JOIN total y ON y.doc_id = low.b
+  WHERE low.n >= {neardup.THRESHOLD} * (x.n + y.n - low.n)
+  UNION SELECT a.doc_id, b.doc_id FROM d a JOIN d b ON a.text = b.text AND a.doc_id < b.doc_id),
+links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+cls AS (SELECT a AS doc_id, min(b) AS class_id, count(*) AS class_size FROM reach GROUP BY a)
+SELECT doc_id, class_id, class_size, doc_id = class_id AS kept FROM cls"""
+
+_OP7 = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= {warc.DEDUP_BYTES} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)"""
+
+_BITS = " | ".join(f"(CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END)" for r in quality.RULES)
+_OP8 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+grams AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters
+  FROM w LEFT JOIN covered c USING (doc_id)),
+f AS (SELECT *, CAST({_BITS} AS BIGINT) AS fail_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (fail_bits & {quality.POLICY_BASE.mask()}) <> 0 AS base_failed, (fail_bits & {quality.POLICY_V1.mask()}) = 0 AS kept, fail_bits
+FROM f"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op8_quality": _OP8}

@@ -158,7 +158,7 @@ class WarcReader(DataSourceReader):
             if size >= self.split:
                 out.append(_Files(run))
                 run, size = [], 0
-        return out + ([_Files(run)] if run else [])
+        return out + ([_Files(run)] if run or not out else [])
 
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.binary() if t == "binary" else pa.int64() if t == "bigint" else pa.string()) for c, t in (x.split() for x in SCHEMA.split(", "))])
