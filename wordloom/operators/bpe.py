@@ -120,16 +120,15 @@ def _leading_pairs(pairs: DataFrame, types: DataFrame, most: int) -> list[tuple[
     count: merging them one after another would choose the same pairs. If the
     highest count is tied, the pair met first is the round's only merge.
     """
-    by_count = pairs.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("l", "r")).alias("p"))
-    top = by_count.orderBy(F.desc("cnt")).limit(min(most, _ROUND)).collect()
+    want = min(most, _ROUND)
+    top = pairs.orderBy(F.desc("cnt")).limit(want + 1).collect()
     out: list[tuple[str, str, int]] = []
     used: set[str] = set()
-    for row in top:
-        left, right = row["p"]
-        if row["n"] > 1 or not used.isdisjoint((left, right)):
+    for row, after in zip(top[:want], [*top[1:], None]):
+        if (after is not None and after["cnt"] == row["cnt"]) or not used.isdisjoint((row["l"], row["r"])):
             break
-        used.update((left, right))
-        out.append((left, right, row["cnt"]))
+        used.update((row["l"], row["r"]))
+        out.append((row["l"], row["r"], row["cnt"]))
     if top and not out:
         tied = pairs.where(F.col("cnt") == top[0]["cnt"]).select("l", "r")
         first = type_pairs(types).join(tied, ["l", "r"], "left_semi").select("l", "r", F.struct("first", "i").alias("f"))
