@@ -39,6 +39,7 @@ def test_fan_out_only_when_too_few_splits(spark, tmp_path):
     one.write.parquet(str(tmp_path / "one"))
     scan = spark.read.parquet(str(tmp_path / "one"))
     assert scan.rdd.getNumPartitions() == 1
-    assert ensure_parallel(scan, "id").rdd.getNumPartitions() == want
+    assert ensure_parallel(scan, "id") is scan
+    assert ensure_parallel(scan, "id", want).rdd.getNumPartitions() == want
     wide = spark.range(0, 100, numPartitions=want)
-    assert ensure_parallel(wide, "id") is wide
+    assert ensure_parallel(wide, "id", want) is wide

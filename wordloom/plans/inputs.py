@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus scan, fanned out when the file gives fewer splits than the
     cluster has cores (CPU-heavy tokenisation follows)."""
-    return ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", spark.sparkContext.defaultParallelism)
 
 
 def prompts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
@@ -145,7 +145,7 @@ def qa_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     none (unanswerable). Built per row, no grouping."""
     from ..functions.text import ustrip
 
-    docs = ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", spark.sparkContext.defaultParallelism)
     labels = table(spark, sf_dir, "labels")
     src = docs.join(labels, "doc_id", "left")
     answers = F.when(

@@ -4,6 +4,7 @@ checkpoint folder that iterative jobs use to cut lineage."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-ckpt-"))
     return sc.getCheckpointDir()
@@ -68,8 +69,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a CPU-heavy input over the cluster when its scan gives too few tasks.
+def ensure_parallel(df: DataFrame, key: str | None = None, at_least: int | None = None) -> DataFrame:
+    """Spread a CPU-heavy input over ``at_least`` tasks when its scan gives fewer; the caller decides the number
+    (None: the scan is left as it is).
 
     A large scan already has many splits and is left alone (no shuffle); a
     file with a single row group would otherwise run all tokenization in one
@@ -80,9 +82,6 @@ def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
     plan that already contains a shuffle, adaptive execution would run the
     upstream stages to answer, so callers apply it right after the read.
     """
-    if df.isStreaming:
+    if df.isStreaming or at_least is None or df.rdd.getNumPartitions() >= at_least:
         return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
+    return df.repartition(at_least, key) if key else df.repartition(at_least)
