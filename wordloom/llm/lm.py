@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm import common as C
 
-BUCKET_TOKENS = 4_000_000
-TASK_TOKENS = 4_000_000  # hashes that a counting task holds before it sorts and adds them up
+BUCKET_TOKENS = 2_000_000
+TASK_TOKENS = 2_000_000  # hashes that a counting task holds before it sorts and adds them up
 END = C.mix(np.array([0x5EED0E0D], np.uint64))[0]  # the end token; its hash stands beside those of words
 START = C.mix(np.array([0x5EED0B05], np.uint64))[0]
 _BLOCK = "bucket int, kind int, n bigint, data binary"
