@@ -117,12 +117,6 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: str, name: str, parti
     return out.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_off") + F.col("_loc")).drop("_part", "_off", "_loc")
 
 
-def small_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx", start: int = 1) -> DataFrame:
-    """Numbering for a result already bounded by a limit (e.g. the question cap)."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)) + F.lit(start - 1))
-
-
 def running_sum(
     df: DataFrame,
     key: str,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import LINE_FIELDS, strict_json, string_of
 from ..functions.text import ustrip
-from .ordering import dense_index, prefix_sum, small_index
+from .ordering import dense_index, prefix_sum
 
 # ---------------------------------------------------------------------------
 # Request constants and prompt templates (must equal the
@@ -163,14 +163,11 @@ def gold_answer(answers: Column) -> Column:
 
 
 def number_questions(questions: DataFrame, limit: int | None = None) -> DataFrame:
-    """W6 + W7: keep the first ``limit`` questions in document order and number
-    them from 1. Without a limit the numbering is distributed
-    (:func:`dense_index`); with one, the capped rows are numbered directly."""
-    order = ["file_id", "a", "p", "q"]
-    if limit is not None:
-        capped = questions.orderBy(*order).limit(limit)
-        return small_index(capped, order, "idx")
-    return dense_index(questions, order, "idx")
+    """W6 + W7: number the questions from 1 in document order and keep the
+    first ``limit``; the numbering is distributed (:func:`dense_index`) with or
+    without a limit."""
+    numbered = dense_index(questions, ["file_id", "a", "p", "q"], "idx")
+    return numbered if limit is None else numbered.where(F.col("idx") <= limit)
 
 
 def gold_table(questions: DataFrame, limit: int | None = None) -> DataFrame:

@@ -254,7 +254,7 @@ def q_qa_answerable(spark, sf_dir):
 
 @register("qa_limit")
 def q_qa_limit(spark, sf_dir):
-    numbered = qa.number_questions(_questions(spark, sf_dir), qa.QUESTION_CAP)
+    numbered = _numbered(spark, sf_dir).where(F.col("idx") <= qa.QUESTION_CAP)
     return numbered.select("idx", "file_id", "a", "p", "q", "question")
 
 
