@@ -158,8 +158,8 @@ def words(data: np.ndarray, off: np.ndarray, classes) -> tuple[np.ndarray, np.nd
     return span_hashes(data, start, end, value), start, end, np.searchsorted(start, off)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _BYTE) -> np.ndarray:
-    """Hash of each span of bytes; spans are in order and do not overlap."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _BYTE, final: bool = True) -> np.ndarray:
+    """Hash of each span of bytes (without the finaliser if not ``final``); spans are in order and do not overlap."""
     h = np.empty(len(start), np.uint64)
     power, inverse = powers(_SEG)
     i = 0
@@ -175,7 +175,7 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.
         np.cumsum(value[data[a : end[j - 1]]] * power[:span], out=p[1:])
         h[i:j] = (p[end[i:j] - a] - p[start[i:j] - a]) * inverse[start[i:j] - a]
         i = j
-    return mix(h)
+    return mix(h) if final else h
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -45,7 +45,7 @@ class Vocabulary:
     strings: list[str]  # what each id decodes to; byte pieces are "" here
     byte_ids: np.ndarray  # id of each byte's piece, or -1
     ids: np.ndarray  # ids that the lattice may use, in the order of their hashes
-    hashes: np.ndarray
+    hashes: np.ndarray  # not finalised
     logp: np.ndarray
     byte_logp: float
     longest: int  # code points
@@ -77,7 +77,7 @@ class Vocabulary:
         total = np.logaddexp.reduce(weight)
         raw = [strings[i].encode() for i in usable]
         ends = np.cumsum([len(r) for r in raw])
-        h = C.span_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - [len(r) for r in raw], ends)
+        h = C.span_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - [len(r) for r in raw], ends, final=False)
         o = np.argsort(h)
         byte_ids = np.full(256, -1)
         for i in range(n):
@@ -86,6 +86,35 @@ class Vocabulary:
         return Vocabulary(strings, byte_ids, usable[o], h[o], (weight - total)[o], float(weight.min() - total), max(len(strings[i]) for i in usable), sp.unk_id(), norm.add_dummy_prefix)
 
 
+class _Pieces:
+    """Finds hashes among the pieces': by their leading bits, then along the few that share them."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        top = (keys >> np.uint64(64 - _BITS)).astype(np.int64)
+        self.keys = keys  # sorted
+        self.some = np.zeros(1 << _BITS, bool)
+        self.some[top] = True
+        self.first = np.searchsorted(top, np.arange(1 << _BITS)).astype(np.int32)
+        self.most = int(np.bincount(top).max())
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Position of each hash whose leading bits are some key's, or -1."""
+        at = self.first[(h >> np.uint64(64 - _BITS)).astype(np.int32)]
+        out = np.where(self.keys[at] == h, at, -1)
+        for step in range(1, self.most):
+            miss = np.flatnonzero(out < 0)
+            next_ = np.minimum(at[miss] + step, len(self.keys) - 1)
+            ok = self.keys[next_] == h[miss]
+            out[miss[ok]] = next_[ok]
+        return out
+
+
+_NARROW = {
+    "first": np.int32, "last": np.int32, "from_": np.int32, "to": np.int32, "begin": np.int32, "piece": np.int32, "byte_at": np.int32,
+    "byte_n": np.int32, "cond": np.float64, "cum": np.float32, "rest": np.float32,
+}
+
+
 class _Lattice:
     """Edges of distinct words in CSR form by their first node, with conditional probabilities.
 
@@ -93,7 +122,7 @@ class _Lattice:
     edges. A character without a piece of its own has one edge of its byte pieces (or of the unknown piece).
     """
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: C.HashIndex, bitmap: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces") -> None:
         lead = (data & 0xC0) != 0x80
         at = np.flatnonzero(lead)  # byte of each character
         word = np.searchsorted(off, at, "right") - 1
@@ -109,27 +138,35 @@ class _Lattice:
         p = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(C._BYTE[data] * power[rel], out=p[1:])
         starts, lens, found = [], [], []
-        char = np.arange(len(at))
-        live = char
-        for k in range(1, voc.longest + 1):
-            live = live[live + k <= end_char[live]]
-            if not len(live):
-                break
-            h = C.mix((p[byte_end[live + k]] - p[at[live]]) * inverse[rel[at[live]]])
-            maybe = bitmap[(h & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
-            c, hit = live[maybe], index.find(h[maybe])
-            ok = hit < len(index.keys)
-            starts.append(c[ok])
-            lens.append(np.full(ok.sum(), k))
+        own = np.zeros(len(at), bool)
+        n = len(at)
+        at_p, at_inv, end_p, room = p[at], inverse[rel[at]], p[byte_end], end_char - np.arange(n)
+        live = None
+        for k in range(1, min(voc.longest, int(chars.max()) if n_words else 0) + 1):
+            if live is None:  # most positions are still inside a word: whole arrays, no look-ups
+                h = (end_p[k : n + 1] - at_p[: n + 1 - k]) * at_inv[: n + 1 - k]
+                maybe = np.flatnonzero(index.some[(h >> np.uint64(64 - _BITS)).astype(np.int32)] & (room[: n + 1 - k] >= k))
+                h = h[maybe]
+                if k >= 5:
+                    live = np.flatnonzero(room > k)
+            else:
+                live = live[room[live] >= k]
+                h = (end_p[live + k] - at_p[live]) * at_inv[live]
+                some = index.some[(h >> np.uint64(64 - _BITS)).astype(np.int32)]
+                maybe, h = live[some], h[some]
+            hit = index.find(h)
+            ok = hit >= 0
+            starts.append(maybe[ok])
+            lens.append(np.full(int(ok.sum()), k))
             found.append(hit[ok])
             if k == 1:
-                own = np.zeros(len(at), bool)
-                own[c[ok]] = True
-        raw = np.flatnonzero(~own) if len(at) else np.zeros(0, np.int64)
-        start = np.concatenate([*starts, raw]) if starts else raw
-        length = np.concatenate([*lens, np.ones(len(raw), np.int64)]) if lens else np.ones(0, np.int64)
-        piece = np.concatenate([*found, np.full(len(raw), -1)]) if found else np.full(0, -1)
-        o = np.lexsort((length, start))
+                own[maybe[ok]] = True
+        raw = np.flatnonzero(~own)
+        # longer pieces first at each node: they are likelier, so that a draw meets its edge sooner
+        start = np.concatenate([*starts[::-1], raw])
+        length = np.concatenate([*lens[::-1], np.ones(len(raw), np.int64)])
+        piece = np.concatenate([*found[::-1], np.full(len(raw), -1)])
+        o = np.argsort(start, kind="stable")  # a few ascending runs
         start, length, piece = start[o], length[o], piece[o]
         self.piece = np.where(piece >= 0, voc.ids[np.maximum(piece, 0)], -1)
         size = byte_end[start + length] - at[start]
@@ -137,25 +174,54 @@ class _Lattice:
         self.byte_at, self.byte_n = at[start], size
         self.from_, self.to = node[start], node[start] + length
         nodes = len(at) + n_words
-        self.begin = np.searchsorted(self.from_, np.arange(nodes + 1))
-        # mass from each node to its word's end, by characters left: every edge leads to fewer
-        beta = np.zeros(nodes)
-        left = end_char[start] - start
-        o = np.argsort(left, kind="stable")
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(self.from_, minlength=nodes))))
+        # mass from each node to its word's end, by characters left: every edge leads to fewer. Short words cannot
+        # underflow, so their sums need no logarithms
+        short = n_words and int(chars.max()) * -min(voc.logp.min(), 4 * voc.byte_logp) < 700
+        mass = np.exp(logp) if short else logp
+        beta = np.ones(nodes) if short else np.zeros(nodes)
+        left = (end_char - np.arange(n))[start]
+        o = np.argsort(left.astype(np.uint16) if n_words and chars.max() < 1 << 16 else left, kind="stable")
         cut = np.searchsorted(left[o], np.arange(1, int(left.max()) + 2)) if len(left) else np.zeros(1, np.int64)
         for a, z in zip(cut[:-1], cut[1:]):
             e = o[a:z]
             if len(e):
-                r = C.runs(self.from_[e])
-                beta[self.from_[e[r]]] = np.logaddexp.reduceat(logp[e] + beta[self.to[e]], r)
-        self.cond = logp + beta[self.to] - beta[self.from_]  # log-probability of each edge given its node
-        prob = np.exp(self.cond)
-        total = np.cumsum(prob)
-        self.cum = total - np.where(self.begin[self.from_] > 0, total[self.begin[self.from_] - 1], 0.0) if len(prob) else prob
+                at_ = self.from_[e]
+                r = C.runs(at_)
+                beta[at_[r]] = np.add.reduceat(mass[e] * beta[self.to[e]], r) if short else np.logaddexp.reduceat(mass[e] + beta[self.to[e]], r)
+        if short:
+            prob = mass * beta[self.to] / beta[self.from_]
+            self.cond = np.log(prob)  # log-probability of each edge given its node
+        else:
+            self.cond = mass + beta[self.to] - beta[self.from_]
+            prob = np.exp(self.cond)
+        total = np.concatenate(([0.0], np.cumsum(prob)))
         deg = np.diff(self.begin)
-        self.only = deg[self.from_] == 1 if len(prob) else np.zeros(0, bool)
-        with np.errstate(divide="ignore"):
-            self.rest = np.where(self.only, -np.inf, np.log(np.maximum(1 - prob, 0)))  # mass of the node's other edges
+        self.cum = total[1:] - np.repeat(total[self.begin[:-1]], deg)
+        with np.errstate(divide="ignore"):  # mass of the node's other edges
+            self.rest = np.log(np.where(np.repeat(deg == 1, deg), 0.0, np.maximum(1 - prob, 0)))
+
+    @staticmethod
+    def build(data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces", limit: int = 1 << 18) -> "_Lattice":
+        """The lattice of many words, made of blocks of about ``limit`` bytes and kept in narrow types."""
+        blocks, word = [], 0
+        while word < len(off) - 1 or not blocks:
+            end = max(word + 1, int(np.searchsorted(off, off[word] + limit, "right")) - 1) if len(off) > 1 else 0
+            b = _Lattice(data[off[word] : off[end]], off[word : end + 1] - off[word], voc, index)
+            blocks.append((b, off[word]))
+            for name, kind in _NARROW.items():
+                setattr(b, name, getattr(b, name).astype(kind))
+            word = end
+        out = blocks[0][0]
+        if len(blocks) > 1:
+            out = _Lattice.__new__(_Lattice)
+            nodes = np.cumsum([0] + [len(b.begin) - 1 for b, _ in blocks])
+            edges = np.cumsum([0] + [len(b.piece) for b, _ in blocks])
+            add = {"first": nodes, "last": nodes, "from_": nodes, "to": nodes, "begin": edges, "byte_at": [o for _, o in blocks]}
+            for name, kind in _NARROW.items():
+                parts = [b.__dict__.pop(name)[: -1 if name == "begin" and i + 1 < len(blocks) else None] for i, (b, _) in enumerate(blocks)]
+                setattr(out, name, np.concatenate([p + kind(add[name][i]) if name in add else p for i, p in enumerate(parts)]))
+        return out
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probabilities."""
@@ -176,17 +242,14 @@ class Sampler:
 
     def __init__(self, voc: Vocabulary, k: int, seed: int) -> None:
         self.voc, self.k, self.seed = voc, k, seed
-        self.index = C.HashIndex(voc.hashes)
-        self.bitmap = np.zeros(1 << _BITS, bool)
-        self.bitmap[(voc.hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
+        self.index = _Pieces(voc.hashes)
 
-    def chunks(self, col: pa.Array) -> None:
+    def load(self, col: pa.Array) -> None:
         """Cut the texts into words; build the lattice of the distinct ones."""
         col = pc.fill_null(col.cast(pa.large_string()), "")
         col = pc.replace_substring(col, " ", SPACE)
         if self.voc.prefix:
             col = pc.if_else(pc.equal(pc.binary_length(col), 0), pa.scalar("", pa.large_string()), pc.binary_join_element_wise(pa.scalar(SPACE, pa.large_string()), col, pa.scalar("", pa.large_string())))
-        self.col = col
         data, off = C.text_bytes(col)
         mark = np.zeros(len(data) + 3, bool)
         if len(data) > 2:
@@ -195,14 +258,18 @@ class Sampler:
         begin[off[:-1][np.diff(off) > 0]] = True
         start = np.flatnonzero(begin[: len(data)])
         end = np.append(start[1:], len(data)) if len(start) else start
-        self.text_off = np.searchsorted(start, off)  # words of each text
+        self.all_off = np.searchsorted(start, off)  # words of each text
         h = C.span_hashes(data, start, end)
         _, first, back = np.unique(h, return_index=True, return_inverse=True)
-        s, n = start[first], (end - start)[first]
-        self.words = back
+        n = (end - start)[first]
+        o = np.argsort(n, kind="stable")  # words of like length together
+        place = np.empty(len(o), np.int32)
+        place[o] = np.arange(len(o))
+        s, n = start[first[o]], n[o]
+        self.all_words = place[back]
         woff = np.concatenate(([0], np.cumsum(n)))
         self.data = data[np.arange(woff[-1]) + np.repeat(s - woff[:-1], n)]
-        self.lat = _Lattice(self.data, woff, self.voc, self.index, self.bitmap)
+        self.lat = _Lattice.build(self.data, woff, self.voc, self.index)
 
     def descend(self, occ: np.ndarray, node: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Follow drawn edges from each node to its word's end: (index into occ, step, edge) of every piece."""
@@ -220,10 +287,12 @@ class Sampler:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*out))  # type: ignore[return-value]
 
-    def sample(self, col: pa.Array, keys: np.ndarray) -> tuple[list["Drawn"], np.ndarray]:
-        """k samples of every text, and the next bound of each (-inf where no segmentation is left)."""
-        self.chunks(col)
+    def sample(self, lo: int, keys: np.ndarray) -> tuple[list["Drawn"], np.ndarray]:
+        """k samples of texts ``lo`` and on (one for each key) of the loaded ones, and the next bound of each (-inf
+        where no segmentation is left)."""
         lat, n = self.lat, len(keys)
+        self.text_off = self.all_off[lo : lo + n + 1] - self.all_off[lo]
+        self.words = self.all_words[self.all_off[lo] : self.all_off[lo + n]]
         text_of = np.repeat(np.arange(n), np.diff(self.text_off))
         within = (np.arange(len(text_of)) - self.text_off[:-1][text_of]).astype(np.uint64)
         row = C.pair(C.mix(keys + np.uint64(self.seed)), np.full(n, 77, np.uint64))
@@ -239,25 +308,32 @@ class Sampler:
             i, step, edge = self.descend(occ, node, base)
             per = np.bincount(i, minlength=len(occ))
             where = (np.cumsum(per) - per)[i] + step
-            own = np.empty((3, len(i)), np.int64)
-            own[:, where] = text_of[occ[i]], edge, occ[i]
-            draw = np.empty(len(i), np.uint64)
-            draw[where] = base[i] + step.astype(np.uint64) * _STEP
+            count = np.add.reduceat(per, C.runs(text_of[occ])) if len(occ) else per
+            own = np.empty((3, len(i)), np.int32)
+            own[0] = np.repeat(text_of[occ[C.runs(text_of[occ])]], count) if len(occ) else 0
+            own[1, where], own[2, where] = edge, occ[i]
             fresh = np.ones(len(i), bool)
             if r:
-                text = np.concatenate((kept[0], own[0]))
-                o = np.argsort(text, kind="stable")  # shared pieces come first in each text
-                pad = len(kept[0])
-                own = np.stack([np.concatenate((a, b))[o] for a, b in zip(kept, own)])
-                draw = np.concatenate((np.zeros(pad, np.uint64), draw))[o]
-                fresh = np.concatenate((np.zeros(pad, bool), fresh))[o]
+                # in each text the shared pieces come first
+                mine, theirs = np.bincount(own[0], minlength=n), np.bincount(kept[0], minlength=n)
+                first = np.cumsum(mine + theirs) - mine - theirs
+                old = np.arange(len(kept[0])) + (first - np.cumsum(theirs) + theirs)[kept[0]]
+                new = np.arange(len(i)) + (first + theirs - np.cumsum(mine) + mine)[own[0]]
+                both = np.empty((3, len(old) + len(new)), np.int32)
+                for a, b, c in zip(both, kept, own):
+                    a[old], a[new] = b, c
+                fresh = np.zeros(both.shape[1], bool)
+                fresh[new] = True
+                own = both
             text, edge, word = own
             off = np.searchsorted(text, np.arange(n + 1))
             run = np.concatenate(([0.0], np.cumsum(lat.cond[edge])))
             rest = run[:-1] - run[off[:-1]][text] + lat.rest[edge]  # log-mass of the other edges at each piece's node
-            open_ = fresh & np.isfinite(rest)
+            open_ = np.flatnonzero(fresh & np.isfinite(rest))
             g = np.full(len(text), -np.inf)
-            g[open_] = _truncated(rest[open_], bound[text[open_]], _u(draw[open_] ^ np.uint64(0x5DEECE66D)))
+            t = text[open_]
+            nth = (open_ - off[t]).astype(np.uint64)
+            g[open_] = _truncated(rest[open_], bound[t], _u(row[t] + np.uint64((r + 1) * int(_STEP) & _ALL) + nth * np.uint64(0xD1B54A32D192ED03)))
             out.append(Drawn(edge, word, off, np.where(have, run[off[1:]] - run[off[:-1]], np.nan), np.where(have, bound, np.nan)))
             self._push(heaps, g, text, edge, off, r)
             for heap in heaps:
@@ -396,10 +472,14 @@ def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary.value, k, seed)
         for batch in batches:
-            for part in C.slices(batch, "text", 6 << 20):
-                drawn, threshold = sampler.sample(part.column("text"), np.array(part.column("key")).view(np.uint64))
-                got = [sampler.ids(d) for d in drawn]
-                yield pa.record_batch([part.column("id"), *(finish or _samples)(part.column("text"), got, drawn, threshold)], ["id", *names])
+            for large in C.slices(batch, "text", 8 << 20):  # whose distinct words are built once
+                sampler.load(large.column("text"))
+                lo = 0
+                for part in C.slices(large, "text", 1 << 20):
+                    drawn, threshold = sampler.sample(lo, np.array(part.column("key")).view(np.uint64))
+                    lo += part.num_rows
+                    got = [sampler.ids(d) for d in drawn]
+                    yield pa.record_batch([part.column("id"), *(finish or _samples)(part.column("text"), got, drawn, threshold)], ["id", *names])
 
     return rows.mapInArrow(scan, f"id {rows.schema['id'].dataType.simpleString()}, {schema}").withColumnRenamed("id", id_col)
 
