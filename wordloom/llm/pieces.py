@@ -472,7 +472,7 @@ def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary.value, k, seed)
         for batch in batches:
-            for large in C.slices(batch, "text", 8 << 20):  # whose distinct words are built once
+            for large in C.slices(batch, "text", 4 << 20):  # whose distinct words are built once
                 sampler.load(large.column("text"))
                 lo = 0
                 for part in C.slices(large, "text", 1 << 20):
