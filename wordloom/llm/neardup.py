@@ -4,20 +4,26 @@ Documents are multisets of five-word shingles; two are near duplicates if the
 multisets' Jaccard similarity (sum of minima over sum of maxima) is 0.8 or more.
 
 * Signature. Every shingle carries Poisson processes over its weight axis, cut
-  into the intervals (0,1], (1,2], (2,4], (4,8], ...; an interval that a weight
-  covers in part is halved until each half is in or out. A point of a process
-  is at a random time and belongs to a random register; a register keeps its
-  earliest point. Two registers agree with the weighted Jaccard similarity as
+  into the intervals (0,1], (1,2], (2,4], (4,8], ...; an interval whose first
+  point can still matter is halved, down to units, and halves beyond the weight
+  are left out. A point of a process is at a random time and belongs to a
+  random register; a register keeps its earliest point. Two registers agree with the weighted Jaccard similarity as
   probability. Points later than the latest register are never drawn.
 * Bands of ``ROWS`` registers are hashed; documents that share a band meet in a
   bucket. Equal texts are one node from the start.
-* Buckets are resolved in rounds without emitting their pairs: each member is
-  compared with the bucket's hub, links are verified exactly on the texts, and
-  components are contracted. A bucket whose members are one component is done.
-  What remains compares the members outside a bucket's largest component with
-  the rest, a few hubs per bucket and round, until every pair of different
-  components has been compared; large remaining buckets are first split by a
-  second band. No partner is capped and none is dropped.
+* First every node is compared with the most popular node (the one that meets
+  most others) that it shares a bucket with; links are verified on the texts
+  and components are contracted. A bucket whose members are one component is
+  done.
+* In other buckets, shingles that no other node there has bound a node's best
+  possible similarity: nodes that cannot reach the threshold with any member
+  leave the bucket. The members outside a bucket's largest component meet the
+  other components there, inside a join whose condition holds the bounds of
+  both sides and an estimate from four bits per register; a pair comes out in
+  the first band that it shares only. What comes out is verified. No partner is
+  capped, and no bucket's pairs are emitted as such.
+* A pair at the threshold fails the estimate, four standard deviations below
+  it, with a probability of 3e-5.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm import common as C
@@ -36,9 +42,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 40  # a pair at 0.8 shares none of 40 bands of 6 registers with a probability of 5e-6
 ROWS = 6
-SLOTS = 16  # hubs per bucket and round
-SPLIT = 64  # members outside the largest component from which a bucket is split by a second band
-LEVELS = 3
+MARGIN = 4  # standard deviations by which an estimate may fall short
+_NIBBLES = 0x1111111111111111
 
 
 def shingles_of(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +97,10 @@ def bag_min_hash(sh: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs: int,
     x = _wait(state, j, hi - lo)
     latest = np.full(docs, np.inf)
     while len(x):
-        part = hi > w
+        part = hi - lo > 1
         if part.any():
-            # halve what the weight covers in part: the point goes to one half, the other half's first point comes later
+            # halve what is longer than a unit, covered or not, so that all documents see the same points: the point
+            # goes to one half, the other half's first point comes later; a half beyond the weight is left out
             s, mid = state[part], (lo[part] + hi[part]) // 2
             left = (C.mix(s ^ np.uint64(0xA5A5A5A5)) & np.uint64(1)).astype(bool)
             later = x[part] + _wait(s ^ np.uint64(0x5A5A5A5A5A), np.uint64(0), mid - lo[part])
@@ -103,7 +109,7 @@ def bag_min_hash(sh: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs: int,
             halves = [C.pair(s, np.full(len(s), side, np.uint64)) for side in (11, 13)]
             x, state, j = cat(x, np.where(left, x[part], later), np.where(left, later, x[part])), cat(state, *halves), cat(j, j[part], j[part])
             lo, hi, doc, w = cat(lo, lo[part], mid), cat(hi, mid, hi[part]), cat(doc, doc[part], doc[part]), cat(w, w[part], w[part])
-        full = hi <= w
+        full = hi - lo == 1
         if full.any():
             # with few processes left, each draws several points at once: later ones change nothing that is set
             many = 1 if full.sum() > 4096 else 32
@@ -114,10 +120,9 @@ def bag_min_hash(sh: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs: int,
             point = C.pair(np.broadcast_to(state[f, None], draw.shape), draw).ravel()
             slot = np.repeat(doc[f], many) * registers + (point >> np.uint64(32)).astype(np.int64) % registers
             when = t[:, :-1].ravel()
-            o = np.lexsort((when, slot))
-            first = o[C.runs(slot[o])]  # the earliest point of each register
-            better = first[when[first] < time[slot[first]]]
-            time[slot[better]], name[slot[better]] = when[better], point[better]
+            np.minimum.at(time, slot, when)
+            first = np.flatnonzero(when == time[slot])  # the earliest points of registers
+            name[slot[first]] = point[first]
             x[f], j[f] = t[:, -1], j[f] + np.uint64(many)
             latest = time.reshape(docs, registers).max(1)
         live = x < latest[doc]
@@ -142,21 +147,56 @@ def _bands(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(id, k, bands) of rows (id, text): k is the digest of the text, bands is empty for a text without words."""
+    """(id, k, n, bands, sketch) of rows (id, text, k): n shingles, the band hashes (none for a text without words),
+    and the lowest four bits of each register, sixteen to a number."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, "text", 1 << 20):
                 data, off = C.text_bytes(part.column("text"))
                 sh, doc, w = weighted(*shingles_of(data, off, size))
-                n = part.num_rows
-                own = _bands(bag_min_hash(sh, doc, w, n, bands * rows), bands, rows).view(np.int64)
-                some = np.bincount(doc, minlength=n) > 0
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * bands))), pa.int32()), pa.array(own[some].ravel()))
-                yield pa.record_batch([part.column("id"), part.column("k"), lists], ["id", "k", "bands"])
+                many = part.num_rows
+                sig = bag_min_hash(sh, doc, w, many, bands * rows)
+                own = _bands(sig, bands, rows).view(np.int64)
+                n = np.bincount(doc, w, many).astype(np.int64)
+                some = np.concatenate(([0], np.cumsum((n > 0) * bands)))
+                lists = pa.ListArray.from_arrays(pa.array(some, pa.int32()), pa.array(own[n > 0].ravel()))
+                words = -(-bands * rows // 16)
+                low = np.zeros((many, words * 16), np.uint64)
+                low[:, : bands * rows] = sig & np.uint64(15)
+                packed = (low.reshape(many, words, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64)
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(many + 1) * words, pa.int32()), pa.array(packed.view(np.int64).ravel()))
+                yield pa.record_batch([part.column("id"), part.column("k"), pa.array(n), lists, sketch], ["id", "k", "n", "bands", "sketch"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(sign, f"id {kind}, k string, bands array<bigint>")
+    return docs.mapInArrow(sign, f"id {kind}, k string, n bigint, bands array<bigint>, sketch array<bigint>")
+
+
+def _likely(a: str, b: str, registers: int, threshold: float) -> Column:
+    """Whether two sketches agree as those of a pair at the threshold do, or up to MARGIN standard deviations less
+    often. Registers of different texts agree in four bits by chance once in sixteen times."""
+    p = threshold + (1 - threshold) / 16
+    most = registers * (1 - p + MARGIN * np.sqrt(p * (1 - p) / registers))
+    differ: Column = F.lit(0)
+    for i in range(-(-registers // 16)):
+        x = F.get(F.col(a), i).bitwiseXOR(F.get(F.col(b), i))
+        any_ = x
+        for shift in (1, 2, 3):
+            any_ = any_.bitwiseOR(F.shiftrightunsigned(x, shift))
+        differ = differ + F.bit_count(any_.bitwiseAND(F.lit(_NIBBLES).cast("bigint")))
+    return differ <= F.lit(float(most))
+
+
+def shingle_counts(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(nid, g, n): how often each text of (nid, text) has each shingle."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.slices(batch, "text"):
+                sh, doc, w = weighted(*shingles_of(*C.text_bytes(part.column("text")), size))
+                yield pa.record_batch([part.column("nid").take(pa.array(doc)), pa.array(sh.view(np.int64)), pa.array(w)], ["nid", "g", "n"])
+
+    return texts.mapInArrow(scan, "nid bigint, g bigint, n bigint")
 
 
 def verify(pairs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -180,7 +220,7 @@ def verify(pairs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 high = np.bincount(doc[first], np.maximum(a, b), part.num_rows)
                 yield pa.record_batch([part.column("a"), part.column("b"), pa.array(low / np.maximum(high, 1))], ["a", "b", "sim"])
 
-    return pairs.mapInArrow(scan, "a string, b string, sim double")
+    return pairs.mapInArrow(scan, "a bigint, b bigint, sim double")
 
 
 def components(links: DataFrame, scratch: C.Scratch, tag: str) -> DataFrame:
@@ -205,7 +245,7 @@ def components(links: DataFrame, scratch: C.Scratch, tag: str) -> DataFrame:
 
 def _relabel(label: DataFrame, comp: DataFrame) -> DataFrame:
     """Component of each node after the components of the last round were joined."""
-    return label.join(comp.select(F.col("k").alias("c"), F.col("c").alias("d")), "c", "left").select("k", F.coalesce("d", "c").alias("c"))
+    return label.join(comp.select(F.col("k").alias("c"), F.col("c").alias("d")), "c", "left").select("nid", F.coalesce("d", "c").alias("c"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -221,59 +261,92 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     scratch = C.Scratch(spark, "neardup")
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("k", F.md5("text"))
     rows_of = scratch.table(signatures(base, bands, rows), "signatures")
-    # equal texts are added up in each task before they are shuffled
-    nodes = rows_of.groupBy("k").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    member = nodes.select("k", "id", F.explode("bands").alias("bk"))
-    shared = member.groupBy("bk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bk")
-    active = scratch.table(member.join(shared, "bk").select("bk", "k", "id"), "buckets-0")
-    wanted = active.groupBy("k").agg(F.first("id").alias("id"))
-    found = base.join(wanted.select(F.col("k").alias("wk"), F.col("id").alias("wid")), F.expr("id <=> wid and k = wk")).select("k", "text")
-    texts = scratch.table(found.groupBy("k").agg(F.first("text").alias("text")), "texts")
-    label = scratch.table(wanted.select("k", F.col("k").alias("c")), "label-0")
-    buckets = active.select("bk", "k", F.lit(0).alias("level"))
-
-    def links_of(pairs: DataFrame, tag: str) -> DataFrame:
-        a = texts.select(F.col("k").alias("a"), F.col("text").alias("ta"))
-        b = texts.select(F.col("k").alias("b"), F.col("text").alias("tb"))
-        return scratch.table(verify(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")).where(F.col("sim") >= threshold).select("a", "b"), tag)
-
-    step = 0
-    while True:
-        step += 1
-        own = buckets.join(label, "k")
-        if step == 1:  # every node with the smallest node that it shares a bucket with
-            hub = buckets.groupBy("bk").agg(F.min("k").alias("hub"))
-            pairs = buckets.join(hub, "bk").groupBy("k").agg(F.min("hub").alias("hub")).where("hub <> k").select(F.col("hub").alias("a"), F.col("k").alias("b"))
-        else:
-            size = own.groupBy("bk", "c").agg(F.count(F.lit(1)).alias("n"))
-            main = size.groupBy("bk").agg(F.max(F.struct("n", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"), F.max("n").alias("most")).where("kinds > 1")
-            open_ = scratch.table(own.join(main, "bk").select("bk", "k", "c", "level", "main", (F.col("all") - F.col("most")).alias("outside")), f"open-{step}")
-            large = (F.col("outside") > SPLIT) & (F.col("level") < LEVELS)
-            if open_.isEmpty():
-                break
-            # large buckets: meet again by a second band
-            split = open_.where(large).join(nodes.select("k", "bands"), "k").select("bk", "k", "level", F.explode("bands").alias("second"))
-            split = split.where("second <> bk").select(F.xxhash64("bk", "second").alias("bk"), "k", (F.col("level") + 1).alias("level"))
-            few = split.groupBy("bk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bk")
-            split = split.join(few, "bk")
-            slot = F.pmod(F.xxhash64("k"), F.lit(SLOTS))
-            hubs = open_.where(~large & (F.col("c") != F.col("main"))).groupBy("bk", slot.alias("slot")).agg(F.min(F.struct("k", "c")).alias("h")).select("bk", F.col("h.k").alias("hub"), F.col("h.c").alias("hc"))
-            hubs = scratch.table(hubs, f"hubs-{step}")
-            small = open_.where(~large)
-            pairs = small.join(hubs, "bk").where("c <> hc").select(F.least("hub", "k").alias("a"), F.greatest("hub", "k").alias("b")).distinct()
-            # a hub has met its whole bucket and leaves it
-            left = small.select("bk", "k", "level").join(hubs.select("bk", F.col("hub").alias("k")), ["bk", "k"], "left_anti")
-            buckets = scratch.table(left.unionByName(split), f"buckets-{step}")
-        links = links_of(pairs, f"links-{step}")
-        if not links.isEmpty():
-            of = lambda side, out: label.select(F.col("k").alias(side), F.col("c").alias(out))
-            between = links.join(of("a", "ca"), "a").join(of("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b")
-            label = scratch.table(_relabel(label, components(between, scratch, f"comp-{step}")), f"label-{step}")
-    keyed = rows_of.select("id", "k").join(label, "k", "left").select("id", "k", F.coalesce("c", "k").alias("c"))
+    # equal texts are added up in each task before they are shuffled; the written node numbers are fixed
+    merged = rows_of.groupBy("k").agg(F.min("id").alias("id"), F.first(F.struct("n", "bands", "sketch")).alias("x"))
+    nodes = scratch.table(merged.select(F.monotonically_increasing_id().alias("nid"), "k", "id", "x.*"), "nodes")
+    rows_nid = scratch.table(rows_of.select("id", "k").join(nodes.select("k", "nid"), "k"), "rows")
+    scratch.drop("signatures")
+    member = nodes.select("nid", F.explode("bands").alias("bk"))
+    shared = member.groupBy("bk").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = scratch.table(member.join(shared, "bk").select("bk", "nid", "size"), "buckets-1")
+    popular = scratch.table(buckets.groupBy("nid").agg(F.sum("size").alias("pop")), "popular")
+    wanted = popular.join(nodes.select("nid", "k", "id"), "nid").select("nid", F.col("k").alias("wk"), F.col("id").alias("wid"))
+    found = base.join(wanted, F.expr("id <=> wid and k = wk")).select("nid", "text")
+    texts = scratch.table(found.groupBy("nid").agg(F.first("text").alias("text")), "texts")  # repeated rows meet
+    label = popular.select("nid", F.col("nid").alias("c"))
+
+    registers = bands * rows
+
+    def join_links(pairs: DataFrame, step: int) -> DataFrame:
+        """The verified pairs as links, and the components that they join."""
+        near = scratch.table(pairs, f"pairs-{step}")
+        text = lambda side: texts.select(F.col("nid").alias(side), F.col("text").alias(f"t{side}"))
+        both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
+        links = scratch.table(verify(both).where(F.col("sim") >= threshold).select("a", "b"), f"links-{step}")
+        if links.isEmpty():
+            return label
+        of = lambda side: label.select(F.col("nid").alias(side), F.col("c").alias(f"c{side}"))
+        between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b")
+        return scratch.table(_relabel(label, components(between, scratch, f"comp-{step}")), f"label-{step}")
+
+    # first: every node with the most popular node that it shares a bucket with
+    ranked = F.max(F.struct("pop", "nid"))
+    hub = buckets.join(popular, "nid").groupBy("bk").agg(ranked["nid"].alias("hub"), ranked["pop"].alias("pop"))
+    best = buckets.join(hub, "bk").groupBy("nid").agg(F.max(F.struct("pop", "hub"))["hub"].alias("a")).where("a <> nid")
+    sketch = lambda side: nodes.select(F.col("nid").alias(side), F.col("sketch").alias(f"s{side}"))
+    pairs = best.withColumnRenamed("nid", "b").join(sketch("a"), "a").join(sketch("b"), "b")
+    label = join_links(pairs.where(_likely("sa", "sb", registers, threshold)).select("a", "b"), 1)
+    # then: what is outside the largest component of a bucket with its other components
+    own = buckets.select("bk", "nid").join(label, "nid")
+    sizes = scratch.table(_bounds(_open(own), nodes, texts), "bounds")
+    open_ = scratch.table(_open(_feasible(own.join(sizes, "nid"), threshold)), "open")
+    if not open_.isEmpty():
+        facts = scratch.table(sizes.join(nodes.select("nid", "bands", "sketch"), "nid"), "facts")
+        members = open_.select("bk", "nid", "c", "main").join(facts, "nid")
+        hubs = open_.where("c <> main").select("bk", "nid", "c").join(facts, "nid").select(*(F.col(x).alias(f"h_{x}") for x in ("bk", "nid", "c", "n", "v", "bands", "sketch")))
+        shared_most = F.least("v", "h_v")
+        can = (
+            (F.col("bk") == F.col("h_bk"))
+            & (F.col("c") != F.col("h_c"))
+            & ((F.col("c") == F.col("main")) | (F.col("nid") > F.col("h_nid")))
+            & (shared_most >= threshold * (F.col("n") + F.col("h_n") - shared_most))
+            & _likely("sketch", "h_sketch", registers, threshold)
+            & (F.col("bk") == F.get(F.array_intersect("bands", "h_bands"), 0))
+        )
+        label = join_links(members.join(hubs, can).select(F.col("h_nid").alias("a"), F.col("nid").alias("b")), 2)
+    scratch.drop("nodes", "texts", "bounds", "buckets-1", "open", "facts", *(f"{x}-{i}" for x in ("pairs", "links") for i in (1, 2)))
+    keyed = rows_nid.join(label, "nid", "left").select("id", "k", F.coalesce("c", "nid").alias("c"))
     sums = keyed.groupBy("c").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return keyed.join(sums, "c").select(F.col("id").alias(id_col), F.col("k").alias("text_key"), F.col("c").alias("class_key"), "class_id", "class_size")
 
 
+def _open(own: DataFrame) -> DataFrame:
+    """Rows (bk, nid, c, ...) of the buckets with several components, with the largest one as ``main``."""
+    size = own.groupBy("bk", "c").agg(F.count(F.lit(1)).alias("n_c"))
+    main = size.groupBy("bk").agg(F.max(F.struct("n_c", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    return own.join(main.drop("kinds"), "bk")
+
+
+def _bounds(open_: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(nid, n, v) of the nodes in open buckets: all shingles, and those that another such node has too."""
+    some = open_.select("nid").distinct()
+    counts = shingle_counts(texts.join(some, "nid"))
+    alone = counts.groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.min("nid").alias("nid"), F.min("n").alias("n")).where("df = 1")
+    lost = alone.groupBy("nid").agg(F.sum("n").alias("lost"))
+    return some.join(nodes.select("nid", "n"), "nid").join(lost, "nid", "left").select("nid", "n", (F.col("n") - F.coalesce("lost", F.lit(0))).alias("v"))
+
+
+def _feasible(rows: DataFrame, threshold: float) -> DataFrame:
+    """Rows whose node may reach the threshold with a member of its bucket.
+
+    A node shares at most v of its n shingles, so a partner of size m gives v / (n + m - v) at most, and m must be at
+    least the threshold's share of n: the smallest member must not be larger than that allows.
+    """
+    least = rows.groupBy("bk").agg(F.min("n").alias("least"))
+    cap = F.col("v") / threshold + F.col("v") - F.col("n") + 1e-6
+    return rows.join(least, "bk").where(F.greatest(F.col("least"), threshold * F.col("n") - 1e-6) <= cap).drop("least")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class one row with the smallest id (nulls last; of
     equal ids the one whose text has the smallest digest; of repeated rows one)."""
