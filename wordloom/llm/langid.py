@@ -3,8 +3,8 @@
 One interpolated modified Kneser-Ney model of character 5-grams per language,
 over words of letters with start and end marks, kept as sorted hash arrays that
 all languages share (a column per language). A text gets the language with the
-lowest cross-entropy per character; a text that fits its language worse than
-any labelled text that was set aside is rejected.
+lowest cross-entropy per character; a text that fits its language far worse
+than any labelled text that was set aside is rejected.
 
 Models are fitted on a bounded sample of the labelled rows: about
 ``SAMPLE_CHARS`` characters per language, chosen by a hash of the row, so the
@@ -28,6 +28,8 @@ from wordloom.llm.lm import discounts
 
 ORDER = 5
 SAMPLE_CHARS = 1_500_000
+MOST_LANGUAGES = 1000  # each has a model of its own
+ODD = 1.6  # a rejected text needs so many times the usual bits per symbol of its language, too
 HELD_BACK = 5  # one sampled row in five calibrates and trains nothing
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0)
 UNDETERMINED = "und"
@@ -160,10 +162,17 @@ class Models:
 
 
 def sample(labelled: DataFrame, chars: int) -> DataFrame:
-    """About ``chars`` characters of each language (all where it has fewer), whole rows, by a hash of the row."""
-    total = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("all"))
+    """About ``chars`` characters of each language (all where it has fewer), whole rows, by a hash of the row.
+
+    The share of each language is one number; texts are filtered where they lie."""
+    totals = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("all")).limit(MOST_LANGUAGES + 1).collect()
+    if len(totals) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels: these are no languages")
+    if not totals:
+        return labelled.limit(0)
     share = (F.xxhash64("id", "text").cast("double") / float(1 << 63) + 1) / 2
-    return labelled.join(total, "lang").where(share * F.col("all") < chars).drop("all")
+    total = F.create_map(*(x for r in totals for x in (F.lit(r["lang"]), F.lit(float(r["all"])))))[F.col("lang")]
+    return labelled.where(share * total < chars)
 
 
 def fit(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> "tuple[Models | None, dict]":
@@ -231,7 +240,7 @@ def entropies(models: Models, rows: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
-            for part in C.slices(batch, "text", 12 << 20):
+            for part in C.slices(batch, "text", 6 << 20):
                 h, n = own.entropy(part.column("text"))
                 yield pa.record_batch([*(part.column(c) for c in names), pa.array(list(h), pa.list_(pa.float64())), pa.array(n)], [*names, "h", "n"])
 
@@ -259,7 +268,8 @@ def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col
     limits = F.lit(False)
     for name in cal["limit"]:
         z = (F.col("best") - F.lit(cal["mean"][name])) * F.sqrt("n")
-        limits = F.when(F.col("lang_pred") == name, z > F.lit(cal["limit"][name])).otherwise(limits)
+        odd = (z > F.lit(cal["limit"][name])) & (F.col("best") > F.lit(ODD * cal["mean"][name]))
+        limits = F.when(F.col("lang_pred") == name, odd).otherwise(limits)
     return got.select(F.col("id").alias(id_col), "lang_pred", "score", F.when(some, F.col("best")).alias("cross_entropy"), (~some | limits).alias("rejected"))
 
 
@@ -275,10 +285,10 @@ def filter_rows(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
-            for part in C.slices(batch, text_col, 12 << 20):
+            for part in C.slices(batch, text_col, 6 << 20):
                 h, n = own.entropy(part.column(text_col))
                 best = h.argmin(1)
                 z = (h.min(1) - mean[best]) * np.sqrt(n)
-                yield part.filter(pa.array((n > 0) & ~(z > limit[best])))
+                yield part.filter(pa.array((n > 0) & ~((z > limit[best]) & (h.min(1) > ODD * mean[best]))))
 
     return docs.mapInArrow(scan, docs.schema)
