@@ -52,6 +52,11 @@ class Vocabulary:
     unknown: int
     prefix: bool
 
+    @property
+    def short(self) -> int:
+        """Bytes of a word whose least likely segmentation is still a normal number."""
+        return int(700 / -min(float(self.logp.min()), self.byte_logp))
+
     @staticmethod
     def load(path: str, alpha: float = 1.0) -> "Vocabulary":
         """Read a ``.model`` file of type unigram or BPE. A unigram piece weighs exp(alpha * score); a BPE piece, whose
@@ -177,7 +182,7 @@ class _Lattice:
         self.begin = np.concatenate(([0], np.cumsum(np.bincount(self.from_, minlength=nodes))))
         # mass from each node to its word's end, by characters left: every edge leads to fewer. Short words cannot
         # underflow, so their sums need no logarithms
-        short = n_words and int(chars.max()) * -min(voc.logp.min(), 4 * voc.byte_logp) < 700
+        short = n_words and int(np.diff(off).max()) <= voc.short
         mass = np.exp(logp) if short else logp
         beta = np.ones(nodes) if short else np.zeros(nodes)
         left = (end_char - np.arange(n))[start]
@@ -195,9 +200,10 @@ class _Lattice:
         else:
             self.cond = mass + beta[self.to] - beta[self.from_]
             prob = np.exp(self.cond)
-        total = np.concatenate(([0.0], np.cumsum(prob)))
+        # whole numbers of 2**-40: a sum over a node is the same wherever the node is in the batch
+        total = np.concatenate(([0], np.cumsum(np.rint(prob * 2.0**40).astype(np.int64))))
         deg = np.diff(self.begin)
-        self.cum = total[1:] - np.repeat(total[self.begin[:-1]], deg)
+        self.cum = (total[1:] - np.repeat(total[self.begin[:-1]], deg)) * 2.0**-40
         with np.errstate(divide="ignore"):  # mass of the node's other edges
             self.rest = np.log(np.where(np.repeat(deg == 1, deg), 0.0, np.maximum(1 - prob, 0)))
 
@@ -205,8 +211,10 @@ class _Lattice:
     def build(data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces", limit: int = 1 << 18) -> "_Lattice":
         """The lattice of many words, made of blocks of about ``limit`` bytes and kept in narrow types."""
         blocks, word = [], 0
+        change = int(np.searchsorted(np.diff(off), voc.short, "right"))  # words are ordered by length; none is summed in two ways
         while word < len(off) - 1 or not blocks:
             end = max(word + 1, int(np.searchsorted(off, off[word] + limit, "right")) - 1) if len(off) > 1 else 0
+            end = min(end, change) if word < change else end
             b = _Lattice(data[off[word] : off[end]], off[word : end + 1] - off[word], voc, index)
             blocks.append((b, off[word]))
             for name, kind in _NARROW.items():
@@ -327,14 +335,15 @@ class Sampler:
                 own = both
             text, edge, word = own
             off = np.searchsorted(text, np.arange(n + 1))
-            run = np.concatenate(([0.0], np.cumsum(lat.cond[edge])))
-            rest = run[:-1] - run[off[:-1]][text] + lat.rest[edge]  # log-mass of the other edges at each piece's node
+            # whole numbers of 2**-36 again: a text's sums do not depend on the texts before it
+            run = np.concatenate(([0], np.cumsum(np.rint(lat.cond[edge] * 2.0**36).astype(np.int64))))
+            rest = (run[:-1] - run[off[:-1]][text]) * 2.0**-36 + lat.rest[edge]  # log-mass of the other edges at each piece's node
             open_ = np.flatnonzero(fresh & np.isfinite(rest))
             g = np.full(len(text), -np.inf)
             t = text[open_]
             nth = (open_ - off[t]).astype(np.uint64)
             g[open_] = _truncated(rest[open_], bound[t], _u(row[t] + np.uint64((r + 1) * int(_STEP) & _ALL) + nth * np.uint64(0xD1B54A32D192ED03)))
-            out.append(Drawn(edge, word, off, np.where(have, run[off[1:]] - run[off[:-1]], np.nan), np.where(have, bound, np.nan)))
+            out.append(Drawn(edge, word, off, np.where(have, (run[off[1:]] - run[off[:-1]]) * 2.0**-36, np.nan), np.where(have, bound, np.nan)))
             self._push(heaps, g, text, edge, off, r)
             for heap in heaps:
                 heap.sort(reverse=True)
