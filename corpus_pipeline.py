@@ -16,9 +16,9 @@ from wordloom.llm import decontamination, langid, neardup, pieces, quality
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that policy v1 keeps. The measurements are made in the row itself, so no join is needed."""
-    bits = sum((F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in quality.RULES), F.lit(0))
-    kept = quality.measure(docs.select(F.struct(*docs.columns).alias("row"), "text")).withColumn("fail_bits", bits.cast("bigint"))
-    return kept.where(quality.failed(quality.POLICY_V1) == 0).select("row.*")
+    measured = quality.measure(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    entries = measured.select("row", quality.fail_bits().alias("fail_bits"))
+    return entries.where(quality.failed(quality.POLICY_V1) == 0).select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,16 +95,25 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters")
 
 
+def fail_bits(rules: tuple[Rule, ...] = RULES) -> Column:
+    """Bit b is set where rule b fails, over the columns of ``measure``.
+
+    The value depends on a row number in form only, which makes it count as non-deterministic: else the optimizer
+    would move a filter on it below the measurements and write each of them out once for every place it is used.
+    """
+    bits: Column = F.when(F.monotonically_increasing_id() < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    for r in rules:
+        bits = bits.bitwiseOR(F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
+    return bits
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``id_col``, the measurements, and ``fail_bits`` (bit b set: rule b failed), one row per row of ``docs``.
 
     Null ids and repeated rows keep a row each; other columns are not read.
     """
     measured = measure(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text")
-    bits: Column = F.lit(0).cast("bigint")
-    for r in rules:
-        bits = bits.bitwiseOR(F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
-    return measured.select(F.col("_id").alias(id_col), *MEASURES, bits.alias("fail_bits"))
+    return measured.select(F.col("_id").alias(id_col), *MEASURES, fail_bits(rules).alias("fail_bits"))
 
 
 def failed(policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
