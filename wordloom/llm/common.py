@@ -186,6 +186,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         n = max(1, int(np.searchsorted(np.cumsum(size[at:]), limit, "right")))
         yield batch.slice(at, n)
         at += n
+    pa.default_memory_pool().release_unused()  # workers live on between stages
 
 
 def sorted_unique(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -240,7 +240,7 @@ def entropies(models: Models, rows: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
-            for part in C.slices(batch, "text", 6 << 20):
+            for part in C.slices(batch, "text", 2 << 20):
                 h, n = own.entropy(part.column("text"))
                 yield pa.record_batch([*(part.column(c) for c in names), pa.array(list(h), pa.list_(pa.float64())), pa.array(n)], [*names, "h", "n"])
 
@@ -285,7 +285,7 @@ def filter_rows(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
-            for part in C.slices(batch, text_col, 6 << 20):
+            for part in C.slices(batch, text_col, 2 << 20):
                 h, n = own.entropy(part.column(text_col))
                 best = h.argmin(1)
                 z = (h.min(1) - mean[best]) * np.sqrt(n)
