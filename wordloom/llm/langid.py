@@ -4,7 +4,7 @@ One interpolated modified Kneser-Ney model of character 5-grams per language,
 over words of letters with start and end marks, kept as sorted hash arrays that
 all languages share (a column per language). A text gets the language with the
 lowest cross-entropy per character; a text that fits its language far worse
-than any labelled text that was set aside is rejected.
+than nearly all labelled texts of its length that were set aside is rejected.
 
 Models are fitted on a bounded sample of the labelled rows: about
 ``SAMPLE_CHARS`` characters per language, chosen by a hash of the row, so the
@@ -30,7 +30,10 @@ ORDER = 5
 SAMPLE_CHARS = 1_500_000
 MOST_LANGUAGES = 1000  # each has a model of its own
 ODD = 1.6  # a rejected text needs so many times the usual bits per symbol of its language, too
-HELD_BACK = 5  # one sampled row in five calibrates and trains nothing
+HELD_BACK = 5  # one sampled row in five calibrates and has no part in the models that it calibrates
+SURE, BEYOND = 0.9, 1.4  # a rejected text has so many times the bits of this share of the set-aside texts of its length
+BANDS = 16  # of lengths in symbols, each twice as long as the one before; the last is open
+LEAST = 20  # set-aside texts that make a band's limit
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0)
 UNDETERMINED = "und"
 _START, _END = 2, 3
@@ -176,7 +179,8 @@ def sample(labelled: DataFrame, chars: int) -> DataFrame:
 
 
 def fit(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> "tuple[Models | None, dict]":
-    """Models and calibration from rows (id, text, lang). The languages are the distinct labels."""
+    """Models of all sampled rows (id, text, lang), and the calibration, made with models of four fifths of them. The
+    languages are the distinct labels."""
     C.ship(labelled.sparkSession)
     scratch = C.Scratch(labelled.sparkSession, "langid")
     rows = scratch.table(sample(labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()), chars), "sample")
@@ -185,67 +189,100 @@ def fit(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> "tuple[Models | None,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
-            for text, lang in zip(_letters(batch.column("text")).to_pylist(), batch.column("lang").to_pylist()):
-                found.update((lang, w) for w in text.split())
-            yield pa.record_batch([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
+            for text, lang, aside in zip(_letters(batch.column("text")).to_pylist(), batch.column("lang").to_pylist(), batch.column("back").to_pylist()):
+                found.update((lang, w, aside) for w in text.split())
+            yield pa.record_batch([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64()), pa.array([0 if k[2] else n for k, n in found.items()], pa.int64())], ["lang", "word", "n", "part"])
 
     def learn(key, table):
-        model = fit_language([w.as_py().encode() for w in table["word"]], np.array(table["n"]))
-        return pa.table({"lang": pa.array([key[0].as_py()] * len(model)), "name": list(model), "data": pa.array([v.tobytes() for v in model.values()], pa.binary())})
-
-    words = rows.where(~back).select("text", "lang").mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        names, data = [], []
+        for which in ("n", "part"):
+            n = np.array(table[which])
+            some = np.flatnonzero(n)
+            if len(some):
+                model = fit_language([w.as_py().encode() for w in table["word"].take(pa.array(some))], n[some])
+                names += [f"{which} {x}" for x in model]
+                data += [v.tobytes() for v in model.values()]
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(names)), "name": names, "data": pa.array(data, pa.binary())})
+
+    words = rows.select("text", "lang", back.alias("back")).mapInArrow(count, "lang string, word string, n bigint, part bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("part").alias("part"))
     kinds = {"g": np.uint64, "c": np.uint64, "p": np.float32, "b": np.float32, "a": np.int64}
-    fitted: dict[str, dict[str, np.ndarray]] = {}
+    fitted: dict[str, dict[str, dict[str, np.ndarray]]] = {"n": {}, "part": {}}
     for r in words.groupBy("lang").applyInArrow(learn, "lang string, name string, data binary").collect():  # bounded by the sample
-        fitted.setdefault(r["lang"], {})[r["name"]] = np.frombuffer(bytes(r["data"]), kinds[r["name"][0]])
-    langs = sorted(fitted)
-    if not langs:
+        which, name = r["name"].split(" ")
+        fitted[which].setdefault(r["lang"], {})[name] = np.frombuffer(bytes(r["data"]), kinds[name[0]])
+    if not fitted["n"]:
         scratch.drop("sample")
         return None, {}
-    models = Models(langs, [fitted[x] for x in langs])
-    calibration = calibrate(models, rows.where(back))
+    models, part = (Models(sorted(x), [x[k] for k in sorted(x)]) if x else None for x in fitted.values())
+    calibration = calibrate(part, rows.where(back)) if part else {"temperature": 1.0, "limit": {}}
     scratch.drop("sample")
     return models, calibration
 
 
 def calibrate(models: Models, rows: DataFrame) -> dict:
-    """From labelled rows that trained nothing: mean and spread of the cross-entropy of each language's own texts, the
-    largest deviation seen, and the temperature that makes the scores most likely."""
-    got = entropies(models, rows.select("id", "text", "lang")).where("n > 0")
+    """From labelled rows that trained nothing: the temperature that makes the scores most likely, and for each language
+    the bits per symbol beyond which a text is rejected, by length band.
+
+    Usual is the median of the language's own texts. A band's limit is ``BEYOND`` times the ``SURE`` quantile of its
+    texts' bits, and ``ODD`` times the usual ones at least, so that no few long, noisy or mislabelled rows set it. Each
+    text counts whole and by runs of 1, 2, 4, ... of its words, so that short bands have as many texts as long ones.
+    """
+    words = F.split(F.trim(F.regexp_replace("text", r"\PL+", " ")), " ")
+    size = F.explode(F.expr(f"array_append(transform(filter(sequence(0, {BANDS}), x -> shiftleft(1, x) < size(w)), x -> shiftleft(1, x)), 0)"))
+    cut = rows.select("id", "text", "lang", words.alias("w")).select("id", "text", "lang", "w", size.alias("take"))
+    start = F.expr("cast(pmod(xxhash64(text, take), size(w) - take + 1) as int) + 1")
+    text = F.when(F.col("take") == 0, F.col("text")).otherwise(F.array_join(F.slice("w", start, F.col("take")), " "))
+    got = entropies(models, cut.select("lang", (F.col("take") == 0).alias("whole"), text.alias("text"))).where("n > 0")
     lang = F.expr("element_at(h, cast(array_position(langs, lang) as int))")
     got = got.withColumn("langs", F.array(*map(F.lit, models.langs))).where(F.expr("array_contains(langs, lang)")).withColumn("own", lang)
     norm = {t: F.log(F.expr(f"aggregate(transform(h, x -> exp(-(x - own) * {t}D)), 0D, (s, x) -> s + x)")) for t in TEMPERATURES}
-    stats = got.groupBy("lang").agg(
-        (F.sum(F.col("own") * F.col("n")) / F.sum("n")).alias("mean"), F.avg("own").alias("plain"), F.stddev_pop(F.col("own") * F.sqrt("n")).alias("sd"),
-        *(F.sum(x).alias(f"t{i}") for i, x in enumerate(norm.values())),
+    band = F.least(F.length(F.bin("n")) - 1, F.lit(BANDS - 1))
+    stats = got.groupBy("lang", band.alias("band")).agg(
+        F.percentile("own", F.lit(SURE)).alias("sure"), F.count(F.lit(1)).alias("n"),
+        F.collect_list(F.when(F.col("whole"), F.col("own"))).alias("whole"),  # bounded by the sample
+        *(F.sum(F.when(F.col("whole"), x)).alias(f"t{i}") for i, x in enumerate(norm.values())),
     ).collect()
-    mean = {r["lang"]: r["mean"] for r in stats}
-    sq = F.create_map(*(x for k, v in mean.items() for x in (F.lit(k), F.lit(v)))) if mean else None
-    spread = got.withColumn("z", (F.col("own") - sq[F.col("lang")]) * F.sqrt("n")).groupBy("lang").agg(F.sqrt(F.avg(F.col("z") * F.col("z"))).alias("sd"), F.max("z").alias("most")).collect() if mean else []
-    loss = [sum(r[f"t{i}"] for r in stats) for i in range(len(TEMPERATURES))]
-    return {
-        "temperature": TEMPERATURES[int(np.argmin(loss))] if stats else 1.0,
-        "mean": mean,
-        # a rejected text deviates twice as far as any text set aside, and by eight standard deviations at least
-        "limit": {r["lang"]: max(2 * r["most"], 8 * r["sd"]) for r in spread},
-    }
-
-
-def entropies(models: Models, rows: DataFrame) -> DataFrame:
-    """Replace ``text`` by h (bits per symbol under each language) and n (symbols; 0 where there is no letter)."""
+    loss = [sum(r[f"t{i}"] or 0.0 for r in stats) for i in range(len(TEMPERATURES))]
+    limit = {}
+    for name in {r["lang"] for r in stats}:
+        mine = sorted((r for r in stats if r["lang"] == name), key=lambda r: r["band"])
+        usual = float(np.median([x for r in mine for x in r["whole"]]))
+        known = [r for r in mine if r["n"] >= LEAST] or [max(mine, key=lambda r: r["sure"])]
+        # a band with few texts has the limit of the next shorter one, which is no stricter as a rule
+        at = [max([i for i, r in enumerate(known) if r["band"] <= b], default=0) for b in range(BANDS)]
+        limit[name] = [max(ODD * usual, BEYOND * known[i]["sure"]) for i in at]
+    return {"temperature": TEMPERATURES[int(np.argmin(loss))] if stats else 1.0, "limit": limit}
+
+
+def _limits(models: Models, calibration: dict) -> np.ndarray:
+    """Bits per symbol beyond which a text is rejected: row = language, column = length band."""
+    return np.array([calibration["limit"].get(x, [np.inf] * BANDS) for x in models.langs])
+
+
+def _odd(h: np.ndarray, n: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Texts without a letter, and those beyond the limit of their best language and length."""
+    band = np.clip(np.frexp(n.astype(float))[1] - 1, 0, BANDS - 1)
+    return (n == 0) | (h.min(1) > limits[h.argmin(1), band])
+
+
+def entropies(models: Models, rows: DataFrame, calibration: dict | None = None) -> DataFrame:
+    """Replace ``text`` by h (bits per symbol under each language) and n (symbols; 0 where there is no letter), and with
+    a calibration by whether it is rejected, too."""
     C.ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(models)  # bounded by SAMPLE_CHARS and the number of languages
     names = [c for c in rows.columns if c != "text"]
+    limits = None if calibration is None else _limits(models, calibration)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
             for part in C.slices(batch, "text", 2 << 20):
                 h, n = own.entropy(part.column("text"))
-                yield pa.record_batch([*(part.column(c) for c in names), pa.array(list(h), pa.list_(pa.float64())), pa.array(n)], [*names, "h", "n"])
+                more = [] if limits is None else [pa.array(_odd(h, n, limits))]
+                yield pa.record_batch([*(part.column(c) for c in names), pa.array(list(h), pa.list_(pa.float64())), pa.array(n), *more], [*names, "h", "n", *["rejected"] * len(more)])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInArrow(scan, f"{kinds}, h array<double>, n bigint")
+    return rows.mapInArrow(scan, f"{kinds}, h array<double>, n bigint" + (", rejected boolean" if calibration is not None else ""))
 
 
 def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chars: int = SAMPLE_CHARS) -> DataFrame:
@@ -260,17 +297,12 @@ def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col
     models, cal = fit(docs.where(train_on).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")), chars)
     if models is None:
         return rows.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
-    got = entropies(models, rows).withColumn("best", F.array_min("h"))
+    got = entropies(models, rows, cal).withColumn("best", F.array_min("h"))
     some = F.col("n") > 0
     lang = F.element_at(F.array(*map(F.lit, models.langs)), F.array_position("h", F.col("best")).cast("int"))
     score = 1 / F.expr(f"aggregate(transform(h, x -> exp(-(x - best) * {cal['temperature']}D)), 0D, (s, x) -> s + x)")
     got = got.withColumns({"lang_pred": F.when(some, lang).otherwise(F.lit(UNDETERMINED)), "score": F.when(some, score).otherwise(F.lit(0.0))})
-    limits = F.lit(False)
-    for name in cal["limit"]:
-        z = (F.col("best") - F.lit(cal["mean"][name])) * F.sqrt("n")
-        odd = (z > F.lit(cal["limit"][name])) & (F.col("best") > F.lit(ODD * cal["mean"][name]))
-        limits = F.when(F.col("lang_pred") == name, odd).otherwise(limits)
-    return got.select(F.col("id").alias(id_col), "lang_pred", "score", F.when(some, F.col("best")).alias("cross_entropy"), (~some | limits).alias("rejected"))
+    return got.select(F.col("id").alias(id_col), "lang_pred", "score", F.when(some, F.col("best")).alias("cross_entropy"), "rejected")
 
 
 def filter_rows(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chars: int = SAMPLE_CHARS) -> DataFrame:
@@ -279,16 +311,13 @@ def filter_rows(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     if models is None:
         return docs.where(F.lit(False))
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    mean = np.array([cal["mean"].get(x, np.nan) for x in models.langs])
-    limit = np.array([cal["limit"].get(x, np.inf) for x in models.langs])
+    limits = _limits(models, cal)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.index()
         for batch in batches:
             for part in C.slices(batch, text_col, 2 << 20):
                 h, n = own.entropy(part.column(text_col))
-                best = h.argmin(1)
-                z = (h.min(1) - mean[best]) * np.sqrt(n)
-                yield part.filter(pa.array((n > 0) & ~((z > limit[best]) & (h.min(1) > ODD * mean[best]))))
+                yield part.filter(pa.array(~_odd(h, n, limits)))
 
     return docs.mapInArrow(scan, docs.schema)
