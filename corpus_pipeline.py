@@ -38,9 +38,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every document: counts, checksums and scores."""
+    """Two sampled segmentations of every document: piece ids and scores, with counts and checksums."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.segment(docs, path, k=2, seed=7, finish=pieces.digest(path), schema=pieces.DIGEST)
+    return pieces.segment(docs, path, k=2, seed=7, finish=pieces.checked(path), schema=f"{pieces.SAMPLES}, {pieces.DIGEST}")
 
 
 STAGES = [

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wordloom.llm import common as C
-from wordloom.llm import langid
+from wordloom.llm import langid, pieces, queries
+
+SF = "/root/testdata/sf0.001"
 
 LANGS = {"de", "en", "es", "fr"}
 
@@ -32,3 +37,38 @@ def test_language_that_was_not_learned_is_rejected(spark, out):
     assert all(sum(kept[x]) >= 0.98 * len(kept[x]) for x in LANGS - {out}), {k: (sum(v), len(v)) for k, v in kept.items()}
     left = langid.filter_rows(keyed, F.col("learn")).where("not learn").groupBy("lang").count().collect()
     assert {r["lang"]: r["count"] for r in left} == {k: sum(v) for k, v in kept.items() if any(v)}
+
+
+def test_segmentations_are_returned(spark):
+    """From the query and from the pipeline's last stage: ids that decode to the text, with the plain probability."""
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, voc = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Vocabulary.load(path)
+    logp = {voc.strings[i]: p for i, p in zip(voc.ids.tolist(), voc.logp.tolist())}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = queries.QUERIES["op3_sentencepiece"](spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = [s["ids"] for s in r["samples"]]
+        assert [sp.decode(x) for x in ids] == [texts[r["doc_id"]]] * r["n_samples"]
+        assert r["ids_crc32"] == [zlib.crc32(np.array(x, np.int32).tobytes()) for x in ids] and r["n_pieces"] == [len(x) for x in ids]
+        assert r["log_prob"] == [s["log_prob"] for s in r["samples"]] and r["log_inclusion"] == [s["log_inclusion"] for s in r["samples"]]
+    for r in sorted(got, key=lambda r: len(texts[r["doc_id"]]))[:40]:
+        t = texts[r["doc_id"]].replace(" ", pieces.SPACE)
+        t = pieces.SPACE + t if t and voc.prefix else t
+        lost = lambda c: voc.byte_logp * len(c.encode())
+        mass = [0.0]  # of all ways to the first characters
+        for z in range(1, len(t) + 1):
+            ways = [mass[a] + logp[t[a:z]] for a in range(max(0, z - voc.longest), z) if t[a:z] in logp]
+            mass.append(np.logaddexp.reduce(ways + ([] if t[z - 1] in logp else [mass[z - 1] + lost(t[z - 1])])))
+        for s in r["samples"]:
+            n_bytes = sum(voc.strings[i] == "" for i in s["ids"])
+            want = sum(logp[voc.strings[i]] for i in s["ids"] if voc.strings[i]) + n_bytes * voc.byte_logp - mass[-1]
+            assert abs(s["log_prob"] - want) < 1e-6 * max(1, len(s["ids"]))
+    key = lambda rows: sorted(map(str, rows))
+    assert key(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()) == key(got)
+    blank = corpus_pipeline.STAGES[-1][1](spark, docs.limit(1).withColumn("text", F.lit(None).cast("string")), SF).collect()
+    assert [(s["ids"], s["log_prob"]) for r in blank for s in r["samples"]] == [([], 0.0)] and blank[0]["decoded"]

@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from wordloom.llm import common as C
 
@@ -465,18 +466,19 @@ class Decoder:
             return pa.array([t.as_py().decode("utf-8", "replace") for t in texts], pa.large_string())
 
 
-def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", finish=None, schema: str = "samples array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>>") -> DataFrame:
+def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", finish=None, schema: str | None = None) -> DataFrame:
     """``id_col`` and k distinct sampled segmentations of every row's text, in the order of their perturbed
     log-probabilities (fewer where the text has fewer; null and empty texts have the empty one).
 
-    ``finish`` may turn the samples of a batch into other columns of ``schema`` inside the task: it gets the texts, the
+    ``finish`` may turn the samples of a batch into the columns of ``schema`` inside the task: it gets the texts, the
     (ids, offsets) of each sample, the ``Drawn`` of each, and the thresholds. Rows with equal ids and texts get equal
     samples; a null id is a key of its own. Whole texts are used, whatever their length; other columns are not read.
     """
     C.ship(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path, alpha))  # the model file's size
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.xxhash64(F.col(id_col).cast("string")), F.lit(0)).alias("key"))
-    names = [x.strip().split(" ")[0] for x in schema.split(",")] if finish else ["samples"]
+    schema = schema if finish else SAMPLES
+    names = DataType.fromDDL(schema).names
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary.value, k, seed)
@@ -493,25 +495,39 @@ def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha:
     return rows.mapInArrow(scan, f"id {rows.schema['id'].dataType.simpleString()}, {schema}").withColumnRenamed("id", id_col)
 
 
-def _samples(texts: pa.Array, got: list, drawn: list[Drawn], threshold: np.ndarray) -> list[pa.Array]:
-    lists = [pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids)) for ids, off in got]
-    out = []
-    for t in range(len(threshold)):
-        rows = []
-        for ids, d in zip(lists, drawn):
-            if not np.isnan(d.logp[t]):
-                rows.append({"ids": ids[t].as_py(), "log_prob": d.logp[t], "perturbed": d.bound[t], "log_inclusion": float(log_inclusion(d.logp[t : t + 1], threshold[t : t + 1])[0])})
-        out.append(rows)
-    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("log_inclusion", pa.float64())]))
-    return [pa.array(out, kind)]
+SAMPLES = "samples array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>>"
+DIGEST = "n_samples int, n_pieces array<int>, ids_crc32 array<bigint>, log_prob array<double>, log_inclusion array<double>, decoded boolean"
 
 
-DIGEST = "n_samples int, n_pieces array<int>, ids_crc32 array<bigint>, log_prob array<double>, log_inclusion array<double>, decoded boolean"
+def _by_text(got: list, drawn: list[Drawn], threshold: np.ndarray) -> tuple[np.ndarray, pa.ListArray, list[np.ndarray]]:
+    """Samples in the order of their texts: offsets of the texts, ids of each sample, and its log-probability, perturbed
+    bound and inclusion score. What a text has not is left out."""
+    n = len(threshold)
+    there = ~np.isnan(np.stack([d.logp for d in drawn], axis=1))
+    at = np.flatnonzero(there)
+    order = at % len(drawn) * n + at // len(drawn)
+    base = np.cumsum([0] + [len(ids) for ids, _ in got])
+    off = np.concatenate([o[:-1] + b for (_, o), b in zip(got, base)] + [base[-1:]])
+    ids = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.concatenate([ids for ids, _ in got]), pa.int32())).take(pa.array(order))
+    scores = [[d.logp for d in drawn], [d.bound for d in drawn], [log_inclusion(d.logp, threshold) for d in drawn]]
+    return np.concatenate(([0], np.cumsum(there.sum(1)))), ids, [np.concatenate(x)[order] for x in scores]
+
+
+def _lists(off: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), values)
+
+
+def _structs(off: np.ndarray, ids: pa.ListArray, scores: list[np.ndarray]) -> pa.Array:
+    return _lists(off, pa.StructArray.from_arrays([ids, *map(pa.array, scores)], ["ids", "log_prob", "perturbed", "log_inclusion"]))
+
+
+def _samples(texts: pa.Array, got: list, drawn: list[Drawn], threshold: np.ndarray) -> list[pa.Array]:
+    return [_structs(*_by_text(got, drawn, threshold))]
 
 
-def digest(voc_path: str):
-    """A ``finish`` that reduces the samples to counts, checksums and scores, after decoding each sample and comparing
-    it with the text."""
+def checked(voc_path: str):
+    """A ``finish`` that gives the samples, and their counts, checksums and scores, after decoding each sample and
+    comparing it with the text."""
     import zlib
 
     state: dict = {}
@@ -521,15 +537,12 @@ def digest(voc_path: str):
             state["d"] = Decoder(Vocabulary.load(voc_path))
         want = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), SPACE, " ")
         ok = np.ones(len(threshold), bool)
-        cols: list[list] = [[[] for _ in range(len(threshold))] for _ in range(4)]
         for (ids, off), d in zip(got, drawn):
-            there = ~np.isnan(d.logp)
-            ok &= ~there | np.array(pc.equal(state["d"].decode(ids, off), want))
-            score, raw, size = log_inclusion(d.logp, threshold), ids.tobytes(), np.diff(off)
-            for t in np.flatnonzero(there).tolist():
-                for c, v in zip(cols, (int(size[t]), zlib.crc32(raw[4 * off[t] : 4 * off[t + 1]]), float(d.logp[t]), float(score[t]))):
-                    c[t].append(v)
-        kinds = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()))
-        return [pa.array([len(x) for x in cols[0]], pa.int32()), *(pa.array(c, t) for c, t in zip(cols, kinds)), pa.array(ok)]
+            ok &= np.isnan(d.logp) | np.array(pc.equal(state["d"].decode(ids, off), want))
+        off, ids, scores = _by_text(got, drawn, threshold)
+        raw, cut = np.asarray(ids.values).tobytes(), (4 * np.asarray(ids.offsets)).tolist()
+        crc = pa.array([zlib.crc32(raw[a:z]) for a, z in zip(cut, cut[1:])], pa.int64())
+        digest = [_lists(off, x) for x in (pc.list_value_length(ids), crc, pa.array(scores[0]), pa.array(scores[2]))]
+        return [_structs(off, ids, scores), pa.array(np.diff(off), pa.int32()), *digest, pa.array(ok)]
 
     return finish

@@ -29,7 +29,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.segment(_documents(spark, sf_dir), path, k=2, seed=7, finish=pieces.digest(path), schema=pieces.DIGEST)
+    return pieces.segment(_documents(spark, sf_dir), path, k=2, seed=7, finish=pieces.checked(path), schema=f"{pieces.SAMPLES}, {pieces.DIGEST}")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
