@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import zlib
 
 import numpy as np
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordloom.llm import common as C
-from wordloom.llm import langid, pieces, queries
+from wordloom.llm import langid, pieces, queries, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +74,35 @@ def test_segmentations_are_returned(spark):
     assert key(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()) == key(got)
     blank = corpus_pipeline.STAGES[-1][1](spark, docs.limit(1).withColumn("text", F.lit(None).cast("string")), SF).collect()
     assert [(s["ids"], s["log_prob"]) for r in blank for s in r["samples"]] == [([], 0.0)] and blank[0]["decoded"]
+
+
+def test_warc_headers_of_any_length(spark, tmp_path):
+    """Long addresses with small payloads and with revisits come back whole."""
+    sizes = [*range(1700, 2600, 50), 4000, 4090, 5000, 10_000]
+    long = "<p>a payload that two pages have</p>" * 40
+    rows = []
+    for n in sizes:
+        for uri in (noise(n, 2 * n).replace(" ", "/")[:n], "ab" * (n // 2)):
+            rows += [(len(rows) + i, uri, html) for i, html in enumerate((noise(len(rows), 1500), "s", None, long))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(2)
+    warc.write_archives(pages, f"file://{tmp_path}/w")
+    got = {r["record_id"]: r for r in warc.read_warc(spark, f"file://{tmp_path}/w").collect()}
+    assert len(got) == len(rows)
+    for i, uri, html in rows:
+        r, want = got[f"<urn:page:{i}>"], (html or "").encode()
+        assert (r["target_uri"], r["payload_bytes"], r["payload_digest"]) == (uri, len(want), hashlib.sha1(want).hexdigest())
+        again = html == long and i != rows[-1][0]
+        assert (r["record_type"], r["payload"], r["refers_to"]) == (("revisit", None, f"<urn:page:{rows[-1][0]}>") if again else ("response", want, None))
+    some = warc.read_warc(spark, f"file://{tmp_path}/w", payload=False).where("record_type = 'revisit'")
+    assert some.count() == 2 * len(sizes) - 1
+
+
+def test_warc_members_of_any_shape():
+    """Lengths at which the inflater ends a turn inside a match, or with nothing left to read."""
+    for n in range(1, 9000, 7):
+        for body in (b"", b"x" * (n % 300)):
+            data = warc.member(warc.record("response", "<urn:page:1>", "u" * n, "d", len(body), body, None), 9)
+            ((head, payload),) = warc.records(io.BytesIO(data), {}, True)
+            assert (len(head["WARC-Target-URI"]), payload) == (n, body)
+    with pytest.raises((ValueError, KeyError)):
+        list(warc.records(io.BytesIO(data[:40]), {}, True))

@@ -190,10 +190,14 @@ def records(f, want: dict[str, set], payload: bool) -> Iterator[tuple[dict, byte
         text, rest = b"", b""
         left = length - 24 - 8
         need = 2  # header blocks: the record's and the HTTP message's
-        while text.count(b"\r\n\r\n") < need and left and not z.eof:
+        # what was read may be inflated in part only: in the unconsumed tail, or inside the object with no tail at all
+        while text.count(b"\r\n\r\n") < need and not z.eof:
             chunk = z.unconsumed_tail or f.read(min(4096, left))
             left -= 0 if z.unconsumed_tail else len(chunk)
-            text += z.decompress(chunk, 2048)
+            more = z.decompress(chunk, 2048)
+            if not chunk and not more:
+                raise ValueError("a member that is cut short")
+            text += more
         head_text, _, rest = text.partition(b"\r\n\r\n")
         head = _fields(head_text)
         if all(head.get(k) in v for k, v in want.items()):
@@ -202,10 +206,12 @@ def records(f, want: dict[str, set], payload: bool) -> Iterator[tuple[dict, byte
             data = None
             if payload and head["WARC-Type"] == "response":
                 parts = [body]
-                while not z.eof and (z.unconsumed_tail or left):
+                while not z.eof:
                     chunk = z.unconsumed_tail or f.read(left)
                     left = left if z.unconsumed_tail else 0
                     parts.append(z.decompress(chunk))
+                    if not chunk and not parts[-1]:
+                        raise ValueError("a member that is cut short")
                 data = b"".join(parts)[: head["payload-bytes"]]
             yield head, data
         f.seek(at + length)
