@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordloom.llm import common as C
-from wordloom.llm import langid, pieces, queries, warc
+from wordloom.llm import html_extract, langid, pieces, queries, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +106,25 @@ def test_warc_members_of_any_shape():
             assert (len(head["WARC-Target-URI"]), payload) == (n, body)
     with pytest.raises((ValueError, KeyError)):
         list(warc.records(io.BytesIO(data[:40]), {}, True))
+
+
+def test_html_wrappers_and_leads(spark):
+    """A page in a wrapper with a boilerplate name or in one form has the text of the same page without it."""
+    p = [f"Paragraph {i} has a few words of its own, and some more of them." for i in range(20)]
+    inner = "".join(f"<p>{x}</p>" for x in p)
+    chrome = "<header>site</header><nav><a href=x>menu</a></nav>"
+    after = "<div class=sidebar><p>side one</p></div><form><p>mail us</p></form><section id=comments><article><p>a comment</p></article></section>"
+    article = f"{chrome}<article><h1>Title</h1>{inner}</article>{after}"
+    plain = f"{chrome}<h1>Title</h1><p>Lead.</p><div class=text>{inner}</div>{after}"
+    wraps = ["<div id=page class='no-sidebar'>{}</div>", "<div class=has-menu>{}</div>", "<form action=/x>{}</form>", "<div class='page header-promo'><form>{}</form></div>", "<div id=sidebar-layout>{}</div>", "{}"]
+    want = {}
+    rows = []
+    for wrap in wraps:
+        for body, text in ((article, ["Title", *p]), (plain, ["Title", "Lead.", *p])):
+            want[len(rows)] = "\n".join(text)
+            rows.append((len(rows), f"http://h{len(rows)}.com/", f"<html><body>{wrap.format(body)}</body></html>"))
+    rows.append((len(rows), "http://i.com/", f"<body><div class=outer><h1>{'Long title ' * 5}</h1><div><p>{'word ' * 260}</p></div></div></body>"))
+    want[len(rows) - 1] = f"{('Long title ' * 5).strip()}\n{('word ' * 260).strip()}"
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    assert {i: t for i, t in got.items() if t != want[i]} == {}

@@ -9,7 +9,12 @@
    path, or of its own best container where it has none on that path.
 
 Blocks inside boilerplate (menus, headers, footers, sidebars, notices, adverts,
-forms, reader comments) are never part of the text.
+forms, reader comments) are never part of the text. A form, or an element whose
+name says so, is a layout wrapper instead if it holds the page's article or most
+of its text; that is known once the page has been read.
+
+Headings and leads that stand before the container, up to the article or the
+body, are part of the text.
 """
 
 from __future__ import annotations
@@ -35,13 +40,18 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _SPACE = {"br", "td", "th", "wbr", "img", "option"}
 _BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul head caption".split())
 _CONTAINER = set("body article section main div table tbody ul ol dl figure blockquote center details aside form header footer nav".split())
-_BOILER_TAG = {"nav", "header", "footer", "aside", "form", "menu", "head", "button", "select", "dialog", "datalist"}
+_BOILER_TAG = {"nav", "header", "footer", "aside", "menu", "head", "button", "select", "dialog", "datalist"}
 _BOILER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
 _BOILER_NAME = set(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs
     header masthead footer sidebar aside widget widgets cookie cookies consent gdpr notice notices disclaimer newsletter subscribe subscription popup modal overlay
     share sharing social related recommended recommendations comment comments disqus respond replies login signup search pagination pager toolbar""".split()
 )
+#: names that no wrapper has, and prefixes of classes that tell of a page's layout and do not name the element
+_READERS = {"comment", "comments", "disqus", "respond", "replies"}
+_FLAG = re.compile(r"(?:^|(?<=\s))(?:no|not|has|with|without)[-_]\S*", re.I)
+_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_LEAD = 40  # characters of a container before the winner that is a lead
 #: An opening tag closes an open element of these kinds, up to the nearest of the barrier.
 _CLOSES = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}), "tr": ({"tr", "td", "th", "p"}, {"table"}), "td": ({"td", "th", "p"}, {"table", "tr"}), "th": ({"td", "th", "p"}, {"table", "tr"}), "option": ({"option"}, {"select"})}
 _DECAY = 0.95
@@ -59,15 +69,20 @@ def _segment(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Page:
-    """Containers and text blocks of one page. ``nodes``: (parent, path, is main); ``blocks``: (text, link characters, node)."""
+    """Containers and text blocks of one page. ``nodes``: (parent, path, is main); ``blocks``: (text, link characters, node);
+    ``headings``: the blocks that are headings."""
 
     def __init__(self, source: str) -> None:
         self.nodes: list[tuple[int, str, bool]] = [(-1, "", False)]
         self.blocks: list[tuple[str, int, int]] = []
-        self._parts: list[str] = []
-        self._links = 0
-        #: open elements: tag, node, inside boilerplate, inside a link
-        self._open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self.headings: set[int] = set()
+        self._parts: list[tuple[str, bool, int]] = []  # text, inside a link, region
+        self._raw: list[tuple[list[tuple[str, bool, int]], int, bool]] = []  # parts, node, is a heading
+        #: elements that are boilerplate unless they turn out to be wrappers: (outer region, inside an article)
+        self._regions: list[tuple[int, bool]] = [(-1, False)]
+        self._holds: set[int] = set()  # regions that hold an article or main
+        #: open elements: tag, node, region (-1 inside boilerplate for certain), inside a link
+        self._open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
         at = 0
         while m := _TOKEN.search(source, at):
             self._text(source[at : m.start()])
@@ -87,20 +102,46 @@ class Page:
             self._start(tag, text)
         self._text(source[at:])
         self._flush()
+        self._settle()
 
     def _text(self, s: str) -> None:
         if s:
-            _, _, boiler, link = self._open[-1]
-            if not boiler:
-                self._parts.append(s)
-                if link:
-                    self._links += len(s)
+            _, _, region, link = self._open[-1]
+            if region >= 0:
+                self._parts.append((s, link, region))
 
     def _flush(self) -> None:
         if self._parts:
-            if text := " ".join(_html.unescape("".join(self._parts)).split()):
-                self.blocks.append((text, self._links, self._open[-1][1]))
-            self._parts, self._links = [], 0
+            self._raw.append((self._parts, self._open[-1][1], any(x[0] in _HEADING for x in self._open[-1:])))
+            self._parts = []
+
+    def _settle(self) -> None:
+        """Tell wrappers from boilerplate, outer ones first, and make the blocks of what is left."""
+        inside: list[bool] = []  # an article or main
+        for parent, _, main in self.nodes:
+            inside.append(main or (parent >= 0 and inside[parent]))
+        held, mains = [0] * len(self._regions), [0] * len(self._regions)
+        if len(held) > 1:
+            for parts, node, _ in self._raw:
+                for text, link, region in parts:
+                    if not link:
+                        n = len(text.strip())
+                        held[region] += n
+                        mains[region] += n * inside[node]
+            for r in range(len(held) - 1, 0, -1):
+                held[self._regions[r][0]] += held[r]
+        live, direct = [True], mains[0]  # text of articles and main outside what may be boilerplate
+        for r, (outer, in_article) in enumerate(self._regions[1:], 1):
+            whole = r in self._holds and not in_article and held[r] > direct
+            live.append(live[outer] and (whole or (2 * held[r] > held[0] and held[r] > 4 * direct)))
+            direct += mains[r] if live[r] else 0
+        for parts, node, heading in self._raw:
+            parts = [p for p in parts if live[p[2]]]
+            if text := " ".join(_html.unescape("".join(p[0] for p in parts)).split()):
+                if heading:
+                    self.headings.add(len(self.blocks))
+                self.blocks.append((text, sum(len(p[0]) for p in parts if p[1]), node))
+        self._raw = []
 
     def _start(self, tag: str, text: str) -> None:
         if tag in _BLOCK:
@@ -112,19 +153,31 @@ class Page:
             self._close(*_CLOSES[tag])
         if tag in _VOID:
             return
-        _, node, boiler, link = self._open[-1]
+        _, node, region, link = self._open[-1]
         if tag in _CONTAINER or "=" in text:
             attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(text)}
         else:
             attrs = {}
-        boiler = boiler or tag in _BOILER_TAG or attrs.get("role", "").lower() in _BOILER_ROLE or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
-        if not boiler and tag not in ("body", "html", "article", "main") and ("class" in attrs or "id" in attrs):
-            boiler = not _BOILER_NAME.isdisjoint(_names(attrs.get("class", "") + " " + attrs.get("id", "")))
+        if region >= 0:
+            maybe = tag == "form"
+            if tag in _BOILER_TAG or attrs.get("role", "").lower() in _BOILER_ROLE or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", ""))):
+                region = -1
+            elif tag not in ("body", "html", "article", "main") and ("class" in attrs or "id" in attrs):
+                names = _names(_FLAG.sub("", attrs.get("class", "")) + " " + attrs.get("id", "")) & _BOILER_NAME
+                region = region if names.isdisjoint(_READERS) else -1
+                maybe = maybe or bool(names)
+            if maybe and region >= 0:
+                self._regions.append((region, any(x[0] == "article" for x in self._open)))
+                region = len(self._regions) - 1
         if tag in _CONTAINER:
             main = tag in ("article", "main") or attrs.get("role") == "main" or "articlebody" in attrs.get("itemprop", "").lower()
             self.nodes.append((node, f"{self.nodes[node][1]}>{_segment(tag, attrs)}", main))
             node = len(self.nodes) - 1
-        self._open.append((tag, node, boiler, link or tag == "a"))
+            at = region if main else 0
+            while at > 0 and at not in self._holds:
+                self._holds.add(at)
+                at = self._regions[at][0]
+        self._open.append((tag, node, region, link or tag == "a"))
 
     def _end(self, tag: str) -> None:
         if tag in _BLOCK:
@@ -165,11 +218,27 @@ class Page:
         return at if s[at] > 0 else -1
 
     def text(self, wanted: set[int]) -> str:
-        """The blocks inside the wanted containers, in page order."""
-        inside = []
+        """The blocks inside the wanted containers, and the headings and leads before them, in page order."""
+        inside: list[bool] = []
         for i, (parent, _, _) in enumerate(self.nodes):
             inside.append(i in wanted or (parent >= 0 and inside[parent]))
-        return "\n".join(t for t, _, node in self.blocks if inside[node])
+        keep = [inside[node] for _, _, node in self.blocks]
+        if True not in keep:
+            return ""
+        first = keep.index(True)
+        if first:
+            at, around = self.blocks[first][2], []  # the containers around the wanted one, up to the article or the body
+            while at not in wanted:
+                at = self.nodes[at][0]
+            while not self.nodes[at][2] and self.nodes[at][0] >= 0 and not self.nodes[at][1].rsplit(">", 1)[-1].startswith("body"):
+                at = self.nodes[at][0]
+                around.append(at)
+            titled = {self.blocks[i][2] for i in self.headings if i < first}
+            for i, (text, links, node) in enumerate(self.blocks[:first]):
+                beside = node if node in around else self.nodes[node][0]
+                lead = i in self.headings or node in around or node in titled or len(text) >= _LEAD
+                keep[i] = beside in around and lead and 2 * links <= len(text)
+        return "\n".join(t for (t, _, _), k in zip(self.blocks, keep) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
