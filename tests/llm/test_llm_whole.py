@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordloom.llm import common as C
-from wordloom.llm import html_extract, langid, pieces, queries, warc
+from wordloom.llm import html_extract, langid, neardup, pieces, queries, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -128,3 +129,10 @@ def test_html_wrappers_and_leads(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
     assert {i: t for i, t in got.items() if t != want[i]} == {}
+
+
+def test_estimate_loses_fewer_pairs_than_the_bands():
+    n, p = neardup.BANDS * neardup.ROWS, neardup.THRESHOLD + (1 - neardup.THRESHOLD) / 16
+    most = int(n * (1 - p + neardup.MARGIN * math.sqrt(p * (1 - p) / n)))
+    tail = sum(math.comb(n, k) * (1 - p) ** k * p ** (n - k) for k in range(most + 1, n + 1))
+    assert tail < (1 - neardup.THRESHOLD**neardup.ROWS) ** neardup.BANDS
