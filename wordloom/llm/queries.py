@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import common as C
-from wordloom.llm import decontamination, html_extract, langid, lm, neardup, pieces, quality, sharding, tokencount, warc
+from wordloom.llm import codes, decontamination, filter_audit, html_extract, langid, lm, neardup, pieces, quality, sharding, tokencount, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    books = codes.learn(vectors, parts=16, entries=64, rounds=2, scale=256)
+    coded = C.Scratch(spark, "codes").table(codes.encode(vectors, books), "coded")
+    out = codes.with_label_error(coded)
+    return out.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +103,8 @@ QUERIES = {
         op8_quality,
         op9_language_id,
         op10_token_counts,
+        op11_vector_codes,
+        op12_filter_audit,
     )
 }
 
@@ -162,4 +176,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & {quality.POLICY_BASE.mask()}) <> 0 AS base_failed, (fail_bits & {quality.POLICY_V1.mask()}) = 0 AS kept, fail_bits
 FROM f"""
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op8_quality": _OP8}
+
+
+def _op11(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Every part against every entry of its codebook; ``b0`` .. are the codebooks of the rounds."""
+    nearest = "SELECT *, row_number() OVER (PARTITION BY v, p ORDER BY e, k) AS r FROM (SELECT x.v, x.p, b.k, list_sum(list_transform(list_zip(x.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS e FROM x JOIN {book} b USING (p))"
+    sql = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor({scale} * c) AS BIGINT)) AS f, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+wide AS (SELECT max(len(f)) // {parts} AS w FROM kept),
+x AS MATERIALIZED (SELECT v, p, f[p * w + 1 : p * w + w] AS x FROM (SELECT v, f, w, unnest(range({parts})) AS p FROM kept, wide)),
+b0 AS MATERIALIZED (SELECT p, v - 1 AS k, x FROM x WHERE v <= {entries})"""
+    for i in range(rounds):
+        sql += f""",
+n{i} AS MATERIALIZED (SELECT v, p, k FROM ({nearest.format(book=f"b{i}")}) WHERE r = 1),
+s{i} AS (SELECT p, k, j, sum(c) AS s, count(*) AS n FROM (SELECT n.p, n.k, unnest(x.x) AS c, unnest(range(len(x.x))) AS j FROM n{i} n JOIN x USING (v, p)) GROUP BY ALL),
+m{i} AS (SELECT p, k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x FROM s{i} GROUP BY p, k),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (p, k))"""
+    return sql + f""",
+last AS (SELECT v, p, k, e FROM ({nearest.format(book=f"b{rounds}")}) WHERE r = 1),
+coded AS (SELECT v, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(e) AS BIGINT) AS error FROM last GROUP BY v),
+sha AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, j)) AS s FROM (SELECT p, k, unnest(x) AS c, unnest(range(len(x))) AS j FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha.s AS codebooks_sha256
+FROM kept JOIN coded USING (v), sha"""
+
+
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+m AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN first < doc_id THEN 'E' ELSE '' END) AS fails
+  FROM d LEFT JOIN m USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT filter_order FROM (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e) WHERE len(list_distinct(string_split(filter_order, ''))) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, filter_order[1 : step - 1] AS before FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS now, fails = own AS only_this,
+         before <> '' AND regexp_matches(fails, '[' || CASE WHEN before = '' THEN '-' ELSE before END || ']') AS gone
+  FROM c, s),
+t AS (
+  SELECT part, filter_order, step, own, CAST(sum(CASE WHEN NOT now AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN now AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN now AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN only_this THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN now AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN now AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM r GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM t"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": _OP1, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op8_quality": _OP8, "op11_vector_codes": _op11(), "op12_filter_audit": _OP12}
