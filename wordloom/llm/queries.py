@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import common as C
-from wordloom.llm import codes, decontamination, filter_audit, html_extract, langid, lm, neardup, pieces, quality, sharding, tokencount, warc
+from wordloom.llm import codes, decontamination, filter_audit, html_extract, langid, lm, neardup, pieces, pii, quality, sharding, tokencount, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.detect(_documents(spark, sf_dir))
+    number = [F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{pii.KINDS[kind]}") for kind in range(4)]
+    return out.select("doc_id", *number, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -105,6 +111,7 @@ QUERIES = {
         op10_token_counts,
         op11_vector_codes,
         op12_filter_audit,
+        op13_personal_data,
     )
 }
 
