@@ -120,3 +120,64 @@ def test_tokenize_roundtrip_property(spark, docs):
     assert rows and all(r["w"].replace("</w>", "") == r["word"] for r in rows)
     # every known token has a non-negative id
     assert toks.where((F.col("id") < 0) & F.col("token").isin(list(_vocab(m)))).count() == 0
+
+
+def test_merge_symbols_equals_plain_rule():
+    import random
+
+    from wordloom.functions.merging import encode_word
+
+    rng = random.Random(8)
+    for _ in range(400):
+        word = "".join(rng.choice("ab" if rng.random() < 0.5 else "abc") for _ in range(rng.randint(0, 30)))
+        known = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 6))) + ("</w>" if rng.random() < 0.2 else "") for _ in range(rng.randint(0, 25))}
+        assert encode_word(word, dict.fromkeys(known, 1))[0] == _plain_encode(word, known), (word, known)
+
+
+def test_long_word_is_near_linear():
+    import time
+
+    from wordloom.functions.merging import encode_word
+
+    known = dict.fromkeys(["ab", "abc", "abcabc", "ca", "bc", "cabc"], 1)
+
+    def took(n):
+        t = time.process_time()
+        encode_word("abc" * n, known)
+        return time.process_time() - t
+
+    took(100)
+    short, long = min(took(4_000) for _ in range(3)), min(took(40_000) for _ in range(3))
+    assert long < 40 * short and long < 5  # ten times the length; quadratic work would take a hundred times as long
+
+
+def test_large_vocabulary_is_joined(spark, docs, monkeypatch):
+    """Both ways of meeting the vocabulary give equal rows, with one word at a third of the occurrences."""
+    corpus = docs(*(f"the the theory of {chr(97 + i % 26)}x{i} the, other thing" for i in range(60)), "", "ab" * 700, "éa naïve the")
+    m = bp.train_bpe(corpus, 15)
+    want = sorted(map(tuple, bp.tokenize(corpus, m).collect()))
+    words = bp.pretokens(corpus).select("word")
+    enc = sorted(map(tuple, bp.encode_words(words, m.vocab).collect()))
+    monkeypatch.setattr(bp, "_DICTIONARY", 3)
+    assert sorted(map(tuple, bp.tokenize(corpus, m).collect())) == want
+    assert sorted(map(tuple, bp.encode_words(words, m.vocab).collect())) == enc
+
+
+def test_bloom_lets_few_others_pass(spark, docs):
+    vocab = spark.range(3000).select(F.concat(F.lit("t"), F.col("id")).alias("token"), "id")
+    test = bp._bloom(vocab, 3000)
+    assert vocab.where(test(F.col("token"))).count() == 3000
+    others = spark.range(20000).select(F.concat(F.lit("u"), F.col("id")).alias("token"))
+    assert others.where(test(F.col("token"))).count() < 400
+
+
+def test_frequent_word_is_spread(spark):
+    """No key of the occurrence join holds over twice its share though one word is a third of the occurrences."""
+    word = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id")))
+    occ = spark.range(90_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("pos"), word.alias("word"))
+    counted = occ.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    keys = counted.withColumn("pieces", F.ceil(F.col("freq") * bp._PIECES / F.lit(90_000)).cast("int"))
+    most = bp._deal(occ, keys).groupBy("word", "_piece").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 90_000 / bp._PIECES
+    encoded = counted.select("word", F.array("word").alias("tokens"), F.array(F.lit(7).cast("bigint")).alias("ids"), "freq")
+    assert bp._meet(occ, encoded).where("tpos = 0 and token = if(doc_id % 3 = 0, 'hot', concat('w', doc_id))").count() == 90_000

@@ -15,9 +15,11 @@ pair, which breaks ties between equally frequent pairs ("met first"), is not
 subtractable, so it is computed for the pairs tied at the maximum, when they
 are tied. At most ``_ROUND`` rows reach the driver per round.
 
-Encoding looks every substring of a distinct word up in the vocabulary once
-and then merges inside the word by a fold; ids travel with the looked-up
-tokens, so no token occurrence is joined.
+A trained vocabulary has k tokens and the alphabet, so tasks hold it and
+encode documents where they are. A vocabulary beyond a stated size is met by
+joins instead: on substrings of distinct words that pass a Bloom filter, and
+on words cut into pieces by their frequency. Merging inside a word takes
+O(n log n) steps either way.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols
-from ..session import cut_lineage
+from ..functions.merging import encode_batches, merge_batches, tokenize_batches
+from ..functions.text import bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols
+from ..session import cut_lineage, ship_package
 from .ordering import dense_index, first_key
 
 # Leading counts fetched per round; more merges than this are never made in one round.
@@ -37,6 +40,12 @@ _ROUND = 16
 _CHECKPOINT_EVERY = 8
 # Copies of the vocabulary that a per-occurrence decode joins, so that one id is many keys.
 _SALTS = 16
+# Tokens of a vocabulary that every task holds; a larger vocabulary is joined.
+_DICTIONARY = 200_000
+# Most bits of the filter that substrings pass before they are joined with a larger vocabulary (16 MB).
+_BLOOM_BITS = 1 << 27
+# A word with more than one part in so many of all occurrences is several join keys.
+_PIECES = 1000
 
 
 # ---------------------------------------------------------------------------
@@ -210,68 +219,122 @@ def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str
 # Encoding (B9) and tokenization
 # ---------------------------------------------------------------------------
 
+def _dictionary(vocab: DataFrame) -> dict[str, int] | None:
+    """The vocabulary as token -> id if it has at most ``_DICTIONARY`` tokens, else None."""
+    rows = vocab.select("token", "id").limit(_DICTIONARY + 1).collect()
+    return {r["token"]: r["id"] for r in rows} if len(rows) <= _DICTIONARY else None
+
+
+def _bloom(vocab: DataFrame, tokens: int):
+    """A test ``Column -> Column`` that every token of the vocabulary passes, and few other strings.
+
+    Two bits of a table of 32 bits a token (up to ``_BLOOM_BITS``), added up in Spark.
+    """
+    bits = min(max(1 << (32 * tokens - 1).bit_length(), 64), _BLOOM_BITS)
+
+    def places(token: Column) -> list[Column]:
+        h = F.xxhash64(token)
+        return [F.pmod(h, F.lit(bits)), F.pmod(F.xxhash64(h), F.lit(bits))]
+
+    one = lambda p: F.struct(F.floor(p / 64).cast("int").alias("at"), (p % 64).cast("int").alias("bit"))
+    set_bits = vocab.select(F.inline(F.array(*(one(p) for p in places(F.col("token")))))).distinct()
+    words = set_bits.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("w"))
+    table = [0] * (bits // 64)
+    for r in words.collect():  # bits / 64 rows at most
+        table[r["at"]] = r["w"]
+    lit = F.lit(table) if bits <= 1 << 16 else F.expr(f"from_json('{table}', 'array<bigint>')")
+
+    def test(token: Column) -> Column:
+        hit = F.lit(True)
+        for p in places(token):
+            word = F.get(lit, F.floor(p / 64).cast("int"))
+            hit = hit & (F.call_function("shiftrightunsigned", word, (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
+        return hit
+
+    return test
+
+
 def _word_hits(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """The vocabulary tokens that are substrings of each word (with its end mark): ``word, hits array<token, id>``.
 
     Every symbol that the encoder can form is such a substring. Substrings are
-    no longer than the longest token, so a word's hits are bounded by its own
-    length times that.
+    no longer than the longest token and pass a Bloom filter of the vocabulary
+    inside the row, so that hardly more than the true hits are exploded and
+    shuffled.
     """
-    longest = vocab.agg(F.max(F.char_length("token"))).first()[0] or 0
+    longest, tokens = vocab.agg(F.max(F.char_length("token")), F.count(F.lit(1))).first()
     spans = F.expr(
-        f"flatten(transform(sequence(0, size(s) - 1), i -> transform(sequence(1, least({max(longest, 1)}, size(s) - i)), "
+        f"flatten(transform(sequence(0, size(s) - 1), i -> transform(sequence(1, least({max(longest or 0, 1)}, size(s) - i)), "
         "n -> array_join(slice(s, i + 1, n), ''))))"
     )
-    each = words.select("word", word_symbols(F.col("word")).alias("s")).select("word", F.explode(F.array_distinct(spans)).alias("token"))
+    passed = F.filter(F.array_distinct(spans), _bloom(vocab, tokens))
+    each = words.select("word", word_symbols(F.col("word")).alias("s")).select("word", F.explode(passed).alias("token"))
     return each.join(vocab.select("token", "id"), "token").groupBy("word").agg(F.collect_list(F.struct("token", "id")).alias("hits"))
 
 
-#: One merge inside a word: the leftmost adjacent pair whose concatenation is in ``v``, at all its places.
-_MERGE_STEP = """
-transform(array(split(substring(a.sym, 2, length(a.sym) - 2), ' \t')), s ->
-  transform(array(array_position(zip_with(s, slice(s, 2, size(s)), (l, r) -> coalesce(array_contains(v, concat(l, r)), false)), true)), i ->
-    if(i = 0, named_struct('sym', a.sym, 'done', true),
-       named_struct('sym', replace(a.sym, concat('\t', s[i - 1], ' \t', s[i], ' '), concat('\t', s[i - 1], s[i], ' ')), 'done', false)))[0])[0]
-"""
-
-
 def encode_words(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """Encode distinct ``word``s: ``word, tokens, ids`` (arrays), trailing ``</w>`` dropped, -1 for unknown tokens.
 
     While an adjacent pair's concatenation is in the vocabulary, the leftmost
-    such pair is merged wherever it occurs. The vocabulary is met once, by a
-    join on the words' substrings (:func:`_word_hits`); the merges are a fold
-    inside the word, which ends after as many steps as the word has symbols.
+    such pair is merged wherever it occurs (:func:`merge_symbols`). Tasks hold
+    the vocabulary if it has at most ``_DICTIONARY`` tokens (a trained one has
+    k plus the alphabet); a larger one is met by a join on the words'
+    substrings (:func:`_word_hits`).
     """
-    distinct = words.select("word").distinct()
+    distinct = words.select("word").where(F.col("word").isNotNull()).distinct()
+    out = "word string, tokens array<string>, ids array<bigint>"
+    ids = _dictionary(vocab)
+    ship_package(words.sparkSession)
+    if ids is not None:
+        return distinct.mapInArrow(encode_batches(ids), out)
     hits = _word_hits(distinct, vocab).withColumnRenamed("word", "_hw")
     known = F.coalesce("hits", F.array().cast("array<struct<token:string,id:bigint>>"))
-    df = distinct.join(hits, F.col("word") == F.col("_hw"), "left").select(
-        "word", known.alias("hits"), wrap_symbols(word_symbols(F.col("word"))).alias("sym"), F.char_length("word").alias("n")
-    )
-    df = df.withColumn("v", F.transform("hits", lambda h: h["token"]))
-    fold = f"aggregate(sequence(1, n + 1), named_struct('sym', sym, 'done', false), (a, x) -> if(a.done, a, {_MERGE_STEP})).sym"
-    toks = unwrap_symbols(F.expr(fold))
-    df = df.select("word", "hits", toks.alias("t"))
-    last = F.try_element_at("t", F.lit(-1))
-    df = df.withColumn("tokens", F.when(last == END_OF_WORD, F.slice("t", 1, F.size("t") - 1)).otherwise(F.col("t")))
-    ids = F.expr("transform(tokens, t -> coalesce(get(filter(hits, h -> h.token = t), 0).id, -1L))")
-    return df.select("word", "tokens", ids.alias("ids"))
+    return distinct.join(hits, F.col("word") == F.col("_hw"), "left").select("word", known.alias("hits")).mapInArrow(merge_batches, out)
 
 
 def tokenize(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """B10 + J2: ``doc_id, pos, tpos, token, id``: every pre-token of every document, in order.
 
-    Distinct words are encoded with their ids; an occurrence is joined once,
-    on its word.
+    With a vocabulary that tasks can hold, documents are encoded where they
+    are: nothing is shuffled, and a word that a third of all occurrences are is
+    looked up in a table. With a larger one, distinct words are encoded first
+    and met by their occurrences (:func:`_meet`).
     """
+    ids = _dictionary(model.vocab)
+    if ids is not None:
+        ship_package(docs.sparkSession)
+        words = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(bpe_pretokens(text_col), F.array().cast("array<string>")).alias("words"))
+        return words.mapInArrow(tokenize_batches(ids), "doc_id bigint, pos int, tpos int, token string, id bigint")
     occ = pretokens(docs, id_col, text_col)
-    encoded = cut_lineage(encode_words(occ.select("word"), model.vocab))
+    counted = occ.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    encoded = encode_words(counted.select("word"), model.vocab)
+    return _meet(occ, cut_lineage(encoded.join(counted, "word")))
+
+
+def _meet(occ: DataFrame, encoded: DataFrame) -> DataFrame:
+    """Occurrences (``doc_id, pos, word``) with the tokens of their word (``word, tokens, ids, freq``).
+
+    A word is as many join keys as it has ``_PIECES``-ths of all occurrences,
+    and an occurrence takes one of them by a hash of its place: no key holds
+    more than that share. The words that have several keys are fewer than
+    ``_PIECES``, so that their number of keys is a table that tasks hold.
+    """
+    total = encoded.agg(F.sum("freq")).first()[0] or 1
+    keys = encoded.withColumn("pieces", F.ceil(F.col("freq") * _PIECES / F.lit(total)).cast("int"))
+    dealt = _deal(occ, keys)
+    copies = keys.select("word", "tokens", "ids", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("_piece"))
     pairs = F.posexplode(F.arrays_zip(F.col("tokens").alias("token"), F.col("ids").alias("id")))
-    flat = occ.join(encoded, "word").select("doc_id", "pos", pairs.alias("tpos", "x"))
+    flat = dealt.join(copies, ["word", "_piece"]).select("doc_id", "pos", pairs.alias("tpos", "x"))
     return flat.select("doc_id", "pos", "tpos", F.col("x.token").alias("token"), F.col("x.id").alias("id"))
 
 
+def _deal(occ: DataFrame, keys: DataFrame) -> DataFrame:
+    """Add ``_piece``, the key of a word (0 to ``pieces`` - 1) that an occurrence takes."""
+    several = F.broadcast(keys.where("pieces > 1").select("word", "pieces"))
+    piece = F.coalesce(F.pmod(F.xxhash64("doc_id", "pos"), "pieces"), F.lit(0)).cast("int")
+    return occ.join(several, "word", "left").withColumn("_piece", piece).drop("pieces")
+
+
 def token_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """J2 for a table of distinct tokens: ``id`` of each ``token`` (-1 when unknown)."""
     v = vocab.select("token", "id")

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application: they may start elsewhere than the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wordloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    zipped = Path(tempfile.mkdtemp(prefix="wordloom-")) / "wordloom.zip"
+    with zipfile.ZipFile(zipped, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(zipped))
+    sc._wordloom_shipped = True  # type: ignore[attr-defined]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder and return a
     DataFrame that reads it back (survives executor loss; bounded lineage).
