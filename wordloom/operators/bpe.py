@@ -154,15 +154,14 @@ def _merge_loop(types: DataFrame, k: int):
     """
     types = cut_lineage(types).persist()
     pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
-    base_types = types
     merges: list[tuple[int, str, str, int]] = []
-    released: list[DataFrame] = []
+    unread: list[DataFrame] = []  # states that the one being computed does not read
+    last: list[DataFrame] = []  # the state before the current one
     rounds = 0
     while len(merges) < k:
         best = _leading_pairs(pairs, types, k - len(merges))
-        for df in released:
+        for df in unread:
             df.unpersist()
-        released = []
         if not best:
             break
         merges += [(len(merges) + i, *m) for i, m in enumerate(best, 1)]
@@ -177,17 +176,15 @@ def _merge_loop(types: DataFrame, k: int):
         change = old_new.select(F.inline(signed)).groupBy("l", "r").agg(F.sum("w").alias("cnt"))
         new_pairs = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
         new_types = types.withColumn("sym", merged)
-        released.append(pairs)
         rounds += 1
         if rounds % _CHECKPOINT_EVERY == 0:
-            released.append(base_types)
-            new_types = cut_lineage(new_types).persist()
-            base_types = new_types
-            new_pairs = cut_lineage(new_pairs)
-        pairs = new_pairs.persist()
-        types = new_types
+            new_types, new_pairs = cut_lineage(new_types), cut_lineage(new_pairs)
+        # A round reads the types as the one before left them, never through the merges of earlier rounds again. The
+        # new types are computed by the next round, from the last ones, which go after that.
+        unread, last = last, [types, pairs]
+        types, pairs = new_types.persist(), new_pairs.persist()
     # Cached state still held: the caller releases it once its result is materialised.
-    return types, merges, released + [base_types, pairs]
+    return types, merges, [*unread, *last, types, pairs]
 
 
 def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: str = "text") -> BpeModel:
