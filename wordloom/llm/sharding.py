@@ -2,9 +2,10 @@
 
 Pass 1 scatters the rows uniformly into buckets by a seeded hash of the row's
 place in the input, so equal rows and hot keys spread like any others; the
-number of buckets follows the input's bytes, so that one fits in memory.
-Pass 2 shuffles each bucket with Fisher-Yates, seeded by the bucket, and writes
-it. The buckets one after another are a uniform random order of all rows; it is
+number of buckets follows the input's bytes, so that one fits in memory. It is
+written to the shared folder, so that the buckets' sizes and pass 2 see one and
+the same scatter, however the input is computed. Pass 2 shuffles each bucket
+with Fisher-Yates, seeded by the bucket, and writes it. The buckets one after another are a uniform random order of all rows; it is
 cut into shards at equal numbers of rows (law ``rows``), so a bucket goes to one
 shard or to a few neighbours.
 """
@@ -50,11 +51,12 @@ def shuffle_to_shards(df: DataFrame, path: str, shards: int, text_col: str = "te
     sized = df.withColumn("_size", record_size(text_col))
     total = sized.agg(F.sum("_size").alias("b")).first()["b"] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
-    # the row's place in the input: the same for a repeated task, since scans cut files alike
     place = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
-    dealt = sized.withColumn("_bucket", F.pmod(place, F.lit(buckets)))
-    # one number per bucket; the scatter above reads no text, so this costs a scan of no column
-    counts = dict(df.select(F.pmod(place, F.lit(buckets)).alias("b")).groupBy("b").count().collect())
+    scratch = C.Scratch(spark, "scatter")
+    scattered = sized.withColumn("_bucket", F.pmod(place, F.lit(buckets)))
+    scattered.write.option("compression", "zstd").parquet(scratch.path("rows"))
+    dealt = spark.read.schema(scattered.schema).parquet(scratch.path("rows"))
+    counts = dict(dealt.groupBy("_bucket").count().collect())  # one number per bucket
     n = np.array([counts.get(b, 0) for b in range(buckets)], np.int64)
     offset = np.concatenate(([0], np.cumsum(n)))
     cut = (np.arange(shards + 1, dtype=object) * int(offset[-1]) // shards).astype(np.int64)
@@ -70,5 +72,6 @@ def shuffle_to_shards(df: DataFrame, path: str, shards: int, text_col: str = "te
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema), "_shard int, _slot bigint"])
     done = dealt.groupBy("_bucket").applyInArrow(write, schema)
-    done.write.mode("overwrite").partitionBy("_shard").parquet(path)
+    done.write.mode("overwrite").option("compression", "zstd").partitionBy("_shard").parquet(path)
+    scratch.drop("rows")
     return spark.read.schema(done.schema).parquet(path)
