@@ -6,15 +6,17 @@
 2. Votes are added up per host and path in Spark, one row per task first, and
    each host's winning path is the one with most votes.
 3. Each page is read again: its text is that of the containers on the host's
-   path, or of its own best container where it has none on that path.
+   path, or of its own best container where those on that path hold less than
+   half of its score.
 
 Blocks inside boilerplate (menus, headers, footers, sidebars, notices, adverts,
 forms, reader comments) are never part of the text. A form, or an element whose
 name says so, is a layout wrapper instead if it holds the page's article or most
 of its text; that is known once the page has been read.
 
-Headings and leads that stand before the container, up to the article or the
-body, are part of the text.
+What stands before the container, up to the article or the body, is part of the
+text whatever its length, unless it mostly is links: anything inside the
+article, and beside the container's ancestors or one container deeper elsewhere.
 """
 
 from __future__ import annotations
@@ -50,8 +52,7 @@ _BOILER_NAME = set(
 #: names that no wrapper has, and prefixes of classes that tell of a page's layout and do not name the element
 _READERS = {"comment", "comments", "disqus", "respond", "replies"}
 _FLAG = re.compile(r"(?:^|(?<=\s))(?:no|not|has|with|without)[-_]\S*", re.I)
-_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
-_LEAD = 40  # characters of a container before the winner that is a lead
+_SHARE = 0.5  # of the best container's score that the containers on the host's path must hold
 #: An opening tag closes an open element of these kinds, up to the nearest of the barrier.
 _CLOSES = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}), "tr": ({"tr", "td", "th", "p"}, {"table"}), "td": ({"td", "th", "p"}, {"table", "tr"}), "th": ({"td", "th", "p"}, {"table", "tr"}), "option": ({"option"}, {"select"})}
 _DECAY = 0.95
@@ -69,15 +70,13 @@ def _segment(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Page:
-    """Containers and text blocks of one page. ``nodes``: (parent, path, is main); ``blocks``: (text, link characters, node);
-    ``headings``: the blocks that are headings."""
+    """Containers and text blocks of one page. ``nodes``: (parent, segment of the path, is main); ``blocks``: (text, link characters, node)."""
 
     def __init__(self, source: str) -> None:
         self.nodes: list[tuple[int, str, bool]] = [(-1, "", False)]
         self.blocks: list[tuple[str, int, int]] = []
-        self.headings: set[int] = set()
         self._parts: list[tuple[str, bool, int]] = []  # text, inside a link, region
-        self._raw: list[tuple[list[tuple[str, bool, int]], int, bool]] = []  # parts, node, is a heading
+        self._raw: list[tuple[list[tuple[str, bool, int]], int]] = []  # parts, node
         #: elements that are boilerplate unless they turn out to be wrappers: (outer region, inside an article)
         self._regions: list[tuple[int, bool]] = [(-1, False)]
         self._holds: set[int] = set()  # regions that hold an article or main
@@ -112,7 +111,7 @@ class Page:
 
     def _flush(self) -> None:
         if self._parts:
-            self._raw.append((self._parts, self._open[-1][1], any(x[0] in _HEADING for x in self._open[-1:])))
+            self._raw.append((self._parts, self._open[-1][1]))
             self._parts = []
 
     def _settle(self) -> None:
@@ -122,7 +121,7 @@ class Page:
             inside.append(main or (parent >= 0 and inside[parent]))
         held, mains = [0] * len(self._regions), [0] * len(self._regions)
         if len(held) > 1:
-            for parts, node, _ in self._raw:
+            for parts, node in self._raw:
                 for text, link, region in parts:
                     if not link:
                         n = len(text.strip())
@@ -135,11 +134,9 @@ class Page:
             whole = r in self._holds and not in_article and held[r] > direct
             live.append(live[outer] and (whole or (2 * held[r] > held[0] and held[r] > 4 * direct)))
             direct += mains[r] if live[r] else 0
-        for parts, node, heading in self._raw:
+        for parts, node in self._raw:
             parts = [p for p in parts if live[p[2]]]
             if text := " ".join(_html.unescape("".join(p[0] for p in parts)).split()):
-                if heading:
-                    self.headings.add(len(self.blocks))
                 self.blocks.append((text, sum(len(p[0]) for p in parts if p[1]), node))
         self._raw = []
 
@@ -171,7 +168,7 @@ class Page:
                 region = len(self._regions) - 1
         if tag in _CONTAINER:
             main = tag in ("article", "main") or attrs.get("role") == "main" or "articlebody" in attrs.get("itemprop", "").lower()
-            self.nodes.append((node, f"{self.nodes[node][1]}>{_segment(tag, attrs)}", main))
+            self.nodes.append((node, _segment(tag, attrs), main))
             node = len(self.nodes) - 1
             at = region if main else 0
             while at > 0 and at not in self._holds:
@@ -200,15 +197,32 @@ class Page:
         if cut is not None:
             del self._open[cut:]
 
+    def path(self, node: int) -> str:
+        """Segments from the root down to a node."""
+        out = []
+        while node > 0:
+            out.append(self.nodes[node][1])
+            node = self.nodes[node][0]
+        return "".join(f">{x}" for x in reversed(out))
+
+    def on(self, path: str | None) -> set[int]:
+        """The nodes whose path this is."""
+        want = (path or "").split(">")[1:]
+        found, depth = set(), [0]  # depth of nodes whose path the wanted one begins with, else -1
+        for i, (parent, segment, _) in enumerate(self.nodes[1:], 1):
+            d = depth[parent]
+            depth.append(d + 1 if 0 <= d < len(want) and want[d] == segment else -1)
+            if depth[i] == len(want) and want:
+                found.add(i)
+        return found
+
     def scores(self) -> list[float]:
         """Characters outside links of each container's blocks, less by ``_DECAY`` for each container between."""
         out = [0.0] * len(self.nodes)
         for text, links, node in self.blocks:
-            gain = max(0.0, len(text) - 2.0 * links)
-            while node >= 0:
-                out[node] += gain
-                gain *= _DECAY
-                node = self.nodes[node][0]
+            out[node] += max(0.0, len(text) - 2.0 * links)
+        for i in range(len(out) - 1, 0, -1):  # a container comes after the one around it
+            out[self.nodes[i][0]] += _DECAY * out[i]
         return [s * (_MAIN if main else 1.0) for s, (_, _, main) in zip(out, self.nodes)]
 
     def best(self) -> int:
@@ -218,7 +232,7 @@ class Page:
         return at if s[at] > 0 else -1
 
     def text(self, wanted: set[int]) -> str:
-        """The blocks inside the wanted containers, and the headings and leads before them, in page order."""
+        """The blocks inside the wanted containers, and what belongs to the article before them, in page order."""
         inside: list[bool] = []
         for i, (parent, _, _) in enumerate(self.nodes):
             inside.append(i in wanted or (parent >= 0 and inside[parent]))
@@ -227,17 +241,17 @@ class Page:
             return ""
         first = keep.index(True)
         if first:
-            at, around = self.blocks[first][2], []  # the containers around the wanted one, up to the article or the body
+            at, around = self.blocks[first][2], set()  # the containers around the wanted one, up to the article or the body
             while at not in wanted:
                 at = self.nodes[at][0]
-            while not self.nodes[at][2] and self.nodes[at][0] >= 0 and not self.nodes[at][1].rsplit(">", 1)[-1].startswith("body"):
+            while not self.nodes[at][2] and self.nodes[at][0] >= 0 and not self.nodes[at][1].startswith("body"):
                 at = self.nodes[at][0]
-                around.append(at)
-            titled = {self.blocks[i][2] for i in self.headings if i < first}
+                around.add(at)
+            within: list[bool] = []  # the article that the wanted one is in
+            for i, (parent, _, main) in enumerate(self.nodes):
+                within.append((i == at and main) or (parent >= 0 and within[parent]))
             for i, (text, links, node) in enumerate(self.blocks[:first]):
-                beside = node if node in around else self.nodes[node][0]
-                lead = i in self.headings or node in around or node in titled or len(text) >= _LEAD
-                keep[i] = beside in around and lead and 2 * links <= len(text)
+                keep[i] = (within[node] or node in around or self.nodes[node][0] in around) and 2 * links <= len(text)
         return "\n".join(t for (t, _, _), k in zip(self.blocks, keep) if k)
 
 
@@ -260,7 +274,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 page = Page(source or "")
                 if (at := page.best()) >= 0:
                     hosts.append(h)
-                    paths.append(page.nodes[at][1])
+                    paths.append(page.path(at))
                     scores.append(page.scores()[at])
             yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], ["host", "path", "score"])
 
@@ -275,10 +289,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts, paths = [], []
             for source, path in zip(batch.column("html").to_pylist(), batch.column("winner").to_pylist()):
                 page = Page(source or "")
-                text = page.text({i for i, n in enumerate(page.nodes) if n[1] == path})
-                if not text and (at := page.best()) >= 0:
-                    path = page.nodes[at][1]
-                    text = page.text({at})
+                wanted, own = page.on(path), page.best()
+                score = page.scores()
+                if own >= 0 and sum(score[i] for i in wanted) < _SHARE * score[own]:
+                    path, wanted = page.path(own), {own}
+                text = page.text(wanted)
                 texts.append(text)
                 paths.append(path if text else None)
             yield pa.record_batch([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(paths, pa.string())], ["id", "url", "text", "path"])
