@@ -18,6 +18,35 @@ def test_whole_file_corpus(spark, tmp_path):
     assert counts[("a", "c")] == 1 and counts[("b", "d")] == 2 and ("d", "b") not in counts
 
 
+def test_one_file_in_many_ranges(spark, tmp_path):
+    """Cuts of any place and size give the counts, first places and vocabulary of the whole file."""
+    import random
+
+    rng = random.Random(6)
+    d = tmp_path / "large"
+    d.mkdir()
+    for name in "ab":
+        lines = [" ".join(rng.choice(["é", "b", "c.", "d", ""]) for _ in range(rng.choice([0, 1, 1, 2, 9]))) for _ in range(700)]
+        (d / f"{name}.txt").write_text("\n".join(lines) + ("\n" if name == "a" else ""), encoding="utf-8")
+    (d / "c.txt").write_text("", encoding="utf-8")
+    (d / "d.txt").write_text("\n\nz", encoding="utf-8")
+    whole = fs.read_corpus(spark, str(d))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        for n, chars in ((1, 1), (3, 40), (4, 1 << 20)):
+            chunks = fs.read_corpus_chunks(spark, str(d), chars)
+            assert chunks.select("file", "block").distinct().count() > 10
+            got, want = ng.train_ngram_chunks(chunks, n), ng.train_ngram(whole, n)
+            flat = lambda m: sorted((r["context"], r["word"], r["cnt"], int(r["first"])) for r in m.counts.collect())
+            assert flat(got) == flat(want)
+            assert {r[0] for r in got.vocab.collect()} == {r[0] for r in want.vocab.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_request_lines_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "idx long, q string").select(
         F.struct("idx", "q").alias("req")

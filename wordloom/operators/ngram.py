@@ -28,12 +28,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_checkpoint_dir
-from .ordering import MAX_BATCH, first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
+from .ordering import MAX_BATCH, dense_index, first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
 STATUS_OK = "ok"
@@ -53,11 +53,16 @@ def ngram_events(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str
     array is not copied into every output row (output is linear in the text).
     """
     toks = _tokens(docs, id_col, text_col)
+    return toks.select("doc_id", F.inline(_windows(n, F.lit(0), "int")))
+
+
+def _windows(n: int, shift: Column, kind: str) -> Column:
+    """``(i, context, word)`` of every word of the token array ``t`` that has n tokens before it; ``i`` counts from ``shift``."""
     t = F.col("t")
     windows = F.transform(
         F.sequence(F.lit(n), F.size(t) - 1),
         lambda i: F.struct(
-            i.cast("int").alias("i"),
+            (i + shift).cast(kind).alias("i"),
             F.concat_ws(" ", *[F.element_at(t, i - n + 1 + k) for k in range(n)]).alias("context"),
             F.element_at(t, i + 1).alias("word"),
         ),
@@ -65,8 +70,31 @@ def ngram_events(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str
     # Guarded inside the generator, not by a Filter: a filter on the token
     # array would be pushed below the fan-out repartition and run the regex
     # twice, once in the scan task.
-    none = F.array().cast("array<struct<i:int,context:string,word:string>>")
-    return toks.select("doc_id", F.inline(F.when(F.size(t) > n, windows).otherwise(none)))
+    none = F.array().cast(f"array<struct<i:{kind},context:string,word:string>>")
+    return F.when(F.size(t) > n, windows).otherwise(none)
+
+
+def chunk_events(chunks: DataFrame, n: int) -> DataFrame:
+    """W1 over files cut into chunks (``file, block, seq, text``): ``doc_id, i, context, word``.
+
+    ``doc_id`` numbers the files in path order. A chunk gets the last ``n``
+    words before it, so that a context that crosses a cut is met once, by the
+    chunk that holds its next word, and the number of words before it, so that
+    places are those in the file. Both come from a table of one small row per
+    chunk; the texts themselves are met by the key of their chunk, which is one
+    row each, however large a file is.
+    """
+    key = ["file", "block", "seq"]
+    words = chunks.select(*key, word_tokens("text").alias("t"))
+    ends = cut_lineage(words.select(*key, F.size("t").cast("bigint").alias("n"), F.slice("t", F.greatest(F.size("t") - n + 1, F.lit(1)), n).alias("end")).where("n > 0"))
+    before = Window.partitionBy("file").orderBy("block", "seq")
+    # every chunk here has a word, so that n chunks hold n words
+    last = F.flatten(F.collect_list("end").over(before.rowsBetween(-n, -1)))
+    halo = F.slice(last, F.greatest(F.size(last) - n + 1, F.lit(1)), n)
+    ends = ends.select(*key, halo.alias("halo"), F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("past"))
+    files = dense_index(chunks.select("file").distinct(), ["file"], "doc_id", start=0).select("file", "doc_id")
+    each = words.join(ends.join(files, "file"), key).select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
+    return each.select("doc_id", F.inline(_windows(n, F.col("shift"), "bigint")))
 
 
 def count_events(events: DataFrame, batch: int = 0) -> DataFrame:
@@ -165,6 +193,16 @@ def train_ngram(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
     return NgramModel(n, count_events(ngram_events(docs, n, id_col, text_col), batch), vocabulary(docs, id_col, text_col))
 
 
+def train_ngram_chunks(chunks: DataFrame, n: int, batch: int = 0) -> NgramModel:
+    """A7 over files cut into chunks; equal to :func:`train_ngram` over the same files whole."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    if not 0 <= batch <= MAX_BATCH:
+        raise ValueError(f"batch must be 0 to {MAX_BATCH}")
+    vocab = chunks.select(F.explode(word_tokens("text")).alias("word")).distinct()
+    return NgramModel(n, count_events(chunk_events(chunks, n), batch), vocab)
+
+
 def _scratch(spark, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{what}-{uuid.uuid4().hex}"
 
@@ -328,8 +366,10 @@ def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int
         "prompt_id", F.array_join("words", " ").alias("context"), F.lit(0).alias("step")
     )
     lookups = Lookups(model, mode)
-    pred = cut_lineage(_next_words(usable, lookups, seed).select("prompt_id", "next_word"))
-    lookups.drop()
+    try:
+        pred = cut_lineage(_next_words(usable, lookups, seed).select("prompt_id", "next_word"))
+    finally:
+        lookups.drop()
     out = checked.join(pred, "prompt_id", "left")
     status = F.coalesce(
         F.col("status"), F.when(F.col("next_word").isNull(), F.lit(STATUS_UNSEEN)).otherwise(F.lit(STATUS_OK))
@@ -367,45 +407,47 @@ def generate(
     checked = cut_lineage(_check_prompts(model, normalize_prompts(prompts)))
     lookups = Lookups(model, mode)
     table = _scratch(spark, "generate")
-    active = checked.where(F.col("status").isNull()).select("prompt_id", F.col("words").alias("ctx"))
-    for step in range(nwords):
-        queries = active.select("prompt_id", F.array_join("ctx", " ").alias("context"), F.lit(step).alias("step"), "ctx")
-        res = _next_words(queries, lookups, seed).select("prompt_id", "ctx", "next_word")
-        res.write.mode("overwrite").parquet(f"{table}/step={step}")
-        done = spark.read.parquet(f"{table}/step={step}")
-        tail = F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>")
-        active = done.where(F.col("next_word").isNotNull()).select(
-            "prompt_id", F.concat(tail, F.array("next_word")).alias("ctx")
+    try:
+        active = checked.where(F.col("status").isNull()).select("prompt_id", F.col("words").alias("ctx"))
+        for step in range(nwords):
+            queries = active.select("prompt_id", F.array_join("ctx", " ").alias("context"), F.lit(step).alias("step"), "ctx")
+            res = _next_words(queries, lookups, seed).select("prompt_id", "ctx", "next_word")
+            res.write.mode("overwrite").parquet(f"{table}/step={step}")
+            done = spark.read.parquet(f"{table}/step={step}")
+            tail = F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>")
+            active = done.where(F.col("next_word").isNotNull()).select(
+                "prompt_id", F.concat(tail, F.array("next_word")).alias("ctx")
+            )
+            if active.isEmpty():
+                break
+        if nwords > 0:
+            steps = spark.read.parquet(table).select("prompt_id", F.col("step").cast("int").alias("step"), "next_word")
+        else:
+            steps = spark.createDataFrame([], "prompt_id bigint, step int, next_word string")
+        # Per prompt at most nwords rows: bounded by the parameter, not the data.
+        gathered = steps.groupBy("prompt_id").agg(
+            F.transform(
+                F.array_sort(F.collect_list(F.when(F.col("next_word").isNotNull(), F.struct("step", "next_word")))),
+                lambda x: x["next_word"],
+            ).alias("generated"),
+            F.max(F.col("next_word").isNull().cast("int")).alias("halted"),
         )
-        if active.isEmpty():
-            break
-    if nwords > 0:
-        steps = spark.read.parquet(table).select("prompt_id", F.col("step").cast("int").alias("step"), "next_word")
-    else:
-        steps = spark.createDataFrame([], "prompt_id bigint, step int, next_word string")
-    # Per prompt at most nwords rows: bounded by the parameter, not the data.
-    gathered = steps.groupBy("prompt_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("next_word").isNotNull(), F.struct("step", "next_word")))),
-            lambda x: x["next_word"],
-        ).alias("generated"),
-        F.max(F.col("next_word").isNull().cast("int")).alias("halted"),
-    )
-    out = checked.join(gathered, "prompt_id", "left")
-    generated = F.coalesce(F.col("generated"), F.array().cast("array<string>"))
-    words = F.concat(F.col("words"), generated)
-    status = F.coalesce(
-        F.col("status"), F.when(F.col("halted") == 1, F.lit(STATUS_UNSEEN)), F.lit(STATUS_OK)
-    )
-    result = cut_lineage(out.select(
-        "prompt_id",
-        words.alias("words"),
-        F.size(generated).alias("n_generated"),
-        status.alias("status"),
-        "oov_word",
-        F.when(F.size(generated) > 0, F.array_join(words, " ")).alias("output"),
-    ))
-    lookups.drop()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return result
+        out = checked.join(gathered, "prompt_id", "left")
+        generated = F.coalesce(F.col("generated"), F.array().cast("array<string>"))
+        words = F.concat(F.col("words"), generated)
+        status = F.coalesce(
+            F.col("status"), F.when(F.col("halted") == 1, F.lit(STATUS_UNSEEN)), F.lit(STATUS_OK)
+        )
+        result = cut_lineage(out.select(
+            "prompt_id",
+            words.alias("words"),
+            F.size(generated).alias("n_generated"),
+            status.alias("status"),
+            "oov_word",
+            F.when(F.size(generated) > 0, F.array_join(words, " ")).alias("output"),
+        ))
+        return result
+    finally:
+        lookups.drop()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

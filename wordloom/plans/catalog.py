@@ -25,6 +25,7 @@ from . import inputs
 
 # Fixed parameters of the registered queries (also baked into the oracle SQL).
 N_COUNTS = 2  # context length for the count / totals queries
+VOLUME = 5000  # documents in a file of the large-file query
 N_PREDICT = 1  # context length for prediction / generation
 SAMPLE_SEED = 7
 GENERATE_WORDS = 5
@@ -520,6 +521,17 @@ def q_corpus_files(spark, sf_dir):
     return ng.train_ngram(corpus, N_COUNTS).counts.select("context", "word", "cnt")
 
 
+@register("corpus_large_files")
+def q_corpus_large_files(spark, sf_dir):
+    """Documents in id order as files of many documents each, read in chunks; contexts cross documents and chunks."""
+    path = scratch_path(spark, "volumes")
+    docs = inputs.documents(spark, sf_dir).select(F.expr(f"doc_id div {VOLUME}").alias("volume"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    dealt = docs.repartition("volume").sortWithinPartitions("volume", "doc_id").drop("doc_id")
+    dealt.write.partitionBy("volume").text(path)
+    chunks = fs.read_corpus_chunks(spark, path, chunk_chars=1 << 16)
+    return ng.train_ngram_chunks(chunks, N_COUNTS).counts.select("context", "word", "cnt")
+
+
 @register("ngram_stream_counts")
 def q_ngram_stream_counts(spark, sf_dir):
     """Streaming counterpart of ``ngram_counts``: documents read as a stream, counts kept as state."""

@@ -596,3 +596,9 @@ SELECT a, p, q, question, n_answers FROM questions"""
 
 SQL["corpus_files"] = f"""WITH {model_ctes(C.N_COUNTS)}
 SELECT context, word, cnt FROM cnts"""
+
+_LAGS = " || ' ' || ".join(f"lag(word, {k}) OVER o" for k in range(C.N_COUNTS, 0, -1))
+SQL["corpus_large_files"] = f"""WITH {cte_tokens()},
+w AS (SELECT doc_id // {C.VOLUME} AS volume, doc_id, unnest(t) AS word, unnest(range(len(t))) AS p FROM tok),
+ev AS (SELECT {_LAGS} AS context, word FROM w WINDOW o AS (PARTITION BY volume ORDER BY doc_id, p))
+SELECT context, word, count(*) AS cnt FROM ev WHERE context IS NOT NULL GROUP BY context, word"""
