@@ -73,3 +73,16 @@ def test_templates(spark, wrap):
     page = "<html><body><nav><ul><li><a href=x>Menu</a></ul></nav>" + wrap.format("<h1>Title here</h1>" + STORY * 2) + "<footer>Imprint</footer></body></html>"
     (got,) = texts(spark, [(1, page)]).values()
     assert got[0] == "Title here" and len(got) == 3
+
+
+def test_clashing_columns_are_set_aside(spark):
+    from wordloom.llm import decontamination, neardup
+
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, 5, "x", None, 1), (2, words, 6, "y", "z", 2), (3, "clean text of another kind " * 5, 7, None, "k", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __dc_words int, __DC_hits string, __nd_d string, __nd_n int")
+    bench = spark.createDataFrame([(9, words)], "item_id bigint, text string")
+    clean = decontamination.clean_rows(docs, bench)
+    assert clean.columns == docs.columns and [tuple(r) for r in clean.collect()] == [rows[2]]
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]

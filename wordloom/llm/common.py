@@ -57,6 +57,20 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+def set_aside(df: DataFrame, taken: set[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns that have a name of ``taken`` (in any case) renamed, and the columns that give all of its
+    old names back. A table without such a column is returned as it is."""
+    names, own = [], {c.lower() for c in df.columns} | taken
+    for c in df.columns:
+        name = c
+        while name.lower() in taken or (name != c and name.lower() in own):
+            name += "_"
+        own.add(name.lower())
+        names.append(name)
+    back = [F.col(f"`{n}`").alias(c) for n, c in zip(names, df.columns)]
+    return (df if names == df.columns else df.toDF(*names)), back
+
+
 def mounted(uri: str) -> str:
     """The file-system path of a shared folder that every executor mounts."""
     u = urlparse(uri)

@@ -190,9 +190,13 @@ def decontaminate(
 
 
 def clean_rows(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns; no row is shuffled or joined."""
+    """The rows of ``docs`` that are not contaminated, with all their columns; no row is shuffled or joined.
+
+    A column may have any name but that of the text column; one that clashes with a helper column is set aside meanwhile.
+    """
+    docs, back = C.set_aside(docs, {_WORDS, _FOUND})
     hit = _hits(docs, text_col, bench, item_col, window, block)
-    return hit.where(~_contaminated(_n_hit())).select(*docs.columns)
+    return hit.where(~_contaminated(_n_hit())).select(*back)
 
 
 _WORDS, _FOUND = "__dc_words", "__dc_hits"

@@ -22,7 +22,7 @@ multisets' Jaccard similarity (sum of minima over sum of maxima) is 0.8 or more.
   both sides and an estimate from four bits per register; a pair comes out in
   the first band that it shares only. What comes out is verified. No partner is
   capped, and no bucket's pairs are emitted as such.
-* A pair at the threshold fails the estimate, four standard deviations below
+* A pair at the threshold fails the estimate, five standard deviations below
   it, with a probability of 1.2e-6.
 """
 
@@ -349,7 +349,9 @@ def _feasible(rows: DataFrame, threshold: float) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class one row with the smallest id (nulls last; of
-    equal ids the one whose text has the smallest digest; of repeated rows one)."""
+    equal ids the one whose text has the smallest digest; of repeated rows one). A null text counts as empty, an empty
+    table gives none, and a column that clashes with a helper column is set aside meanwhile."""
+    docs, back = C.set_aside(docs, {f"__nd_{x}" for x in "dijkln"})
     found = classes(docs, id_col, text_col, **options).select(F.col(id_col).alias("__nd_i"), F.col("text_key").alias("__nd_k"), "class_key")
     first = F.min(F.struct(F.col("__nd_i").isNull().alias("null"), "__nd_i", "__nd_k")).alias("x")
     keep = found.groupBy("class_key").agg(first).select(F.col("x.__nd_i").alias("__nd_i"), F.col("x.__nd_k").alias("__nd_k"))
@@ -357,7 +359,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     once = keep.join(n, F.expr("__nd_i <=> __nd_j and __nd_k = __nd_l")).select("__nd_i", "__nd_k", "__nd_n")
     rows = docs.withColumn("__nd_d", F.md5(F.coalesce(text_col, F.lit(""))))
     rows = rows.join(once, (F.col("__nd_d") == F.col("__nd_k")) & F.col(id_col).eqNullSafe(F.col("__nd_i")))
-    names = [*docs.columns]
+    names = [f"`{c}`" for c in docs.columns]
     one = rows.where("__nd_n = 1").select(*names)
     many = rows.where("__nd_n > 1").groupBy("__nd_i", "__nd_k").agg(F.first(F.struct(*names)).alias("r")).select("r.*")
-    return one.unionByName(many)
+    return one.unionByName(many).select(*back)
