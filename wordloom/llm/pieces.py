@@ -482,8 +482,10 @@ def segment(docs: DataFrame, model_path: str, k: int = 2, seed: int = 0, alpha:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(vocabulary.value, k, seed)
+        if hasattr(finish, "vocabulary"):
+            finish.vocabulary(vocabulary.value)  # the one copy of this worker
         for batch in batches:
-            for large in C.slices(batch, "text", 4 << 20):  # whose distinct words are built once
+            for large in C.slices(batch, "text", 3 << 20):  # whose distinct words are built once
                 sampler.load(large.column("text"))
                 lo = 0
                 for part in C.slices(large, "text", 1 << 20):
@@ -527,7 +529,7 @@ def _samples(texts: pa.Array, got: list, drawn: list[Drawn], threshold: np.ndarr
 
 def checked(voc_path: str):
     """A ``finish`` that gives the samples, and their counts, checksums and scores, after decoding each sample and
-    comparing it with the text."""
+    comparing it with the text. ``segment`` hands it the vocabulary that it has; else it is read from ``voc_path``."""
     import zlib
 
     state: dict = {}
@@ -545,4 +547,5 @@ def checked(voc_path: str):
         digest = [_lists(off, x) for x in (pc.list_value_length(ids), crc, pa.array(scores[0]), pa.array(scores[2]))]
         return [_structs(off, ids, scores), pa.array(np.diff(off), pa.int32()), *digest, pa.array(ok)]
 
+    finish.vocabulary = lambda voc: state.setdefault("d", Decoder(voc))  # type: ignore[attr-defined]
     return finish
