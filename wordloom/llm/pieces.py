@@ -4,6 +4,8 @@ A text's segmentations are the paths of a lattice whose edges are vocabulary
 pieces. Pieces never go past the start of a word (a space that follows another
 character), so the lattice is a chain of words; each distinct word of a batch
 is built and summed once, which gives every edge its probability given its node.
+A task keeps the words it has built, up to a number of bytes; beyond that it
+keeps those that more than one batch used, and none if these are too many.
 
 Sampling searches the tree of paths best first, with perturbed bounds: the root
 has a Gumbel; a child's bound is its share of the parent's mass, perturbed and
@@ -116,16 +118,26 @@ class _Pieces:
 
 
 _NARROW = {
-    "first": np.int32, "last": np.int32, "from_": np.int32, "to": np.int32, "begin": np.int32, "piece": np.int32, "byte_at": np.int32,
-    "byte_n": np.int32, "cond": np.float64, "cum": np.float32, "rest": np.float32,
+    "first": np.int32, "last": np.int32, "to": np.int32, "begin": np.int32, "piece": np.int32, "cond": np.float64, "cum": np.float32, "rest": np.float32,
 }
 
 
+def _spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of many spans, one after another."""
+    to = np.cumsum(n)
+    return np.arange(to[-1] if len(to) else 0) + np.repeat(start - to + n, n)
+
+
+def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return data[_spans(start, end - start)]
+
+
 class _Lattice:
     """Edges of distinct words in CSR form by their first node, with conditional probabilities.
 
     Nodes are character boundaries; a word's first node is ``first[word]`` and its last ``last[word]``, which has no
-    edges. A character without a piece of its own has one edge of its byte pieces (or of the unknown piece).
+    edges. A character without a piece of its own has one edge of its byte pieces (or of the unknown piece), whose
+    ``piece`` is -1 less its code point.
     """
 
     def __init__(self, data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces") -> None:
@@ -174,13 +186,16 @@ class _Lattice:
         piece = np.concatenate([*found[::-1], np.full(len(raw), -1)])
         o = np.argsort(start, kind="stable")  # a few ascending runs
         start, length, piece = start[o], length[o], piece[o]
-        self.piece = np.where(piece >= 0, voc.ids[np.maximum(piece, 0)], -1)
-        size = byte_end[start + length] - at[start]
-        logp = np.where(piece >= 0, voc.logp[np.maximum(piece, 0)], voc.byte_logp * size)
-        self.byte_at, self.byte_n = at[start], size
-        self.from_, self.to = node[start], node[start] + length
+        self.piece, logp = voc.ids[piece], voc.logp[piece]
+        raw = np.flatnonzero(piece < 0)
+        if len(raw):
+            a, z = at[start[raw]], byte_end[start[raw] + 1]
+            spelled = np.frombuffer(_cut(data, a, z).tobytes().decode().encode("utf-32-le"), "<u4")
+            self.piece[raw], logp[raw] = -1 - spelled.astype(np.int64), voc.byte_logp * (z - a)
+        from_ = node[start]
+        self.to = from_ + length
         nodes = len(at) + n_words
-        self.begin = np.concatenate(([0], np.cumsum(np.bincount(self.from_, minlength=nodes))))
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(from_, minlength=nodes))))
         # mass from each node to its word's end, by characters left: every edge leads to fewer. Short words cannot
         # underflow, so their sums need no logarithms
         short = n_words and int(np.diff(off).max()) <= voc.short
@@ -192,14 +207,14 @@ class _Lattice:
         for a, z in zip(cut[:-1], cut[1:]):
             e = o[a:z]
             if len(e):
-                at_ = self.from_[e]
+                at_ = from_[e]
                 r = C.runs(at_)
                 beta[at_[r]] = np.add.reduceat(mass[e] * beta[self.to[e]], r) if short else np.logaddexp.reduceat(mass[e] + beta[self.to[e]], r)
         if short:
-            prob = mass * beta[self.to] / beta[self.from_]
+            prob = mass * beta[self.to] / beta[from_]
             self.cond = np.log(prob)  # log-probability of each edge given its node
         else:
-            self.cond = mass + beta[self.to] - beta[self.from_]
+            self.cond = mass + beta[self.to] - beta[from_]
             prob = np.exp(self.cond)
         # whole numbers of 2**-40: a sum over a node is the same wherever the node is in the batch
         total = np.concatenate(([0], np.cumsum(np.rint(prob * 2.0**40).astype(np.int64))))
@@ -209,29 +224,50 @@ class _Lattice:
             self.rest = np.log(np.where(np.repeat(deg == 1, deg), 0.0, np.maximum(1 - prob, 0)))
 
     @staticmethod
-    def build(data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces", limit: int = 1 << 18) -> "_Lattice":
-        """The lattice of many words, made of blocks of about ``limit`` bytes and kept in narrow types."""
-        blocks, word = [], 0
-        change = int(np.searchsorted(np.diff(off), voc.short, "right"))  # words are ordered by length; none is summed in two ways
-        while word < len(off) - 1 or not blocks:
-            end = max(word + 1, int(np.searchsorted(off, off[word] + limit, "right")) - 1) if len(off) > 1 else 0
+    def blocks(data: np.ndarray, off: np.ndarray, voc: Vocabulary, index: "_Pieces", limit: int = 1 << 18) -> Iterator["_Lattice"]:
+        """Lattices of words that are ordered by length, each of about ``limit`` bytes and kept in narrow types."""
+        word = 0
+        change = int(np.searchsorted(np.diff(off), voc.short, "right"))  # no word is summed in two ways
+        while word < len(off) - 1:
+            end = max(word + 1, int(np.searchsorted(off, off[word] + limit, "right")) - 1)
             end = min(end, change) if word < change else end
             b = _Lattice(data[off[word] : off[end]], off[word : end + 1] - off[word], voc, index)
-            blocks.append((b, off[word]))
             for name, kind in _NARROW.items():
                 setattr(b, name, getattr(b, name).astype(kind))
+            yield b
             word = end
-        out = blocks[0][0]
-        if len(blocks) > 1:
-            out = _Lattice.__new__(_Lattice)
-            nodes = np.cumsum([0] + [len(b.begin) - 1 for b, _ in blocks])
-            edges = np.cumsum([0] + [len(b.piece) for b, _ in blocks])
-            add = {"first": nodes, "last": nodes, "from_": nodes, "to": nodes, "begin": edges, "byte_at": [o for _, o in blocks]}
-            for name, kind in _NARROW.items():
-                parts = [b.__dict__.pop(name)[: -1 if name == "begin" and i + 1 < len(blocks) else None] for i, (b, _) in enumerate(blocks)]
-                setattr(out, name, np.concatenate([p + kind(add[name][i]) if name in add else p for i, p in enumerate(parts)]))
+
+    @staticmethod
+    def join(blocks: list["_Lattice"]) -> "_Lattice":
+        """One lattice of all words of some, in order; empties these."""
+        out = _Lattice.__new__(_Lattice)
+        nodes = np.cumsum([0] + [len(b.begin) - 1 for b in blocks])
+        edges = np.cumsum([0] + [len(b.piece) for b in blocks])
+        add = {"first": nodes, "last": nodes, "to": nodes, "begin": edges}
+        for name, kind in _NARROW.items():
+            parts = [b.__dict__.pop(name)[: -1 if name == "begin" and i + 1 < len(blocks) else None] for i, b in enumerate(blocks)]
+            setattr(out, name, np.concatenate([p + kind(add[name][i]) if name in add else p for i, p in enumerate(parts)]))
+        return out
+
+    def take(self, words: np.ndarray) -> "_Lattice":
+        """The lattice of some of the words."""
+        out = _Lattice.__new__(_Lattice)
+        first, n = self.first[words].astype(np.int64), (self.last[words] - self.first[words] + 1).astype(np.int64)
+        edge, m = self.begin[first].astype(np.int64), (self.begin[first + n - 1] - self.begin[first]).astype(np.int64)
+        nodes, edges = _spans(first, n), _spans(edge, m)
+        to = np.cumsum(n) - n
+        out.first = to.astype(np.int32)
+        out.last = (to + n - 1).astype(np.int32)
+        out.to = (self.to[edges] + np.repeat(to - first, m)).astype(np.int32)
+        out.begin = np.append(self.begin[nodes] + np.repeat(np.cumsum(m) - m - edge, n), m.sum()).astype(np.int32)
+        for name in ("piece", "cond", "cum", "rest"):
+            setattr(out, name, getattr(self, name)[edges])
         return out
 
+    def node(self, edge: np.ndarray) -> np.ndarray:
+        """The node that each edge leaves."""
+        return np.searchsorted(self.begin, edge, "right") - 1
+
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its probabilities."""
         e, stop = self.begin[node].copy(), self.begin[node + 1] - 1
@@ -242,6 +278,11 @@ class _Lattice:
         return e
 
 
+def _sorted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    o = np.argsort(h, kind="stable")  # two ascending runs
+    return h[o], o
+
+
 def _u(h: np.ndarray) -> np.ndarray:
     return ((C.mix(h) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -249,9 +290,13 @@ def _u(h: np.ndarray) -> np.ndarray:
 class Sampler:
     """Draws k segmentations of each text of a batch."""
 
-    def __init__(self, voc: Vocabulary, k: int, seed: int) -> None:
+    def __init__(self, voc: Vocabulary, k: int, seed: int, keep: int = 3 << 20) -> None:
         self.voc, self.k, self.seed = voc, k, seed
         self.index = _Pieces(voc.hashes)
+        self.keep = keep  # bytes of words whose lattice may be kept
+        self.lat: _Lattice | None = None
+        self.known = np.zeros(0, np.uint64)  # hashes of the lattice's words, in order
+        self.place, self.size, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def load(self, col: pa.Array) -> None:
         """Cut the texts into words; build the lattice of the distinct ones."""
@@ -269,16 +314,37 @@ class Sampler:
         end = np.append(start[1:], len(data)) if len(start) else start
         self.all_off = np.searchsorted(start, off)  # words of each text
         h = C.span_hashes(data, start, end)
-        _, first, back = np.unique(h, return_index=True, return_inverse=True)
+        u, first, back = np.unique(h, return_index=True, return_inverse=True)
+        new = np.flatnonzero(C.find(self.known, u) < 0)
         n = (end - start)[first]
-        o = np.argsort(n, kind="stable")  # words of like length together
-        place = np.empty(len(o), np.int32)
-        place[o] = np.arange(len(o))
-        s, n = start[first[o]], n[o]
-        self.all_words = place[back]
-        woff = np.concatenate(([0], np.cumsum(n)))
-        self.data = data[np.arange(woff[-1]) + np.repeat(s - woff[:-1], n)]
-        self.lat = _Lattice.build(self.data, woff, self.voc, self.index)
+        if self.size.sum() + n[new].sum() > self.keep:
+            self._forget(int(self.keep - n.sum()))
+            new = np.flatnonzero(C.find(self.known, u) < 0)
+        new = new[np.argsort(n[new], kind="stable")]  # words of like length together
+        s, size = start[first[new]], n[new]
+        blocks = _Lattice.blocks(_cut(data, s, s + size), np.concatenate(([0], np.cumsum(size))), self.voc, self.index)
+        old = len(self.known)
+        parts = [*([self.lat] if old else []), *blocks]
+        if len(parts) > 1 or not old:
+            self.lat = _Lattice.join(parts) if parts else _Lattice(data[:0], np.zeros(1, np.int64), self.voc, self.index)
+        self.known, o = _sorted(np.concatenate((self.known, u[new])))
+        self.place = np.concatenate((self.place, np.arange(old, old + len(new), dtype=np.int32)))[o]
+        self.size, self.used = np.concatenate((self.size, size))[o], np.concatenate((self.used, np.zeros(len(new), np.int32)))[o]
+        at = np.searchsorted(self.known, u)
+        self.used[at] += 1
+        self.all_words = self.place[at][back]
+
+    def _forget(self, room: int) -> None:
+        """Keep the words that more than one batch used, if they fit."""
+        keep = self.used > 1
+        if self.size[keep].sum() > room:
+            keep[:] = False
+        o = np.argsort(self.place[keep])
+        words = self.place[keep][o]
+        self.lat = self.lat.take(words) if len(words) else None
+        self.known, self.size, self.used = self.known[keep], self.size[keep], np.minimum(self.used[keep], 1)
+        self.place = np.empty(len(words), np.int32)
+        self.place[o] = np.arange(len(words))
 
     def descend(self, occ: np.ndarray, node: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Follow drawn edges from each node to its word's end: (index into occ, step, edge) of every piece."""
@@ -355,9 +421,9 @@ class Sampler:
         return out, bound
 
     def _push(self, heaps: list[list], g: np.ndarray, text: np.ndarray, edge: np.ndarray, off: np.ndarray, r: int) -> None:
-        """Open the k nodes with the highest bounds of each text; no more than k are ever taken."""
+        """Open the nodes with the highest bounds of each text, as many as can still be taken and one for the threshold."""
         some = np.flatnonzero(np.diff(off))
-        for _ in range(self.k):
+        for _ in range(self.k - r):
             best = np.full(len(off) - 1, np.inf)
             if len(some):
                 best[some] = np.maximum.reduceat(g, off[some])
@@ -369,45 +435,64 @@ class Sampler:
 
     def _next(self, heaps: list[list], out: list["Drawn"], row: np.ndarray, r: int):
         """Take each text's highest bound: the pieces before that node, another edge there, and the words that follow."""
-        lat, shared, occs, nodes = self.lat, [], [], []
-        for t, heap in enumerate(heaps):
-            if not heap:
-                continue
-            bound, src, at, taken = heap.pop(0)
-            s = out[src]
-            a = int(s.off[t])
-            before = s.edge[a : a + at]
-            start = lat.from_[s.edge[a + at]]
-            others = np.array([x for x in range(lat.begin[start], lat.begin[start + 1]) if x not in taken])
-            p = np.exp(lat.cond[others])
-            u = _u(row[t] + np.arange(1, 3, dtype=np.uint64) * np.uint64(1_000_003 * (r + 1)))
-            i = min(int(np.searchsorted(np.cumsum(p) / p.sum(), u[0])), len(others) - 1)
-            e = int(others[i])
-            if len(others) > 1:  # what is left at the node
-                mass = np.log(np.delete(p, i).sum()) + lat.cond[before].sum()
-                if np.isfinite(mass):
-                    heap.append((float(_truncated(mass, bound, u[1])), src, at, (*taken, e)))
-            word, last = int(s.word[a + at]), int(self.text_off[t + 1])
-            shared.append((np.full(at + 1, t), np.append(before, e), np.append(s.word[a : a + at], word)))
-            occs.append(np.arange(word, last))
-            nodes.append(np.append(lat.to[e], lat.first[self.words[word + 1 : last]]))
-        flat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-        return tuple(flat(x) for x in zip(*shared)) if shared else (flat([]),) * 3, flat(occs), flat(nodes)
+        lat = self.lat
+        text = np.array([t for t, heap in enumerate(heaps) if heap], np.int64)
+        if not len(text):
+            none = np.zeros(0, np.int64)
+            return (none, none, none), none, none
+        top = [heaps[t].pop(0) for t in text.tolist()]
+        bound, src, at = (np.array([h[i] for h in top]) for i in range(3))
+        # what the new sample shares with the one it leaves, and room for the new edge
+        to = np.cumsum(at + 1) - at - 1
+        edge, word = np.empty((2, int((at + 1).sum())), np.int64)
+        for i, s in enumerate(out):
+            of = np.flatnonzero(src == i)
+            mine, theirs = _spans(to[of], at[of] + 1), _spans(s.off[text[of]], at[of] + 1)
+            edge[mine], word[mine] = s.edge[theirs], s.word[theirs]
+        new = to + at
+        start = lat.node(edge[new])
+        # one of the edges of that node that are not taken; whole numbers, so that a row's draw is the same in any batch
+        degree = (lat.begin[start + 1] - lat.begin[start]).astype(np.int64)
+        others, head = _spans(lat.begin[start].astype(np.int64), degree), np.cumsum(degree) - degree
+        gone = np.array([len(h[3]) for h in top])
+        free = np.ones(len(others), bool)
+        free[np.array([e for h in top for e in h[3]]) + np.repeat(head - lat.begin[start], gone)] = False
+        cond = np.where(free, lat.cond[others], -np.inf)
+        most = np.maximum.reduceat(cond, head)
+        share = np.maximum(np.rint(np.exp(cond - np.repeat(most, degree)) * 2.0**40).astype(np.int64), free)
+        run = np.cumsum(share)
+        before = run[head] - share[head]
+        total = run[head + degree - 1] - before
+        u, v = (_u(row[text] + np.uint64(i * 1_000_003 * (r + 1))) for i in (1, 2))
+        pick = np.searchsorted(run, before + (u * total).astype(np.int64), "right")
+        edge[new] = others[pick]
+        # what is left at the node
+        steps = np.rint(lat.cond[edge] * 2.0**36).astype(np.int64)
+        steps[new] = 0
+        path = np.add.reduceat(steps, to) * 2.0**-36
+        rest = np.flatnonzero((degree - gone > 1) & np.isfinite(most))
+        mass = np.log((total - share[pick])[rest] * 2.0**-40) + most[rest] + path[rest]
+        for i, g in zip(rest.tolist(), _truncated(mass, bound[rest], v[rest]).tolist()):
+            heaps[text[i]].append((g, top[i][1], top[i][2], (*top[i][3], int(edge[new[i]]))))
+        n = self.text_off[text + 1] - word[new]
+        occ = _spans(word[new], n)
+        node = lat.first[self.words[occ]].astype(np.int64)
+        node[np.cumsum(n) - n] = lat.to[edge[new]]
+        return (np.repeat(text, at + 1), edge, word), occ, node
 
     def ids(self, d: "Drawn") -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts and their offsets; a character without a piece gives one id per byte."""
-        lat, voc = self.lat, self.voc
-        piece = lat.piece[d.edge]
-        n = np.where(piece >= 0, 1, lat.byte_n[d.edge])
-        out = np.repeat(piece, n)
-        raw = np.flatnonzero(out < 0)
-        if len(raw):
-            to = np.cumsum(n)
-            e = d.edge[np.searchsorted(to, raw, "right")]
-            nth = raw - (to - n)[np.searchsorted(to, raw, "right")]
-            ids = voc.byte_ids[self.data[lat.byte_at[e] + nth]]
-            out[raw] = np.where(ids >= 0, ids, voc.unknown)
-        return out.astype(np.int32), np.concatenate(([0], np.cumsum(n)))[d.off]
+        ids, voc = self.lat.piece[d.edge], self.voc
+        raw = np.flatnonzero(ids < 0)
+        if not len(raw):
+            return ids, d.off
+        chars = (-1 - ids[raw]).astype("<u4")
+        n = np.ones(len(ids), np.int64)
+        n[raw] += (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF)
+        ids = np.repeat(ids, n)
+        spelled = voc.byte_ids[np.frombuffer(chars.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        ids[ids < 0] = np.where(spelled >= 0, spelled, voc.unknown)
+        return ids, np.concatenate(([0], np.cumsum(n)))[d.off]
 
 
 @dataclass
