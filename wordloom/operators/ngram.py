@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_whitespace, word_tokens
 from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources.parts import Keyed, PartStore, Version
 from .ordering import MAX_BATCH, dense_index, first_key, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
 # Statuses of a prediction / generation row.
@@ -184,6 +185,26 @@ class NgramModel:
         return NgramModel(n, spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/vocab"))
 
 
+class NgramStore:
+    """A saved model that further training adds to, without reading or rewriting what is there.
+
+    Every training batch is a part of the store (counts and vocabulary); counts add up and the earliest place stays.
+    """
+
+    def __init__(self, spark, path: str, n: int, buckets: int = 64) -> None:
+        self.n = n
+        counts = Keyed("context string, word string, cnt bigint, first decimal(38,0)", ("context", "word"), (("cnt", "sum"), ("first", "min")))
+        self.parts = PartStore(spark, path, {"counts": counts, "vocab": Keyed("word string", ("word",))}, buckets)
+
+    def train(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> Version:
+        """Add a training batch; a batch whose number is not above the last one's is there already, and nothing is done."""
+        delta = train_ngram(docs, self.n, id_col, text_col, batch)
+        return self.parts.append({"counts": delta.counts, "vocab": delta.vocab}, tag=batch)
+
+    def model(self, version: int | None = None) -> NgramModel:
+        return NgramModel(self.n, self.parts.read("counts", version), self.parts.read("vocab", version))
+
+
 def train_ngram(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", batch: int = 0) -> NgramModel:
     """Train on a table of documents; each document is one sequence. Nothing runs until a table is used."""
     if n < 1:

@@ -26,6 +26,7 @@ from . import inputs
 # Fixed parameters of the registered queries (also baked into the oracle SQL).
 N_COUNTS = 2  # context length for the count / totals queries
 VOLUME = 5000  # documents in a file of the large-file query
+BUCKETS = 16  # of the stored models
 N_PREDICT = 1  # context length for prediction / generation
 SAMPLE_SEED = 7
 GENERATE_WORDS = 5
@@ -154,13 +155,27 @@ def q_ngram_incremental(spark, sf_dir):
     model = ng.train_ngram(inputs.documents(spark, sf_dir), N_PREDICT)
     bench = inputs.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     model = model.update(bench, batch=1)
-    return model.counts.select(
+    return _flat_batch_first(model.counts)
+
+
+def _flat_batch_first(counts):
+    return counts.select(
         "context", "word", "cnt",
         ng.key_batch(F.col("first")).alias("first_batch"), ng.key_doc(F.col("first")).alias("first_doc"),
         ng.key_pos(F.col("first")).alias("first_pos"),
     )
 
 
+@register("ngram_store")
+def q_ngram_store(spark, sf_dir):
+    """Two training batches added to a stored model, read as one."""
+    store = ng.NgramStore(spark, scratch_path(spark, "ngram-store"), N_PREDICT, buckets=BUCKETS)
+    store.train(inputs.documents(spark, sf_dir), batch=0)
+    bench = inputs.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    store.train(bench, batch=1)
+    return _flat_batch_first(store.model().counts)
+
+
 @register("ngram_roundtrip")
 def q_ngram_roundtrip(spark, sf_dir):
     model = ng.train_ngram(inputs.documents(spark, sf_dir), N_PREDICT)
@@ -541,3 +556,13 @@ def q_ngram_stream_counts(spark, sf_dir):
     q = stream.start_ngram_counts(docs, N_COUNTS, f"{base}/table", f"{base}/checkpoint")
     q.awaitTermination()
     return _flat_first(stream.current_counts(spark, f"{base}/table"))
+
+
+@register("ngram_stream_store")
+def q_ngram_stream_store(spark, sf_dir):
+    """The same stream with a store of committed parts as its sink."""
+    base = scratch_path(spark, "ngram-stream")
+    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir)
+    store = stream.counts_store(spark, f"{base}/store", BUCKETS)
+    stream.start_ngram_parts(docs, N_COUNTS, store, f"{base}/checkpoint").awaitTermination()
+    return _flat_first(store.read("counts"))

@@ -589,6 +589,10 @@ SQL["response_rows_roundtrip"] = SQL["qa_align_pos"]
 
 SQL["ngram_stream_counts"] = SQL["ngram_counts"]
 
+SQL["ngram_stream_store"] = SQL["ngram_counts"]
+
+SQL["ngram_store"] = SQL["ngram_incremental"]
+
 SQL["response_array_rows"] = f"""SELECT question, response, input_tokens, output_tokens FROM ({SQL['response_usage']})"""
 
 SQL["qa_multiline_files"] = f"""{_Q}

@@ -4,7 +4,9 @@ Training is additive (a further ``train`` call adds counts without bridging
 sequences), so the counts are a plain streaming aggregation. There is no event
 time, hence no watermark: state grows with the number of distinct
 (context, word) pairs, like the model itself. Each micro-batch's updated rows
-are appended to a table; the current model is the latest row per key.
+are appended to a table; the current model is the latest row per key. With
+:func:`start_ngram_parts` the rows go to a store of committed parts instead,
+where superseded rows are merged every few batches.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ngram import count_events, ngram_events
+from ..sources.parts import Keyed, PartStore
 
 DOC_SCHEMA = "doc_id bigint, text string"
 
@@ -50,3 +53,29 @@ def current_counts(spark: SparkSession, table_path: str) -> DataFrame:
     return rows.groupBy("context", "word").agg(
         F.max_by("cnt", "batch_id").alias("cnt"), F.min("first").alias("first")
     )
+
+
+def counts_store(spark: SparkSession, path: str, buckets: int = 64) -> PartStore:
+    """Counts of a stream: a later part has the whole count of each of its keys, which only grows."""
+    spec = Keyed("context string, word string, cnt bigint, first decimal(38,0)", ("context", "word"), (("cnt", "max"), ("first", "min")))
+    return PartStore(spark, path, {"counts": spec}, buckets)
+
+
+def start_ngram_parts(
+    docs: DataFrame, n: int, store: PartStore, checkpoint_path: str, compact_every: int = 8, available_now: bool = True
+) -> StreamingQuery:
+    """Start the counting query with a store as its sink. A batch is one part, tagged with its number, so a replayed one
+    changes nothing; ``compact_every`` parts become one and the old ones are deleted."""
+    counts = count_events(ngram_events(docs.select("doc_id", "text"), n))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= store.version().tag:
+            batch.write.format("noop").mode("append").save()  # its state must still be made
+            return
+        if len(store.append({"counts": batch}, tag=batch_id).parts) >= compact_every:
+            store.compact()
+            store.vacuum()
+
+    writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint_path).foreachBatch(sink)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
