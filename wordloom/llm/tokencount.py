@@ -1,7 +1,8 @@
 """Token counts with a whole-token shortcut.
 
-Offline, once per vocabulary, every vocabulary string is encoded alone by the
-library; those that come out as one token are *proven*. A text is then split
+Offline, once per vocabulary, the driver lets the library encode every vocabulary
+string alone; those that come out as one token are *proven*, and that set, as
+large as the vocabulary at most, goes to the workers. A text is then split
 into pre-tokens, proven ones count as one token each, and only the distinct rest
 of a batch is merged by the library. A pre-token's merges do not look beyond it,
 and a pre-token encoded alone is one pre-token again, so the counts are the
@@ -36,25 +37,32 @@ def proven_tokens(tokenizer) -> frozenset[str]:
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """``id_col``, n_bytes, n_tokens, n_shortcut (tokens counted without merging), over_limit of every row.
 
-    The vocabulary must be byte-level without a prefix space. Null and empty texts have no tokens. Strings of special
+    The vocabulary must be byte-level without a prefix space, and its added tokens must stand for their own strings alone
+    (none that takes white space beside it, or matches whole words only); others are refused. Null and empty texts have no tokens. Strings of special
     tokens inside a text are special tokens, the library's default. Whole texts are counted; one without spaces is a
     single pre-token and is merged as such. Repeated or null ids keep a row each.
     """
+    from tokenizers import Tokenizer
+
     C.ship(docs.sparkSession)
     with open(model_path) as f:
-        spec = json.load(f)
+        model = f.read()
+    spec = json.loads(model)
     pre = spec.get("pre_tokenizer") or {}
     if (pre.get("type"), pre.get("add_prefix_space"), spec.get("normalizer")) != ("ByteLevel", False, None):
         raise ValueError(f"{model_path}: not a plain byte-level vocabulary")
-    specials = [t["content"] for t in spec.get("added_tokens", [])]
-    vocabulary = docs.sparkSession.sparkContext.broadcast(json.dumps(spec))  # the file, of fixed size
+    added = spec.get("added_tokens", [])
+    if any(t.get(flag) for t in added for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"{model_path}: an added token matches more or less than its own string")
+    specials = [t["content"] for t in added]
+    proven = proven_tokens(Tokenizer.from_str(model))
+    vocabulary = docs.sparkSession.sparkContext.broadcast((model, proven))  # the file and its strings, of fixed size
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_str(vocabulary.value)
-        proven = proven_tokens(tok)
+        model, proven = vocabulary.value
+        tok = Tokenizer.from_str(model)
         split = regex.compile(PRETOKEN).findall
         marks = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         known: dict[str, int] = {}
