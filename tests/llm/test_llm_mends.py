@@ -86,3 +86,25 @@ def test_clashing_columns_are_set_aside(spark):
     assert clean.columns == docs.columns and [tuple(r) for r in clean.collect()] == [rows[2]]
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
+def test_windows_that_many_items_share_are_one_entry(spark, monkeypatch):
+    from wordloom.llm import decontamination
+
+    def one(k):
+        return " ".join(f"w{k}x{i}" for i in range(13))
+
+    shared = " ".join(f"common{i}" for i in range(13))
+    items = [(i, f"{shared} {one(i)}" if i % 3 == 0 else one(i)) for i in range(90)] + [(None, shared), (5, "short"), (7, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").repartition(7)
+    texts = [f"lead {shared} tail", f"{one(4)} and {one(5)}", "short", f"lead {shared} tail", "nothing here", None, one(60)[4:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    windows = decontamination._Windows(C.Scratch(spark, "t"), bench, "item_id", 13)
+    assert windows.distinct.count() == 1 + 30 * 13 + 60 + 1 and windows.per_item.count() > windows.distinct.count() + 29
+    monkeypatch.setattr(decontamination, "LIVE", 3)
+    for block in (50, 1000):  # ten blocks in four passes; one block
+        got = {r["doc_id"]: r for r in decontamination.decontaminate(docs, bench, block=block).collect()}
+        thirds = sorted(str(i) for i in range(0, 90, 3))
+        assert [got[d]["items"] for d in range(7)] == [thirds, ["4", "5"], ["5"], thirds, [], [], []]
+        assert [got[d]["n_hit"] for d in range(7)] == [13, 26, 1, 13, 0, 0, 0]
+        assert [r["doc_id"] for r in decontamination.clean_rows(docs, bench, block=block).orderBy("doc_id").collect()] == [4, 5, 6]

@@ -5,16 +5,21 @@ or the whole item where it has fewer. A window counts as contained only if all
 its shingles are, so its *necessary prefix* under any global order of shingles
 is one shingle; ordering by rarity in the corpus makes that the rarest one.
 
-1. Every word shingle of the benchmark is counted in the documents (one scan per block).
-2. Each window is indexed under its rarest shingle and that shingle's position.
-3. Document shingles that meet the index give candidate windows; the position
+1. Windows are made distinct and numbered in Spark; which items hold a window is a table of its own.
+2. Every word shingle of the benchmark is counted in the documents (one scan per block).
+3. Each window is indexed under its rarest shingle and that shingle's position.
+4. Document shingles that meet the index give candidate windows; the position
    bound fixes where the window would start, the length bound drops those that
    leave the text, and the rest are verified word by word.
-
-The benchmark is processed in blocks of at most ``BLOCK`` windows. A block's
-index is the only thing broadcast, so its size is bounded whatever the
-benchmark's; blocks are chained in one stage over the same rows, no row is
-shuffled, and nothing depends on how often a passage or a source occurs.
+5. Where items are asked for, the distinct sets of windows found meet the table of items by a salted join.
+
+The benchmark is processed in blocks of at most about ``BLOCK`` distinct windows,
+whose index is broadcast. ``LIVE`` blocks are chained in one stage over the same
+rows; then the rows are written, the indexes given back, and the next blocks
+follow, so that driver and workers hold at most ``LIVE * BLOCK`` windows whatever
+the benchmark's size. A window that many items share is one entry. Rows of the
+documents are not shuffled, and nothing depends on how often a passage or a source
+occurs; only distinct sets of window numbers are.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from wordloom.llm import common as C
 WINDOW = 13
 SHINGLE = 3
 BLOCK = 100_000  # windows: about 15 MB in a worker
+LIVE = 10  # blocks whose indexes are held at once: about 150 MB
+SALTS = 8  # parts of the items of a window
 _BITS = 20
 
 
@@ -72,12 +79,9 @@ class _Block:
     """The windows of one block, their shingles by size, and the index on the rarest."""
 
     def __init__(self, rows: list) -> None:
-        by: dict[tuple, set] = {}
-        for r in rows:
-            by.setdefault((tuple(r["win"]), bytes(r["text"])), set()).add(r["item"])
-        self.items = [sorted(x for x in v if x is not None) for v in by.values()]
-        self.texts = [k[1] for k in by]
-        self.wins = [np.array(k[0], np.int64).view(np.uint64) for k in by]
+        self.ids = [r["id"] for r in rows]
+        self.texts = [bytes(r["text"]) for r in rows]
+        self.wins = [np.array(r["win"], np.int64).view(np.uint64) for r in rows]
         self.sizes = sorted({min(SHINGLE, len(w)) for w in self.wins})
         self.vocab = {k: np.unique(np.concatenate([_shingles(w, k) for w in self.wins if min(SHINGLE, len(w)) == k])) for k in self.sizes}
 
@@ -157,7 +161,7 @@ def _count(docs: DataFrame, block: _Block) -> dict[int, np.ndarray]:
     return out
 
 
-_HITS = "struct<items:array<string>,spans:array<struct<a:bigint,b:bigint>>>"
+_HITS = "struct<wins:array<bigint>,spans:array<struct<a:bigint,b:bigint>>>"
 
 
 def decontaminate(
@@ -176,17 +180,26 @@ def decontaminate(
     benchmark hits nothing; items without words and items with a null id give no item (a null id's
     windows still hit words). Other columns of the inputs are not read.
     """
+    scratch = C.Scratch(docs.sparkSession, "decontamination")
+    windows = _Windows(scratch, bench, item_col, window)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    hit = _hits(rows, "text", bench, item_col, window, block)
+    hit = _hits(rows, "text", windows, block)
     n_hit = _n_hit()
-    return hit.select(
+    each = hit.select(
         F.col("id").alias(id_col),
         F.col(_WORDS).alias("n_words"),
         n_hit.alias("n_hit"),
-        F.coalesce(f"{_FOUND}.items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce(f"{_FOUND}.wins", F.array().cast("array<bigint>")).alias("wins"),
         F.coalesce(f"{_FOUND}.spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"),
         _contaminated(n_hit).alias("contaminated"),
     )
+    each = scratch.table(each, "hits")  # no texts: read twice below
+    some = F.size("wins") > 0
+    hit_items = each.where(some).join(windows.items_of(each.where(some).select("wins").distinct()), "wins", "left")
+    items = F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("items")
+    cols = [id_col, "n_words", "n_hit", "items", "spans", "contaminated"]
+    clean = each.where(~some).withColumn("items", F.array().cast("array<string>"))
+    return clean.select(*cols).unionByName(hit_items.select(*[items if c == "items" else c for c in cols]))
 
 
 def clean_rows(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -195,7 +208,8 @@ def clean_rows(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_c
     A column may have any name but that of the text column; one that clashes with a helper column is set aside meanwhile.
     """
     docs, back = C.set_aside(docs, {_WORDS, _FOUND})
-    hit = _hits(docs, text_col, bench, item_col, window, block)
+    windows = _Windows(C.Scratch(docs.sparkSession, "decontamination"), bench, item_col, window)
+    hit = _hits(docs, text_col, windows, block)
     return hit.where(~_contaminated(_n_hit())).select(*back)
 
 
@@ -210,24 +224,55 @@ def _contaminated(n_hit: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= F.col(_WORDS))
 
 
-def _hits(rows: DataFrame, text_col: str, bench: DataFrame, item_col: str, window: int, block: int) -> DataFrame:
-    """Add the number of words, and the items and spans found, to every row."""
-    spark = rows.sparkSession
-    C.ship(spark)
-    scratch = C.Scratch(spark, "decontamination")
-    wins = scratch.table(benchmark_windows(bench, item_col, "text", window), "windows")
-    n_blocks = max(1, -(-wins.count() // block))
+class _Windows:
+    """The benchmark's distinct windows with a number, and the table of (window number, item)."""
+
+    def __init__(self, scratch: C.Scratch, bench: DataFrame, item_col: str, window: int) -> None:
+        C.ship(scratch.spark)
+        self.scratch = scratch
+        self.per_item = scratch.table(benchmark_windows(bench, item_col, "text", window), "windows")
+        # one row per window and task is shuffled, however many items share it; numbered once, in what is written
+        own = self.per_item.select("win", "text").distinct()
+        self.distinct = scratch.table(own.select(F.monotonically_increasing_id().alias("id"), "win", "text"), "distinct")
+
+    def block(self, k: int, n: int) -> list:
+        """The windows of block ``k`` of ``n``."""
+        return self.distinct.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect()
+
+    def items_of(self, sets: DataFrame) -> DataFrame:
+        """``wins``, items: the sorted items (null ones left out) that hold any window of each set. A window's items
+        are met in ``SALTS`` parts, and joined with what was found only."""
+        met = sets.select("wins", F.explode("wins").alias("id"))
+        found = met.select("id").distinct().join(self.distinct, "id").select("id", "win", "text")
+        named = self.per_item.where("item IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int"))
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        items = named.join(found.select("*", salts), ["win", "text", "salt"]).select("id", "salt", "item")
+        pairs = met.select("*", salts).join(items, ["id", "salt"])
+        return pairs.groupBy("wins", "item").agg(F.lit(1)).groupBy("wins").agg(F.array_sort(F.collect_list("item")).alias("items"))
+
+
+def _hits(rows: DataFrame, text_col: str, windows: _Windows, block: int) -> DataFrame:
+    """Add the number of words, and the windows and spans found, to every row."""
+    context = rows.sparkSession.sparkContext
+    n_blocks = max(1, -(-windows.distinct.count() // block))
     texts = rows.select(F.col(text_col).alias("text"))
     hit = rows.withColumn(_WORDS, F.lit(0).cast("bigint")).withColumn(_FOUND, F.lit(None).cast(_HITS))
+    live: list = []
     for k in range(n_blocks):
-        own = _Block(wins.where(F.pmod(F.xxhash64("win"), F.lit(n_blocks)) == k).collect())  # about BLOCK windows
-        hit = _with_hits(hit, text_col, spark.sparkContext.broadcast(own.order(_count(texts, own))))
-    scratch.drop("windows")
+        if len(live) == LIVE:
+            hit = windows.scratch.table(hit, f"pass{k // LIVE}")
+            while live:
+                live.pop().unpersist()
+            if k > LIVE:
+                windows.scratch.drop(f"pass{k // LIVE - 1}")
+        own = _Block(windows.block(k, n_blocks))  # about BLOCK windows
+        live.append(context.broadcast(own.order(_count(texts, own))))
+        hit = _with_hits(hit, text_col, live[-1])
     return hit
 
 
 def _with_hits(rows: DataFrame, text_col: str, block) -> DataFrame:
-    """Add one block's items and spans to those found so far."""
+    """Add one block's windows and spans to those found so far."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = block.value
@@ -238,15 +283,15 @@ def _with_hits(rows: DataFrame, text_col: str, block) -> DataFrame:
                 found: dict[int, tuple[set, set]] = {}
                 for w, at, to in own.occurrences(h, s, e, b, data):
                     d = int(np.searchsorted(b, at, "right")) - 1
-                    items, spans = found.setdefault(d, (set(), set()))
-                    items.update(own.items[w])
+                    wins, spans = found.setdefault(d, (set(), set()))
+                    wins.add(own.ids[w])
                     spans.add((at - int(b[d]), to - int(b[d])))
                 hits = part.column(_FOUND).to_pylist()
-                for d, (items, spans) in found.items():
-                    old = hits[d] or {"items": [], "spans": []}
-                    items.update(old["items"])
+                for d, (wins, spans) in found.items():
+                    old = hits[d] or {"wins": [], "spans": []}
+                    wins.update(old["wins"])
                     spans.update((x["a"], x["b"]) for x in old["spans"])
-                    hits[d] = {"items": sorted(items), "spans": [{"a": a, "b": z} for a, z in merged(spans)]}
+                    hits[d] = {"wins": sorted(wins), "spans": [{"a": a, "b": z} for a, z in merged(spans)]}
                 last = part.num_columns - 1  # the two columns that were added last
                 cols = [*part.columns[: last - 1], pa.array(np.diff(b)), pa.array(hits, part.schema.field(last).type)]
                 yield pa.record_batch(cols, part.schema.names)
