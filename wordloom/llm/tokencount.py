@@ -12,7 +12,9 @@ library's own for the whole text.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +26,8 @@ from wordloom.llm import common as C
 #: regular expressions use spelled out
 _SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-CACHE = 200_000  # pre-tokens whose counts a worker remembers
+CACHE = 200_000  # pre-tokens whose counts a task remembers
+AT_ONCE = 1_000  # pre-tokens encoded in one call, whose whole encodings are held
 
 
 def proven_tokens(tokenizer) -> frozenset[str]:
@@ -34,6 +37,24 @@ def proven_tokens(tokenizer) -> frozenset[str]:
     return frozenset(s for s, e in zip(strings, tokenizer.encode_batch(strings, add_special_tokens=False)) if len(e.ids) == 1)
 
 
+class Vocabulary:
+    """A vocabulary file and its proven strings. A worker builds its tokenizer once, for all of its tasks."""
+
+    def __init__(self, model: str) -> None:
+        self.model = model
+        self.proven = proven_tokens(self.tokenizer)
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core; threads have memory of their own
+        return Tokenizer.from_str(self.model)
+
+    def __getstate__(self) -> dict:
+        return {"model": self.model, "proven": self.proven}
+
+
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """``id_col``, n_bytes, n_tokens, n_shortcut (tokens counted without merging), over_limit of every row.
 
@@ -42,8 +63,6 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     tokens inside a text are special tokens, the library's default. Whole texts are counted; one without spaces is a
     single pre-token and is merged as such. Repeated or null ids keep a row each.
     """
-    from tokenizers import Tokenizer
-
     C.ship(docs.sparkSession)
     with open(model_path) as f:
         model = f.read()
@@ -55,14 +74,12 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     if any(t.get(flag) for t in added for flag in ("lstrip", "rstrip", "single_word")):
         raise ValueError(f"{model_path}: an added token matches more or less than its own string")
     specials = [t["content"] for t in added]
-    proven = proven_tokens(Tokenizer.from_str(model))
-    vocabulary = docs.sparkSession.sparkContext.broadcast((model, proven))  # the file and its strings, of fixed size
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))  # the file and its strings, of fixed size
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        model, proven = vocabulary.value
-        tok = Tokenizer.from_str(model)
+        tok, proven = vocabulary.value.tokenizer, vocabulary.value.proven
         split = regex.compile(PRETOKEN).findall
         marks = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         known: dict[str, int] = {}
@@ -80,8 +97,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             if len(known) + len(new) > CACHE:
                 known = {}
                 new = list({p for rest in rests for p in rest})
-            for at in range(0, len(new), 10_000):
-                part = new[at : at + 10_000]
+            for at in range(0, len(new), AT_ONCE):
+                part = new[at : at + AT_ONCE]
                 known.update(zip(part, (len(e.ids) for e in tok.encode_batch(part, add_special_tokens=False))))
             n_tokens = [n + sum(map(known.__getitem__, rest)) for n, rest in zip(n_tokens, rests)]
             size = [len((t or "").encode()) for t in texts]
