@@ -11,6 +11,8 @@ single quotes, leading zeros and raw control characters, like Python's
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,17 +43,32 @@ _SENTINEL = "__end_of_value__"
 _STRING = r'"(?:[^"\\]|\\.)*+"'
 
 
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once a row, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def strict_json(text: Column, fields: str) -> Column:
     """Parse one JSON object strictly; NULL unless ``text`` is exactly one value with these (optional) fields.
 
-    Numbers written ``INF`` or with a plus sign, which Spark takes and Python does not, are rejected too.
+    Numbers written ``INF`` or with a plus sign, which Spark takes and Python does not, are rejected too. The text is
+    computed and parsed once; callers that read several fields do so under :func:`once` too, since a filter or a second
+    column that names the result would parse again.
     """
-    mark = F.md5(text)
-    whole = F.concat(F.lit("["), text, F.lit(f', {{"{_SENTINEL}": "'), mark, F.lit('"}]'))
-    arr = F.from_json(whole, f"array<struct<{fields}, {_SENTINEL}: string>>", _STRICT)
-    bare = F.regexp_replace(text, _STRING, "")
-    one = (F.size(arr) == 2) & (F.get(arr, 1)[_SENTINEL] == mark) & ~bare.rlike(r"INF|\+I")
-    return F.when(one, F.get(arr, 0))
+
+    def marked(t: Column) -> Column:
+        mark = F.md5(t)
+        whole = F.concat(F.lit("["), t, F.lit(f', {{"{_SENTINEL}": "'), mark, F.lit('"}]'))
+        arr = F.from_json(whole, f"array<struct<{fields}, {_SENTINEL}: string>>", _STRICT)
+        # one JSON value without these letters has none outside its strings either
+        bare = F.when(t.contains("INF") | t.contains("+I"), F.regexp_replace(t, _STRING, "")).otherwise(F.lit(""))
+        return F.struct(arr.alias("arr"), mark.alias("mark"), bare.rlike(r"INF|\+I").alias("odd"))
+
+    def whole_value(x: Column) -> Column:
+        one = (F.size(x["arr"]) == 2) & (F.get(x["arr"], 1)[_SENTINEL] == x["mark"]) & ~x["odd"]
+        return F.when(one, F.get(x["arr"], 0))
+
+    return once(once(text, marked), whole_value)
 
 
 def string_of(value: Column) -> Column:

@@ -104,8 +104,10 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: str, name: str, parti
     """The sum of ``value`` over all rows before each row in ``order`` (unique), without a single-task sort.
 
     Rows are range-partitioned and checkpointed; partition sums (one row per
-    partition) give each partition's offset and a window runs inside it.
+    partition) give each partition's offset and a window runs inside it. They
+    are checkpointed before as well: finding the ranges reads them once more.
     """
+    df = cut_lineage(df)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id()))

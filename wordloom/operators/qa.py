@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import LINE_FIELDS, strict_json, string_of
+from ..functions.jsonx import LINE_FIELDS, once, strict_json, string_of
 from ..functions.text import ustrip
 from .ordering import dense_index, prefix_sum
 
@@ -208,13 +208,18 @@ def batch_responses(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """P9 for answer batches: ``custom_id, idx, response`` from result lines.
 
     Lines that are not JSON or lack the content are dropped (the reference
-    raises on them while building grading requests).
+    raises on them while building grading requests). A generator gives the
+    rows that stay: filters on its columns are not pushed below it, so that a
+    line is parsed once.
     """
+    def fields(parsed: Column) -> Column:
+        content = F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"]
+        return F.struct(parsed["custom_id"].alias("custom_id"), once(content, string_of).alias("response"))
+
     parsed = strict_json(ustrip(F.col(line_col)), f"custom_id: string, {LINE_FIELDS}")
-    content = string_of(F.get(parsed["response"]["body"]["choices"], 0)["message"]["content"])
-    out = lines.select(parsed["custom_id"].alias("custom_id"), content.alias("response"))
-    out = out.where(F.col("custom_id").isNotNull() & F.col("response").isNotNull())
-    return out.withColumn("idx", id_index(F.col("custom_id")))
+    each = F.transform(F.array(parsed), fields)
+    kept = F.filter(each, lambda x: x["custom_id"].isNotNull() & x["response"].isNotNull())
+    return lines.select(F.inline(kept)).withColumn("idx", id_index(F.col("custom_id")))
 
 
 def response_rows(df: DataFrame) -> DataFrame:
