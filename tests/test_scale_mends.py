@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from wordloom.operators import ngram as ng
 from wordloom.operators import qa
+from wordloom.plans import inputs
 
 
 def _plan(df):
@@ -24,3 +26,15 @@ def test_a_result_line_is_parsed_once(spark):
     assert _plan(joined).count("from_json(") == 1
     assert sorted((r["idx"], r["response"]) for r in res.collect()) == [(7, "yes"), (10, "+I")]
     assert {r["idx"] for r in joined.collect()} == {7, 10}
+
+
+def test_counting_tasks_grow_with_the_table(spark, tmp_path, monkeypatch):
+    rows = [(1, "a b a\nc a b"), (2, "b"), (3, None), (4, ""), (None, "a b"), (-5, "a b a"), (1, "a b a")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(inputs, "COUNT_BYTES", 50)
+    docs = inputs.counted_documents(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() > 3 * spark.sparkContext.defaultParallelism
+    counts = ng.train_ngram(docs, 1, batch=3).counts
+    got = {(r["context"], r["word"]): (r["cnt"], r["b"], r["d"], r["p"]) for r in counts.select(
+        "context", "word", "cnt", ng.key_batch(F.col("first")).alias("b"), ng.key_doc(F.col("first")).alias("d"), ng.key_pos(F.col("first")).alias("p")).collect()}
+    assert got == {("a", "b"): (5, 3, -5, 1), ("b", "a"): (3, 3, -5, 2), ("a", "c"): (1, 3, 1, 3), ("c", "a"): (1, 3, 1, 4)}

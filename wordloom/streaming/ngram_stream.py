@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ngram import count_events, ngram_events
+from ..operators.ngram import _events, count_events
 from ..sources.parts import Keyed, PartStore
 
 DOC_SCHEMA = "doc_id bigint, text string"
@@ -37,7 +37,7 @@ def start_ngram_counts(
     docs: DataFrame, n: int, table_path: str, checkpoint_path: str, available_now: bool = True
 ) -> StreamingQuery:
     """Start the counting query; every batch appends ``batch_id, context, word, cnt, first``."""
-    counts = count_events(ngram_events(docs.select("doc_id", "text"), n))
+    counts = count_events(_events(docs.select("doc_id", "text"), n))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(table_path)
@@ -66,7 +66,7 @@ def start_ngram_parts(
 ) -> StreamingQuery:
     """Start the counting query with a store as its sink. A batch is one part, tagged with its number, so a replayed one
     changes nothing; ``compact_every`` parts become one and the old ones are deleted."""
-    counts = count_events(ngram_events(docs.select("doc_id", "text"), n))
+    counts = count_events(_events(docs.select("doc_id", "text"), n))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= store.version().tag:
