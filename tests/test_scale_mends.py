@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from wordloom.operators import ngram as ng
 from wordloom.operators import qa
 from wordloom.plans import inputs
+from wordloom.sources import files as fs
+from wordloom.session import cut_lineage
 
 
 def _plan(df):
@@ -38,3 +40,48 @@ def test_counting_tasks_grow_with_the_table(spark, tmp_path, monkeypatch):
     got = {(r["context"], r["word"]): (r["cnt"], r["b"], r["d"], r["p"]) for r in counts.select(
         "context", "word", "cnt", ng.key_batch(F.col("first")).alias("b"), ng.key_doc(F.col("first")).alias("d"), ng.key_pos(F.col("first")).alias("p")).collect()}
     assert got == {("a", "b"): (5, 3, -5, 1), ("b", "a"): (3, 3, -5, 2), ("a", "c"): (1, 3, 1, 3), ("c", "a"): (1, 3, 1, 4)}
+
+
+def test_many_files_are_few_tasks(spark, tmp_path):
+    rows = [(i, f"w{i} a b\nc") for i in range(150)] + [(7, "again"), (None, "n"), (200, None)]
+    path = str(tmp_path / "corpus")
+    fs.write_files(spark.createDataFrame(rows, "k bigint, text string"), "k", "text", path)
+    corpus = fs.read_corpus(spark, path)
+    texts = {r["text"] for r in corpus.collect()}
+    assert corpus.count() == 152 and len(texts) == 152  # 7 and its second row are one file
+    assert {"w7 a b\nc\nagain\n", "again\nw7 a b\nc\n"} & texts and {"w8 a b\nc\n", "n\n", "\n"} <= texts
+    folders = {p.parent for p in (tmp_path / "corpus").rglob("*.txt")}
+    assert 1 < len(folders) <= fs.SHELVES
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    with fs.small_files(spark):
+        assert spark.read.text(path, wholetext=True).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == old
+
+
+def test_request_lines_can_be_compressed(spark, tmp_path):
+    reqs = spark.createDataFrame([(1, "x"), (2, "y")], "idx long, q string").select(F.struct("idx", "q").alias("req"))
+    fs.write_jsonl(reqs, "req", str(tmp_path / "r"), compression="gzip")
+    assert list((tmp_path / "r").glob("*.txt.gz"))
+    assert sorted(r["line"] for r in fs.read_lines(spark, str(tmp_path / "r")).collect()) == ['{"idx":1,"q":"x"}', '{"idx":2,"q":"y"}']
+
+
+def test_cut_lineage_computes_once_and_caches_nothing(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).mapInArrow(run, "id bigint")
+    out = cut_lineage(df)
+    assert out.count() == 1000 and seen.value == 1000
+    assert not df.is_cached
+
+
+def test_chunks_of_one_file_are_counted_in_many_tasks(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("a b c\n" * 500, encoding="utf-8")
+    monkeypatch.setattr(ng, "_COUNTED", 10)
+    events = ng.chunk_events(fs.read_corpus_chunks(spark, str(tmp_path), 30), 2)
+    assert events.rdd.getNumPartitions() == 150
+    assert events.count() == 1498

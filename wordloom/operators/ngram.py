@@ -77,6 +77,10 @@ def _windows(toks: DataFrame, n: int, shift: Column, kind: str) -> DataFrame:
     return flat.select("doc_id", "base", (F.col("p") + F.lit(n) + F.col("shift")).cast(kind).alias("i"), context.alias("context"), F.col(f"x.w{n}").alias("word"))
 
 
+#: Words that a counting task takes.
+_COUNTED = 2_000_000
+
+
 def chunk_events(chunks: DataFrame, n: int) -> DataFrame:
     """W1 over files cut into chunks (``file, block, seq, text``): ``doc_id, base, i, context, word``.
 
@@ -90,13 +94,17 @@ def chunk_events(chunks: DataFrame, n: int) -> DataFrame:
     key = ["file", "block", "seq"]
     words = chunks.select(*key, word_tokens("text").alias("t"))
     ends = cut_lineage(words.select(*key, F.size("t").cast("bigint").alias("n"), F.slice("t", F.greatest(F.size("t") - n + 1, F.lit(1)), n).alias("end")).where("n > 0"))
+    total = ends.agg(F.sum("n")).first()[0] or 0
     before = Window.partitionBy("file").orderBy("block", "seq")
     # every chunk here has a word, so that n chunks hold n words
     last = F.flatten(F.collect_list("end").over(before.rowsBetween(-n, -1)))
     halo = F.slice(last, F.greatest(F.size(last) - n + 1, F.lit(1)), n)
     ends = ends.select(*key, halo.alias("halo"), F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("past"))
     files = dense_index(chunks.select("file").distinct(), ["file"], "doc_id", start=0).select("file", "doc_id")
-    each = words.join(ends.join(files, "file"), key).select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
+    spark = chunks.sparkSession
+    # a fixed number of tasks, not one by bytes: their words become n-grams, which are counted in memory
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _COUNTED))
+    each = words.repartition(tasks, *key).join(ends.join(files, "file").hint("merge"), key).select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
     return _windows(each, n, F.col("shift"), "bigint")
 
 
