@@ -552,7 +552,7 @@ def q_ngram_stream_counts(spark, sf_dir):
     """Streaming counterpart of ``ngram_counts``: documents read as a stream, counts kept as state."""
     base = scratch_path(spark, "ngram-stream")
     # A glob (one-letter class) so the file source keeps ``basePath`` = the table folder.
-    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir)
+    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir).repartition(inputs.count_tasks(spark, sf_dir), "doc_id")
     q = stream.start_ngram_counts(docs, N_COUNTS, f"{base}/table", f"{base}/checkpoint")
     q.awaitTermination()
     return _flat_first(stream.current_counts(spark, f"{base}/table"))
@@ -562,7 +562,7 @@ def q_ngram_stream_counts(spark, sf_dir):
 def q_ngram_stream_store(spark, sf_dir):
     """The same stream with a store of committed parts as its sink."""
     base = scratch_path(spark, "ngram-stream")
-    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir)
+    docs = stream.stream_documents(spark, f"{sf_dir}/document[s].parquet", base_path=sf_dir).repartition(inputs.count_tasks(spark, sf_dir), "doc_id")
     store = stream.counts_store(spark, f"{base}/store", BUCKETS)
     stream.start_ngram_parts(docs, N_COUNTS, store, f"{base}/checkpoint").awaitTermination()
     return _flat_first(store.read("counts"))

@@ -40,7 +40,11 @@ def counted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     its memory is sorted and written, at several times that size.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return ensure_parallel(docs, "doc_id", tasks_for(spark, f"{sf_dir}/documents.parquet", COUNT_BYTES))
+    return ensure_parallel(docs, "doc_id", count_tasks(spark, sf_dir))
+
+
+def count_tasks(spark: SparkSession, sf_dir: str) -> int:
+    return tasks_for(spark, f"{sf_dir}/documents.parquet", COUNT_BYTES)
 
 
 def prompts(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
