@@ -341,10 +341,14 @@ def token_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
 def decode(ids: DataFrame, vocab: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Id -> token (inner join; unknown ids have no token).
 
-    A few ids carry most occurrences, so each id is ``_SALTS`` join keys: an
-    occurrence takes one by a hash of its ``key`` columns (all by default), and
-    the vocabulary is copied that many times.
+    A vocabulary of at most ``_DICTIONARY`` tokens is a table that tasks hold:
+    nothing is shuffled. With a larger one, a few ids carry most occurrences,
+    so each id is ``_SALTS`` join keys: an occurrence takes one by a hash of its
+    ``key`` columns (all by default), and the vocabulary is copied that many times.
     """
+    tokens = vocab.select("token", "id")
+    if tokens.limit(_DICTIONARY + 1).count() <= _DICTIONARY:
+        return ids.join(F.broadcast(tokens), "id")
     salted = ids.withColumn("_salt", F.pmod(F.xxhash64(*(key or ids.columns)), F.lit(_SALTS)).cast("int"))
-    copies = vocab.select("token", "id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+    copies = tokens.select("token", "id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
     return salted.join(copies, ["id", "_salt"]).drop("_salt")
