@@ -19,8 +19,9 @@ SPACE_CLASS = r"\p{Z}\x09-\x0d\x1c-\x1f\x85"
 # Word tokens: maximal runs of word characters.
 WORD_PATTERN = "[" + WORD_CLASS + "]+"
 # BPE pre-tokens: words, plus one non-word non-space character that directly
-# follows a word character.
-PRETOKEN_PATTERN = WORD_PATTERN + "|(?<=[" + WORD_CLASS + "])[^" + WORD_CLASS + SPACE_CLASS + "]"
+# follows a word character. Neither begins at a space, and a run is never given
+# back: both are said for speed.
+PRETOKEN_PATTERN = "(?! )(?:" + WORD_PATTERN + "+|(?<=[" + WORD_CLASS + "])[^" + WORD_CLASS + SPACE_CLASS + "])"
 # Leading/trailing whitespace in the same (Unicode) sense.
 _STRIP_PATTERN = r"\A[" + SPACE_CLASS + r"]+|[" + SPACE_CLASS + r"]+\z"
 _WS_SPLIT_PATTERN = "[" + SPACE_CLASS + "]+"

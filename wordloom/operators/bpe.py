@@ -1,22 +1,23 @@
 """Byte-pair encoding (B) as DataFrame jobs.
 
-Representation: a word's current segmentation is one string in which every
-symbol is wrapped as ``TAB symbol SPACE`` (:func:`wrap_symbols`). Symbols
+Representation: a word's segmentation as a column is one string in which
+every symbol is wrapped as ``TAB symbol SPACE`` (:func:`wrap_symbols`). Symbols
 never contain whitespace, so merging the pair (l, r) is the literal
 ``replace('\\tl \\tr ', '\\tlr ')``: whole symbols only, left to right,
 non-overlapping -- the reference's merge rule -- and it stays inside codegen.
 
-Training keeps the word *types* (``word, freq, first``) and the pair counts
-as tables. A round merges the leading pairs that cannot influence each other
-(see :func:`_leading_pairs`); it reads the types once and touches only those
-that contain one of them: their old pairs are subtracted and their new pairs
-added by one generator (counts are additive). The earliest occurrence of a
+Training keeps the word *types* as blocks, a row each, in which symbols are
+numbers (:mod:`..functions.segments`), and the pair counts as a table. A round
+merges the leading pairs that cannot influence each other (see
+:func:`_leading_pairs`) by the same rule; it reads the blocks once and touches
+only the types that contain one of the pairs: their old pairs are subtracted
+and their new pairs added (counts are additive). The earliest occurrence of a
 pair, which breaks ties between equally frequent pairs ("met first"), is not
 subtractable, so it is computed for the pairs tied at the maximum, when they
 are tied. At most ``_ROUND`` rows reach the driver per round.
 
 A trained vocabulary has k tokens and the alphabet, so tasks hold it and
-encode documents where they are. A vocabulary beyond a stated size is met by
+encode and decode documents where they are. A vocabulary beyond a stated size is met by
 joins instead: on substrings of distinct words that pass a Bloom filter, and
 on words cut into pieces by their frequency. Merging inside a word takes
 O(n log n) steps either way.
@@ -30,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.merging import encode_batches, merge_batches, tokenize_batches
-from ..functions.text import bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols
+from ..functions.segments import BLOCK, FIRST_NAME, block_tokens, block_types, count_words, first_places, form_blocks, merge_blocks, symbol_text
+from ..functions.text import END_OF_WORD, bpe_pretokens, unwrap_symbols, word_symbols, wrap_symbols
 from ..session import cut_lineage, ship_package
-from .ordering import dense_index, first_key
+from .ordering import dense_index, first_key, key_doc, key_pos
 
 # Leading counts fetched per round; more merges than this are never made in one round.
 _ROUND = 16
@@ -57,11 +59,20 @@ def pretokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.posexplode(bpe_pretokens(text_col)).alias("pos", "word"))
 
 
+def _joined_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, words``: a document's pre-tokens with spaces between them (they have none), which tasks take over at
+    less cost than an array."""
+    words = F.coalesce(F.array_join(bpe_pretokens(text_col), " "), F.lit(""))
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), words.alias("words"))
+
+
 def word_types(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``word, freq, first`` with ``first`` the earliest ``(doc_id, pos)``
-    packed by :func:`first_key` (hash-aggregatable)."""
-    return pretokens(docs, id_col, text_col).groupBy("word").agg(
-        F.count(F.lit(1)).alias("freq"), F.min(first_key(F.lit(0), F.col("doc_id"), F.col("pos"))).alias("first")
+    packed by :func:`first_key` (hash-aggregatable). Tasks count a batch's words before Spark adds the counts up."""
+    ship_package(docs.sparkSession)
+    counted = _joined_words(docs, id_col, text_col).mapInArrow(count_words, "word string, freq bigint, doc_id bigint, pos int")
+    return counted.groupBy("word").agg(
+        F.sum("freq").alias("freq"), F.min(first_key(F.lit(0), F.col("doc_id"), F.col("pos"))).alias("first")
     )
 
 
@@ -119,7 +130,7 @@ class BpeModel:
         return BpeModel(spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
 
 
-def _leading_pairs(pairs: DataFrame, types: DataFrame, most: int) -> list[tuple[str, str, int]]:
+def _leading_pairs(pairs: DataFrame, blocks: DataFrame, most: int) -> list[tuple[int, int, int]]:
     """The next merges in order, as many as one round can make (none when no pair is left).
 
     Pairs are taken by falling count while each has a count of its own and
@@ -131,8 +142,8 @@ def _leading_pairs(pairs: DataFrame, types: DataFrame, most: int) -> list[tuple[
     """
     want = min(most, _ROUND)
     top = pairs.orderBy(F.desc("cnt")).limit(want + 1).collect()
-    out: list[tuple[str, str, int]] = []
-    used: set[str] = set()
+    out: list[tuple[int, int, int]] = []
+    used: set[int] = set()
     for row, after in zip(top[:want], [*top[1:], None]):
         if (after is not None and after["cnt"] == row["cnt"]) or not used.isdisjoint((row["l"], row["r"])):
             break
@@ -140,51 +151,56 @@ def _leading_pairs(pairs: DataFrame, types: DataFrame, most: int) -> list[tuple[
         out.append((row["l"], row["r"], row["cnt"]))
     if top and not out:
         tied = pairs.where(F.col("cnt") == top[0]["cnt"]).select("l", "r")
-        first = type_pairs(types).join(tied, ["l", "r"], "left_semi").select("l", "r", F.struct("first", "i").alias("f"))
-        win = first.orderBy("f").limit(1).collect()[0]
+        first = blocks.mapInArrow(first_places, "l int, r int, doc_id bigint, pos int, i int").join(tied, ["l", "r"], "left_semi")
+        win = first.orderBy("doc_id", "pos", "i").limit(1).collect()[0]
         out.append((win["l"], win["r"], top[0]["cnt"]))
     return out
 
 
 def _merge_loop(types: DataFrame, k: int):
-    """Run up to ``k`` merges over ``types``; return final types, merges and the cached state.
+    """Run up to ``k`` merges over ``types``; return the final blocks, the names of their symbols, merges and the cached state.
 
-    The types and pair tables are checkpointed every few rounds (reliable,
+    The blocks and pair tables are checkpointed every few rounds (reliable,
     bounded lineage) and kept in memory in between.
     """
-    types = cut_lineage(types).persist()
-    pairs = cut_lineage(type_pairs(types).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
+    ship_package(types.sparkSession)
+    met = types.select("word", "freq", key_doc(F.col("first")).alias("doc_id"), key_pos(F.col("first")).alias("pos"))
+    blocks = cut_lineage(met.mapInArrow(form_blocks, BLOCK)).persist()
+    pairs = cut_lineage(blocks.select(F.inline("change")).groupBy("l", "r").agg(F.sum("w").alias("cnt"))).persist()
+    names = [END_OF_WORD]
+    numbers = {END_OF_WORD: FIRST_NAME}
     merges: list[tuple[int, str, str, int]] = []
     unread: list[DataFrame] = []  # states that the one being computed does not read
     last: list[DataFrame] = []  # the state before the current one
     rounds = 0
     while len(merges) < k:
-        best = _leading_pairs(pairs, types, k - len(merges))
+        best = _leading_pairs(pairs, blocks, k - len(merges))
         for df in unread:
             df.unpersist()
         if not best:
             break
-        merges += [(len(merges) + i, *m) for i, m in enumerate(best, 1)]
-        # ``replace`` leaves strings without the pair unchanged; one reference to ``sym`` per merge keeps the
-        # collapsed projection linear in the merges.
-        merged, hit = F.col("sym"), F.lit(False)
-        for left, right, _ in best:
-            hit = hit | F.col("sym").contains(f"\t{left} \t{right} ")
-            merged = merge_column(merged, left, right)
-        old_new = types.where(hit).select("freq", unwrap_symbols(F.col("sym")).alias("_o"), unwrap_symbols(merged).alias("_n"))
-        signed = F.concat(_pair_array(F.col("_o"), -F.col("freq")), _pair_array(F.col("_n"), F.col("freq")))
-        change = old_new.select(F.inline(signed)).groupBy("l", "r").agg(F.sum("w").alias("cnt"))
-        new_pairs = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
-        new_types = types.withColumn("sym", merged)
+        step = []
+        for left, right, cnt in best:
+            l, r = symbol_text(left, names), symbol_text(right, names)
+            if l + r not in numbers:
+                numbers[l + r] = FIRST_NAME + len(names)
+                names.append(l + r)
+            step.append((left, right, numbers[l + r]))
+            merges.append((len(merges) + 1, l, r, cnt))
+        new_blocks = blocks.select(*blocks.columns[:-1]).mapInArrow(merge_blocks(step), BLOCK)
         rounds += 1
         if rounds % _CHECKPOINT_EVERY == 0:
-            new_types, new_pairs = cut_lineage(new_types), cut_lineage(new_pairs)
-        # A round reads the types as the one before left them, never through the merges of earlier rounds again. The
-        # new types are computed by the next round, from the last ones, which go after that.
-        unread, last = last, [types, pairs]
-        types, pairs = new_types.persist(), new_pairs.persist()
+            new_blocks = cut_lineage(new_blocks)
+        new_blocks = new_blocks.persist()
+        change = new_blocks.select(F.inline("change")).groupBy("l", "r").agg(F.sum("w").alias("cnt"))
+        new_pairs = pairs.unionByName(change).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") != 0)
+        if rounds % _CHECKPOINT_EVERY == 0:
+            new_pairs = cut_lineage(new_pairs)
+        # The new blocks are computed from the last ones when the next round reads the pairs; those go after that.
+        unread, last = last, [blocks, pairs]
+        blocks, pairs = new_blocks, new_pairs.persist()
     # Cached state still held: the caller releases it once its result is materialised.
-    return types, merges, [*unread, *last, types, pairs]
+    return blocks, names, merges, [*unread, *last, blocks, pairs]
 
 
 def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: str = "text") -> BpeModel:
@@ -194,8 +210,8 @@ def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: s
     corpus' word types, numbered from 0 in code-point order (W5, G7).
     """
     spark = docs.sparkSession
-    types, merges, cached = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
-    vocab = types.select(F.explode(unwrap_symbols(F.col("sym"))).alias("token")).distinct()
+    blocks, names, merges, cached = _merge_loop(word_types(docs, id_col, text_col), k)
+    vocab = blocks.mapInArrow(block_tokens(names), "token string").distinct()
     vocab = dense_index(vocab, ["token"], "id", start=0).select("token", "id")  # checkpointed
     for df in cached:
         df.unpersist()
@@ -205,8 +221,9 @@ def train_bpe(docs: DataFrame, k: int = 500, id_col: str = "doc_id", text_col: s
 
 def segment_types(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The training types after ``k`` merges: ``word, freq, first, symbols``."""
-    types, _, cached = _merge_loop(with_symbols(word_types(docs, id_col, text_col)), k)
-    out = cut_lineage(types.select("word", "freq", "first", unwrap_symbols(F.col("sym")).alias("symbols")))
+    blocks, names, _, cached = _merge_loop(word_types(docs, id_col, text_col), k)
+    types = blocks.mapInArrow(block_types(names), "word string, freq bigint, doc_id bigint, pos int, symbols array<string>")
+    out = cut_lineage(types.select("word", "freq", first_key(F.lit(0), F.col("doc_id"), F.col("pos")).alias("first"), "symbols"))
     for df in cached:
         df.unpersist()
     return out
@@ -300,8 +317,7 @@ def tokenize(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col:
     ids = _dictionary(model.vocab)
     if ids is not None:
         ship_package(docs.sparkSession)
-        words = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(bpe_pretokens(text_col), F.array().cast("array<string>")).alias("words"))
-        return words.mapInArrow(tokenize_batches(ids), "doc_id bigint, pos int, tpos int, token string, id bigint")
+        return _joined_words(docs, id_col, text_col).mapInArrow(tokenize_batches(ids), "doc_id bigint, pos int, tpos int, token string, id bigint")
     occ = pretokens(docs, id_col, text_col)
     counted = occ.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
     encoded = encode_words(counted.select("word"), model.vocab)
