@@ -85,3 +85,70 @@ def test_chunks_of_one_file_are_counted_in_many_tasks(spark, tmp_path, monkeypat
     events = ng.chunk_events(fs.read_corpus_chunks(spark, str(tmp_path), 30), 2)
     assert events.rdd.getNumPartitions() == 150
     assert events.count() == 1498
+
+
+def _by_rows(spark, docs, n, batch):
+    """Counts by one row per n-gram, as they were made before."""
+    return {(r["context"], r["word"], r["cnt"], r["first"]) for r in ng.count_events(ng._events(docs, n), batch).collect()}
+
+
+def test_blocks_of_ngrams_equal_rows(spark, monkeypatch):
+    """Small blocks that cut texts, null and repeated ids, negative ids, slots that are more than the partitions."""
+    import random
+
+    from wordloom.functions import grams
+
+    rng = random.Random(3)
+    words = ["a", "b", "é", "x" * 300, "日本", "7_"]
+    rows = [(rng.choice([None, 3, 3, -8, 2**62, *range(20)]), rng.choice([None, "", "a b a b a", *(" ".join(rng.choices(words, k=rng.choice([1, 2, 3, 40]))) for _ in range(6))])) for _ in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for n, batch, most in ((1, 0, 7), (2, 5, 30), (4, 1, 10_000)):
+        want = _by_rows(spark, docs, n, batch)
+        held = ng.Training(ng._tokens(docs, "doc_id", "text").select("doc_id", F.lit(0).alias("shift"), "t"), n, batch, 16)
+        for keys in (["context"], ["context", "word"]):
+            got = held.counts(5, keys)
+            spots = {r[0]: r[1] for r in got.select(F.spark_partition_id(), F.pmod(F.hash(*keys), F.lit(5))).collect()}
+            assert all(a == b for a, b in spots.items())
+            assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+        # the tasks themselves with blocks of a few words, merged a few at a time
+        monkeypatch.setattr(grams, "HELD", most)
+        toks = held.toks.select("doc_id", "t").collect()
+        rows = [(r["doc_id"], i, w, (hash(tuple(r["t"][i : i + n])) % 3 if i + n < len(r["t"]) else None)) for r in toks for i, w in enumerate(r["t"] or [])]
+        import pyarrow as pa
+
+        schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int64()), ("word", pa.string()), ("slot", pa.int32())])
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        blocks = sorted((b.to_pylist()[0] for b in grams.count_grams(n)(iter(table.to_batches(max_chunksize=4)))), key=lambda b: b["slot"])
+        block = pa.RecordBatch.from_pylist(blocks, schema=pa.schema([("slot", pa.int32()), ("block", pa.binary())]))
+        out = [tuple(r.values()) for b in grams.merge_grams(n)(iter([block])) for r in b.to_pylist()]
+        key = lambda d, i: None if d is None else ((batch * 10**20 + d + 2**63) * 10**12 + i)
+        assert sorted((c, w, k, str(key(d, i))) for c, w, k, d, i in out) == sorted((c, w, k, str(f)) for c, w, k, f in want)
+        monkeypatch.setattr(grams, "HELD", 2_500_000)
+        best = {}
+        for c, _, k, f in want:
+            best[c] = min(best.get(c, (0, 0)), (-k, -1 if f is None else int(f)))
+        top = held.top1(4).collect()
+        assert {r["context"] for r in top} == set(best) and len(top) == len(best)
+        assert all(any((c, w, k) == (r["context"], r["word"], r["cnt"]) and (-1 if f is None else int(f)) == best[c][1] for c, w, k, f in want) for r in top)
+        assert {r["context"]: (-r["cnt"], r["total"]) for r in top} == {c: (k, sum(x[2] for x in want if x[0] == c)) for c, (k, _) in best.items()}
+
+
+def test_ngrams_are_not_shuffled_by_row(spark, docs):
+    model = ng.train_ngram(docs(*(f"w{i} the w{i + 1} end" for i in range(300))), 2)
+    assert "HashAggregate" not in _plan(model.counts) and _plan(model.counts).count("regexp_extract_all") == 1
+    assert model.counts.count() == 302 + 298
+
+
+def test_lookups_are_written_as_they_come(spark, docs):
+    """No shuffle by context after that of the counts; only contexts that are asked for get intervals."""
+    model = ng.train_ngram(docs(*(f"the w{i % 3} end{i}" for i in range(30))), 1)
+    for mode in ("top1", "sample"):
+        lookups = ng.Lookups(model, mode)
+        (name,) = lookups.tables
+        table = lookups.table(name)
+        assert table.select(F.input_file_name()).distinct().count() <= lookups.parts
+        assert table.count() == (4 if mode == "top1" else 33)
+        lookups.drop()
+    prompts = spark.createDataFrame([(i, "the") for i in range(40)] + [(99, "end1")], "prompt_id bigint, text string")
+    got = {r["prompt_id"]: (r["status"], r["next_word"]) for r in ng.predict(model, prompts, mode="sample", seed=1).collect()}
+    assert got.pop(99) == ("unseen_context", None) and {w for _, w in got.values()} == {"w0", "w1", "w2"}

@@ -26,13 +26,15 @@ contexts), and a query that needs only one of them computes only that one.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import grams
 from ..functions.text import split_whitespace, word_tokens
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, setting, ship_package
 from ..sources.parts import Keyed, PartStore, Version
 from .ordering import MAX_BATCH, dense_index, first_key, key_at, key_batch, key_doc, key_pos, running_sum  # noqa: F401  (re-exported)
 
@@ -77,12 +79,75 @@ def _windows(toks: DataFrame, n: int, shift: Column, kind: str) -> DataFrame:
     return flat.select("doc_id", "base", (F.col("p") + F.lit(n) + F.col("shift")).cast(kind).alias("i"), context.alias("context"), F.col(f"x.w{n}").alias("word"))
 
 
+@dataclass(frozen=True)
+class Training:
+    """Token arrays (``doc_id, shift, t``: the place of the first token) that n-grams are counted from.
+
+    N-grams of a text are nearly all distinct, so a shuffle of counted rows is several times the text. Tasks count some
+    millions of words at once and give one row per slot, in which the words are listed once (:mod:`..functions.grams`);
+    that is about a third of the bytes, and a task merges the rows of a slot.
+    """
+
+    toks: DataFrame
+    n: int
+    batch: int = 0
+    slots: int = 1024  # that are merged one by one, at least: for memory, where there are few partitions
+
+    def _merged(self, parts: int, keys: Sequence[str], top: bool = False) -> DataFrame:
+        """Partition p of ``parts`` has the n-grams that Spark's own hash of ``keys`` puts there."""
+        ship_package(self.toks.sparkSession)
+        t, n = F.col("t"), self.n
+        zipped = F.arrays_zip(*[F.slice(t, k + 1, F.size(t)).alias(f"w{k}") for k in range(n + 1)])
+        flat = self.toks.select("doc_id", "shift", F.posexplode(zipped).alias("p", "x"))
+        values = {"context": F.concat_ws(" ", *[F.col(f"x.w{k}") for k in range(n)]), "word": F.col(f"x.w{n}")}
+        slots = parts * max(1, -(-self.slots // parts))
+        slot = F.when(values["word"].isNotNull(), F.pmod(F.hash(*[values[k] for k in keys]), F.lit(slots)))
+        words = flat.select("doc_id", (F.col("p") + F.col("shift")).cast("bigint").alias("pos"), F.col("x.w0").alias("word"), slot.alias("slot"))
+        blocks = words.mapInArrow(grams.count_grams(n), grams.BLOCK)
+        dealt = blocks.repartitionById(parts, F.pmod("slot", F.lit(parts))).sortWithinPartitions("slot")
+        return dealt.mapInArrow(grams.merge_grams(n, top), grams.TOP if top else grams.COUNTS)
+
+    def counts(self, parts: int | None = None, keys: Sequence[str] = ("context",)) -> DataFrame:
+        """Counts per (context, word) with the first occurrence."""
+        rows = self._merged(parts or _shuffles(self.toks), keys)
+        first = first_key(F.lit(self.batch), F.col("doc_id"), F.col("pos"))
+        return rows.select("context", "word", "cnt", first.alias("first"))
+
+    def located(self) -> DataFrame:
+        """:meth:`counts` with the first occurrence as ``first_doc, first_pos``."""
+        rows = self._merged(_shuffles(self.toks), ("context",))
+        return rows.select("context", "word", "cnt", F.col("doc_id").alias("first_doc"), F.col("pos").cast("int").alias("first_pos"))
+
+    def top1(self, parts: int | None = None) -> DataFrame:
+        """A task that has all n-grams of a context takes its most frequent word."""
+        return self._merged(parts or _shuffles(self.toks), ["context"], top=True)
+
+
+#: Bytes of the input whose n-grams are merged at once, as Spark's plan estimates them.
+_SLOT_BYTES = 4 << 20
+
+
+def _shuffles(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _slots(df: DataFrame) -> int:
+    """Slots for the n-grams of a table, by the bytes that Spark's plan estimates; as many as a large table has if it does not know."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return -(-size // _SLOT_BYTES) if size < 1 << 50 else Training.slots
+
+
 #: Words that a counting task takes.
 _COUNTED = 2_000_000
 
 
 def chunk_events(chunks: DataFrame, n: int) -> DataFrame:
-    """W1 over files cut into chunks (``file, block, seq, text``): ``doc_id, base, i, context, word``.
+    """W1 over files cut into chunks (``file, block, seq, text``): ``doc_id, base, i, context, word``."""
+    return _windows(_chunk_tokens(chunks, n), n, F.col("shift"), "bigint")
+
+
+def _chunk_tokens(chunks: DataFrame, n: int) -> DataFrame:
+    """Token arrays of files cut into chunks: ``doc_id, shift, t``.
 
     ``doc_id`` numbers the files in path order. A chunk gets the last ``n``
     words before it, so that a context that crosses a cut is met once, by the
@@ -104,8 +169,8 @@ def chunk_events(chunks: DataFrame, n: int) -> DataFrame:
     spark = chunks.sparkSession
     # a fixed number of tasks, not one by bytes: their words become n-grams, which are counted in memory
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _COUNTED))
-    each = words.repartition(tasks, *key).join(ends.join(files, "file").hint("merge"), key).select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
-    return _windows(each, n, F.col("shift"), "bigint")
+    each = words.repartition(tasks, *key).join(ends.join(files, "file").hint("merge"), key)
+    return each.select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
 
 
 def count_events(events: DataFrame, batch: int = 0) -> DataFrame:
@@ -123,13 +188,28 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return toks.select(F.explode("t").alias("word")).distinct()
 
 
+def intervals(counts: DataFrame) -> DataFrame:
+    """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
+    first-seen order, with the context's ``total`` and word count ``nwords``.
+    Computed by :func:`running_sum`, so a hot context is split over tasks."""
+    iv = running_sum(counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
+    return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
+
+
 @dataclass
 class NgramModel:
     n: int
     counts: DataFrame
     vocab: DataFrame
+    training: Training | None = None  # what counts are made from, in a model that was only trained
 
     # ---- derived tables -------------------------------------------------
+    def located(self) -> DataFrame:
+        """``counts`` with the document and place of the first occurrence in columns of their own, not packed into one number."""
+        if self.training:
+            return self.training.located()
+        return self.counts.select("context", "word", "cnt", key_doc(F.col("first")).alias("first_doc"), key_pos(F.col("first")).alias("first_pos"))
+
     def totals(self) -> DataFrame:
         """``context, total``."""
         return self.counts.groupBy("context").agg(F.sum("cnt").alias("total"))
@@ -148,9 +228,12 @@ class NgramModel:
     def top1(self) -> DataFrame:
         """Most frequent next word per context, first-seen on ties.
 
-        One aggregate (``min_by`` over ``(-cnt, first)``), partial-aggregated
+        A model that was only trained takes it where the counts are made. Others:
+        one aggregate (``min_by`` over ``(-cnt, first)``), partial-aggregated
         before the shuffle, so a hot context costs one row per map task.
         """
+        if self.training:
+            return self.training.top1()
         return self.counts.groupBy("context").agg(
             F.min_by("word", F.struct((-F.col("cnt")).alias("neg"), F.col("first"))).alias("word"),
             F.max("cnt").alias("cnt"),
@@ -158,11 +241,8 @@ class NgramModel:
         )
 
     def intervals(self) -> DataFrame:
-        """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
-        first-seen order, with the context's ``total`` and word count ``nwords``.
-        Computed by :func:`running_sum`, so a hot context is split over tasks."""
-        iv = running_sum(self.counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
-        return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
+        """A8 support: :func:`intervals` of all contexts."""
+        return intervals(self.counts)
 
     def materialize(self) -> "NgramModel":
         """Both tables written under the shared checkpoint folder and read back."""
@@ -210,7 +290,8 @@ class NgramStore:
     def train(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> Version:
         """Add a training batch; a batch whose number is not above the last one's is there already, and nothing is done."""
         delta = train_ngram(docs, self.n, id_col, text_col, batch)
-        return self.parts.append({"counts": delta.counts, "vocab": delta.vocab}, tag=batch)
+        counts = delta.training.counts(self.parts.buckets, self.parts.tables["counts"].keys)
+        return self.parts.append({"counts": counts, "vocab": delta.vocab}, tag=batch, dealt=("counts",))
 
     def model(self, version: int | None = None) -> NgramModel:
         return NgramModel(self.n, self.parts.read("counts", version), self.parts.read("vocab", version))
@@ -222,7 +303,8 @@ def train_ngram(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str =
         raise ValueError("n must be >= 1")
     if not 0 <= batch <= MAX_BATCH:
         raise ValueError(f"batch must be 0 to {MAX_BATCH}")
-    return NgramModel(n, count_events(_events(docs, n, id_col, text_col), batch), vocabulary(docs, id_col, text_col))
+    training = Training(_tokens(docs, id_col, text_col).select("doc_id", F.lit(0).alias("shift"), "t"), n, batch, _slots(docs))
+    return NgramModel(n, training.counts(), vocabulary(docs, id_col, text_col), training)
 
 
 def train_ngram_chunks(chunks: DataFrame, n: int, batch: int = 0) -> NgramModel:
@@ -232,7 +314,8 @@ def train_ngram_chunks(chunks: DataFrame, n: int, batch: int = 0) -> NgramModel:
     if not 0 <= batch <= MAX_BATCH:
         raise ValueError(f"batch must be 0 to {MAX_BATCH}")
     vocab = chunks.select(F.explode(word_tokens("text")).alias("word")).distinct()
-    return NgramModel(n, count_events(chunk_events(chunks, n), batch), vocab)
+    training = Training(_chunk_tokens(chunks, n), n, batch)
+    return NgramModel(n, training.counts(), vocab, training)
 
 
 def _scratch(spark, what: str) -> str:
@@ -312,8 +395,9 @@ class Lookups:
     """Lookup tables of one prediction job, bucketed on their join keys under the shared checkpoint folder.
 
     A table is written once, bucket by bucket; every later join reads it as it
-    lies, so only the (distinct) keys that are asked for are shuffled. ``drop``
-    removes the tables.
+    lies, so only the (distinct) keys that are asked for are shuffled. For
+    sampling it holds the counts, and a step makes the intervals of its own
+    contexts from them. ``drop`` removes the tables.
     """
 
     def __init__(self, model: NgramModel, mode: str) -> None:
@@ -321,21 +405,26 @@ class Lookups:
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables: dict[str, str] = {}
         self.mode = mode
+        trained = model.training
         if mode == "top1":
-            self._write("top1", model.top1().select("context", F.col("word").alias("next_word")), ["context"])
+            top = trained.top1(self.parts) if trained else model.top1()
+            self._write("top1", top.select("context", F.col("word").alias("next_word")), ["context"], bool(trained))
         elif mode == "sample":
-            iv = cut_lineage(model.intervals())
-            self._write("totals", iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w")), ["context"])
-            self._write("buckets", bucketed_intervals(iv).drop("w"), ["context", "bucket"])
+            counts = trained.counts(self.parts) if trained else model.counts
+            self._write("counts", counts.select("context", "word", "cnt", "first"), ["context"], bool(trained))
         else:
             raise ValueError(f"unknown mode {mode!r}")
 
-    def _write(self, name: str, df: DataFrame, keys: list[str]) -> None:
+    def _write(self, name: str, df: DataFrame, keys: list[str], dealt: bool) -> None:
+        """``dealt``: every partition is a bucket already, in order of its keys; it is written as it comes, neither shuffled nor sorted."""
         path = _scratch(self.spark, name)
         table = f"wordloom_{path.rsplit('/', 1)[1].replace('-', '_')}"
-        # the same hash as the bucketing: one task writes one bucket
-        df.repartition(self.parts, *keys).write.bucketBy(self.parts, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
         self.tables[name] = table
+        if dealt:
+            with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+                df.write.bucketBy(self.parts, *keys).option("path", path).saveAsTable(table)
+        else:  # the same hash as the bucketing: one task writes one bucket
+            df.repartition(self.parts, *keys).write.bucketBy(self.parts, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self.tables[name])
@@ -370,9 +459,13 @@ def _next_words(queries: DataFrame, lookups: Lookups, seed: int) -> DataFrame:
     """``queries(prompt_id, step, context, ...)`` with ``next_word`` (NULL where the context is unseen)."""
     if lookups.mode == "top1":
         return _answer(queries, lookups.table("top1"), ["context"])
-    q = _answer(queries, lookups.table("totals"), ["context"]).where(F.col("total").isNotNull())
+    # intervals of the contexts that are asked for: the model is read as it lies and not written anew
+    asked = cut_lineage(lookups.table("counts").join(queries.select("context").distinct(), "context"))
+    iv = cut_lineage(intervals(asked))
+    totals = iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w"))
+    q = _answer(queries, totals, ["context"]).where(F.col("total").isNotNull())
     q = q.withColumn("r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))).withColumn("bucket", F.expr("r div w"))
-    hit = _answer(q.select("prompt_id", "context", "bucket", "r"), lookups.table("buckets"), ["context", "bucket"])
+    hit = _answer(q.select("prompt_id", "context", "bucket", "r"), bucketed_intervals(iv).drop("w"), ["context", "bucket"])
     drawn = hit.where((F.col("lo") <= F.col("r")) & (F.col("r") < F.col("lo") + F.col("cnt")))
     # One query per prompt within a step: the prompt id alone is the key.
     return queries.join(drawn.select("prompt_id", F.col("word").alias("next_word")), "prompt_id", "left")

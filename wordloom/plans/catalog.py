@@ -70,8 +70,7 @@ def q_ngram_pairs(spark, sf_dir):
 
 @register("ngram_counts")
 def q_ngram_counts(spark, sf_dir):
-    model = ng.train_ngram(inputs.counted_documents(spark, sf_dir), N_COUNTS)
-    return _flat_first(model.counts)
+    return ng.train_ngram(inputs.counted_documents(spark, sf_dir), N_COUNTS).located()
 
 
 @register("ngram_vocab")

@@ -22,9 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Bytes of the stored documents that a counting task takes: its n-grams (about 250,000 a MB, nearly all distinct) then
-# fit the task's share of an executor's memory, and the partial counts are not spilled.
-COUNT_BYTES = 8 << 20
+# Bytes of the stored documents that a counting task takes at most where the scan gives fewer tasks. It counts some
+# millions of words at once, so its memory does not depend on this.
+COUNT_BYTES = 32 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus scan where n-grams are counted: a task takes ``COUNT_BYTES`` however large the table is.
-
-    Moving the texts once costs the table's size; a partial count that outgrows
-    its memory is sorted and written, at several times that size.
-    """
+    """The corpus scan where n-grams are counted: a task takes ``COUNT_BYTES`` or, where the scan is cut finer, less."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ensure_parallel(docs, "doc_id", count_tasks(spark, sf_dir))
 
