@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row-in-partition
 
@@ -77,8 +77,9 @@ def dense_index(
 
     ``order`` must identify rows uniquely (ties would make numbering
     arbitrary). Rows are range-partitioned on the order keys, sorted inside each
-    partition and checkpointed (so partition membership and order are fixed even
-    if an executor is lost and tasks re-run); per-partition counts (one row per
+    partition and written with their places (so partition membership and order are
+    fixed even if an executor is lost and tasks re-run; as Parquet, a checkpoint
+    of such rows takes several times the bytes); per-partition counts (one row per
     partition) give each partition's offset. This is the DataFrame form of
     ``zipWithIndex``: two passes, no global single-partition window.
     """
@@ -91,7 +92,7 @@ def dense_index(
         .sortWithinPartitions(*cols)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    ranged = cut_lineage(ranged)
+    ranged = written(ranged, "ranged")
     ranged = ranged.withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     )

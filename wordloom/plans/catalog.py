@@ -498,7 +498,7 @@ def q_response_rows_roundtrip(spark, sf_dir):
     share = -(-numbered.count() // APPENDS)
     for batch in range(APPENDS):
         part = rows.where((F.col("idx") > batch * share) & (F.col("idx") <= (batch + 1) * share))
-        fs.append_response_rows(part, path, ["idx"], batch)
+        fs.append_response_rows(part, path, ["idx"], batch, compression="gzip")
     back = fs.read_response_rows(spark, path)
     return qa.align_by_position(qa.gold_of(numbered), back, fs.RESPONSE_ORDER)
 
