@@ -125,6 +125,7 @@ class Training:
 
 #: Bytes of the input whose n-grams are merged at once, as Spark's plan estimates them.
 _SLOT_BYTES = 4 << 20
+_MOST_SLOTS = 8192
 
 
 def _shuffles(df: DataFrame) -> int:
@@ -132,9 +133,11 @@ def _shuffles(df: DataFrame) -> int:
 
 
 def _slots(df: DataFrame) -> int:
-    """Slots for the n-grams of a table, by the bytes that Spark's plan estimates; as many as a large table has if it does not know."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return -(-size // _SLOT_BYTES) if size < 1 << 50 else Training.slots
+    """Slots for the n-grams of a table, by the bytes that Spark's plan gives for what it is made of (not for the table:
+    that of a join is a product); as many as a large table has if it does not know."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(-(-size // _SLOT_BYTES), _MOST_SLOTS) if size < 1 << 50 else Training.slots
 
 
 #: Words that a counting task takes.
@@ -169,8 +172,9 @@ def _chunk_tokens(chunks: DataFrame, n: int) -> DataFrame:
     spark = chunks.sparkSession
     # a fixed number of tasks, not one by bytes: their words become n-grams, which are counted in memory
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _COUNTED))
-    each = words.repartition(tasks, *key).join(ends.join(files, "file").hint("merge"), key)
-    return each.select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", "t").alias("t"))
+    # texts are moved and taken apart again: their words, one by one, are several times the bytes
+    each = chunks.select(*key, "text").repartition(tasks, *key).join(ends.join(files, "file").hint("merge"), key)
+    return each.select("doc_id", (F.col("past") - F.size("halo")).alias("shift"), F.concat("halo", word_tokens("text")).alias("t"))
 
 
 def count_events(events: DataFrame, batch: int = 0) -> DataFrame:
