@@ -7,6 +7,7 @@ from wordloom.operators import qa
 from wordloom.plans import inputs
 from wordloom.sources import files as fs
 from wordloom.session import cut_lineage
+from wordloom.streaming import ngram_stream as stream
 
 
 def _plan(df):
@@ -140,15 +141,53 @@ def test_ngrams_are_not_shuffled_by_row(spark, docs):
 
 
 def test_lookups_are_written_as_they_come(spark, docs):
-    """No shuffle by context after that of the counts; only contexts that are asked for get intervals."""
+    """No shuffle by context after that of the counts; intervals are those of the counts."""
     model = ng.train_ngram(docs(*(f"the w{i % 3} end{i}" for i in range(30))), 1)
-    for mode in ("top1", "sample"):
+    for mode, name in (("top1", "top1"), ("sample", "buckets")):
         lookups = ng.Lookups(model, mode)
-        (name,) = lookups.tables
         table = lookups.table(name)
         assert table.select(F.input_file_name()).distinct().count() <= lookups.parts
-        assert table.count() == (4 if mode == "top1" else 33)
+        assert table.select("context").distinct().count() == 4
+        if mode == "sample":
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            with ng._as_it_lies(spark):
+                keys = table.select("context", "bucket").where("context = 'the'").distinct()
+                shown = keys.selectExpr("*", "1 AS x").join(table, ["context", "bucket"])._jdf.queryExecution().executedPlan().toString()
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            last = shown[: shown.rindex("FileScan")].splitlines()[-4:]
+            assert "Bucketed: true" in shown and not any("Exchange" in x for x in last)
         lookups.drop()
+    trained, plain = (sorted(map(tuple, m.intervals().collect())) for m in (model, ng.NgramModel(1, model.counts, model.vocab)))
+    assert trained == plain
     prompts = spark.createDataFrame([(i, "the") for i in range(40)] + [(99, "end1")], "prompt_id bigint, text string")
     got = {r["prompt_id"]: (r["status"], r["next_word"]) for r in ng.predict(model, prompts, mode="sample", seed=1).collect()}
     assert got.pop(99) == ("unseen_context", None) and {w for _, w in got.values()} == {"w0", "w1", "w2"}
+
+
+def test_a_stream_keeps_one_copy_of_its_counts(spark, tmp_path, docs):
+    """No streaming state beside the table or store; a batch that is run again adds nothing."""
+    src = tmp_path / "in"
+    for i, t in enumerate(["a b a", "a b", "b a b"]):
+        docs(t, start=i).coalesce(1).write.parquet(str(src / f"p{i}"))
+    arriving = lambda: stream.stream_documents(spark, str(src) + "/*", max_files=1, base_path=str(src))
+    want = {("a", "b"): 3, ("b", "a"): 2}
+    for again in ("ck1", "ck2"):
+        stream.start_ngram_counts(arriving(), 1, str(tmp_path / "table"), str(tmp_path / again)).awaitTermination()
+        got = stream.current_counts(spark, str(tmp_path / "table"))
+        assert {(r["context"], r["word"]): r["cnt"] for r in got.collect()} == want
+    store = stream.counts_store(spark, str(tmp_path / "store"), 3)
+    stream.start_ngram_parts(arriving(), 1, store, str(tmp_path / "ck3"), compact_every=2).awaitTermination()
+    assert {(r["context"], r["word"]): r["cnt"] for r in store.read("counts").collect()} == want
+    assert not list(tmp_path.glob("ck*/state/*"))
+    # a bucket of a part is one file
+    one = stream.counts_store(spark, str(tmp_path / "one"), 2)
+    stream.start_ngram_parts(stream.stream_documents(spark, str(src) + "/*", base_path=str(src)), 1, one, str(tmp_path / "ck4")).awaitTermination()
+    assert 1 <= len(list((tmp_path / "one" / "counts").glob("part=*/*.parquet"))) <= 2
+    assert {(r["context"], r["word"]): r["cnt"] for r in one.read("counts").collect()} == want
+
+
+def test_slots_follow_what_a_join_reads(spark, tmp_path, docs):
+    """Spark's own figure for a join is the product of its sides."""
+    docs(*(f"a b c{i} a b" for i in range(2000))).write.parquet(str(tmp_path / "d"))
+    d = spark.read.parquet(str(tmp_path / "d"))
+    assert ng._slots(d.join(d.select("doc_id").hint("merge"), "doc_id")) == 1

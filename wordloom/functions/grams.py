@@ -200,27 +200,49 @@ def _count_rows(g: Grams) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cells, ["context", "word", "cnt", "doc_id", "pos"])
 
 
-def _top_rows(g: Grams) -> Iterator[pa.RecordBatch]:
-    """Of each context the most frequent word, the first seen on ties (an unknown place comes before the others)."""
+def _contexts(g: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(where each context begins, its total, the context of every n-gram, its place: an unknown one comes before the others)."""
     starts = _starts(_keys(g.codes[:-1], len(g.words)))
     context = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(g.cnt))))
     place = np.where(g.doc == len(g.docs), -1, g.doc * (int(g.pos.max(initial=0)) + 1) + g.pos)
+    return starts, np.add.reduceat(g.cnt, starts) if len(starts) else g.cnt, context, place
+
+
+def _top_rows(g: Grams) -> Iterator[pa.RecordBatch]:
+    """Of each context the most frequent word, the first seen on ties."""
+    starts, total, context, place = _contexts(g)
     one = np.lexsort((place, -g.cnt, context))[starts]  # contexts stay where they are
-    total = np.add.reduceat(g.cnt, starts) if len(starts) else g.cnt
     for i in range(0, len(one), _OUT):
         s = one[i : i + _OUT]
         cells = [_texts(g, [c[s] for c in g.codes[:-1]]), _texts(g, [g.codes[-1][s]]), pa.array(g.cnt[s]), pa.array(total[i : i + _OUT])]
         yield pa.RecordBatch.from_arrays(cells, ["context", "word", "cnt", "total"])
 
 
-COUNTS = "context string, word string, cnt bigint, doc_id bigint, pos bigint"
-TOP = "context string, word string, cnt bigint, total bigint"
+def _interval_rows(g: Grams) -> Iterator[pa.RecordBatch]:
+    """Each word's ``[lo, lo + cnt)`` slice of its context's total, in first-seen order."""
+    starts, total, context, place = _contexts(g)
+    order = np.lexsort((place, context))
+    before = np.cumsum(g.cnt[order]) - g.cnt[order]
+    lo = before - before[starts][context] if len(starts) else before
+    words = np.diff(np.append(starts, len(order)))
+    for i in range(0, len(order), _OUT):
+        s, c = order[i : i + _OUT], context[i : i + _OUT]
+        cells = [_texts(g, [x[s] for x in g.codes[:-1]]), _texts(g, [g.codes[-1][s]]), *map(pa.array, (g.cnt[s], lo[i : i + _OUT], total[c], words[c]))]
+        yield pa.RecordBatch.from_arrays(cells, ["context", "word", "cnt", "lo", "total", "nwords"])
+
+
+#: What a merge gives; all but counts where a slot has all n-grams of its contexts.
+ROWS = {
+    "counts": ("context string, word string, cnt bigint, doc_id bigint, pos bigint", _count_rows),
+    "top": ("context string, word string, cnt bigint, total bigint", _top_rows),
+    "intervals": ("context string, word string, cnt bigint, lo bigint, total bigint, nwords bigint", _interval_rows),
+}
 
 
-def merge_grams(n: int, top: bool = False):
-    """Task: all :data:`BLOCK` rows of some slots, slot by slot -> :data:`COUNTS`, or :data:`TOP` where a slot has all
-    n-grams of its contexts. What is held are the distinct n-grams of one slot and as many rows again."""
-    rows = _top_rows if top else _count_rows
+def merge_grams(n: int, kind: str = "counts"):
+    """Task: all :data:`BLOCK` rows of some slots, slot by slot -> the rows of a kind in :data:`ROWS`. What is held are
+    the distinct n-grams of one slot and as many rows again."""
+    rows = ROWS[kind][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")

@@ -93,7 +93,7 @@ class Training:
     batch: int = 0
     slots: int = 1024  # that are merged one by one, at least: for memory, where there are few partitions
 
-    def _merged(self, parts: int, keys: Sequence[str], top: bool = False) -> DataFrame:
+    def _merged(self, parts: int, keys: Sequence[str], kind: str = "counts") -> DataFrame:
         """Partition p of ``parts`` has the n-grams that Spark's own hash of ``keys`` puts there."""
         ship_package(self.toks.sparkSession)
         t, n = F.col("t"), self.n
@@ -105,7 +105,7 @@ class Training:
         words = flat.select("doc_id", (F.col("p") + F.col("shift")).cast("bigint").alias("pos"), F.col("x.w0").alias("word"), slot.alias("slot"))
         blocks = words.mapInArrow(grams.count_grams(n), grams.BLOCK)
         dealt = blocks.repartitionById(parts, F.pmod("slot", F.lit(parts))).sortWithinPartitions("slot")
-        return dealt.mapInArrow(grams.merge_grams(n, top), grams.TOP if top else grams.COUNTS)
+        return dealt.mapInArrow(grams.merge_grams(n, kind), grams.ROWS[kind][0])
 
     def counts(self, parts: int | None = None, keys: Sequence[str] = ("context",)) -> DataFrame:
         """Counts per (context, word) with the first occurrence."""
@@ -120,7 +120,11 @@ class Training:
 
     def top1(self, parts: int | None = None) -> DataFrame:
         """A task that has all n-grams of a context takes its most frequent word."""
-        return self._merged(parts or _shuffles(self.toks), ["context"], top=True)
+        return self._merged(parts or _shuffles(self.toks), ["context"], "top")
+
+    def intervals(self, parts: int | None = None) -> DataFrame:
+        """A8 support: a task that has all n-grams of a context adds them up in first-seen order."""
+        return self._merged(parts or _shuffles(self.toks), ["context"], "intervals")
 
 
 #: Bytes of the input whose n-grams are merged at once, as Spark's plan estimates them.
@@ -192,14 +196,6 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return toks.select(F.explode("t").alias("word")).distinct()
 
 
-def intervals(counts: DataFrame) -> DataFrame:
-    """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
-    first-seen order, with the context's ``total`` and word count ``nwords``.
-    Computed by :func:`running_sum`, so a hot context is split over tasks."""
-    iv = running_sum(counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
-    return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
-
-
 @dataclass
 class NgramModel:
     n: int
@@ -245,8 +241,14 @@ class NgramModel:
         )
 
     def intervals(self) -> DataFrame:
-        """A8 support: :func:`intervals` of all contexts."""
-        return intervals(self.counts)
+        """A8 support: each word's ``[lo, lo + cnt)`` slice of ``[0, total)`` in
+        first-seen order, with the context's ``total`` and word count ``nwords``.
+        Of a model that was only trained, they are made where the counts are;
+        else by :func:`running_sum`, so a hot context is split over tasks."""
+        if self.training:
+            return self.training.intervals()
+        iv = running_sum(self.counts.select("context", "word", "cnt", "first"), "context", ["first"], "cnt", "lo")
+        return iv.select("context", "word", "cnt", "lo", F.col("lo_total").alias("total"), F.col("lo_rows").alias("nwords"))
 
     def materialize(self) -> "NgramModel":
         """Both tables written under the shared checkpoint folder and read back."""
@@ -388,20 +390,20 @@ def bucketed_intervals(intervals: DataFrame) -> DataFrame:
     array of them all.
     """
     spans = intervals.withColumn("w", _width()).select(
-        "context", "word", "lo", "cnt", "w", F.expr("lo div w").alias("b0"), F.expr("(lo + cnt - 1) div w").alias("b1")
+        "context", "word", "lo", "cnt", "total", "w", F.expr("lo div w").alias("b0"), F.expr("(lo + cnt - 1) div w").alias("b1")
     )
     runs = spans.withColumn("s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(b1 - b0) div {_RUN}"))))
     bucket = F.explode(F.sequence(F.expr(f"b0 + s * {_RUN}"), F.expr(f"least(b1, b0 + (s + 1) * {_RUN} - 1)")))
-    return runs.select("context", "word", "lo", "cnt", "w", bucket.alias("bucket"))
+    return runs.select("context", "word", "lo", "cnt", "total", "w", bucket.alias("bucket"))
 
 
 class Lookups:
     """Lookup tables of one prediction job, bucketed on their join keys under the shared checkpoint folder.
 
     A table is written once, bucket by bucket; every later join reads it as it
-    lies, so only the (distinct) keys that are asked for are shuffled. For
-    sampling it holds the counts, and a step makes the intervals of its own
-    contexts from them. ``drop`` removes the tables.
+    lies, so only the (distinct) keys that are asked for are shuffled; all are
+    bucketed on the context, that of a join on more keys too (:func:`_as_it_lies`).
+    ``drop`` removes the tables.
     """
 
     def __init__(self, model: NgramModel, mode: str) -> None:
@@ -414,8 +416,10 @@ class Lookups:
             top = trained.top1(self.parts) if trained else model.top1()
             self._write("top1", top.select("context", F.col("word").alias("next_word")), ["context"], bool(trained))
         elif mode == "sample":
-            counts = trained.counts(self.parts) if trained else model.counts
-            self._write("counts", counts.select("context", "word", "cnt", "first"), ["context"], bool(trained))
+            iv = trained.intervals(self.parts) if trained else model.intervals()
+            self._write("buckets", bucketed_intervals(iv), ["context"], bool(trained))
+            first = self.table("buckets").where("lo = 0 AND bucket = 0")  # one row of each context
+            self._write("totals", first.select("context", "total", "w"), ["context"], False)
         else:
             raise ValueError(f"unknown mode {mode!r}")
 
@@ -459,17 +463,18 @@ def _answer(queries: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
+def _as_it_lies(spark):
+    """While lookups are planned: a table that is bucketed on one of the keys of a join stays where it is."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def _next_words(queries: DataFrame, lookups: Lookups, seed: int) -> DataFrame:
     """``queries(prompt_id, step, context, ...)`` with ``next_word`` (NULL where the context is unseen)."""
     if lookups.mode == "top1":
         return _answer(queries, lookups.table("top1"), ["context"])
-    # intervals of the contexts that are asked for: the model is read as it lies and not written anew
-    asked = cut_lineage(lookups.table("counts").join(queries.select("context").distinct(), "context"))
-    iv = cut_lineage(intervals(asked))
-    totals = iv.where(F.col("lo") == 0).select("context", "total", _width().alias("w"))
-    q = _answer(queries, totals, ["context"]).where(F.col("total").isNotNull())
+    q = _answer(queries, lookups.table("totals"), ["context"]).where(F.col("total").isNotNull())
     q = q.withColumn("r", uniform_draw(seed, F.col("prompt_id"), F.col("step"), F.col("total"))).withColumn("bucket", F.expr("r div w"))
-    hit = _answer(q.select("prompt_id", "context", "bucket", "r"), bucketed_intervals(iv).drop("w"), ["context", "bucket"])
+    hit = _answer(q.select("prompt_id", "context", "bucket", "r"), lookups.table("buckets").drop("total", "w"), ["context", "bucket"])
     drawn = hit.where((F.col("lo") <= F.col("r")) & (F.col("r") < F.col("lo") + F.col("cnt")))
     # One query per prompt within a step: the prompt id alone is the key.
     return queries.join(drawn.select("prompt_id", F.col("word").alias("next_word")), "prompt_id", "left")
@@ -496,7 +501,8 @@ def predict(model: NgramModel, prompts: DataFrame, mode: str = "top1", seed: int
     )
     lookups = Lookups(model, mode)
     try:
-        pred = cut_lineage(_next_words(usable, lookups, seed).select("prompt_id", "next_word"))
+        with _as_it_lies(lookups.spark):
+            pred = cut_lineage(_next_words(usable, lookups, seed).select("prompt_id", "next_word"))
     finally:
         lookups.drop()
     out = checked.join(pred, "prompt_id", "left")
@@ -541,7 +547,8 @@ def generate(
         for step in range(nwords):
             queries = active.select("prompt_id", F.array_join("ctx", " ").alias("context"), F.lit(step).alias("step"), "ctx")
             res = _next_words(queries, lookups, seed).select("prompt_id", "ctx", "next_word")
-            res.write.mode("overwrite").parquet(f"{table}/step={step}")
+            with _as_it_lies(spark):
+                res.write.mode("overwrite").parquet(f"{table}/step={step}")
             done = spark.read.parquet(f"{table}/step={step}")
             tail = F.slice("ctx", 2, n - 1) if n > 1 else F.array().cast("array<string>")
             active = done.where(F.col("next_word").isNotNull()).select(
